@@ -1,35 +1,16 @@
-"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator,
-plus the DuckDB SQL that checks it (where the operator is SQL-expressible).
-
-Every query reads the given tables (or data Spark derives from them) in full.
-Doubles are rounded to 4 decimals on both sides before comparison.
-"""
+"""Bars and indicators."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark import oracle_sql as O
+from tidemark.catalog import register
 from tidemark.functions.presentation import rounded
 from tidemark.operators.indicators import INDICATOR_COLUMNS, add_indicators
 from tidemark.schemas import BAR_COLUMNS
 from tidemark.sources.bars import bars_from, load_bars, period_filter
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
-
 
 BAR_DOUBLES = ["open", "high", "low", "close"]
 BAR_OTHER = ["symbol", "date", "volume"]

@@ -62,3 +62,42 @@ def indicators(src: str = "bars", extra: str = "") -> str:
 def round_all(select_sql: str, cols_double: list[str], cols_other: list[str], digits: int = 4) -> str:
     parts = list(cols_other) + [f"round({c}, {digits}) AS {c}" for c in cols_double]
     return f"SELECT {', '.join(parts)} FROM ({select_sql}) r"
+
+
+SEQ_FEATURES = ["close", "volume", "MA_5", "MA_20", "RSI", "BB_Upper", "BB_Lower"]
+
+
+def seq_features(source: str = "orders", complete: bool = True) -> str:
+    """P1 (+P2): keys and the seven sequence features as doubles."""
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SEQ_FEATURES)
+    where = (" WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in SEQ_FEATURES)) if complete else ""
+    return f"SELECT symbol, date, {cols} FROM ({indicators(f'({bars(source)})')}) i{where}"
+
+
+def simple_features(source: str = "orders") -> str:
+    """W6/W7 simplified features over bars, incomplete rows dropped."""
+    return f"""SELECT * FROM (SELECT symbol, date, open, high, low, close, volume,
+        {_roll('close', 5)} AS MA_5, {_roll('close', 20)} AS MA_20, 50.0 AS RSI,
+        {_roll('volume', 20)} AS Volume_MA, close * 1.02 AS BB_Upper, close * 0.98 AS BB_Lower
+      FROM ({bars(source)}) b) f
+      WHERE MA_5 IS NOT NULL AND MA_20 IS NOT NULL AND Volume_MA IS NOT NULL AND close IS NOT NULL
+        AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND volume IS NOT NULL"""
+
+
+def linear_dataset(source: str = "orders") -> str:
+    """Next-day target and 80/20 split over the simplified features."""
+    t = f"""SELECT symbol, date, close, MA_5, MA_20, RSI, Volume_MA,
+        lead(close) OVER (PARTITION BY symbol ORDER BY date) AS target FROM ({simple_features(source)}) f"""
+    return f"""SELECT *, CASE WHEN rn <= (n * 4) // 5 THEN 'train' ELSE 'test' END AS split FROM (
+      SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY symbol) AS n
+      FROM ({t}) t WHERE target IS NOT NULL) s"""
+
+
+def metrics(pred: str, keys: str = "symbol") -> str:
+    """A1 over a relation with ``y`` and ``yhat``: n, mae, rmse, r2."""
+    return f"""SELECT {keys}, count(*) AS n, avg(abs(y - yhat)) AS mae,
+        sqrt(avg((y - yhat) * (y - yhat))) AS rmse,
+        CASE WHEN var_pop(y) * count(*) > 0 THEN 1.0 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*))
+             WHEN sum((y - yhat) * (y - yhat)) = 0 THEN 1.0 ELSE 0.0 END AS r2
+      FROM ({pred}) p WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY {keys}"""
