@@ -18,7 +18,8 @@ def round_col(c, digits: int = DIGITS):
     """
     m = float(10 ** digits)
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * F.lit(m)) / F.lit(m)
+    r = F.round(c * F.lit(m)) / F.lit(m)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # one zero: -0.0 → 0.0
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:

@@ -77,9 +77,11 @@ def fit_linear(ds: DataFrame, features=LINEAR_FEATURES, target: str = "target")
                       "coef", "intercept", "error")
 
 
-def linear_predict(features: list[str], coef: Column = F.col("coef"),
-                   intercept: Column = F.col("intercept")) -> Column:
+def linear_predict(features: list[str], coef: Column | None = None,
+                   intercept: Column | None = None) -> Column:
     """M2: intercept + Σ coef[i]·feature[i]."""
+    coef = F.col("coef") if coef is None else coef
+    intercept = F.col("intercept") if intercept is None else intercept
     terms = [F.element_at(coef, i + 1) * F.col(c) for i, c in enumerate(features)]
     out = intercept
     for t in terms:

@@ -57,12 +57,14 @@ def training_summary(metrics: DataFrame, keys=("symbol",)) -> DataFrame:
     return ok.select(*keys, "mae", "r2")
 
 
-def rank_models(metrics: DataFrame, score: str = "r2", partition=(), ascending: bool = False) -> DataFrame:
+def rank_models(metrics: DataFrame, score: str = "r2", partition=(), ascending: bool = False,
+                tie: str = "symbol") -> DataFrame:
     """Rank by ``score`` (within ``partition``); rank 1 is 'Best', others 'Good'.
-    Ties broken by symbol so the ranking is deterministic."""
+    Ties broken by ``tie`` so the ranking is deterministic. Without a partition
+    the ranking is global (one task over a one-row-per-symbol table)."""
     order = F.col(score).asc_nulls_last() if ascending else F.col(score).desc_nulls_last()
     w = (Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))).orderBy(
-        order, F.col("symbol"))
+        order, F.col(tie))
     rk = F.row_number().over(w)
     return metrics.select("*", rk.alias("rank"),
                           F.when(rk == 1, F.lit("Best")).otherwise(F.lit("Good")).alias("label"))

@@ -60,7 +60,9 @@ def indicators(src: str = "bars", extra: str = "") -> str:
 
 
 def round_all(select_sql: str, cols_double: list[str], cols_other: list[str], digits: int = 4) -> str:
-    parts = list(cols_other) + [f"round({c}, {digits}) AS {c}" for c in cols_double]
+    parts = list(cols_other) + [
+        f"CASE WHEN round({c}, {digits}) = 0 THEN CAST(0 AS DOUBLE) ELSE round({c}, {digits}) END AS {c}"
+        for c in cols_double]
     return f"SELECT {', '.join(parts)} FROM ({select_sql}) r"
 
 
