@@ -55,10 +55,10 @@ _BASE_PRED_SQL = f"""WITH s AS ({O.linear_dataset('suppliers')}),
   fit AS (SELECT symbol, regr_slope(target, MA_5) AS slope, regr_intercept(target, MA_5) AS intercept
           FROM s WHERE split = 'train' GROUP BY symbol),
   t AS (SELECT * FROM s JOIN fit USING (symbol) WHERE split = 'test'),
-  p AS (SELECT symbol, 'persistence' AS model_type, target AS y, close AS yhat FROM t
-        UNION ALL SELECT symbol, 'ma_5', target, MA_5 FROM t
-        UNION ALL SELECT symbol, 'ma_20', target, MA_20 FROM t
-        UNION ALL SELECT symbol, 'linear_1f', target, intercept + slope * MA_5 FROM t)"""
+  p AS (SELECT symbol, date, 'persistence' AS model_type, target AS y, close AS yhat FROM t
+        UNION ALL SELECT symbol, date, 'ma_5', target, MA_5 FROM t
+        UNION ALL SELECT symbol, date, 'ma_20', target, MA_20 FROM t
+        UNION ALL SELECT symbol, date, 'linear_1f', target, intercept + slope * MA_5 FROM t)"""
 _BASE_METRICS_SQL = f"{_BASE_PRED_SQL}\n{O.metrics('SELECT * FROM p', 'symbol, model_type')}"
 
 
