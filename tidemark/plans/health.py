@@ -58,7 +58,7 @@ def next_occurrence(now: Column, hour_utc: int) -> Column:
 
 
 def seconds_until(later: Column, now: Column) -> Column:
-    return F.unix_micros(later) / 1e6 - F.unix_micros(now) / 1e6
+    return (F.unix_micros(later) - F.unix_micros(now)) / F.lit(1e6)
 
 
 def millis_to_time(ms: Column) -> Column:
