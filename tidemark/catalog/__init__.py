@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # imported for their registrations
-    from tidemark.catalog import bars, dataset, health, models, registry, storage  # noqa: F401
+    from tidemark.catalog import bars, dataset, health, models, registry, storage, streams  # noqa: F401
