@@ -13,6 +13,7 @@ from tidemark.operators import evaluate as E
 from tidemark.operators.indicators import add_indicators
 from tidemark.plans import predict as P
 from tidemark.plans.train import train_all, train_many
+from tidemark.session import cut_lineage
 from tidemark.sources.bars import bars_from
 from tidemark.sources.tables import read_table
 
@@ -38,12 +39,11 @@ def baseline_predictions(ds: DataFrame) -> DataFrame:
     test = ds.where(F.col("split") == "test").join(fit, "symbol")
     preds = {"persistence": F.col("close"), "ma_5": F.col("MA_5"), "ma_20": F.col("MA_20"),
              "linear_1f": F.col("intercept") + F.col("slope") * F.col("MA_5")}
-    out = None
-    for name in BASELINES:
-        p = test.select("symbol", "date", F.lit(name).alias("model_type"), F.col("target").alias("y"),
-                        preds[name].alias("yhat"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    # one pass over the test rows: each row yields its four (model, prediction) pairs
+    pairs = F.array(*[F.struct(F.lit(n).alias("model_type"), preds[n].cast("double").alias("yhat"))
+                      for n in BASELINES])
+    return test.select("symbol", "date", F.col("target").alias("y"), F.inline(pairs)).select(
+        "symbol", "date", "model_type", "y", "yhat")
 
 
 def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,6 +198,6 @@ def order_requests(spark: SparkSession, sf: str) -> DataFrame:
 @register("predict_batch")
 def q_predict_batch(spark, sf):
     bars = bars_from(spark, sf, "orders")
-    models = train_many(bars, ("arima", "prophet", "lstm"), AS_OF)
+    models = cut_lineage(train_many(bars, ("arima", "prophet", "lstm"), AS_OF))
     fc = P.forecast_table(models, bars)
     return P.predict_batch(order_requests(spark, sf), fc, AS_OF)

@@ -12,6 +12,7 @@ from tidemark.functions.presentation import round_col, rounded
 from tidemark.models import linear
 from tidemark.operators.evaluate import regression_metrics
 from tidemark.plans import registry as RG
+from tidemark.session import cut_lineage
 from tidemark.sources.bars import bars_from
 
 AS_OF = "2024-01-02 00:00:00"
@@ -72,6 +73,7 @@ _CTE = f"""{_BASE_PRED_SQL},
 
 def _registry(spark: SparkSession, sf: str):
     _, ev = _evals(spark, sf)
+    ev = cut_lineage(ev)  # small (symbols × 4), reused by every registry step
     order = F.array_position(F.array(*[F.lit(b) for b in BASELINES]), F.col("model_type")) - 1
     cand = ev.select(F.concat(F.lit("stock_predictor_"), F.col("symbol")).alias("model"),
                      F.concat_ws("-", "model_type", "symbol").alias("run_id"), order.alias("ord"), "mae")

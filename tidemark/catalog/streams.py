@@ -11,6 +11,7 @@ from tidemark.functions.presentation import rounded
 from tidemark.plans import predict as P
 from tidemark.plans.train import train_many
 from tidemark.sources import quotes as Q
+from tidemark.session import cut_lineage
 from tidemark.sources.bars import bars_from
 from tidemark.sources.snapshots import shared_path
 from tidemark.sources.tables import event_ticks, read_table
@@ -95,7 +96,7 @@ def q_stream_bars(spark, sf):
 @register("score_requests_stream")
 def q_score_requests_stream(spark, sf):
     bars = bars_from(spark, sf, "orders")
-    fc = P.forecast_table(train_many(bars, ("arima", "prophet"), AS_OF), bars)
+    fc = cut_lineage(P.forecast_table(train_many(bars, ("arima", "prophet"), AS_OF), bars))
     src = shared_path(spark, "requests-in")
     order_requests(spark, sf).write.json(src)
     schema = "request_id string, symbol string, model_type string, days_ahead int"

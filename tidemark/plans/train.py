@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.models import ar, linear, sequence, trend_seasonal
 from tidemark.operators.cleaning import LINEAR_FEATURES, SEQUENCE_FEATURES
 from tidemark.operators.indicators import add_indicators
+from tidemark.session import cut_lineage
 
 MODEL_TYPES = ("linear", "arima", "prophet", "lstm")
 # reference names → our implementations
@@ -36,7 +37,11 @@ def _params(d: dict) -> F.Column:
 
 
 def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -> DataFrame:
-    """Fit ``model_type`` for all symbols of ``bars``; unknown types raise."""
+    """Fit ``model_type`` for all symbols of ``bars``; unknown types raise.
+
+    The per-symbol fit (one row per symbol) is checkpointed to the shared
+    checkpoint folder: it feeds both the evaluation and the output rows, and a
+    lost executor then re-reads it instead of re-running the fit."""
     mt = model_type.lower()
     if mt not in MODEL_TYPES:
         raise ValueError(f"Unsupported model type: {model_type}")
@@ -44,7 +49,7 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
     empty_state = F.create_map().cast("map<string,array<double>>")
     if mt == "linear":
         ds = linear.linear_dataset(bars)
-        fit = linear.fit_linear(ds)
+        fit = cut_lineage(linear.fit_linear(ds))
         met = _metrics_map(linear.evaluate_linear(ds, fit))
         out = fit.join(met, "symbol", "left").select(
             "symbol", F.array(*[F.lit(c) for c in LINEAR_FEATURES]).alias("features"), "coef", "intercept",
@@ -52,7 +57,7 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
             "metrics", empty_state.alias("state"), "error")
     elif mt == "arima":
         ds = ar.ar_dataset(bars)
-        fit = ar.fit_ar(ds)
+        fit = cut_lineage(ar.fit_ar(ds))
         met = _metrics_map(ar.evaluate_ar(ds, fit))
         out = fit.join(met, "symbol", "left").select(
             "symbol", F.array(F.lit("close")).alias("features"), "coef", F.lit(0.0).alias("intercept"),
@@ -62,7 +67,7 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
                          F.lit("sigma"), F.array("sigma")).alias("state"), "error")
     elif mt == "prophet":
         ds = trend_seasonal.ts_dataset(bars)
-        fit = trend_seasonal.fit_trend_seasonal(ds)
+        fit = cut_lineage(trend_seasonal.fit_trend_seasonal(ds))
         met = _metrics_map(trend_seasonal.evaluate_trend_seasonal(ds, fit))
         out = fit.join(met, "symbol", "left").select(
             "symbol", F.array(F.lit("ds")).alias("features"), "coef", F.lit(0.0).alias("intercept"),
@@ -77,7 +82,7 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
     else:
         ind = add_indicators(bars)
         ds = sequence.sequence_dataset(ind)
-        fit = sequence.fit_sequence(ds)
+        fit = cut_lineage(sequence.fit_sequence(ds))
         ev = sequence.evaluate_sequence(ds, fit).where(F.col("metric_space") == "scaled")
         met = _metrics_map(ev)
         out = fit.join(met, "symbol", "left").select(

@@ -28,8 +28,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def write_snapshot(df: DataFrame, root: str, snapshot_ts: str) -> None:
-    """Append one immutable snapshot per symbol, stamped ``snapshot_ts``."""
-    (df.withColumn("snapshot_ts", F.lit(snapshot_ts))
+    """Append one immutable snapshot per symbol, stamped ``snapshot_ts``.
+
+    Rows are clustered by symbol first so each symbol's snapshot is written by
+    one task as one file, instead of every task writing a small file into
+    every symbol folder. (A symbol's daily bars are bounded by the calendar.)
+    """
+    (df.repartition("symbol").withColumn("snapshot_ts", F.lit(snapshot_ts))
      .write.mode("append").partitionBy("symbol", "snapshot_ts").parquet(root))
 
 
@@ -67,10 +72,9 @@ def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
         for v in _partition_values(df.inputFiles()):
             if v["snapshot_ts"] > newest[v["symbol"]]:
                 newest[v["symbol"]] = v["snapshot_ts"]
-        cond = F.lit(False)
-        for sym, ts in sorted(newest.items()):
-            cond = cond | ((F.col("symbol") == sym) & (F.col("snapshot_ts") == ts))
-        latest = df.where(cond)
+        keys = [f"{sym}\x00{ts}" for sym, ts in sorted(newest.items())]
+        # one IN over the partition key: a partition filter the scan prunes with
+        latest = df.where(F.concat_ws("\x00", "symbol", "snapshot_ts").isin(keys))
     else:
         mx = df.groupBy("symbol").agg(F.max("snapshot_ts").alias("snapshot_ts"))
         latest = df.join(mx, ["symbol", "snapshot_ts"])
