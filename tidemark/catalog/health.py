@@ -20,7 +20,7 @@ EXPECTED = list(TABLES) + ["models", "forecasts"]
 def _report(spark, sf):
     inv = None
     for t in TABLES:
-        i = S.file_inventory(read_table(spark, sf, t), t)
+        i = S.file_inventory(spark, f"{sf.rstrip('/')}/{t}.parquet", t)
         inv = i if inv is None else inv.unionByName(i)
     expected = spark.createDataFrame([(r,) for r in EXPECTED], "resource string")
     return H.health_report(expected, inv)

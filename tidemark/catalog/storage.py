@@ -67,7 +67,7 @@ def q_models_latest(spark, sf):
 def q_file_inventory(spark, sf):
     out = None
     for t in TABLES:
-        inv = S.file_inventory(read_table(spark, sf, t), t)
+        inv = S.file_inventory(spark, f"{sf.rstrip('/')}/{t}.parquet", t)
         out = inv if out is None else out.unionByName(inv)
     return out
 

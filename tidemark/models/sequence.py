@@ -10,16 +10,17 @@ sequence on an array state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.ar import dot
 from tidemark.models.solve import fit_least_squares
 from tidemark.operators.cleaning import SEQUENCE_FEATURES, drop_incomplete, select_features
-from tidemark.operators.dataset import LOOKBACK, chronological_split, lookback_sequences, minmax_inverse, scale_features
+from tidemark.operators.dataset import (LOOKBACK, chronological_split, lookback_sequences, minmax_inverse,
+                                        scale_features, tail_n)
 from tidemark.operators.evaluate import regression_metrics
 
-RIDGE = 1e-3
+RIDGE = 1.0  # L2 penalty on the 420 scaled inputs (the intercept is not penalised)
 NF = len(SEQUENCE_FEATURES)
 
 
@@ -63,17 +64,18 @@ def evaluate_sequence(ds: DataFrame, fit: DataFrame) -> DataFrame:
 
 def latest_window(indicators: DataFrame, fit_on: str = "all", lookback: int = LOOKBACK) -> DataFrame:
     """The newest ``lookback`` complete, scaled rows per symbol flattened as the
-    rollout's initial input (``xf`` without the intercept), plus the scaler."""
+    rollout's initial input (``xf`` without the intercept), plus the scaler.
+    Only the last ``lookback`` rows of each symbol are gathered (bounded)."""
     base = drop_incomplete(select_features(indicators, SEQUENCE_FEATURES))
     scaled = scale_features(base, SEQUENCE_FEATURES, fit_on)
-    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(lookback - 1), 0)
-    step = F.struct(*[F.col(c) for c in SEQUENCE_FEATURES])
-    last = (scaled.withColumn("_win", F.collect_list(step).over(w))
-            .groupBy("symbol").agg(F.max_by(F.struct("_win", "close_min", "close_max", "date"), "date").alias("l")))
-    return last.where(F.size("l._win") == lookback).select(
-        "symbol", F.col("l.date").alias("as_of"), F.col("l.close_min").alias("close_min"),
-        F.col("l.close_max").alias("close_max"),
-        F.flatten(F.transform("l._win", lambda s: F.array(*[s[c] for c in SEQUENCE_FEATURES]))).alias("window"))
+    last = tail_n(scaled, lookback)
+    step = F.struct("date", *[F.col(c) for c in SEQUENCE_FEATURES])
+    g = last.groupBy("symbol").agg(F.sort_array(F.collect_list(step)).alias("_win"),
+                                   F.max("date").alias("as_of"), F.first("close_min").alias("close_min"),
+                                   F.first("close_max").alias("close_max"))
+    return g.where(F.size("_win") == lookback).select(
+        "symbol", "as_of", "close_min", "close_max",
+        F.flatten(F.transform("_win", lambda s: F.array(*[s[c] for c in SEQUENCE_FEATURES]))).alias("window"))
 
 
 def rollout_expr(coef: Column, window: Column, h: Column, carry: str = "roll",

@@ -113,14 +113,16 @@ def write_alerts(alerts: DataFrame, root: str, col: str = "message") -> None:
     alerts.select(col).write.mode("append").text(root)
 
 
-def file_inventory(df: DataFrame, name: str) -> DataFrame:
-    """File count, total bytes (and KB, F8), newest modification time of the
-    files behind a Parquet DataFrame, from the hidden ``_metadata`` column — no
-    data columns are read."""
-    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
-                      F.col("_metadata.file_modification_time").alias("mtime")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
-                     F.max("mtime").alias("latest_modified")).select(
+def file_inventory(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """File count, total bytes (and KB, F8) and newest modification time of
+    the Parquet files under ``path``. Uses the ``binaryFile`` source with only
+    its metadata columns selected, so file contents are never read and the
+    listing itself is distributed — no row of the table is scanned."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path)
+             .select("path", "length", "modificationTime"))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+                     F.max("modificationTime").alias("latest_modified")).select(
         F.lit(name).alias("resource"), "files", "bytes",
         F.round(F.col("bytes") / 1024, 2).alias("size_kb"), "latest_modified")
 
