@@ -99,3 +99,14 @@ def test_trend_seasonal_and_sequence_run(spark):
     sfit = sequence.fit_sequence(sds)
     ev = sequence.evaluate_sequence(sds, sfit)
     assert {r.metric_space for r in ev.collect()} == {"scaled", "price"}
+
+
+def test_ar_serving_state_is_newest_bars(spark):
+    bars = bars_from(spark, SF_SMALL, "orders")
+    fit = {r.symbol: r for r in ar.fit_ar(ar.ar_dataset(bars)).collect()}
+    pdf = bars.toPandas().sort_values(["symbol", "date"])
+    for sym, g in pdf.groupby("symbol"):
+        c = g["close"].to_numpy()
+        assert fit[sym].serve_last_close == pytest.approx(c[-1])
+        assert np.allclose(fit[sym].serve_last_diffs, np.diff(c)[::-1][:5])
+        assert fit[sym].serve_as_of == g["date"].iloc[-1]

@@ -46,10 +46,17 @@ def fit_ar(ds: DataFrame, p: int = P_DEFAULT) -> DataFrame:
         "symbol", "n_train_rows", "last_train_date",
         F.col("_last.close").alias("last_close"),
         F.concat(F.array(F.col("_last.dy")), F.slice(F.col("_last.x"), 1, p - 1)).alias("last_diffs"))
-    return fit.join(state, "symbol", "right").select(
+    # serving state: the newest p differences of the whole series (train + test)
+    w_all = Window.partitionBy("symbol").orderBy("rn")
+    full = ds.withColumn("_d", F.col("close") - F.lag("close", 1).over(w_all))
+    full = full.withColumn("_dl", F.array(*[F.lag("_d", i).over(w_all) for i in range(p)]))
+    serve = full.groupBy("symbol").agg(F.max_by(F.struct("close", "_dl", "date"), "rn").alias("_s")).select(
+        "symbol", F.col("_s.close").alias("serve_last_close"), F.col("_s._dl").alias("serve_last_diffs"),
+        F.col("_s.date").alias("serve_as_of"))
+    return fit.join(state, "symbol", "right").join(serve, "symbol", "left").select(
         "symbol", F.coalesce("n_train", F.lit(0).cast("long")).alias("n_train"), "coef", "sigma",
         F.coalesce("error", F.when(F.col("coef").isNull(), F.lit("insufficient rows"))).alias("error"),
-        "last_close", "last_diffs", "last_train_date")
+        "last_close", "last_diffs", "last_train_date", "serve_last_close", "serve_last_diffs", "serve_as_of")
 
 
 def dot(a: Column, b: Column) -> Column:

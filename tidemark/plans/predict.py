@@ -43,11 +43,11 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
     ok = models.where(F.col("error").isNull())
     z = F.lit(trend_seasonal.INTERVAL_Z)
 
-    # arima: continue the recursion from the last train state for h steps past it
+    # arima: run the recursion from the newest bars (fitted coefficients, serving state)
     arm = ok.where(F.col("model_type") == "arima").select(
         "model_type", "symbol", "metrics",
-        ar.ar_forecast_expr(F.col("coef"), F.col("state")["last_diffs"],
-                            F.element_at(F.col("state")["last_close"], 1), F.lit(h)).alias("predictions"),
+        ar.ar_forecast_expr(F.col("coef"), F.col("state")["serve_last_diffs"],
+                            F.element_at(F.col("state")["serve_last_close"], 1), F.lit(h)).alias("predictions"),
         F.element_at(F.col("state")["sigma"], 1).alias("_s"))
     arm = arm.select("model_type", "symbol", "metrics", "predictions",
                      F.transform("predictions", lambda v, i: v - z * F.col("_s") * F.sqrt(i + 1)).alias("lower"),

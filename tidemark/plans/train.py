@@ -64,6 +64,8 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
             _params({"order": "(5, 1, 0)", "train_test_split": 0.8}).alias("params"), "metrics",
             F.create_map(F.lit("last_diffs"), F.col("last_diffs"),
                          F.lit("last_close"), F.array("last_close"),
+                         F.lit("serve_last_diffs"), F.col("serve_last_diffs"),
+                         F.lit("serve_last_close"), F.array("serve_last_close"),
                          F.lit("sigma"), F.array("sigma")).alias("state"), "error")
     elif mt == "prophet":
         ds = trend_seasonal.ts_dataset(bars)
