@@ -160,6 +160,12 @@ def q_ts_metrics(spark, sf):
     return TS.evaluate_trend_seasonal(ds, TS.fit_trend_seasonal(ds))
 
 
+@register("trend_seasonal_metrics_positional")
+def q_ts_metrics_positional(spark, sf):
+    ds = TS.ts_dataset(bars_from(spark, sf, "brands"))
+    return TS.evaluate_trend_seasonal(ds, TS.fit_trend_seasonal(ds), align="position")
+
+
 @register("sequence_metrics")
 def q_sequence_metrics(spark, sf):
     ds = sequence.sequence_dataset(add_indicators(bars_from(spark, sf, "orders")))

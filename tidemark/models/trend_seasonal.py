@@ -110,8 +110,25 @@ def future_frame(fit: DataFrame, h: int | Column, include_history: DataFrame | N
     return fut
 
 
-def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame) -> DataFrame:
-    """Forecast the test dates (aligned on date, not position) and score them."""
-    test = ds.where(F.col("split") == "test").select("symbol", "ds", "y")
-    fc = forecast_frame(fit, test.select("symbol", "ds"))
-    return regression_metrics(test.join(fc, ["symbol", "ds"]), ("symbol",))
+def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame, align: str = "date") -> DataFrame:
+    """Score the test split.
+
+    ``align="date"`` forecasts the test dates themselves (correct alignment).
+    ``align="position"`` reproduces the reference: forecast the ``n_test``
+    calendar days after the last train date and pair them with the test rows
+    by position (J1 positional join on ``(symbol, step)``).
+    """
+    test = ds.where(F.col("split") == "test").select("symbol", "ds", "y", "rn", "n")
+    if align == "date":
+        fc = forecast_frame(fit, test.select("symbol", "ds"))
+        return regression_metrics(test.join(fc, ["symbol", "ds"]), ("symbol",))
+    if align != "position":
+        raise ValueError(f"unknown alignment: {align}")
+    test = test.withColumn("step", (F.col("rn") - F.floor(F.col("n") * 4 / 5)).cast("int"))
+    h = test.groupBy("symbol").agg(F.max("step").alias("h"))
+    days = fit.join(h, "symbol").select(
+        "symbol", F.posexplode(F.sequence(F.date_add("last_train_date", 1),
+                                          F.date_add("last_train_date", F.col("h")))).alias("pos", "ds"))
+    fc = forecast_frame(fit, days.select("symbol", "ds")).join(days, ["symbol", "ds"]).select(
+        "symbol", (F.col("pos") + 1).alias("step"), "yhat")
+    return regression_metrics(test.select("symbol", "step", "y").join(fc, ["symbol", "step"]), ("symbol",))
