@@ -110,3 +110,21 @@ def test_ar_serving_state_is_newest_bars(spark):
         assert fit[sym].serve_last_close == pytest.approx(c[-1])
         assert np.allclose(fit[sym].serve_last_diffs, np.diff(c)[::-1][:5])
         assert fit[sym].serve_as_of == g["date"].iloc[-1]
+
+
+def test_rollout_last_carry_matches_numpy(spark):
+    L, nf = 60, 7
+    rng = np.random.default_rng(2)
+    coef = rng.normal(scale=0.01, size=1 + L * nf)
+    window = rng.uniform(size=L * nf)
+    got = spark.createDataFrame([(coef.tolist(), window.tolist())], "c array<double>, w array<double>").select(
+        sequence.rollout_expr(F.col("c"), F.col("w"), F.lit(3), "last").alias("p")).first().p
+    cur = window.reshape(L, nf).copy()
+    ref = []
+    for _ in range(3):
+        p = coef[0] + coef[1:] @ cur.reshape(-1)
+        ref.append(p)
+        new = cur[-1].copy()
+        new[0] = p
+        cur = np.vstack([cur[1:], new])
+    assert np.allclose(got, ref, rtol=1e-10)

@@ -179,6 +179,13 @@ def q_sequence_rollout(spark, sf):
     return sequence.predict_sequence(fit, sequence.latest_window(ind), 30, "roll")
 
 
+@register("sequence_rollout_last")
+def q_sequence_rollout_last(spark, sf):
+    ind = add_indicators(bars_from(spark, sf, "orders"))
+    fit = sequence.fit_sequence(sequence.sequence_dataset(ind))
+    return sequence.predict_sequence(fit, sequence.latest_window(ind), 30, "last")
+
+
 @register("train_all")
 def q_train_all(spark, sf):
     return train_many(bars_from(spark, sf, "orders"), created_at=AS_OF)
