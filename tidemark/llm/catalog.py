@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import secrets
+from tidemark.llm import bpe, langid, lattice, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +24,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_table(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(_table(spark, sf_dir, "documents"))
