@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, langid, lattice, secrets, sharding
+from tidemark.llm import bpe, decontaminate, langid, lattice, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +44,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
