@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, embedding_dedup, langid, lattice, ngram_join, secrets, sharding
+from tidemark.llm import (bpe, decontaminate, embedding_dedup, html_text, langid, lattice, ngram_join, secrets, sharding,
+                          tool_calls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,3 +60,13 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op1_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link(tool_calls.events(_table(spark, sf_dir, "conversations")))
