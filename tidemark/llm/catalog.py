@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import (bpe, decontaminate, embedding_dedup, html_text, langid, lattice, ngram_join, secrets, sharding,
                           tool_calls)
 
@@ -70,3 +71,12 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link(tool_calls.events(_table(spark, sf_dir, "conversations")))
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

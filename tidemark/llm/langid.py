@@ -17,7 +17,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
@@ -82,7 +82,7 @@ def _count(batches):
         yield pd.DataFrame({"lang": lang, "bucket": np.append(at, -1), "n": np.append(counts[at], docs[lang])})
 
 
-def train(docs: DataFrame, order_by: str = "lang") -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and the matrix of log-probabilities; its last row holds the log-priors.
 
     docs: labelled rows (text, lang); rows without a label or a letter teach nothing.
@@ -103,35 +103,41 @@ def train(docs: DataFrame, order_by: str = "lang") -> tuple[list[str], np.ndarra
     return langs, np.vstack([logs, np.log(n / n.sum()) if langs else n])
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of docs with lang_pred and score (posterior of the best language)."""
+def predictor(spark: SparkSession, model: tuple[list[str], np.ndarray]):
+    """A function from a text column to struct(lang_pred, score); score: posterior of the best language."""
     langs, table = model
-    sent = docs.sparkSession.sparkContext.broadcast(table)
-    fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
-
-    def score(batches):
-        logs = sent.value
-        for pdf in batches:
-            best, share = [], []
-            for text in pdf.pop("_text"):
-                if not langs or not has_letter(text):
-                    best.append(UND)
-                    share.append(0.0)
-                    continue
-                total = logs[BUCKETS].copy()
-                for b in gram_buckets(text):
-                    total += logs[b].sum(0)
-                i = int(total.argmax())
-                best.append(langs[i])
-                share.append(float(1 / np.exp(total - total[i]).sum()))
-            yield pdf.assign(lang_pred=best, score=share)
-
-    return docs.select(*keep, F.col("text").alias("_text")).mapInPandas(
-        score, f"{fields}, lang_pred string, score double")
+    sent = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        logs, best, share = sent.value, [], []
+        for text in texts:
+            if not langs or not has_letter(text):
+                best.append(UND)
+                share.append(0.0)
+                continue
+            total = logs[BUCKETS].copy()
+            for b in gram_buckets(text):
+                total += logs[b].sum(0)
+            i = int(total.argmax())
+            best.append(langs[i])
+            share.append(float(1 / np.exp(total - total[i]).sum()))
+        return pd.DataFrame({"lang_pred": best, "score": share})
+
+    return predict
+
+
+def _learned(docs: DataFrame):
+    return predictor(docs.sparkSession, train(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang")))
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each row of docs(doc_id, text, lang)."""
-    marked = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
-    model = train(marked.filter(~F.col("held_out")))
-    return predict(marked, model, ["doc_id", "held_out"])
+    got = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), _learned(docs)(F.col("text")).alias("p"))
+    return got.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def keep_known(docs: DataFrame) -> DataFrame:
+    """docs without the documents that get no language (no letter, or nothing was learned); the
+    decision is taken where the row is, without a join, and every column stays as it was."""
+    return docs.filter(_learned(docs)(F.col("text"))["lang_pred"] != UND)
