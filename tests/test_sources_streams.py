@@ -14,7 +14,7 @@ def test_f4_snapshot_roundtrip(spark):
                                "symbol string, close long, volume long")
     root = S.shared_path(spark, "test-snap")
     S.write_snapshot(df, root, "20240101_000000")
-    back = spark.read.parquet(root)
+    back = spark.read.parquet(f"{root}/data")
     assert back.count() == 3
     assert back.select("symbol", "snapshot_ts").distinct().count() == 1
 
@@ -31,6 +31,20 @@ def test_latest_snapshot_and_missing(spark):
     assert {r.snapshot_ts for r in latest.select("snapshot_ts").distinct().collect()} == {"20240102_000000"}
 
 
+def test_latest_snapshot_keeps_every_name(spark):
+    names = ["4-NOT SPECIFIED", "Brand#12", "a/b", "x=y", "%20", "", "é:*?"]
+    rows = [(n, i) for i, n in enumerate(names)]
+    root = S.shared_path(spark, "test-names")
+    schema = "symbol string, close int"
+    S.write_snapshot(spark.createDataFrame(rows, schema), root, "20240101_000000")
+    S.write_snapshot(spark.createDataFrame([(n, i + 100) for n, i in rows[::2]], schema), root, "20240102_000000")
+    asked = spark.createDataFrame([(n,) for n in [*names, "gone"]], "symbol string")
+    for prune in (True, False):
+        latest, missing = S.read_latest_snapshot(spark, root, spark.createDataFrame([], schema).schema, asked, prune)
+        assert {r.symbol: r.close for r in latest.collect()} == {n: i + 100 * (i % 2 == 0) for n, i in rows}
+        assert [r.symbol for r in missing.collect()] == ["gone"]
+
+
 def test_stream_bars_equal_batch_bars(spark):
     src = S.shared_path(spark, "test-quotes")
     Q.write_quotes_json(Q.quotes_from_ticks(event_ticks(spark, SF_SMALL)), src)

@@ -19,31 +19,71 @@ BAR_D = ["open", "high", "low", "close"]
 BAR_O = ["symbol", "date", "volume"]
 
 
-def _snapshot_latest(spark, sf, prune=True):
-    bars = bars_from(spark, sf, "suppliers")
+def _stored_bars(spark, bars) -> str:
+    """Two snapshots of one bar table, the older of its earlier days only."""
     root = S.shared_path(spark, "snapshots")
     S.write_snapshot(bars.where(F.col("date") < F.lit("1997-01-01").cast("date")), root, "20240101_090000")
     S.write_snapshot(bars, root, "20240102_090000")
+    return root
+
+
+def _snapshot_latest(spark, sf, prune=True):
+    root = _stored_bars(spark, bars_from(spark, sf, "suppliers"))
     requested = read_table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"))
-    return S.read_latest_snapshot(spark, root, BARS, requested, prune)
+    return S.read_latest_snapshot(spark, root, BARS, requested, prune)[0]
+
+
+def _bar_columns(df):
+    return rounded(df.select("symbol", "date", "open", "high", "low", "close", "volume"))
 
 
 @register("snapshot_latest", R(O.bars("suppliers"), BAR_D, BAR_O))
 def q_snapshot_latest(spark, sf):
-    latest, _ = _snapshot_latest(spark, sf)
-    return rounded(latest.select("symbol", "date", "open", "high", "low", "close", "volume"))
+    return _bar_columns(_snapshot_latest(spark, sf))
 
 
 @register("snapshot_latest_join", R(O.bars("suppliers"), BAR_D, BAR_O))
 def q_snapshot_latest_join(spark, sf):
-    latest, _ = _snapshot_latest(spark, sf, prune=False)
-    return rounded(latest.select("symbol", "date", "open", "high", "low", "close", "volume"))
+    return _bar_columns(_snapshot_latest(spark, sf, prune=False))
+
+
+def _split_history(spark, bars):
+    """Symbols whose newest snapshots differ: an old one of all, a new one of the later days'
+    symbols alone (those with a bar after 2000-01-01)."""
+    root = S.shared_path(spark, "snapshots")
+    S.write_snapshot(bars, root, "20240101_090000")
+    S.write_snapshot(bars.where(F.col("date") >= F.lit("2000-01-01").cast("date")), root, "20240102_090000")
+    return S.read_latest_snapshot(spark, root, BARS)[0]
+
+
+def _split_sql(bars: str) -> str:
+    return R(f"""SELECT b.* FROM ({bars}) b LEFT JOIN
+      (SELECT DISTINCT symbol FROM ({bars}) n WHERE date >= DATE '2000-01-01') r ON r.symbol = b.symbol
+      WHERE r.symbol IS NULL OR b.date >= DATE '2000-01-01'""", BAR_D, BAR_O)
+
+
+@register("snapshot_latest_orders", _split_sql(
+    f"SELECT replace(symbol, '-', '/') AS symbol, * EXCLUDE (symbol) FROM ({O.bars('orders')}) o"))
+def q_snapshot_latest_orders(spark, sf):
+    """Symbols with blanks and slashes."""
+    bars = bars_from(spark, sf, "orders").withColumn("symbol", F.translate("symbol", "-", "/"))
+    return _bar_columns(_split_history(spark, bars))
+
+
+@register("snapshot_latest_brands", _split_sql(O.bars("brands")))
+def q_snapshot_latest_brands(spark, sf):
+    """Symbols with a number sign."""
+    return _bar_columns(_split_history(spark, bars_from(spark, sf, "brands")))
 
 
-@register("snapshot_missing", """SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS symbol FROM supplier
-  WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity <> 0)""")
+@register("snapshot_missing", """SELECT DISTINCT event_type AS symbol FROM events
+  WHERE event_type NOT IN (SELECT o_orderpriority FROM orders WHERE o_totalprice IS NOT NULL)""")
 def q_snapshot_missing(spark, sf):
-    return _snapshot_latest(spark, sf)[1]
+    """Event types and order priorities are asked for, only the latter have snapshots."""
+    root = _stored_bars(spark, bars_from(spark, sf, "orders"))
+    asked = read_table(spark, sf, "events").select(F.col("event_type").alias("symbol")).unionByName(
+        read_table(spark, sf, "orders").select(F.col("o_orderpriority").alias("symbol")))
+    return S.read_latest_snapshot(spark, root, BARS, asked)[1]
 
 
 @register("quotes_json_roundtrip", """SELECT event_type AS symbol, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,

@@ -1,14 +1,15 @@
 """Snapshots, model tables, status history and inventory.
 
-Snapshots are Parquet partitioned by ``symbol`` and ``snapshot_ts``
-(``yyyyMMdd_HHmmss`` text), written with Spark's commit protocol so a failed
-task never leaves a half-written snapshot visible.
+A snapshot store has two tables: ``data``, Parquet partitioned by ``snapshot_ts``
+(``yyyyMMdd_HHmmss`` text) and clustered by symbol inside a partition, and
+``manifest``, one row per symbol and snapshot, written once the snapshot's data
+is committed. Symbols are column values in both, never folder names, so any
+text is a symbol.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,29 +28,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+def _stored(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    fields = [f for f in schema.fields if f.name != "snapshot_ts"]
+    full = T.StructType([*fields, T.StructField("snapshot_ts", T.StringType())])
+    return spark.read.schema(full).option("basePath", f"{root}/data").parquet(f"{root}/data")
+
+
 def write_snapshot(df: DataFrame, root: str, snapshot_ts: str) -> None:
-    """Append one immutable snapshot per symbol, stamped ``snapshot_ts``.
+    """Append one immutable snapshot of every symbol in ``df``, stamped ``snapshot_ts``.
 
-    Rows are clustered by symbol first so each symbol's snapshot is written by
-    one task as one file, instead of every task writing a small file into
-    every symbol folder. (A symbol's daily bars are bounded by the calendar.)
+    As many files as shuffle partitions, each holding whole symbols in order, so
+    row-group statistics prune a symbol filter. The manifest row of a symbol is
+    derived from what was committed.
     """
-    (df.repartition("symbol").withColumn("snapshot_ts", F.lit(snapshot_ts))
-     .write.mode("append").partitionBy("symbol", "snapshot_ts").parquet(root))
-
-
-def _partition_values(paths: list[str], keys=("symbol", "snapshot_ts")) -> list[dict]:
-    out = []
-    for p in paths:
-        vals = {}
-        for seg in p.split("/"):
-            if "=" in seg:
-                k, v = seg.split("=", 1)
-                if k in keys:
-                    vals[k] = v
-        if len(vals) == len(keys):
-            out.append(vals)
-    return out
+    spark, root = df.sparkSession, root.rstrip("/")
+    (df.repartition("symbol").sortWithinPartitions("symbol").withColumn("snapshot_ts", F.lit(snapshot_ts))
+     .write.mode("append").partitionBy("snapshot_ts").parquet(f"{root}/data"))
+    (_stored(spark, root, df.schema).where(F.col("snapshot_ts") == snapshot_ts)
+     .groupBy("symbol", "snapshot_ts").agg(F.count(F.lit(1)).alias("n_rows"))
+     .write.mode("append").parquet(f"{root}/manifest"))
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
@@ -57,34 +54,22 @@ def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
     """Newest snapshot per symbol, plus ``missing(symbol)``: requested symbols
     without any snapshot (J3, a left anti join).
 
-    ``prune=True`` takes the newest ``snapshot_ts`` per symbol from the file
-    listing (metadata the driver holds anyway, one entry per partition) and
-    applies it as literal partition filters, so only the newest snapshot's files
-    are scanned; a join against ``max(snapshot_ts)`` would not prune.
-    ``prune=False`` is the fully distributed form (max per symbol joined back).
+    The newest stamp of each symbol comes from the manifest and is joined to the
+    data. ``prune=True`` first restricts the scan to stamps that are the newest
+    of some symbol: one value per snapshot run reaches the driver.
     """
-    fields = [f for f in schema.fields if f.name not in ("symbol", "snapshot_ts")]
-    full = T.StructType(fields + [T.StructField("symbol", T.StringType()),
-                                  T.StructField("snapshot_ts", T.StringType())])
-    df = spark.read.schema(full).option("basePath", root).parquet(root)
-    if prune:
-        newest: dict = defaultdict(str)
-        for v in _partition_values(df.inputFiles()):
-            if v["snapshot_ts"] > newest[v["symbol"]]:
-                newest[v["symbol"]] = v["snapshot_ts"]
-        keys = [f"{sym}\x00{ts}" for sym, ts in sorted(newest.items())]
-        # one IN over the partition key: a partition filter the scan prunes with
-        latest = df.where(F.concat_ws("\x00", "symbol", "snapshot_ts").isin(keys))
-    else:
-        mx = df.groupBy("symbol").agg(F.max("snapshot_ts").alias("snapshot_ts"))
-        latest = df.join(mx, ["symbol", "snapshot_ts"])
+    root = root.rstrip("/")
+    newest = spark.read.parquet(f"{root}/manifest").groupBy("symbol").agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    missing = spark.createDataFrame([], "symbol string")
     if requested is not None:
-        latest = latest.join(requested.select("symbol").distinct(), "symbol", "left_semi")
-        missing = requested.select("symbol").distinct().join(
-            latest.select("symbol").distinct(), "symbol", "left_anti")
-    else:
-        missing = spark.createDataFrame([], "symbol string")
-    return latest, missing
+        wanted = requested.select("symbol").distinct()
+        missing = wanted.join(newest, "symbol", "left_anti")
+        newest = newest.join(wanted, "symbol", "left_semi")
+    data = _stored(spark, root, schema)
+    if prune:
+        stamps = [r["snapshot_ts"] for r in newest.select("snapshot_ts").distinct().collect()]
+        data = data.where(F.col("snapshot_ts").isin(stamps)) if stamps else data.limit(0)
+    return data.join(newest, ["symbol", "snapshot_ts"]), missing
 
 
 def write_models(models: DataFrame, root: str) -> None:
