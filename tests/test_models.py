@@ -128,3 +128,111 @@ def test_rollout_last_carry_matches_numpy(spark):
         new[0] = p
         cur = np.vstack([cur[1:], new])
     assert np.allclose(got, ref, rtol=1e-10)
+
+
+@pytest.mark.parametrize("price,spread", [(5.0, 2e7), (0.05, 2e7), (1e6, 1e-3), (100.0, 100.0)])
+def test_linear_is_independent_of_units(spark, price, spread):
+    rng = np.random.default_rng(6)
+    n = 400
+    a, b = price * (1 + 0.01 * rng.normal(size=n)), price * (1 + 0.01 * rng.normal(size=n))
+    v = spread * rng.normal(size=n) + 3 * spread
+    y = 0.7 * a - 0.2 * b + 0.01 * price * v / spread + 1e-4 * price * rng.normal(size=n)
+    rows = [("S", "train", float(p), float(q), 50.0, float(w), float(t)) for p, q, w, t in zip(a, b, v, y)]
+    ds = spark.createDataFrame(rows, "symbol string, split string, MA_5 double, MA_20 double, RSI double, Volume_MA double, target double")
+    r = linear.fit_linear(ds).first()
+    X = np.column_stack([a, b, v])
+    Z = (X - X.mean(0)) / X.std(0)
+    ref = np.linalg.lstsq(Z, y - y.mean(), rcond=None)[0] / X.std(0)
+    assert np.allclose([r.coef[0], r.coef[1], r.coef[3]], ref, rtol=1e-5) and r.coef[2] == 0.0
+    assert r.intercept == pytest.approx(y.mean() - ref @ X.mean(0), rel=1e-4, abs=1e-4 * price)
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1e-3, 1.0, 1e3, 1e9])
+def test_least_squares_is_independent_of_units(spark, scale):
+    rng = np.random.default_rng(7)
+    for k in (3, 12):  # built-in sums and packed Gram
+        X = rng.normal(size=(200, k)) * np.r_[1.0, np.full(k - 1, scale)]
+        y = X @ (1 / np.r_[1.0, np.full(k - 1, scale)]) + 0.01 * rng.normal(size=200)
+        df = spark.createDataFrame([("S", list(map(float, x)), float(t)) for x, t in zip(X, y)], "symbol string, x array<double>, y double")
+        got = fit_least_squares(df, k).first().coef
+        assert np.allclose(got, np.linalg.lstsq(X / np.r_[1.0, np.full(k - 1, scale)], y, rcond=None)[0] / np.r_[1.0, np.full(k - 1, scale)], rtol=1e-6)
+
+
+def test_trend_seasonal_fit_matches_numpy(spark):
+    ds = TS.ts_dataset(bars_from(spark, SF_SMALL, "orders"))
+    fit = {r.symbol: r for r in TS.fit_trend_seasonal(ds).collect()}
+    train = _pdf(ds.where(F.col("split") == "train"))
+    pen = np.diag(TS.penalties())
+    for sym, g in train.groupby("symbol"):
+        X, y = np.vstack(g["x"].to_numpy()), (g["y"] / g["y_scale"]).to_numpy()
+        ref = np.linalg.solve(X.T @ X + pen, X.T @ y)
+        assert np.allclose(X @ np.array(fit[sym].coef), X @ ref, rtol=1e-6, atol=1e-8)
+
+
+def test_sequence_fit_matches_numpy(spark):
+    ind = add_indicators(bars_from(spark, SF_SMALL, "orders"))
+    ds = sequence.sequence_dataset(ind)
+    fit = {r.symbol: r for r in sequence.fit_sequence(ds).collect()}
+    feats = sequence.SEQUENCE_FEATURES
+    pdf = _pdf(ind.select("symbol", "date", *feats)).dropna().sort_values(["symbol", "date"])
+    for sym, g in pdf.groupby("symbol"):
+        raw = g[feats].to_numpy(float)
+        head = raw[: len(raw) * 4 // 5]
+        z = (raw - head.min(0)) / (head.max(0) - head.min(0))
+        n = len(z) - 60
+        X = np.array([np.r_[1.0, z[i: i + 60].ravel()] for i in range(n)])[: n * 4 // 5]
+        y = z[60:, 0][: n * 4 // 5]
+        pen = np.eye(X.shape[1]) * sequence.RIDGE
+        pen[0, 0] = 0
+        ref = np.linalg.solve(X.T @ X + pen, X.T @ y)
+        assert fit[sym].n_train == len(y)
+        assert np.allclose(X @ np.array(fit[sym].coef), X @ ref, rtol=1e-6, atol=1e-8)
+
+
+def test_history_before_the_window_does_not_move_a_served_forecast(spark):
+    bars = bars_from(spark, SF_SMALL, "orders").where(F.col("symbol") == "1-URGENT")
+    ind = add_indicators(bars)
+    ds = sequence.sequence_dataset(ind)
+    fit, scaler = sequence.fit_sequence(ds), sequence.scalers(ds)
+    old = bars.orderBy(F.desc("date")).collect()[180].date
+    moved = bars.withColumn("close", F.when(F.col("date") == F.lit(old), F.col("close") * 9).otherwise(F.col("close")))
+    a, b = (sequence.predict_sequence(fit, sequence.latest_window(add_indicators(x), scaler), 5).first() for x in (bars, moved))
+    assert np.allclose(a.predictions, b.predictions, rtol=1e-9)
+
+
+def test_ar_band_is_the_spread_of_simulated_paths(spark):
+    phi, sigma, h = [0.5, -0.2, 0.1, 0.0, 0.0], 2.0, 8
+    got = spark.createDataFrame([(phi,)], "c array<double>").select(
+        ar.ar_band_expr(F.col("c"), F.lit(sigma), F.lit(h)).alias("b")).first().b
+    rng = np.random.default_rng(3)
+    paths = np.zeros((60000, h))
+    d = np.zeros((60000, 5))
+    lvl = np.zeros(60000)
+    for t in range(h):
+        dy = d @ np.array(phi) + sigma * rng.normal(size=60000)
+        lvl = lvl + dy
+        d = np.column_stack([dy, d[:, :4]])
+        paths[:, t] = lvl
+    assert np.allclose(got, paths.std(0), rtol=0.02) and got[0] == sigma
+
+
+def test_every_symbol_has_a_row_and_every_type_is_served(spark):
+    from tidemark.plans import predict as P
+    from tidemark.plans.train import MODEL_TYPES, train_many
+    from tests.conftest import series
+    bars = bars_from(spark, SF_SMALL, "orders").where(F.col("symbol").isin("1-URGENT", "2-HIGH"))
+    bars = bars.unionByName(series(spark, [1.0, 2.0, 3.0], "SHORT").select(bars.columns)).unionByName(
+        series(spark, [0.0] * 200, "ZERO").select(bars.columns))
+    models = train_many(bars, created_at="2024-01-01").cache()
+    rows = {(r.model_type, r.symbol): r for r in models.collect()}
+    assert set(rows) == {(m, s) for m in MODEL_TYPES for s in ("1-URGENT", "2-HIGH", "SHORT", "ZERO")}
+    assert all(rows[(m, "SHORT")].error for m in ("linear", "prophet", "lstm")) and rows[("prophet", "ZERO")].error
+    assert all(rows[(m, "1-URGENT")].error is None for m in MODEL_TYPES)
+    req = spark.createDataFrame([(f"{m}{d}", "1-urgent", m, d) for m in MODEL_TYPES for d in (1, 3)],
+                                "request_id string, symbol string, model_type string, days_ahead int")
+    got = {r.request_id: r for r in P.predict_batch(req, P.forecast_table(models, bars), "2024-01-02").collect()}
+    assert all(got[f"{m}1"].status == "success" and len(got[f"{m}1"].predictions) == 1 for m in MODEL_TYPES)
+    assert got["linear3"].status == "error" and got["lstm3"].status == "success"
+    feats = linear.newest_features(bars).where(F.col("symbol") == "1-URGENT").first()
+    m = rows[("linear", "1-URGENT")]
+    assert got["linear1"].predictions[0] == pytest.approx(m.intercept + sum(c * feats[f] for c, f in zip(m.coef, m.features)))

@@ -107,7 +107,7 @@ _REQ_SQL = """SELECT event_id, lower(event_type) AS symbol,
 _VALID_SQL = """SELECT event_id, upper(coalesce(symbol, 'AAPL')) AS symbol,
     lower(coalesce(model_type, 'lstm')) AS model_type,
     least(coalesce(days_ahead, 1), 30) AS days_ahead,
-    CASE WHEN lower(coalesce(model_type, 'lstm')) NOT IN ('lstm', 'prophet', 'arima')
+    CASE WHEN lower(coalesce(model_type, 'lstm')) NOT IN ('lstm', 'prophet', 'arima', 'linear')
          THEN 'Unsupported model type: ' || lower(coalesce(model_type, 'lstm')) END AS error
   FROM ({src}) r"""
 

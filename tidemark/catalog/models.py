@@ -10,6 +10,7 @@ from tidemark.catalog import register
 from tidemark.functions.presentation import rounded
 from tidemark.models import ar, linear, sequence, trend_seasonal as TS
 from tidemark.operators import evaluate as E
+from tidemark.operators.cleaning import LINEAR_FEATURES
 from tidemark.operators.indicators import add_indicators
 from tidemark.plans import predict as P
 from tidemark.plans.train import train_all, train_many
@@ -112,6 +113,34 @@ def q_future_frame(spark, sf):
     return TS.future_frame(last, 30, include_history=train)
 
 
+# ------------------------------------------------------------------ M1 moments and M2 given coefficients (SQL)
+_PAIRS = [(a, b) for i, a in enumerate(LINEAR_FEATURES) for b in [*LINEAR_FEATURES[i + 1:], "target"]]
+
+
+@register("linear_correlations", R(" UNION ALL ".join(
+    f"""SELECT symbol, '{a}' AS a, '{b}' AS b, count(*) AS n_train, corr({a}, {b}) AS r
+        FROM ({O.linear_dataset('brands')}) s WHERE split = 'train' GROUP BY symbol
+        HAVING stddev_pop({a}) > 0 AND stddev_pop({b}) > 0""" for a, b in _PAIRS), ["r"], ["symbol", "a", "b", "n_train"]))
+def q_linear_correlations(spark, sf):
+    """The second moments the linear fit solves from, as correlations."""
+    ds = linear.linear_dataset(bars_from(spark, sf, "brands"))
+    mom = linear.moments(ds.where(F.col("split") == "train"))
+    at = {c: i for i, c in enumerate([*LINEAR_FEATURES, "target"])}
+    rows = F.array(*[F.struct(
+        F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{at[a]}_{at[a]}").alias("va"), F.col(f"c{at[b]}_{at[b]}").alias("vb"),
+        F.col(f"c{at[a]}_{at[b]}").alias("cab")) for a, b in _PAIRS])
+    out = mom.select("symbol", "n_train", F.inline(rows)).where("va > 0 and vb > 0")
+    return rounded(out.select("symbol", "a", "b", "n_train", (F.col("cab") / F.sqrt(F.col("va") * F.col("vb"))).alias("r")))
+
+
+@register("linear_predict_given", R(f"""SELECT symbol, date, 1.5 + 0.25 * MA_5 + 0.5 * MA_20 - 0.125 * RSI + 0.0625 * Volume_MA AS yhat
+  FROM ({O.linear_dataset('brands')}) s WHERE split = 'test'""", ["yhat"], ["symbol", "date"]))
+def q_linear_predict_given(spark, sf):
+    ds = linear.linear_dataset(bars_from(spark, sf, "brands")).where(F.col("split") == "test")
+    coef = F.array(*[F.lit(c) for c in (0.25, 0.5, -0.125, 0.0625)])
+    return rounded(ds.select("symbol", "date", linear.linear_predict(LINEAR_FEATURES, coef, F.lit(1.5)).alias("yhat")))
+
+
 # ------------------------------------------------------------------ rows-only fits and forecasts
 @register("fit_linear")
 def q_fit_linear(spark, sf):
@@ -172,18 +201,20 @@ def q_sequence_metrics(spark, sf):
     return sequence.evaluate_sequence(ds, sequence.fit_sequence(ds))
 
 
+def _rollout(spark, sf, carry):
+    ind = add_indicators(bars_from(spark, sf, "orders"))
+    ds = sequence.sequence_dataset(ind)
+    return sequence.predict_sequence(sequence.fit_sequence(ds), sequence.latest_window(ind, sequence.scalers(ds)), 30, carry)
+
+
 @register("sequence_rollout")
 def q_sequence_rollout(spark, sf):
-    ind = add_indicators(bars_from(spark, sf, "orders"))
-    fit = sequence.fit_sequence(sequence.sequence_dataset(ind))
-    return sequence.predict_sequence(fit, sequence.latest_window(ind), 30, "roll")
+    return _rollout(spark, sf, "roll")
 
 
 @register("sequence_rollout_last")
 def q_sequence_rollout_last(spark, sf):
-    ind = add_indicators(bars_from(spark, sf, "orders"))
-    fit = sequence.fit_sequence(sequence.sequence_dataset(ind))
-    return sequence.predict_sequence(fit, sequence.latest_window(ind), 30, "last")
+    return _rollout(spark, sf, "last")
 
 
 @register("train_all")
@@ -211,6 +242,6 @@ def order_requests(spark: SparkSession, sf: str) -> DataFrame:
 @register("predict_batch")
 def q_predict_batch(spark, sf):
     bars = bars_from(spark, sf, "orders")
-    models = cut_lineage(train_many(bars, ("arima", "prophet", "lstm"), AS_OF))
+    models = cut_lineage(train_many(bars, created_at=AS_OF))
     fc = P.forecast_table(models, bars)
     return P.predict_batch(order_requests(spark, sf), fc, AS_OF)

@@ -77,6 +77,22 @@ def ar_forecast_expr(coef: Column, last_diffs: Column, last_close: Column, h: Co
     return F.aggregate(F.sequence(F.lit(1), h), init, step, lambda acc: acc["out"])
 
 
+def ar_band_expr(coef: Column, sigma: Column, h: Column, p: int = P_DEFAULT) -> Column:
+    """Standard error of the 1..h-step level forecasts: sigma times the root of the summed squares
+    of the cumulated moving-average weights of the fitted recursion."""
+    init = F.struct(F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), p - 1)).alias("psi"),
+                    F.lit(1.0).alias("cum"), F.lit(1.0).alias("ss"), F.array().cast("array<double>").alias("out"))
+
+    def step(acc, _i):
+        nxt = dot(coef, acc["psi"])
+        cum = acc["cum"] + nxt
+        return F.struct(F.concat(F.array(nxt), F.slice(acc["psi"], 1, p - 1)).alias("psi"), cum.alias("cum"),
+                        (acc["ss"] + cum * cum).alias("ss"),
+                        F.concat(acc["out"], F.array(sigma * F.sqrt(acc["ss"]))).alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(1), h), init, step, lambda acc: acc["out"])
+
+
 def evaluate_ar(ds: DataFrame, fit: DataFrame, p: int = P_DEFAULT) -> DataFrame:
     """Forecast the whole test block per symbol and align positionally (J1,
     step = position within the test split), then A1 metrics."""

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.models.solve import scaled_lstsq
 from tidemark.operators.cleaning import LINEAR_FEATURES, drop_incomplete
 from tidemark.operators.dataset import chronological_split
 from tidemark.operators.evaluate import regression_metrics
@@ -27,6 +28,17 @@ def linear_dataset(bars: DataFrame, features=LINEAR_FEATURES) -> DataFrame:
     return chronological_split(next_target(complete.select("symbol", "date", "close", *features)))
 
 
+def moments(train: DataFrame, features=LINEAR_FEATURES, target: str = "target") -> DataFrame:
+    """Per symbol: row count, means ``m<i>`` and centred second moments ``c<i>_<j>`` of the
+    features and, as the last one, the target."""
+    cols = [*features, target]
+    k = len(cols) - 1
+    aggs = [F.count(F.lit(1)).alias("n_train")]
+    aggs += [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i in range(k + 1) for j in range(i, k + 1)]
+    return train.groupBy("symbol").agg(*aggs)
+
+
 def fit_linear(ds: DataFrame, features=LINEAR_FEATURES, target: str = "target") -> DataFrame:
     """OLS with intercept per symbol on the train split.
 
@@ -35,14 +47,7 @@ def fit_linear(ds: DataFrame, features=LINEAR_FEATURES, target: str = "target")
     """
     feats = list(features)
     k = len(feats)
-    train = ds.where(F.col("split") == "train")
-    cols = feats + [target]
-    aggs = [F.count(F.lit(1)).alias("n_train")]
-    aggs += [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-    for i in range(k):
-        for j in range(i, k + 1):
-            aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}"))
-    mom = train.groupBy("symbol").agg(*aggs)
+    mom = moments(ds.where(F.col("split") == "train"), feats, target)
 
     schema = T.StructType([T.StructField("symbol", T.StringType()),
                            T.StructField("n_train", T.LongType()),
@@ -64,8 +69,8 @@ def fit_linear(ds: DataFrame, features=LINEAR_FEATURES, target: str = "target")
                     for j in range(i, k):
                         C[i, j] = C[j, i] = r[f"c{i}_{j}"]
                 cxy = np.array([r[f"c{i}_{k}"] for i in range(k)])
-                beta = np.linalg.lstsq(C, cxy, rcond=None)[0]
                 means = np.array([r[f"m{i}"] for i in range(k)])
+                beta = scaled_lstsq(C, cxy, means)
                 coefs.append(beta.tolist())
                 icpt.append(float(r[f"m{k}"] - beta @ means))
                 err.append(None)
@@ -89,6 +94,20 @@ def linear_predict(features: list[str], coef: Column | None = None,
     return out
 
 
+def newest_features(bars: DataFrame, features=LINEAR_FEATURES) -> DataFrame:
+    """``(symbol, as_of, <features>)`` of the newest complete row of each symbol."""
+    complete = drop_incomplete(simple_features(bars)).select("symbol", "date", *features)
+    newest = complete.groupBy("symbol").agg(F.max_by(F.struct("date", *features), "date").alias("_r"))
+    return newest.select("symbol", F.col("_r.date").alias("as_of"), *[F.col(f"_r.{c}").alias(c) for c in features])
+
+
+def forecast_linear(fit: DataFrame, bars: DataFrame, features=LINEAR_FEATURES) -> DataFrame:
+    """M2 on the newest row: the next close, ``(symbol, as_of, yhat)``."""
+    good = fit.where(F.col("error").isNull()).select("symbol", "coef", "intercept")
+    return newest_features(bars, features).join(good, "symbol").select(
+        "symbol", "as_of", linear_predict(list(features)).alias("yhat"))
+
+
 def evaluate_linear(ds: DataFrame, fit: DataFrame, features=LINEAR_FEATURES,
                     target: str = "target") -> DataFrame:
     """Test-split predictions joined to the per-symbol coefficients, then A1 metrics."""

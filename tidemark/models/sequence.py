@@ -17,7 +17,7 @@ from tidemark.models.ar import dot
 from tidemark.models.solve import fit_least_squares
 from tidemark.operators.cleaning import SEQUENCE_FEATURES, drop_incomplete, select_features
 from tidemark.operators.dataset import (LOOKBACK, chronological_split, lookback_sequences, minmax_inverse,
-                                        scale_features, tail_n)
+                                        minmax_scale, scale_features, tail_n, train_size)
 from tidemark.operators.evaluate import regression_metrics
 
 RIDGE = 1.0  # L2 penalty on the 420 scaled inputs (the intercept is not penalised)
@@ -30,16 +30,27 @@ def flatten_steps(x: Column) -> Column:
     return F.concat(F.array(F.lit(1.0)), F.flatten(per_step))
 
 
-def sequence_dataset(indicators: DataFrame, fit_on: str = "all", lookback: int = LOOKBACK) -> DataFrame:
+def sequence_dataset(indicators: DataFrame, fit_on: str = "train", lookback: int = LOOKBACK) -> DataFrame:
     """Complete, scaled features → windows → flattened ``xf`` and scaled ``y``;
-    split 80/20 over the samples. Keeps the close scaler for inversion."""
+    split 80/20 over the samples, which is decided on the narrow rows before any
+    window is built. Keeps the scaler of all features (``scale_min``, ``scale_max``)."""
     base = drop_incomplete(select_features(indicators, SEQUENCE_FEATURES))
     scaled = scale_features(base, SEQUENCE_FEATURES, fit_on)
-    if "split" in scaled.columns:
-        scaled = scaled.drop("split", "rn", "n")
+    if fit_on != "train":
+        scaled = chronological_split(scaled)
+    rn, n = F.col("rn") - lookback, F.col("n") - lookback
+    scaled = scaled.select(
+        "symbol", "date", *SEQUENCE_FEATURES, rn.alias("rn"), n.alias("n"),
+        F.when(rn <= train_size(n), F.lit("train")).otherwise(F.lit("test")).alias("split"),
+        "close_min", "close_max", F.array(*[f"{c}_min" for c in SEQUENCE_FEATURES]).alias("scale_min"),
+        F.array(*[f"{c}_max" for c in SEQUENCE_FEATURES]).alias("scale_max"))
     seq = lookback_sequences(scaled, SEQUENCE_FEATURES, lookback)
-    seq = seq.select("symbol", "date", "y", "close_min", "close_max", flatten_steps(F.col("x")).alias("xf"))
-    return chronological_split(seq)
+    return seq.withColumn("xf", flatten_steps(F.col("x"))).drop("x")
+
+
+def scalers(ds: DataFrame) -> DataFrame:
+    """``(symbol, scale_min, scale_max)`` of a dataset: part of the model, reused when serving."""
+    return ds.groupBy("symbol").agg(F.first("scale_min").alias("scale_min"), F.first("scale_max").alias("scale_max"))
 
 
 def fit_sequence(ds: DataFrame, lookback: int = LOOKBACK, ridge: float = RIDGE) -> DataFrame:
@@ -62,20 +73,24 @@ def evaluate_sequence(ds: DataFrame, fit: DataFrame) -> DataFrame:
     return scaled.unionByName(price)
 
 
-def latest_window(indicators: DataFrame, fit_on: str = "all", lookback: int = LOOKBACK) -> DataFrame:
-    """The newest ``lookback`` complete, scaled rows per symbol flattened as the
-    rollout's initial input (``xf`` without the intercept), plus the scaler.
-    Only the last ``lookback`` rows of each symbol are gathered (bounded)."""
+def latest_window(indicators: DataFrame, scaler: DataFrame, lookback: int = LOOKBACK) -> DataFrame:
+    """The newest ``lookback`` complete rows per symbol, scaled by the model's own
+    ``scaler(symbol, scale_min, scale_max)`` and flattened as the rollout's initial
+    input. Bars before the window play no part."""
     base = drop_incomplete(select_features(indicators, SEQUENCE_FEATURES))
-    scaled = scale_features(base, SEQUENCE_FEATURES, fit_on)
-    last = tail_n(scaled, lookback)
+    last = tail_n(base, lookback)
     step = F.struct("date", *[F.col(c) for c in SEQUENCE_FEATURES])
-    g = last.groupBy("symbol").agg(F.sort_array(F.collect_list(step)).alias("_win"),
-                                   F.max("date").alias("as_of"), F.first("close_min").alias("close_min"),
-                                   F.first("close_max").alias("close_max"))
-    return g.where(F.size("_win") == lookback).select(
-        "symbol", "as_of", "close_min", "close_max",
-        F.flatten(F.transform("_win", lambda s: F.array(*[s[c] for c in SEQUENCE_FEATURES]))).alias("window"))
+    g = last.groupBy("symbol").agg(F.sort_array(F.collect_list(step)).alias("_win"), F.max("date").alias("as_of"))
+    g = g.where(F.size("_win") == lookback).join(scaler.select("symbol", "scale_min", "scale_max"), "symbol")
+
+    def scaled(s):
+        return F.array(*[minmax_scale(s[c], F.element_at("scale_min", i + 1), F.element_at("scale_max", i + 1))
+                         for i, c in enumerate(SEQUENCE_FEATURES)])
+
+    close = SEQUENCE_FEATURES.index("close") + 1
+    return g.select("symbol", "as_of", F.element_at("scale_min", close).alias("close_min"),
+                    F.element_at("scale_max", close).alias("close_max"),
+                    F.flatten(F.transform("_win", scaled)).alias("window"))
 
 
 def rollout_expr(coef: Column, window: Column, h: Column, carry: str = "roll",

@@ -1,16 +1,15 @@
 """Distributed normal equations for per-symbol least squares.
 
-The heavy part — accumulating X'X and X'y — runs as Spark work that never
-needs a symbol's rows in one place:
-
-1. ``partial_gram``: ``mapInPandas`` over arbitrary partitions; every Arrow
-   batch emits one row per symbol present with the packed upper triangle of
-   X'X, X'y, y'y and n for that batch only.
-2. ``sum_by_key``: element-wise sum of those arrays per symbol as a tree of
-   grouped reductions with a bounded fan-in, so no group ever holds more than
-   ``fan_in`` partial arrays however many partitions a hot symbol spans.
-3. ``solve``: ``mapInPandas`` over the one-row-per-symbol result, a small
-   k×k solve per row (ridge penalty optional).
+The heavy part — accumulating X'X and X'y — runs as Spark work that does not
+hold a symbol's rows at once:
+
+1. ``partial_gram``: ``mapInPandas`` over arbitrary partitions adds up, per symbol present, the
+   packed upper triangle of X'X, X'y, y'y and n, and emits one row per symbol (several only
+   where the accumulators outgrow ``flush_bytes``).
+2. ``sum_by_key``: element-wise sum of those arrays per symbol, one shuffle of a few arrays per
+   symbol. Systems of a few unknowns use built-in sums instead (``gram_by_sums``).
+3. ``solve``: ``mapInPandas`` over the one-row-per-symbol result, a small k×k solve per row
+   on equilibrated equations (ridge penalty optional).
 
 Only the final solve is Python over small fixed-size arrays.
 """
@@ -81,35 +80,39 @@ def partial_gram(df: DataFrame, x: str = "x", y: str = "y",
     return df.select("symbol", x, y).mapInPandas(fn, GRAM_SCHEMA)
 
 
-def sum_by_key(partials: DataFrame, num_parts: int, fan_in: int = 32) -> DataFrame:
-    """Element-wise sum of ``g`` (and ``n``) per symbol as a tree of grouped
-    reductions: level widths shrink by ``fan_in`` from ``num_parts`` to 1, so a
-    group holds about ``fan_in`` partial arrays at every level."""
+def sum_by_key(partials: DataFrame) -> DataFrame:
+    """Element-wise sum of ``g`` (and ``n``) per symbol. The inputs of all fits come out of a
+    window over ``symbol``, so a symbol has one partial, or a few when its partition is flushed."""
 
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
         g = np.sum(np.vstack(pdf["g"].to_numpy()), axis=0)
-        return pd.DataFrame({"symbol": [pdf["symbol"].iloc[0]], "_part": [int(pdf["_part"].iloc[0])],
-                             "n": [int(pdf["n"].sum())], "g": [g]})
-
-    widths = []
-    w = max(num_parts, 1) // fan_in
-    while w > 1:
-        widths.append(w)
-        w //= fan_in
-    widths.append(1)
-    cur = partials
-    for w in widths:
-        cur = (cur.withColumn("_part", F.pmod(F.col("_part"), F.lit(w)).cast("long"))
-               .groupBy("symbol", "_part").applyInPandas(reduce, GRAM_SCHEMA))
-    return cur.select("symbol", "n", "g")
-
-
-def planned_partitions(df: DataFrame) -> int:
-    """Upper estimate of the input's partition count without running anything
-    (the inputs of every fit come out of a shuffle)."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
+        return pd.DataFrame({"symbol": [pdf["symbol"].iloc[0]], "n": [int(pdf["n"].sum())], "g": [g]})
+
+    return partials.groupBy("symbol").applyInPandas(reduce, "symbol string, n long, g array<double>")
+
+
+def gram_by_sums(df: DataFrame, k: int, x: str = "x", y: str = "y") -> DataFrame:
+    """The packed sums of a small system (k of a few) by built-in aggregates, without Python."""
+    cols = [F.element_at(x, i + 1) for i in range(k)]
+    terms = [cols[i] * cols[j] for i in range(k) for j in range(i, k)] + [c * F.col(y) for c in cols] + [F.col(y) * F.col(y)]
+    sums = df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), *[F.sum(t).alias(f"s{i}") for i, t in enumerate(terms)])
+    return sums.select("symbol", "n", F.array(*[f"s{i}" for i in range(len(terms))]).alias("g"))
+
+
+def scaled_lstsq(a: np.ndarray, b: np.ndarray, means: np.ndarray | None = None) -> np.ndarray:
+    """Minimum-norm solution of the normal equations a·beta = b with rows and columns divided
+    by their standard deviations first, so that no column is cut off for its unit alone.
+
+    A column without variance (relative to its mean, where given) gets coefficient 0.
+    """
+    d = np.sqrt(np.maximum(np.diag(a), 0.0))
+    floor = 0.0 if means is None else 1e-10 * np.abs(means)
+    live = d > floor
+    beta = np.zeros(len(b))
+    if live.any():
+        s = d[live]
+        beta[live] = np.linalg.lstsq(a[np.ix_(live, live)] / np.outer(s, s), b[live] / s, rcond=None)[0] / s
+    return beta
 
 
 def solve_schema(extra: T.StructType | None = None) -> T.StructType:
@@ -147,7 +150,7 @@ def solve(gram: DataFrame, k: int, penalty: list[float] | None = None, min_rows:
                 A = A + np.triu(A, 1).T
                 b = g[m:m + k]
                 yy = g[m + k]
-                beta = np.linalg.lstsq(A + np.diag(pen), b, rcond=None)[0]
+                beta = scaled_lstsq(A + np.diag(pen), b)
                 rss = max(yy - 2 * beta @ b + beta @ A @ beta, 0.0)
                 coefs.append(beta.tolist())
                 sig.append(float(np.sqrt(rss / max(n - k, 1))))
@@ -159,8 +162,7 @@ def solve(gram: DataFrame, k: int, penalty: list[float] | None = None, min_rows:
 
 
 def fit_least_squares(df: DataFrame, k: int, x: str = "x", y: str = "y",
-                      penalty: list[float] | None = None, min_rows: int | None = None,
-                      fan_in: int = 32) -> DataFrame:
+                      penalty: list[float] | None = None, min_rows: int | None = None) -> DataFrame:
     """Per-symbol (ridge) least squares of ``y`` on ``x: array<double>[k]``."""
-    parts = planned_partitions(df)
-    return solve(sum_by_key(partial_gram(df, x, y), parts, fan_in), k, penalty, min_rows)
+    gram = gram_by_sums(df, k, x, y) if k <= 8 else sum_by_key(partial_gram(df, x, y))
+    return solve(gram, k, penalty, min_rows)

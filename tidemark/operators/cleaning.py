@@ -11,6 +11,7 @@ from tidemark.schemas import REQUEST
 SEQUENCE_FEATURES = ["close", "volume", "MA_5", "MA_20", "RSI", "BB_Upper", "BB_Lower"]
 LINEAR_FEATURES = ["MA_5", "MA_20", "RSI", "Volume_MA"]
 MODEL_TYPES = ["lstm", "prophet", "arima"]
+SERVED_TYPES = [*MODEL_TYPES, "linear"]  # the linear model is served here as well
 DEFAULT_SYMBOL = "AAPL"
 DEFAULT_MODEL_TYPE = "lstm"
 DEFAULT_DAYS_AHEAD = 1
@@ -86,7 +87,7 @@ def validate_requests(req: DataFrame) -> DataFrame:
         mt.alias("model_type"),
         F.least(F.coalesce(F.col("days_ahead").cast("int"), F.lit(DEFAULT_DAYS_AHEAD)),
                 F.lit(MAX_DAYS_AHEAD)).alias("days_ahead"),
-        F.when(~mt.isin(MODEL_TYPES),
+        F.when(~mt.isin(SERVED_TYPES),
                F.concat(F.lit("Unsupported model type: "), mt)).alias("error"))
     return out
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.models import ar, sequence, trend_seasonal
+from tidemark.models import ar, linear, sequence, trend_seasonal
 from tidemark.operators.cleaning import MAX_DAYS_AHEAD, validate_requests
 from tidemark.operators.indicators import add_indicators
 
@@ -48,10 +48,10 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
         "model_type", "symbol", "metrics",
         ar.ar_forecast_expr(F.col("coef"), F.col("state")["serve_last_diffs"],
                             F.element_at(F.col("state")["serve_last_close"], 1), F.lit(h)).alias("predictions"),
-        F.element_at(F.col("state")["sigma"], 1).alias("_s"))
+        ar.ar_band_expr(F.col("coef"), F.element_at(F.col("state")["sigma"], 1), F.lit(h)).alias("_s"))
     arm = arm.select("model_type", "symbol", "metrics", "predictions",
-                     F.transform("predictions", lambda v, i: v - z * F.col("_s") * F.sqrt(i + 1)).alias("lower"),
-                     F.transform("predictions", lambda v, i: v + z * F.col("_s") * F.sqrt(i + 1)).alias("upper"))
+                     F.zip_with("predictions", "_s", lambda v, s: v - z * s).alias("lower"),
+                     F.zip_with("predictions", "_s", lambda v, s: v + z * s).alias("upper"))
 
     # prophet: evaluate the fitted curve on the h calendar days after the latest bar
     pm = ok.where(F.col("model_type") == "prophet")
@@ -71,7 +71,8 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
 
     # lstm: rollout of the one-step sequence regressor from the newest window
     lm = ok.where(F.col("model_type") == "lstm")
-    wins = sequence.latest_window(add_indicators(bars))
+    scaler = lm.select("symbol", F.col("state")["scale_min"].alias("scale_min"), F.col("state")["scale_max"].alias("scale_max"))
+    wins = sequence.latest_window(add_indicators(bars), scaler)
     roll = sequence.predict_sequence(lm.select("symbol", "coef", F.lit(None).cast("string").alias("error"),
                                                F.element_at(F.col("state")["sigma"], 1).alias("sigma")),
                                      wins, h, carry)
@@ -79,7 +80,13 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
         "model_type", "symbol", "metrics", "predictions",
         F.lit(None).cast("array<double>").alias("lower"), F.lit(None).cast("array<double>").alias("upper"))
 
-    allfc = arm.unionByName(prm).unionByName(lsm)
+    # linear: the next close from the newest row's features
+    ln = ok.where(F.col("model_type") == "linear")
+    lin = ln.select("model_type", "symbol", "metrics").join(linear.forecast_linear(ln, bars), "symbol").select(
+        "model_type", "symbol", "metrics", F.array("yhat").alias("predictions"),
+        F.lit(None).cast("array<double>").alias("lower"), F.lit(None).cast("array<double>").alias("upper"))
+
+    allfc = arm.unionByName(prm).unionByName(lsm).unionByName(lin)
     return allfc.join(latest, "symbol")
 
 
@@ -91,7 +98,9 @@ def predict_batch(requests: DataFrame, forecasts: DataFrame, timestamp: str) ->
     err = (F.when(F.col("error").isNotNull(), F.col("error"))
            .when(h < 1, F.lit("days_ahead must be positive"))
            .when(F.col("predictions").isNull(),
-                 F.concat(F.lit("No models found for "), F.col("symbol"), F.lit(" "), F.col("model_type"))))
+                 F.concat(F.lit("No models found for "), F.col("symbol"), F.lit(" "), F.col("model_type")))
+           .when(h > F.size("predictions"),
+                 F.concat(F.col("model_type"), F.lit(" serves days up to "), F.size("predictions").cast("string"))))
     ok = err.isNull()
     return j.select(
         "request_id", "symbol", "model_type",

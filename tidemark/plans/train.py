@@ -84,7 +84,7 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
     else:
         ind = add_indicators(bars)
         ds = sequence.sequence_dataset(ind)
-        fit = cut_lineage(sequence.fit_sequence(ds))
+        fit = cut_lineage(sequence.fit_sequence(ds).join(sequence.scalers(ds), "symbol"))
         ev = sequence.evaluate_sequence(ds, fit).where(F.col("metric_space") == "scaled")
         met = _metrics_map(ev)
         out = fit.join(met, "symbol", "left").select(
@@ -92,10 +92,14 @@ def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -
             "coef", F.lit(0.0).alias("intercept"),
             _params({"lookback_window": 60, "ridge": sequence.RIDGE, "train_test_split": 0.8,
                      "metric_space": "scaled"}).alias("params"),
-            "metrics", F.create_map(F.lit("sigma"), F.array("sigma")).alias("state"), "error")
+            "metrics", F.create_map(F.lit("sigma"), F.array("sigma"), F.lit("scale_min"), F.col("scale_min"),
+                                    F.lit("scale_max"), F.col("scale_max")).alias("state"), "error")
+    # a symbol with too few bars for any sample still has its row, saying so
+    out = bars.select("symbol").distinct().join(out, "symbol", "left")
+    lost = F.when(F.col("coef").isNull(), F.coalesce("error", F.lit("insufficient rows")))
     return out.select(F.lit(mt).alias("model_type"), "symbol", ts.alias("created_at"), "features", "coef",
                       "intercept", "params", F.coalesce("metrics", F.create_map().cast("map<string,double>"))
-                      .alias("metrics"), "state", "error")
+                      .alias("metrics"), F.coalesce("state", empty_state).alias("state"), lost.alias("error"))
 
 
 def train_many(bars: DataFrame, model_types=MODEL_TYPES, created_at="2024-01-01 00:00:00") -> DataFrame:
