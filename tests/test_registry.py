@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import registry as RG
 
-EV = "model string, version int, stage string, ts timestamp, run_id string"
+EV = "model string, version int, stage string, ts timestamp, seq long, run_id string"
 
 
 def test_compare_runs_order_and_nulls(spark):
@@ -17,7 +17,7 @@ def test_compare_runs_order_and_nulls(spark):
 
 def test_promote_archives_current_production(spark):
     t = dt.datetime(2024, 1, 1)
-    ev = spark.createDataFrame([("m", 1, "Production", t, "r1"), ("m", 2, "Staging", t, "r2")], EV)
+    ev = spark.createDataFrame([("m", 1, "Production", t, 0, "r1"), ("m", 2, "Staging", t, 1, "r2")], EV)
     promos = spark.createDataFrame([("m", 2, "Production", t + dt.timedelta(hours=1))],
                                    "model string, version int, to_stage string, ts timestamp")
     all_ev = ev.unionByName(RG.promote(ev, promos))
@@ -43,3 +43,37 @@ def test_merge_tags_last_wins(spark):
     df = spark.createDataFrame([({"environment": "test", "symbol": "AAPL"},)], "u map<string,string>")
     m = df.select(RG.merge_tags(RG.DEFAULT_TAGS, F.col("u")).alias("m")).first().m
     assert m == {"project": "stock_prediction", "environment": "test", "version": "1.0.0", "symbol": "AAPL"}
+
+
+def _run(spark, moves):
+    t = dt.datetime(2024, 1, 1)
+    cand = spark.createDataFrame([("m", f"r{i}", i) for i in range(3)], "model string, run_id string, ord int")
+    ev = RG.register_versions(cand, None, "2024-01-01 00:00:00")
+    promos = spark.createDataFrame([("m", v, to, t + dt.timedelta(minutes=10 * k), frm) for k, (v, to, frm) in enumerate(moves)],
+                                   "model string, version int, to_stage string, ts timestamp, from_stage string")
+    folded = RG.fold_promotions(ev, promos).collect()
+    all_ev = ev.unionByName(RG.promote(ev, promos))
+    return {r.version: r.stage for r in RG.registry_state(all_ev).collect()}, [r.rejected for r in folded if r.rejected], all_ev
+
+
+def test_promotion_at_and_soon_after_registration(spark):
+    assert _run(spark, [(1, "Production", None)])[0] == {1: "Production", 2: "Staging", 3: "Staging"}
+
+
+def test_demoted_version_stays_and_all_productions_go(spark):
+    state, _, ev = _run(spark, [(1, "Production", None), (1, "Staging", None), (2, "Production", None)])
+    assert state == {1: "Staging", 2: "Production", 3: "Staging"}
+    t = dt.datetime(2024, 2, 1)
+    twice = ev.unionByName(spark.createDataFrame([("m", 1, "Production", t, 50, "r0")], EV))
+    promos = spark.createDataFrame([("m", 3, "Production", t)], "model string, version int, to_stage string, ts timestamp")
+    state = {r.version: r.stage for r in RG.registry_state(twice.unionByName(RG.promote(twice, promos))).collect()}
+    assert state == {1: "Archived", 2: "Archived", 3: "Production"}
+
+
+def test_preconditions_and_next_version_by_current_stage(spark):
+    state, rejected, ev = _run(spark, [(1, "Archived", "Production"), (9, "Production", None), (2, "Live", None)])
+    assert state == {1: "Staging", 2: "Staging", 3: "Staging"}
+    assert rejected == ["stage is Staging", "unknown version", "unknown stage"]
+    _, _, ev = _run(spark, [(v, "Archived", None) for v in (1, 2, 3)])
+    assert RG.next_version(ev, ("Production", "Staging")).first().next_version == 1
+    assert RG.next_version(ev).first().next_version == 4

@@ -15,7 +15,7 @@ from tidemark.plans import registry as RG
 from tidemark.session import cut_lineage
 from tidemark.sources.bars import bars_from
 
-AS_OF = "2024-01-02 00:00:00"
+AS_OF, ENDED = "2024-01-02 00:00:00", "2024-01-02 00:05:00"
 R = O.round_all
 TSFMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -30,11 +30,11 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Final metrics (step 0) plus the MAE curve over the test rows (step s =
     mean absolute error of the first s test predictions)."""
     pred, ev = _evals(spark, sf)
-    final = RG.log_metrics(ev)
+    final = RG.log_metrics(ev, AS_OF)
     w = Window.partitionBy("symbol", "model_type").orderBy("date")
     curve = (pred.where(F.col("y").isNotNull() & F.col("yhat").isNotNull())
              .select(F.concat_ws("-", "model_type", "symbol").alias("run_id"), F.lit("mae").alias("metric"),
-                     F.row_number().over(w).alias("step"),
+                     F.row_number().over(w).alias("step"), F.to_timestamp(F.lit(AS_OF)).alias("ts"),
                      F.avg(F.abs(F.col("y") - F.col("yhat"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
                      .alias("value")))
     return final.unionByName(curve)
@@ -54,20 +54,20 @@ _CTE = f"""{_BASE_PRED_SQL},
   cand AS (SELECT 'stock_predictor_' || m.symbol AS model, m.model_type || '-' || m.symbol AS run_id, ord.ord, m.mae
            FROM m JOIN ord USING (model_type)),
   reg AS (SELECT model, run_id, mae, CAST(row_number() OVER (PARTITION BY model ORDER BY ord) AS INTEGER) AS version FROM cand),
-  ev0 AS (SELECT model, version, 'None' AS stage, TIMESTAMP '{AS_OF}' + to_seconds(version) AS ts, run_id FROM reg
-          UNION ALL SELECT model, version, 'Staging', TIMESTAMP '{AS_OF}' + INTERVAL 1 HOUR + to_seconds(version), run_id FROM reg),
+  ev0 AS (SELECT model, version, 'None' AS stage, TIMESTAMP '{AS_OF}' AS ts, 0 AS seq, run_id FROM reg
+          UNION ALL SELECT model, version, 'Staging', TIMESTAMP '{AS_OF}', 1, run_id FROM reg),
   pr AS (SELECT model, version, 'Production' AS to_stage,
-           TIMESTAMP '{AS_OF}' + INTERVAL 2 HOUR + to_seconds(CAST(row_number() OVER (PARTITION BY model ORDER BY mae DESC NULLS FIRST, version) AS BIGINT)) AS ts
+           TIMESTAMP '{AS_OF}' + INTERVAL 10 MINUTE + to_seconds(CAST(row_number() OVER (PARTITION BY model ORDER BY mae DESC NULLS FIRST, version) AS BIGINT)) AS ts
          FROM reg),
   prl AS (SELECT *, lag(version) OVER (PARTITION BY model ORDER BY ts) AS prev FROM pr),
   runsv AS (SELECT DISTINCT model, version, run_id FROM ev0),
-  ev1 AS (SELECT p.model, p.prev AS version, 'Archived' AS stage, p.ts, r.run_id FROM prl p
+  ev1 AS (SELECT p.model, p.prev AS version, 'Archived' AS stage, p.ts, 2 AS seq, r.run_id FROM prl p
             LEFT JOIN runsv r ON r.model = p.model AND r.version = p.prev WHERE p.prev IS NOT NULL AND p.prev <> p.version
-          UNION ALL SELECT p.model, p.version, p.to_stage, p.ts, r.run_id FROM prl p
+          UNION ALL SELECT p.model, p.version, p.to_stage, p.ts, 3, r.run_id FROM prl p
             LEFT JOIN runsv r ON r.model = p.model AND r.version = p.version),
   ev AS (SELECT * FROM ev0 UNION ALL SELECT * FROM ev1),
-  state AS (SELECT model, version, arg_max(stage, (ts, CASE WHEN stage = 'Archived' THEN 0 ELSE 1 END)) AS stage,
-              arg_max(run_id, (ts, CASE WHEN stage = 'Archived' THEN 0 ELSE 1 END)) AS run_id FROM ev GROUP BY model, version)
+  state AS (SELECT model, version, arg_max(stage, (ts, seq)) AS stage, arg_max(run_id, (ts, seq)) AS run_id
+            FROM ev GROUP BY model, version)
 """
 
 
@@ -82,7 +82,7 @@ def _registry(spark: SparkSession, sf: str):
         cand.select("run_id", "mae"), "run_id")
     k = F.row_number().over(Window.partitionBy("model").orderBy(F.col("mae").desc_nulls_first(), "version"))
     promos = ver.select("model", "version", F.lit("Production").alias("to_stage"),
-                        (F.to_timestamp(F.lit(AS_OF)) + F.make_dt_interval(hours=F.lit(2), secs=k)).alias("ts"))
+                        (F.to_timestamp(F.lit(AS_OF)) + F.make_dt_interval(mins=F.lit(10), secs=k)).alias("ts"))
     promoted = RG.promote(created, promos)
     return created, promoted, created.unionByName(promoted)
 
@@ -100,22 +100,32 @@ _TS_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts"
   UNION ALL SELECT model_type || '-' || symbol, 'symbol', symbol FROM m""")
 def q_run_tags(spark, sf):
     _, ev = _evals(spark, sf)
-    return RG.log_runs(ev, AS_OF)[1]
+    return RG.log_runs(ev, AS_OF, ENDED)[1]
 
 
 @register("runs", f"""{_CTE}
   SELECT model_type || '-' || symbol AS run_id, symbol, model_type,
     model_type || '_training_20240102_000000' AS run_name,
-    '{AS_OF}' AS start_time, '{AS_OF}' AS end_time, 'FINISHED' AS status FROM m""")
+    '{AS_OF}' AS start_time, '{ENDED}' AS end_time, CASE WHEN mae IS NULL THEN 'FAILED' ELSE 'FINISHED' END AS status FROM m""")
 def q_runs(spark, sf):
     _, ev = _evals(spark, sf)
-    runs = RG.log_runs(ev, AS_OF)[0]
+    runs = RG.log_runs(ev, AS_OF, ENDED)[0]
     return _ts(_ts(runs, "start_time"), "end_time")
 
 
-@register("run_metrics", R(f"{_CTE} SELECT * FROM rm", ["value"], ["run_id", "metric", "step"]))
+@register("run_metrics", R(f"{_CTE} SELECT *, '{AS_OF}' AS ts FROM rm", ["value"], ["run_id", "metric", "step", "ts"]))
 def q_run_metrics(spark, sf):
-    return rounded(run_metrics(spark, sf))
+    return rounded(_ts(run_metrics(spark, sf)))
+
+
+def _params(ev: DataFrame) -> DataFrame:
+    return RG.log_params(ev, F.create_map(F.lit("type"), F.col("model_type"), F.lit("test_rows"), F.col("n").cast("string")))
+
+
+@register("run_params", f"""{_CTE} SELECT model_type || '-' || symbol AS run_id, 'model_type' AS key, model_type AS value FROM m
+  UNION ALL SELECT model_type || '-' || symbol, 'model_test_rows', CAST(n AS VARCHAR) FROM m""")
+def q_run_params(spark, sf):
+    return _params(_evals(spark, sf)[1])
 
 
 @register("latest_metrics", R(f"{_CTE} SELECT * FROM latest", ["value"], ["run_id", "metric"]))
@@ -138,6 +148,23 @@ def q_metric_universe(spark, sf):
     return RG.metric_universe(run_metrics(spark, sf))
 
 
+def _groups(symbols: DataFrame) -> DataFrame:
+    return symbols.select("symbol").distinct().select(
+        F.col("symbol").alias("group"),
+        F.array(*[F.concat(F.lit(f"{b}-"), F.col("symbol")) for b in BASELINES]).alias("run_ids"))
+
+
+@register("compare_run_rows", f"""{_CTE} SELECT m.symbol, ord.ord AS pos, m.model_type || '-' || m.symbol AS run_id,
+    m.model_type || '_training_20240102_000000' AS run_name, '{AS_OF}' AS start_time, '{ENDED}' AS end_time,
+    CASE WHEN mae IS NULL THEN 'FAILED' ELSE 'FINISHED' END AS status,
+    'model_test_rows=' || n || ',model_type=' || m.model_type AS params FROM m JOIN ord USING (model_type)""")
+def q_compare_run_rows(spark, sf):
+    ev = cut_lineage(_evals(spark, sf)[1])
+    rows = RG.compare_run_rows(RG.log_runs(ev, AS_OF, ENDED)[0], _params(ev), _groups(ev))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    return _ts(_ts(rows, "start_time"), "end_time").withColumn("params", text).withColumnRenamed("group", "symbol")
+
+
 @register("compare_runs", f"""{_CTE},
   slots AS (SELECT s.symbol, o.ord AS pos, o.model_type || '-' || s.symbol AS run_id
             FROM (SELECT DISTINCT symbol FROM m) s, ord o),
@@ -148,11 +175,8 @@ def q_metric_universe(spark, sf):
   LEFT JOIN latest l ON l.run_id = s.run_id AND l.metric = x.metric
   GROUP BY x.symbol, x.metric""")
 def q_compare_runs(spark, sf):
-    latest = RG.latest_metrics(run_metrics(spark, sf))
-    _, ev = _evals(spark, sf)
-    groups = ev.select("symbol").distinct().select(
-        F.col("symbol").alias("group"),
-        F.array(*[F.concat(F.lit(f"{b}-"), F.col("symbol")) for b in BASELINES]).alias("run_ids"))
+    latest = cut_lineage(RG.latest_metrics(run_metrics(spark, sf)))  # a few values per run, read twice
+    groups = _groups(latest.select(F.regexp_extract("run_id", "^[^-]*-(.*)$", 1).alias("symbol")))
     out = RG.compare_runs(latest, groups)
     return out.select(F.col("group").alias("symbol"), "metric",
                       F.transform("values", lambda v: round_col(v)).alias("values"))
@@ -160,7 +184,7 @@ def q_compare_runs(spark, sf):
 
 @register("register_versions", f"{_CTE} SELECT model, version, stage, {_TS_SQL}, run_id FROM ev0")
 def q_register_versions(spark, sf):
-    return _ts(_registry(spark, sf)[0])
+    return _ts(_registry(spark, sf)[0].drop("seq"))
 
 
 @register("next_version", f"{_CTE} SELECT model, max(version) + 1 AS next_version FROM ev GROUP BY model")
@@ -170,7 +194,7 @@ def q_next_version(spark, sf):
 
 @register("promote_events", f"{_CTE} SELECT model, version, stage, {_TS_SQL}, run_id FROM ev1")
 def q_promote_events(spark, sf):
-    return _ts(_registry(spark, sf)[1])
+    return _ts(_registry(spark, sf)[1].drop("seq"))
 
 
 @register("registry_state", f"{_CTE} SELECT model, version, stage, run_id FROM state")
@@ -178,6 +202,36 @@ def q_registry_state(spark, sf):
     return RG.registry_state(_registry(spark, sf)[2]).drop("last_updated")
 
 
+def _staged(spark: SparkSession, sf: str, moves: list[tuple[int, str, str | None]]):
+    """All versions in Staging, then the same moves (version, to, from) for every model, a minute apart."""
+    created = _registry(spark, sf)[0]
+    steps = F.array(*[F.struct(F.lit(v).alias("version"), F.lit(to).alias("to_stage"), F.lit(frm).cast("string").alias("from_stage"),
+                               (F.to_timestamp(F.lit(AS_OF)) + F.make_dt_interval(mins=F.lit(i + 1))).alias("ts"))
+                      for i, (v, to, frm) in enumerate(moves)])
+    return created, created.select("model").distinct().select("model", F.inline(steps))
+
+
+@register("registry_demoted", f"""{_CTE} SELECT model, version, CASE WHEN version = 2 THEN 'Production' ELSE 'Staging' END AS stage, run_id FROM reg""")
+def q_registry_demoted(spark, sf):
+    """A version that left Production before the next promotion is not archived by it."""
+    ev, moves = _staged(spark, sf, [(1, "Production", None), (1, "Staging", None), (2, "Production", "Staging")])
+    return RG.registry_state(ev.unionByName(RG.promote(ev, moves))).drop("last_updated")
+
+
+@register("next_version_live", f"{_CTE} SELECT DISTINCT model, 1 AS next_version FROM reg")
+def q_next_version_live(spark, sf):
+    """With every version archived, no version is in a live stage."""
+    ev, moves = _staged(spark, sf, [(v, "Archived", None) for v in range(1, len(BASELINES) + 1)])
+    return RG.next_version(ev.unionByName(RG.promote(ev, moves)), ("Production", "Staging"))
+
+
+@register("promotions_rejected", f"""{_CTE} SELECT model, 1 AS version, 'Archived' AS stage, 'stage is Staging' AS rejected FROM reg WHERE version = 1
+  UNION ALL SELECT model, 99, 'Production', 'unknown version' FROM reg WHERE version = 1""")
+def q_promotions_rejected(spark, sf):
+    ev, moves = _staged(spark, sf, [(1, "Archived", "Production"), (99, "Production", None), (2, "Production", "Staging")])
+    return RG.fold_promotions(ev, moves).where(F.col("rejected").isNotNull()).select("model", "version", "stage", "rejected")
+
+
 @register("model_info", f"""{_CTE} SELECT model, version, stage, run_id FROM (
     SELECT *, row_number() OVER (PARTITION BY model ORDER BY version DESC) AS rn FROM state WHERE stage = 'Production') s
   WHERE rn = 1""")

@@ -7,6 +7,7 @@ aggregates and windows partitioned by run or model, never by a global order.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,24 +36,34 @@ def prefix_params(params: Column, prefix: str = "model_") -> Column:
     return F.transform_keys(params, lambda k, _v: F.concat(F.lit(prefix), k))
 
 
-def log_runs(evals: DataFrame, started: str, user_tags: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """One run per (symbol, model_type) evaluation → ``runs`` and ``run_tags``."""
-    ts = F.to_timestamp(F.lit(started))
+def log_runs(evals: DataFrame, started: str, ended: str, user_tags: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """One run per (symbol, model_type) evaluation → ``runs`` and ``run_tags``.
+
+    A run without a metric (nothing could be evaluated) has status FAILED.
+    """
+    start, end = F.to_timestamp(F.lit(started)), F.to_timestamp(F.lit(ended))
     run_id = F.concat_ws("-", "model_type", "symbol")
     runs = evals.select(run_id.alias("run_id"), "symbol", "model_type",
-                        F.concat(F.col("model_type"), F.lit("_training_"), stamp(ts)).alias("run_name"),
-                        ts.alias("start_time"), ts.alias("end_time"), F.lit("FINISHED").alias("status"))
+                        F.concat(F.col("model_type"), F.lit("_training_"), stamp(start)).alias("run_name"),
+                        start.alias("start_time"), end.alias("end_time"),
+                        F.when(F.col("mae").isNull(), F.lit("FAILED")).otherwise(F.lit("FINISHED")).alias("status"))
     user = user_tags if user_tags is not None else F.create_map(F.lit("symbol"), F.col("symbol"))
     tags = runs.select("run_id", F.explode(merge_tags(DEFAULT_TAGS, user)).alias("key", "value"))
     return runs, tags
 
 
-def log_metrics(evals: DataFrame, metrics=("mae", "rmse", "r2"), step: int = 0) -> DataFrame:
-    """R2: long ``(run_id, metric, step, value)`` from wide metric columns."""
+def log_params(evals: DataFrame, params: Column, prefix: str = "model_") -> DataFrame:
+    """R2: long ``(run_id, key, value)`` of each run's parameters under prefixed names."""
+    run_id = F.concat_ws("-", "model_type", "symbol")
+    return evals.select(run_id.alias("run_id"), F.explode(prefix_params(params, prefix)).alias("key", "value"))
+
+
+def log_metrics(evals: DataFrame, logged_at: str, metrics=("mae", "rmse", "r2"), step: int = 0) -> DataFrame:
+    """R2: long ``(run_id, metric, step, ts, value)`` from wide metric columns."""
     run_id = F.concat_ws("-", "model_type", "symbol")
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
     return evals.select(run_id.alias("run_id"), F.inline(pairs)).select(
-        "run_id", "metric", F.lit(step).alias("step"), "value")
+        "run_id", "metric", F.lit(step).alias("step"), F.to_timestamp(F.lit(logged_at)).alias("ts"), "value")
 
 
 def latest_metrics(run_metrics: DataFrame) -> DataFrame:
@@ -89,39 +100,48 @@ def compare_runs(latest: DataFrame, groups: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.col("n_runs") - 1), lambda i: F.try_element_at(F.col("_m"), i)).alias("values"))
 
 
+def compare_run_rows(runs: DataFrame, params: DataFrame, groups: DataFrame) -> DataFrame:
+    """Beside the metrics, the compared runs themselves in the given order: name, start,
+    end, status and parameters."""
+    own = params.groupBy("run_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("params"))
+    slots = groups.select("group", F.posexplode("run_ids").alias("pos", "run_id"))
+    return (slots.join(runs.select("run_id", "run_name", "start_time", "end_time", "status"), "run_id")
+            .join(own, "run_id", "left").select("group", "pos", "run_id", "run_name", "start_time", "end_time", "status", "params"))
+
+
 def register_versions(candidates: DataFrame, existing: DataFrame | None, registered_at: str,
                       stage: str = "Staging") -> DataFrame:
     """New versions = max(existing version)+1 … in candidate order, each with a
-    'None' (created) and a ``stage`` event. ``candidates(model, run_id, ord)``."""
+    'None' (created) and a ``stage`` event at the same instant. ``candidates(model, run_id, ord)``.
+
+    ``seq`` numbers a model's events; events are ordered by (ts, seq)."""
     base = candidates
     if existing is not None:
-        mx = existing.groupBy("model").agg(F.max(F.col("version").cast("int")).alias("_mx"))
+        mx = existing.groupBy("model").agg(F.max(F.col("version").cast("int")).alias("_mx"), F.max("seq").alias("_seq"))
         base = base.join(mx, "model", "left")
     else:
-        base = base.withColumn("_mx", F.lit(None).cast("int"))
-    v = (F.coalesce("_mx", F.lit(0)) + F.row_number().over(Window.partitionBy("model").orderBy("ord"))).cast("int")
-    ts0 = F.to_timestamp(F.lit(registered_at))
-    base = base.withColumn("version", v)
-    created = base.select("model", "version", F.lit("None").alias("stage"),
-                          (ts0 + F.make_dt_interval(secs=F.col("version"))).alias("ts"), "run_id")
-    staged = base.select("model", "version", F.lit(stage).alias("stage"),
-                         (ts0 + F.make_dt_interval(hours=F.lit(1), secs=F.col("version"))).alias("ts"), "run_id")
-    return created.unionByName(staged)
+        base = base.withColumn("_mx", F.lit(None).cast("int")).withColumn("_seq", F.lit(None).cast("long"))
+    k = F.row_number().over(Window.partitionBy("model").orderBy("ord"))
+    first = F.coalesce(F.col("_seq") + 1, F.lit(0)) + 2 * (F.col("_k") - 1)
+    base = base.withColumn("_k", k).withColumn("version", (F.coalesce("_mx", F.lit(0)) + F.col("_k")).cast("int"))
+    steps = F.array(F.struct(F.lit("None").alias("stage"), first.cast("long").alias("seq")),
+                    F.struct(F.lit(stage).alias("stage"), (first + 1).cast("long").alias("seq")))
+    return base.select("model", "version", "run_id", F.inline(steps)).select(
+        "model", "version", "stage", F.to_timestamp(F.lit(registered_at)).alias("ts"), "seq", "run_id")
 
 
 def next_version(events: DataFrame, stages=None) -> DataFrame:
-    """R6 lookup: max(version)+1 per model over events in ``stages`` (all by default)."""
-    ev = events if stages is None else events.where(F.col("stage").isin(list(stages)))
-    return ev.groupBy("model").agg((F.coalesce(F.max(F.col("version").cast("int")), F.lit(0)) + 1)
-                                   .alias("next_version"))
+    """R6 lookup: max(version)+1 per model over the versions that are in ``stages`` now (all by default)."""
+    state = registry_state(events)
+    live = F.lit(True) if stages is None else F.col("stage").isin(list(stages))
+    return state.groupBy("model").agg((F.coalesce(F.max(F.when(live, F.col("version").cast("int"))), F.lit(0)) + 1)
+                                      .alias("next_version"))
 
 
 def registry_state(events: DataFrame) -> DataFrame:
-    """Current stage per (model, version) = stage of its latest event; events
-    at the same instant order archive before promotion."""
-    rank = F.when(F.col("stage") == "Archived", 0).otherwise(1)
+    """Current stage per (model, version) = stage of its latest event by (ts, seq)."""
     return events.groupBy("model", "version").agg(
-        F.max_by(F.struct("stage", "run_id", "ts"), F.struct("ts", rank.alias("r"))).alias("_s")).select(
+        F.max_by(F.struct("stage", "run_id", "ts"), F.struct("ts", "seq")).alias("_s")).select(
         "model", "version", F.col("_s.stage").alias("stage"), F.col("_s.run_id").alias("run_id"),
         F.col("_s.ts").alias("last_updated"))
 
@@ -132,24 +152,52 @@ def latest_per_stage(state: DataFrame) -> DataFrame:
     return state.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+PROMOTED = "model string, version int, stage string, ts timestamp, seq long, run_id string, rejected string"
+
+
+def fold_promotions(events: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Promotions ``(model, version, to_stage, ts[, from_stage])`` applied one after another
+    by (ts, version) to the registry's state: events, and rejected ones with their reason.
+
+    A promotion to Production first archives every other version that is Production at that
+    moment. It is rejected when the version is unknown, the stage is none of ``STAGES``, or
+    ``from_stage`` is given and is not the version's stage at that moment. A group is one
+    model's versions and its promotions of this batch.
+    """
+    if "from_stage" not in promotions.columns:
+        promotions = promotions.withColumn("from_stage", F.lit(None).cast("string"))
+    top = events.groupBy("model").agg(F.max("seq").alias("top"))
+    state = registry_state(events).join(top, "model")
+
+    def fold(now: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
+        stage = dict(zip(now["version"], now["stage"]))
+        run = dict(zip(now["version"], now["run_id"]))
+        seq = int(now["top"].iloc[0]) if len(now) else -1
+        out = []
+        for p in batch.sort_values(["ts", "version"], kind="stable").itertuples(index=False):
+            why = ("unknown version" if p.version not in stage else "unknown stage" if p.to_stage not in STAGES
+                   else f"stage is {stage[p.version]}" if pd.notna(p.from_stage) and stage[p.version] != p.from_stage else None)
+            if why:
+                out.append((p.model, p.version, p.to_stage, p.ts, None, run.get(p.version), why))
+                continue
+            moves = [(v, "Archived") for v, s in sorted(stage.items())
+                     if p.to_stage == "Production" and s == "Production" and v != p.version]
+            for v, s in [*moves, (p.version, p.to_stage)]:
+                seq += 1
+                stage[v] = s
+                out.append((p.model, v, s, p.ts, seq, run[v], None))
+        res = pd.DataFrame(out, columns=["model", "version", "stage", "ts", "seq", "run_id", "rejected"])
+        return res.astype({"seq": "Int64"})
+
+    # new names: both sides may come from one table
+    now = state.select(F.col("model").alias("_model"), *[F.col(c).alias(c) for c in ("version", "stage", "run_id", "top")])
+    batch = promotions.select(*[F.col(c).alias(c) for c in ("model", "version", "to_stage", "ts", "from_stage")])
+    return now.groupBy("_model").cogroup(batch.groupBy("model")).applyInPandas(fold, PROMOTED)
+
+
 def promote(events: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Events for a batch of promotions ``(model, version, to_stage, ts)`` applied
-    in ts order. A promotion to Production first archives the version that is
-    Production at that moment: the previous promotion of the batch, or the
-    registry's current Production version for the first one."""
-    state = registry_state(events)
-    cur = (state.where(F.col("stage") == "Production")
-           .groupBy("model").agg(F.max("version").alias("_cur")))
-    runs = events.select("model", "version", "run_id").distinct()
-    prod = promotions.where(F.col("to_stage") == "Production").join(cur, "model", "left")
-    w = Window.partitionBy("model").orderBy("ts")
-    prod = prod.withColumn("_prev", F.coalesce(F.lag("version").over(w), F.col("_cur")))
-    archive = (prod.where(F.col("_prev").isNotNull() & (F.col("_prev") != F.col("version")))
-               .select("model", F.col("_prev").alias("version"), F.lit("Archived").alias("stage"), "ts")
-               .join(runs, ["model", "version"], "left"))
-    moved = promotions.select("model", "version", F.col("to_stage").alias("stage"), "ts").join(
-        runs, ["model", "version"], "left")
-    return archive.unionByName(moved)
+    """The events of a batch of promotions (see ``fold_promotions``)."""
+    return fold_promotions(events, promotions).where(F.col("rejected").isNull()).drop("rejected")
 
 
 def model_info(state: DataFrame, stage: str = "Production") -> DataFrame:
