@@ -45,20 +45,35 @@ def test_latest_snapshot_keeps_every_name(spark):
         assert [r.symbol for r in missing.collect()] == ["gone"]
 
 
-def test_stream_bars_equal_batch_bars(spark):
-    src = S.shared_path(spark, "test-quotes")
-    Q.write_quotes_json(Q.quotes_from_ticks(event_ticks(spark, SF_SMALL)), src)
-    sink, ck = S.shared_path(spark, "test-bars"), S.shared_path(spark, "test-bars-ck")
-    s = ST.quote_stream(spark, src).withColumn("tick_id", F.lit(0).cast("long")).withWatermark("ts", "1 day")
-    ST.run_to_sink(ST.daily_bars(s), sink, ck, "update")
-    streamed = ST.latest_version(spark.read.parquet(sink), ["symbol", "w"]).select(
-        "symbol", F.to_date("w.start").alias("date"), "open", "high", "low", "close", "volume")
-    batch = ticks_to_bars(Q.read_quotes_json(spark, src).select(
-        "symbol", "ts", F.lit(0).cast("long").alias("tick_id"), F.lit(0).cast("long").alias("seq"),
-        "price", F.col("volume").cast("double").alias("qty")))
-    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+def _late_quotes(spark, src, rows):
+    Q.write_quotes_json(spark.createDataFrame(rows, "symbol string, timestamp string, price double, volume long, status string"), src)
 
 
+def test_streams_lose_nothing_that_comes_late(spark):
+    src, bars, tumble, dedup = (S.shared_path(spark, f"test-{n}") for n in ("quotes", "bars", "tumble", "dedup"))
+
+    def run():
+        s = ST.quote_stream(spark, src)
+        ST.run_merge(s.withColumn("tick_id", F.lit(0).cast("long")), bars, f"{bars}-ck", ST.daily_bars)
+        ST.run_merge(s, tumble, f"{tumble}-ck", lambda r: ST.tumbling_metrics(r).withColumn("day", F.to_date("window_start")))
+        ST.run_dedup(s, dedup, f"{dedup}-ck")
+
+    day = [("A", "2024-03-02T10:00:00.000000", 5.0, 1, "collected"), ("A", "2024-03-02T23:59:00.000000", 7.0, 2, "collected"),
+           ("B", "2024-03-02T10:01:00.000000", None, 1, "error")]
+    _late_quotes(spark, src, day)
+    run()
+    _late_quotes(spark, src, day[:2] + [("A", "2024-03-02T09:00:00.000000", 9.0, 4, "collected"),
+                                        ("A", "2020-01-01T00:00:00.000000", 1.0, 1, "collected"), ("A", "not a time", 1.0, 1, "collected")])
+    run()
+    run()  # nothing new
+    got = {(r.symbol, str(r.day)): (r.open, r.high, r.low, r.close, r.volume) for r in spark.read.parquet(f"{bars}/state").collect()}
+    assert got == {("A", "2024-03-02"): (9.0, 9.0, 5.0, 7.0, 10), ("A", "2020-01-01"): (1.0, 1.0, 1.0, 1.0, 1)}
+    n = spark.read.parquet(f"{tumble}/state").groupBy("symbol").agg(F.sum("invocations").alias("n"), F.sum("errors").alias("e")).collect()
+    assert {(r.symbol, r.n, r.e) for r in n} == {("A", 6, 0), ("B", 1, 1)}
+    kept = spark.read.parquet(f"{dedup}/kept")
+    assert kept.count() == 5 and kept.select("symbol", "ts").distinct().count() == 5
+    assert spark.read.parquet(f"{tumble}/rejected").count() == 1
+
 def test_ingest_stream_is_incremental(spark):
     src = S.shared_path(spark, "test-in")
     q = Q.quotes_from_ticks(event_ticks(spark, SF_SMALL))

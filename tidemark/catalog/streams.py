@@ -18,18 +18,28 @@ from tidemark.sources.tables import event_ticks, read_table
 from tidemark.streaming import streams as ST
 
 
-def _quotes_dir(spark, sf, copies: int = 1) -> str:
-    """Quote JSON files written from ``events`` (``copies`` > 1 replays the files)."""
+def _two_runs(spark, sf, run, replay: bool = False) -> None:
+    """Quote files of ``events`` in two scheduled runs on one checkpoint: first the later half
+    of the time span, then the earlier half, all of it late (and, with ``replay``, the first
+    files once more)."""
     root = shared_path(spark, "quotes-in")
-    q = Q.quotes_from_ticks(event_ticks(spark, sf))
-    for _ in range(copies):
-        Q.write_quotes_json(q, root)
-    return root
+    ticks = event_ticks(spark, sf)
+    lo, hi = ticks.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(lo + (hi - lo) / 2) if lo is not None else F.lit(None)
+    late = F.coalesce(F.col("ts") < middle, F.lit(False))
+    quotes = Q.quotes_from_ticks(ticks.where(~late))
+    Q.write_quotes_json(quotes, root)
+    run(root)
+    Q.write_quotes_json(Q.quotes_from_ticks(ticks.where(late)), root)
+    if replay:
+        Q.write_quotes_json(quotes, root)
+    run(root)
 
 
 _TUMBLE_SQL = O.round_all("""SELECT strftime(to_timestamp(floor(epoch_us(ts) / 300000000) * 300), '%Y-%m-%d %H:%M:%S') AS window_start,
-    event_type AS symbol, count(*) AS invocations, avg(value) AS avg_value, sum(value) AS sum_value
-  FROM events GROUP BY 1, 2""", ["avg_value", "sum_value"], ["window_start", "symbol", "invocations"])
+    event_type AS symbol, count(*) AS invocations,
+    count(*) - count(value) AS errors, avg(value) AS avg_value, sum(value) AS sum_value
+  FROM events GROUP BY 1, 2""", ["avg_value", "sum_value"], ["window_start", "symbol", "invocations", "errors"])
 
 
 @register("tumbling_metrics", _TUMBLE_SQL)
@@ -41,11 +51,13 @@ def q_tumbling_metrics(spark, sf):
 
 @register("tumbling_metrics_stream", _TUMBLE_SQL)
 def q_tumbling_metrics_stream(spark, sf):
-    src = _quotes_dir(spark, sf)
-    sink, ck = shared_path(spark, "tumble-out"), shared_path(spark, "tumble-ck")
-    s = ST.quote_stream(spark, src).withWatermark("ts", "10 minutes")
-    ST.run_to_sink(ST.tumbling_metrics(s, "ts", "symbol", "price", 5), sink, ck, "update")
-    out = ST.latest_version(spark.read.parquet(sink), ["window_start", "symbol"])
+    root, ck = shared_path(spark, "tumble"), shared_path(spark, "tumble-ck")
+
+    def current(rows):
+        return ST.tumbling_metrics(rows, "ts", "symbol", "price", 5).withColumn("day", F.to_date("window_start"))
+
+    _two_runs(spark, sf, lambda src: ST.run_merge(ST.quote_stream(spark, src), root, ck, current))
+    out = spark.read.parquet(f"{root}/state").drop("day")
     return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")))
 
 
@@ -64,20 +76,17 @@ def q_dedup_quotes(spark, sf):
 @register("dedup_quotes_stream", """SELECT DISTINCT event_type AS symbol,
     strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value AS price FROM events""")
 def q_dedup_quotes_stream(spark, sf):
-    src = _quotes_dir(spark, sf, copies=2)
-    sink, ck = shared_path(spark, "dedup-out"), shared_path(spark, "dedup-ck")
-    ST.run_to_sink(ST.dedup_quotes_stream(ST.quote_stream(spark, src)), sink, ck, "append")
-    out = ST.read_sink(spark, sink)
+    root, ck = shared_path(spark, "dedup"), shared_path(spark, "dedup-ck")
+    _two_runs(spark, sf, lambda src: ST.run_dedup(ST.quote_stream(spark, src), root, ck, ("symbol", "ts", "price")), replay=True)
+    out = spark.read.parquet(f"{root}/kept")
     return out.select("symbol", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "price")
 
 
 @register("ingest_quotes_stream", """SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
     value AS price, CAST(1 AS BIGINT) AS volume FROM events""")
 def q_ingest_quotes_stream(spark, sf):
-    src = _quotes_dir(spark, sf)
     bronze, ck = shared_path(spark, "bronze"), shared_path(spark, "bronze-ck")
-    ST.ingest_quotes_stream(spark, src, bronze, ck)
-    ST.ingest_quotes_stream(spark, src, bronze, ck)  # a second scheduled run finds nothing new
+    _two_runs(spark, sf, lambda src: ST.ingest_quotes_stream(spark, src, bronze, ck))
     b = spark.read.parquet(bronze)
     return b.select("symbol", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "price", "volume")
 
@@ -85,22 +94,28 @@ def q_ingest_quotes_stream(spark, sf):
 @register("stream_bars", O.round_all(f"""SELECT symbol, date, open, high, low, close, volume
   FROM ({O.bars('events')}) b""", ["open", "high", "low", "close"], ["symbol", "date", "volume"]))
 def q_stream_bars(spark, sf):
-    src = _quotes_dir(spark, sf)
-    sink, ck = shared_path(spark, "bars-out"), shared_path(spark, "bars-ck")
-    s = ST.quote_stream(spark, src).withColumn("tick_id", F.lit(0).cast("long")).withWatermark("ts", "1 day")
-    ST.run_to_sink(ST.daily_bars(s), sink, ck, "update")
-    out = ST.latest_version(spark.read.parquet(sink), ["symbol", "w"])
-    return rounded(out.select("symbol", F.to_date("w.start").alias("date"), "open", "high", "low", "close", "volume"))
+    root, ck = shared_path(spark, "bars"), shared_path(spark, "bars-ck")
+
+    def run(src):
+        ticks = ST.quote_stream(spark, src).withColumn("tick_id", F.lit(0).cast("long"))
+        ST.run_merge(ticks, root, ck, ST.daily_bars)
+
+    _two_runs(spark, sf, run)
+    out = spark.read.parquet(f"{root}/state")
+    return rounded(out.select("symbol", F.col("day").alias("date"), "open", "high", "low", "close", "volume"))
 
 
 @register("score_requests_stream")
 def q_score_requests_stream(spark, sf):
+    """Requests in two runs, each answered from the forecasts of all model types."""
     bars = bars_from(spark, sf, "orders")
-    fc = cut_lineage(P.forecast_table(train_many(bars, ("arima", "prophet"), AS_OF), bars))
-    src = shared_path(spark, "requests-in")
-    order_requests(spark, sf).write.json(src)
+    fc = cut_lineage(P.forecast_table(cut_lineage(train_many(bars, created_at=AS_OF)), bars))
+    src, sink, ck = (shared_path(spark, n) for n in ("requests-in", "responses", "responses-ck"))
     schema = "request_id string, symbol string, model_type string, days_ahead int"
-    sink, ck = shared_path(spark, "responses"), shared_path(spark, "responses-ck")
-    ST.run_to_sink(spark.readStream.schema(schema).json(src), sink, ck, "append",
-                   transform=lambda b: P.predict_batch(b, fc, AS_OF))
+    requests = order_requests(spark, sf)
+    events = F.col("request_id").startswith("evt-")
+    for part in (requests.where(~events), requests.where(events)):
+        part.write.mode("append").json(src)
+        ST.run_to_sink(spark.readStream.schema(schema).json(src), sink, ck,
+                       transform=lambda b: P.predict_batch(b, fc, AS_OF))
     return ST.read_sink(spark, sink)

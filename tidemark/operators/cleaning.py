@@ -55,7 +55,7 @@ def quarantine(bars: DataFrame, universe: DataFrame | None = None) -> tuple[Data
     """
     w = Window.partitionBy("symbol").orderBy("date")
     reasons = [
-        F.when(F.col("close").isNull() | (F.col("close") <= 0), F.lit("non_positive_price")),
+        F.when(F.col("close").isNull() | F.isnan("close") | (F.col("close") <= 0), F.lit("non_positive_price")),
         F.when(F.col("high") < F.col("low"), F.lit("high_below_low")),
         F.when((F.lag("date").over(w) == F.col("date")) | (F.lead("date").over(w) == F.col("date")),
                F.lit("duplicate_bar")),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import BAR_COLUMNS, BARS
-from tidemark.sources.tables import TICK_SOURCES
+from tidemark.sources.tables import TICK_SOURCES, no_nan
 
 
 def ticks_to_bars(ticks: DataFrame, order_cols: Iterable[str] = ("ts", "tick_id", "seq"),
@@ -23,7 +23,7 @@ def ticks_to_bars(ticks: DataFrame, order_cols: Iterable[str] = ("ts", "tick_id"
     """
     order = F.struct(*[F.col(c) for c in order_cols], F.col("price"))
     key = bucket if bucket is not None else F.to_date("ts")
-    return (ticks.where(F.col("price").isNotNull())
+    return (ticks.withColumn("price", no_nan("price")).where(F.col("price").isNotNull())
             .groupBy("symbol", key.alias("date"))
             .agg(F.min_by("price", order).alias("open"),
                  F.max("price").alias("high"),
@@ -52,7 +52,8 @@ def load_bars(spark: SparkSession, path_or_df, symbols: Iterable[str] | None = N
         df = spark.read.schema(BARS).format(fmt).option("header", "true").load(path_or_df)
     if symbols is not None:
         df = df.where(F.col("symbol").isin(list(symbols)))
-    return df.select(*BAR_COLUMNS)
+    prices = ("open", "high", "low", "close")
+    return df.select(*[no_nan(c).alias(c) if c in prices else F.col(c) for c in BAR_COLUMNS])
 
 
 _PERIOD = re.compile(r"^(\d+)(d|mo|y)$")

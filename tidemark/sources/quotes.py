@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import QUOTE
+from tidemark.sources.tables import no_nan
 
 
 def quotes_from_ticks(ticks: DataFrame, status: str = "collected") -> DataFrame:
@@ -22,4 +23,4 @@ def write_quotes_json(quotes: DataFrame, root: str) -> None:
 def read_quotes_json(spark: SparkSession, root: str) -> DataFrame:
     """Read with the declared schema (no inference) and parse the timestamp."""
     df = spark.read.schema(QUOTE).json(root)
-    return df.withColumn("ts", F.to_timestamp("timestamp"))
+    return df.withColumn("price", no_nan("price")).withColumn("ts", F.try_to_timestamp("timestamp"))

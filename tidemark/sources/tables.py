@@ -6,7 +6,7 @@ columns (``ReadSchema``) and filters on ``symbol`` push down to the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -18,10 +18,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def no_nan(c: Column | str) -> Column:
+    """Every reader's rule for doubles: not-a-number is NULL."""
+    return F.nanvl(F.col(c) if isinstance(c, str) else c, F.lit(None).cast("double"))
+
+
 def _ticks(df: DataFrame, symbol, ts, tick_id, seq, price, qty) -> DataFrame:
     return df.select(symbol.cast("string").alias("symbol"), ts.alias("ts"),
                      tick_id.cast("long").alias("tick_id"), seq.cast("long").alias("seq"),
-                     price.cast("double").alias("price"), qty.cast("double").alias("qty"))
+                     no_nan(price.cast("double")).alias("price"), no_nan(qty.cast("double")).alias("qty"))
 
 
 def order_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

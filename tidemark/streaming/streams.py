@@ -2,24 +2,28 @@
 
 All streams are file-source streams with a checkpoint in the shared folder and
 ``trigger(availableNow=True)``: each scheduled run processes exactly the files
-that arrived since the previous run and stops. Sinks written from
-``foreachBatch`` overwrite a per-batch folder, so a replayed batch (after a
-failure between write and checkpoint commit) rewrites the same output instead
-of duplicating it.
+that arrived since the previous run and stops. Files may arrive in any order of
+event time, so nothing is dropped by a watermark: ``run_merge`` keeps raw rows
+in a bronze table by day and recomputes the days a batch touches, and
+``run_dedup`` looks up the keys already kept on those days. What a batch writes
+is keyed by its id or by whole days, so a replayed batch (after a failure
+between write and checkpoint commit) rewrites the same output.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import QUOTE
+from tidemark.sources.tables import no_nan
 
 
 def quote_stream(spark: SparkSession, src: str) -> DataFrame:
     """Quotes JSON files → ``(symbol, ts timestamp, price, volume, status)``."""
     s = spark.readStream.schema(QUOTE).json(src)
-    return s.withColumn("ts", F.to_timestamp("timestamp"))
+    return s.withColumn("price", no_nan("price")).withColumn("ts", F.try_to_timestamp("timestamp"))
 
 
 def ingest_quotes_stream(spark: SparkSession, src: str, bronze: str, checkpoint: str):
@@ -33,17 +37,22 @@ def ingest_quotes_stream(spark: SparkSession, src: str, bronze: str, checkpoint:
 
 def tumbling_metrics(df: DataFrame, ts: str = "ts", key: str = "symbol", value: str = "price",
                      minutes: int = 5) -> DataFrame:
-    """Invocations, average and total value per key per tumbling window."""
+    """Invocations, errors, average and total value per key per tumbling window.
+
+    An invocation without a value (or with status ``error``) is an error."""
+    bad = F.col(value).isNull()
+    if "status" in df.columns:
+        bad = bad | F.coalesce(F.col("status") == "error", F.lit(False))
     return df.groupBy(F.window(ts, f"{minutes} minutes").alias("w"), key).agg(
-        F.count(F.lit(1)).alias("invocations"), F.avg(value).alias("avg_value"),
+        F.count(F.lit(1)).alias("invocations"), F.count(F.when(bad, 1)).alias("errors"), F.avg(value).alias("avg_value"),
         F.sum(value).alias("sum_value")).select(
-        F.col("w.start").alias("window_start"), F.col(key).alias(key), "invocations", "avg_value", "sum_value")
+        F.col("w.start").alias("window_start"), F.col(key).alias(key), "invocations", "errors", "avg_value", "sum_value")
 
 
 def daily_bars(df: DataFrame) -> DataFrame:
-    """T3 aggregation: same definition as the batch bars, keyed by a 1-day window."""
+    """T3 aggregation: same definition as the batch bars, per ``day``."""
     order = F.struct("ts", "tick_id", "price")
-    return df.groupBy("symbol", F.window("ts", "1 day").alias("w")).agg(
+    return df.where(F.col("price").isNotNull()).groupBy("symbol", "day").agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
         F.max_by("price", order).alias("close"), F.sum("volume").cast("long").alias("volume"))
 
@@ -54,7 +63,7 @@ def _batch_sink(path: str):
     return write
 
 
-def run_to_sink(stream_df: DataFrame, sink: str, checkpoint: str, mode: str = "update",
+def run_to_sink(stream_df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
                 transform=None):
     """Run a stream to completion into per-batch folders via ``foreachBatch``."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -66,11 +75,62 @@ def run_to_sink(stream_df: DataFrame, sink: str, checkpoint: str, mode: str = "u
     return q
 
 
-def latest_version(sink_df: DataFrame, keys) -> DataFrame:
-    """Fold update-mode output: the row from the newest batch per key."""
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return sink_df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop(
-        "_rn", "batch_id", "batch")
+def _arrived(batch: DataFrame, batch_id: int, root: str) -> DataFrame:
+    """Stores a batch's rows in bronze under their day; rows without a time go to ``rejected``."""
+    spark = batch.sparkSession
+    dated = batch.withColumn("day", F.to_date("ts"))
+    dated.where(F.col("day").isNotNull()).write.mode("overwrite").partitionBy("day").parquet(f"{root}/bronze/batch={batch_id}")
+    dated.where(F.col("day").isNull()).drop("day").write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
+    schema = dated.schema
+    return spark.read.schema(schema).parquet(f"{root}/bronze/batch={batch_id}")
+
+
+def run_merge(stream_df: DataFrame, root: str, checkpoint: str, aggregate):
+    """Keep ``aggregate(rows)`` current under ``root/state``, however late rows come.
+
+    ``aggregate`` maps rows to one row per key, each key inside one day of ``ts``, and returns a
+    ``day`` column. A batch recomputes the days it touches from bronze (both tables are
+    partitioned by day, so only those are read and replaced).
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        new = _arrived(batch, batch_id, root)
+        days = new.select("day").distinct()
+        if days.isEmpty():
+            return
+        bronze = batch.sparkSession.read.schema(new.schema).option("basePath", f"{root}/bronze").parquet(f"{root}/bronze")
+        now = aggregate(bronze.join(days, "day", "left_semi"))
+        (now.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(f"{root}/state"))
+    return _run(stream_df, checkpoint, merge)
+
+
+def run_dedup(stream_df: DataFrame, root: str, checkpoint: str, keys=("symbol", "ts"), order=("price",)):
+    """T5 (stream): under ``root/kept`` the first row per key (by ``order`` within its batch),
+    whenever its replays come; keys kept by earlier batches are looked up on the batch's days."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = _arrived(batch, batch_id, root)
+        if new.isEmpty():
+            return
+        kept = spark.createDataFrame([], new.schema)
+        if batch_id > 0:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/kept")
+            if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+                schema = T.StructType([*new.schema.fields, T.StructField("batch", T.IntegerType())])
+                kept = (spark.read.schema(schema).option("basePath", f"{root}/kept").parquet(f"{root}/kept")
+                        .where(F.col("batch") < batch_id).drop("batch"))
+        seen = kept.join(new.select("day").distinct(), "day", "left_semi").select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        first = dedup_quotes(new, keys, list(order))
+        (first.join(seen, same, "left_anti").write.mode("overwrite").partitionBy("day").parquet(f"{root}/kept/batch={batch_id}"))
+    return _run(stream_df, checkpoint, merge)
+
+
+def _run(stream_df: DataFrame, checkpoint: str, merge):
+    q = (stream_df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(merge).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
 
 
 def read_sink(spark: SparkSession, path: str) -> DataFrame:
@@ -78,18 +138,9 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id", "batch")
 
 
-def dedup_quotes(df: DataFrame, keys=("symbol", "ts"), order: str = "tick_id") -> DataFrame:
-    """T5 (batch): one row per key, the first by ``order``."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
-def dedup_quotes_stream(stream_df: DataFrame, delay: str = "1 day", keys=("symbol", "ts")) -> DataFrame:
-    """T5 (stream): drop replayed quotes within the watermark delay."""
-    return stream_df.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
-
-
-def with_event_time(df: DataFrame, ts: Column | str = "ts", delay: str = "1 day") -> DataFrame:
-    """Zoned event time + watermark (NTZ timestamps cannot carry a watermark)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return df.withColumn("ts", c.cast("timestamp")).withWatermark("ts", delay)
+def dedup_quotes(df: DataFrame, keys=("symbol", "ts"), order="tick_id") -> DataFrame:
+    """T5 (batch): one row per key, the first by ``order``; one aggregate, combined map-side."""
+    order = [order] if isinstance(order, str) else list(order)
+    row = F.struct(*[F.col(c) for c in df.columns])
+    first = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_r"))
+    return first.select("_r.*")
