@@ -1,9 +1,9 @@
 """Byte-level BPE over whole texts: each distinct word of the corpus is encoded once.
 
 1. Texts are cut into pre-tokens; per chunk of documents (see ``chunks``) each distinct one is
-   one row, so a frequent pre-token crosses the shuffle once per chunk.
-2. The global shuffle by pre-token brings equal ones together; each is encoded once by its
-   merge ranks, and the ids go back to the chunks.
+   one entry, so a frequent pre-token crosses the shuffle once per chunk.
+2. The global shuffle by pre-token (hashed into parts, entries packed) brings equal ones
+   together; each is encoded once by its merge ranks, and the ids go back to the chunks.
 3. Documents are reassembled by position. Decoding joins the ids with the token-byte table (as
    many rows as the vocabulary) at the level of distinct pre-tokens and reassembles alike.
 
@@ -52,21 +52,30 @@ def splitter(path: str | None = None):
 
 
 def encode_words(words: DataFrame, path: str | None = None) -> DataFrame:
-    """words (chunk, no, word): rows of equal words meet in one partition and share one encoding."""
-    def run(batches):
-        single = _coder(path)[0]._encode_single_piece
-        last, ids = None, b""
-        for pdf in batches:
-            out = []
-            for w in pdf["word"]:
-                if w != last:
-                    last = w
-                    ids = np.array(single(w), "<u4").tobytes()
-                out.append(ids)
-            yield pd.DataFrame({"chunk": pdf["chunk"], "no": pdf["no"], "ids": out})
-
-    by = words.select("chunk", "no", "word").repartition("word").sortWithinPartitions("word")
-    return by.mapInPandas(run, "chunk long, no int, ids binary")
+    """A dictionary (see ``chunks``) -> (chunk, numbers, sizes, ids): equal words share one encoding."""
+    def work(entries):
+        single, memo, out = _coder(path)[0]._encode_single_piece, {}, []
+        for words, _ in entries:
+            ids = []
+            for w in words:
+                got = memo.get(w)
+                if got is None:
+                    got = memo[w] = single(w)
+                ids.append(got)
+            flat = np.fromiter((i for x in ids for i in x), np.int64)
+            out.append((chunks.pack(np.fromiter(map(len, ids), np.int64, len(ids))), chunks.pack(flat)))
+        return out
+
+    return chunks.by_word(words, work, "sizes binary, ids binary")
+
+
+def _gather(rows: pd.DataFrame, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and size of each word's ids, by word number, in one array of ids."""
+    own = np.concatenate([np.empty(0, np.int64), *map(chunks.unpack, rows["sizes"])])
+    flat = np.concatenate([np.empty(0, np.int64), *map(chunks.unpack, rows["ids"])])
+    sizes, starts = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    sizes[at], starts[at] = own, np.cumsum(own) - own
+    return starts, sizes, flat.astype("<u4")
 
 
 def token_bytes(spark, path: str | None = None) -> DataFrame:
@@ -103,15 +112,13 @@ def _assemble(docs: DataFrame, path: str | None, digests: bool) -> DataFrame:
     coded = encode_words(chunks.dictionary(flagged, split), path)
     table = spark.sparkContext.broadcast(_token_table(token_bytes(spark, path)) if digests else None)
 
-    def work(ids, _, lengths, numbers, words):
-        flat = np.frombuffer(b"".join(words["ids"]), "<u4")
-        sizes = np.fromiter((len(x) // 4 for x in words["ids"]), np.int64, len(words))
-        starts = np.cumsum(sizes) - sizes
+    def work(ids, _, lengths, numbers, known):
+        starts, sizes, flat = known
         if digests:  # bytes of each distinct word by joining its ids with the token-byte table
             tok_start, tok_size, tok_flat = table.value
             raw, ends = _pick(tok_start, tok_size, flat, tok_flat)
-            word_end = np.append(0, ends)[np.append(starts, len(flat))]
-            raw_start, raw_size = word_end[:-1], np.diff(word_end)
+            place = np.append(0, ends)
+            raw_start, raw_size = place[starts], place[starts + sizes] - place[starts]
         out, at = [], 0
         for n in lengths:
             own = numbers[at: at + n]
@@ -130,7 +137,7 @@ def _assemble(docs: DataFrame, path: str | None, digests: bool) -> DataFrame:
         return res
 
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids binary")
-    return chunks.paired(chunks.streams(flagged, split), coded, work, schema)
+    return chunks.paired(chunks.streams(flagged, split), coded, _gather, work, schema)
 
 
 def _token_table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,8 +4,10 @@ A chunk is a run of rows of one input partition holding at most ``CHARS`` charac
 at least). Inside it each distinct word has a number, in order of first appearance. Two tables
 are derived from the same deterministic pass:
 
-* ``dictionary``: one row (chunk, no, word, n) per chunk and distinct word. This is what gets
-  shuffled by word; a word in every document is one row per chunk, not one per occurrence.
+* ``dictionary``: the distinct words of each chunk, dealt into parts by a hash of the word, one
+  packed row (chunk, part, words, numbers, counts) per chunk and part. All that is known of a
+  word meets in its part; a word in every document is one entry per chunk, not one per
+  occurrence. The number of parts follows the session's shuffle partitions.
 * ``streams``: one row per chunk with the numbers of its words packed and compressed, and its
   documents' ids.
 
@@ -25,22 +27,36 @@ import zstandard
 from pyspark.sql import DataFrame
 
 CHARS = 1 << 24
-PLANES = 3  # bytes of a word number: 2**24 distinct words a chunk, which CHARS ensures
 
-DICTIONARY = "chunk long, no int, word binary, n long"
+DICTIONARY = "chunk long, part int, words binary, numbers binary, counts binary"
 STREAMS = "chunk long, doc_ids binary, id_null binary, flags binary, lengths binary, numbers binary"
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :PLANES].T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
+    """Non-negative integers, byte planes compressed."""
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(PLANES, -1)
-    out = np.zeros((planes.shape[1], 4), np.uint8)
-    out[:, :PLANES] = planes.T
-    return out.view("<u4").ravel()
+    width = blob[0]
+    planes = np.frombuffer(zstandard.decompress(blob[1:]), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<i8").ravel()
+
+
+def pack_words(words: list[bytes]) -> bytes:
+    sizes = pack(np.fromiter(map(len, words), np.int64, len(words)))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(words), 3)
+
+
+def unpack_words(blob: bytes) -> list[bytes]:
+    n = int.from_bytes(blob[:4], "little")
+    ends = np.cumsum(unpack(blob[4: 4 + n])).tolist()
+    flat = zstandard.decompress(blob[4 + n:])
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
@@ -74,18 +90,41 @@ def _numbered(rows: list[tuple], split: Callable[[str | None], list], flagged_on
 def dictionary(docs: DataFrame, split: Callable, flagged_only: bool = False) -> DataFrame:
     """docs (doc_id, text, flag): the distinct words of each chunk, with their counts (over
     flagged rows alone where asked for)."""
+    parts = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def run(batches):
         for rows in _chunks(batches):
             chunk, nos, counts, _ = _numbered(rows, split, flagged_only)
-            words = [w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass") for w in nos]
-            for at in range(0, len(words), 1 << 16):
-                part = words[at: at + (1 << 16)]
-                yield pd.DataFrame({"chunk": chunk, "no": np.arange(at, at + len(part), dtype=np.int32),
-                                    "word": part, "n": counts[at: at + len(part)]})
+            dealt: list[list] = [[] for _ in range(parts)]
+            for w, no in nos.items():
+                w = w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass")
+                dealt[xxhash.xxh3_64_intdigest(w) % parts].append((w, no))
+            out = []
+            for part, own in enumerate(dealt):
+                if own:
+                    own.sort()
+                    at = np.array([no for _, no in own])
+                    out.append((chunk, part, pack_words([w for w, _ in own]), pack(at), pack(counts[at])))
+            yield pd.DataFrame(out, columns=["chunk", "part", "words", "numbers", "counts"])
 
     return docs.select("doc_id", "text", "flag").mapInPandas(run, DICTIONARY)
 
 
+def by_word(words: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """work(list of (words, counts) per chunk) -> one tuple of packed columns per chunk, called
+    with all chunks' entries of one part; gives (chunk, numbers, <schema>)."""
+    names = [f.split()[0] for f in schema.split(",")]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = work([(unpack_words(w), unpack(c)) for w, c in zip(pdf["words"], pdf["counts"])])
+        res = pd.DataFrame(got, columns=names)
+        res.insert(0, "numbers", pdf["numbers"].to_numpy())
+        res.insert(0, "chunk", pdf["chunk"].to_numpy())
+        return res
+
+    return words.groupBy("part").applyInPandas(run, f"chunk long, numbers binary, {schema}")
+
+
 def streams(docs: DataFrame, split: Callable, as_set: bool = False) -> DataFrame:
     """docs (doc_id, text, flag): one packed row per chunk (numbers in order of appearance;
     sorted within a document with ``as_set``, where only how often a word occurs matters)."""
@@ -106,9 +145,10 @@ def streams(docs: DataFrame, split: Callable, as_set: bool = False) -> DataFrame
     return docs.select("doc_id", "text", "flag").mapInPandas(run, STREAMS)
 
 
-def paired(chunk_streams: DataFrame, words: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """Joins each chunk's stream with its dictionary rows and applies
-    work(doc_ids, flags, lengths, numbers, dictionary sorted by no) -> DataFrame.
+def paired(chunk_streams: DataFrame, words: DataFrame, gather: Callable, work: Callable, schema: str) -> DataFrame:
+    """Joins each chunk's stream with its dictionary and applies
+    work(doc_ids, flags, lengths, numbers, known) -> DataFrame, where
+    known = gather(dictionary rows, their word numbers in the rows' order).
 
     A group is one chunk, whose size is bounded, whatever the input's.
     """
@@ -116,14 +156,18 @@ def paired(chunk_streams: DataFrame, words: DataFrame, work: Callable, schema: s
         if left.empty:
             raise RuntimeError("a chunk's words without its stream: the input rows came in another order")
         out = []
-        right = right.drop_duplicates("no").sort_values("no").reset_index(drop=True)
-        for row in left.itertuples(index=False):  # more than one only for equal chunks, whose words are equal
+        right = right.drop_duplicates("numbers")  # equal chunks have equal rows
+        at = np.concatenate([np.empty(0, np.int64), *map(unpack, right["numbers"])])
+        if len(at) and (len(np.unique(at)) != len(at) or at.max() != len(at) - 1):
+            raise RuntimeError("a chunk's words are not whole")
+        known = gather(right, at)
+        for row in left.itertuples(index=False):
             numbers, lengths = unpack(row.numbers), np.frombuffer(row.lengths, "<i8")
-            if len(numbers) and (right.empty or int(numbers.max()) >= len(right)):
+            if len(numbers) and int(numbers.max()) >= len(at):
                 raise RuntimeError("a chunk's stream without its words: the input rows came in another order")
             ids = pd.array(np.frombuffer(row.doc_ids, "<i8").copy(), "Int64")
             ids[np.frombuffer(row.id_null, np.uint8).astype(bool)] = pd.NA
-            out.append(work(ids, np.frombuffer(row.flags, np.uint8).astype(bool), lengths, numbers, right))
+            out.append(work(ids, np.frombuffer(row.flags, np.uint8).astype(bool), lengths, numbers, known))
         return pd.concat(out, ignore_index=True)
 
     return chunk_streams.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInPandas(run, schema)

@@ -9,7 +9,8 @@ words (as the vocabulary's own tokenizer cuts them) plus ``PRIOR`` times a Zipf-
 law over the rank that the vocabulary's own scores give. Characters without a piece go
 through the byte pieces, so every text has a finite score.
 
-The word counts of the training texts are summed per chunk first and then by word; per-piece
+The word counts of the training texts are summed per chunk first and then by word (see
+``chunks``), and each distinct word's marginal is computed where its counts meet; per-piece
 counts (as many as the vocabulary) are all that reaches the driver.
 
 Null texts count as empty: one end token. Without training texts N is 0 and V is 0.
@@ -42,20 +43,26 @@ def _tokenizer(path: str | None):
     return sentencepiece.SentencePieceProcessor(model_file=path or public.path(MODEL))
 
 
+def _totals(entries: list) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+    """Distinct words of all entries, their summed counts, and each entry's places among them."""
+    nos: dict[bytes, int] = {}
+    at = [np.fromiter((nos.setdefault(w, len(nos)) for w in words), np.int64, len(words)) for words, _ in entries]
+    total = np.zeros(len(nos), np.int64)
+    for places, (_, counts) in zip(at, entries):
+        total[places] += counts  # a chunk has each word once
+    return list(nos), total, at
+
+
 def _count_pieces(path):
-    def run(batches):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sp = _tokenizer(path)
-        total, words = 0, 0
-        counts = np.zeros(sp.vocab_size())
-        for pdf in batches:
-            n = pdf["c"].to_numpy(np.int64)
-            total += int(n.sum())
-            words += len(n)
-            cut = sp.encode([w.decode("utf-8", "replace") for w in pdf["word"]], num_threads=1)
-            flat = np.fromiter((i for x in cut for i in x), np.int64)
-            counts += np.bincount(flat, np.repeat(n, [len(x) for x in cut]), minlength=len(counts))
+        words, n, _ = _totals([(chunks.unpack_words(w), chunks.unpack(c)) for w, c in zip(pdf["words"], pdf["counts"])])
+        known = np.flatnonzero(n)
+        cut = sp.encode([words[i].decode("utf-8", "replace") for i in known], num_threads=1)
+        flat = np.fromiter((i for x in cut for i in x), np.int64)
+        counts = np.bincount(flat, np.repeat(n[known], [len(x) for x in cut]), minlength=sp.vocab_size())
         at = np.flatnonzero(counts)
-        yield pd.DataFrame({"piece": np.append(at, [_N, _V]), "n": np.append(counts[at], [total, words]).astype(np.int64)})
+        return pd.DataFrame({"piece": np.append(at, [_N, _V]), "n": np.append(counts[at], [n.sum(), len(known)]).astype(np.int64)})
     return run
 
 
@@ -86,35 +93,25 @@ def marginal(word: str, logs: dict[str, float], one_byte: list[float], longest:
     return forward[-1]
 
 
-def _word_scores(words: DataFrame, weights, total: float, path: str | None) -> DataFrame:
-    """words (chunk, no, word, n) -> (chunk, no, c, base, model): rows of equal words meet in one
-    partition, next to each other, where their counts are summed."""
+def _word_scores(words: DataFrame, weights) -> DataFrame:
+    """A dictionary -> (chunk, numbers, c, model): training counts and marginals of its words."""
     sent = words.sparkSession.sparkContext.broadcast(weights)
 
-    def run(batches):
+    def work(entries):
         logs, one_byte, _ = sent.value
         longest = max(map(len, logs))
+        words, c, at = _totals(entries)
+        model = np.array([marginal(w.decode("utf-8", "surrogatepass"), logs, one_byte, longest) for w in words]) / math.log(10)
+        return [(chunks.pack(c[p]), model[p].astype("<f8").tobytes()) for p in at]
 
-        def done(pdf):
-            code, kinds = pd.factorize(pdf["word"])
-            c = np.bincount(code, pdf["n"], minlength=len(kinds))
-            model = np.array([marginal(w.decode("utf-8", "surrogatepass"), logs, one_byte, longest) for w in kinds])
-            base = np.log10((c + 0.5) / total)
-            return pd.DataFrame({"chunk": pdf["chunk"], "no": pdf["no"], "c": c[code].astype(np.int64),
-                                 "base": base[code], "model": model[code] / math.log(10)})
+    return chunks.by_word(words, work, "c binary, model binary")
 
-        held = None
-        for pdf in batches:
-            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            last = pdf["word"] == pdf["word"].iloc[-1] if len(pdf) else pdf["word"].isna()
-            held, ready = pdf[last], pdf[~last]
-            if len(ready):
-                yield done(ready.reset_index(drop=True))
-        if held is not None and len(held):
-            yield done(held.reset_index(drop=True))
 
-    by = words.repartition("word").sortWithinPartitions("word")
-    return by.mapInPandas(run, "chunk long, no int, c long, base double, model double")
+def _gather(rows: pd.DataFrame, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    c, model = np.empty(len(at), np.int64), np.empty(len(at))
+    c[at] = np.concatenate([np.empty(0, np.int64), *map(chunks.unpack, rows["c"])])
+    model[at] = np.concatenate([np.empty(0), *(np.frombuffer(x, "<f8") for x in rows["model"])])
+    return c, model
 
 
 def score(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -123,13 +120,12 @@ def score(docs: DataFrame, path: str | None = None) -> DataFrame:
                          (~held_out(F.col("doc_id"), FOLDS, FOLD)).alias("flag"))
     words = chunks.dictionary(marked, words_of, flagged_only=True)
     n_end = marked.filter("flag").count()
-    counted = words.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")
-    counts = {r["piece"]: r["n"] for r in counted.mapInPandas(_count_pieces(path), "piece int, n long")
+    counts = {r["piece"]: r["n"] for r in words.groupBy("part").applyInPandas(_count_pieces(path), "piece int, n long")
               .groupBy("piece").agg(F.sum("n").alias("n")).collect()}  # one row per piece of the vocabulary
     n_train, v = counts.pop(_N, 0) + n_end, counts.pop(_V, 0) + (n_end > 0)
     weights = piece_weights(counts, n_end, path)
     total = n_train + 0.5 * (v + 1)
-    scored = _word_scores(words, weights, total, path)
+    scored = _word_scores(words, weights)
     base_end, model_end = math.log10((n_end + 0.5) / total), weights[2] / math.log(10)
 
     def work(ids, flags, lengths, numbers, known):
@@ -138,13 +134,13 @@ def score(docs: DataFrame, path: str | None = None) -> DataFrame:
         def per_doc(x):
             return np.bincount(doc, x[numbers], minlength=len(lengths))
 
-        c = known["c"].to_numpy(np.int64)
+        c, model = known
         return pd.DataFrame({
             "doc_id": ids, "held_out": ~flags, "n_tokens": lengths + 1,
             "n_known": per_doc((c > 0).astype(float)).astype(np.int64) + (n_end > 0), "train_tokens": n_train,
-            "base_score": per_doc(known["base"].to_numpy(float)) + base_end,
-            "score": per_doc(known["model"].to_numpy(float)) + model_end})
+            "base_score": per_doc(np.log10((c + 0.5) / total)) + base_end,
+            "score": per_doc(model) + model_end})
 
-    return chunks.paired(chunks.streams(marked, words_of, as_set=True), scored, work,
+    return chunks.paired(chunks.streams(marked, words_of, as_set=True), scored, _gather, work,
                          "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                          "base_score double, score double")
