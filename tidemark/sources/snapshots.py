@@ -93,23 +93,47 @@ def write_status_history(status: DataFrame, root: str) -> None:
     status.write.mode("append").json(root)
 
 
-def write_alerts(alerts: DataFrame, root: str, col: str = "message") -> None:
-    """Append alert texts."""
-    alerts.select(col).write.mode("append").text(root)
+def write_alerts(alerts: DataFrame, root: str) -> None:
+    """Append alerts as JSON records; a message of several lines is one record."""
+    alerts.write.mode("append").json(root)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+_FILES = "path string, length long, modificationTime timestamp"
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, length, modificationTime)`` of the Parquet files under ``path``, none if it is
+    absent. The ``binaryFile`` source with only its metadata columns selected never reads
+    contents, and its listing is distributed."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], _FILES)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime"))
+
+
+def _summed(files: DataFrame, *by) -> DataFrame:
+    return files.groupBy(*by).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+                                  F.max("modificationTime").alias("latest_modified")).withColumn(
+        "size_kb", F.round(F.col("bytes") / 1024, 2))
 
 
 def file_inventory(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """File count, total bytes (and KB, F8) and newest modification time of
-    the Parquet files under ``path``. Uses the ``binaryFile`` source with only
-    its metadata columns selected, so file contents are never read and the
-    listing itself is distributed — no row of the table is scanned."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(path)
-             .select("path", "length", "modificationTime"))
-    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
-                     F.max("modificationTime").alias("latest_modified")).select(
-        F.lit(name).alias("resource"), "files", "bytes",
-        F.round(F.col("bytes") / 1024, 2).alias("size_kb"), "latest_modified")
+    """File count, total bytes (and KB, F8) and newest modification time of the Parquet files
+    under ``path``; an absent path has no files."""
+    return _summed(list_files(spark, path)).select(
+        F.lit(name).alias("resource"), "files", "bytes", "size_kb", "latest_modified")
+
+
+def table_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """A7 of every ``<name>.parquet`` table under ``root``, from one listing."""
+    name = F.regexp_extract("path", r"/([^/]+)\.parquet(/|$)", 1)
+    return _summed(list_files(spark, root), name.alias("resource")).select(
+        "resource", "files", "bytes", "size_kb", "latest_modified")
 
 
 def lifecycle_tier(age_days) -> F.Column:
