@@ -49,7 +49,31 @@ def test_quarantine_and_requests(spark):
     req = spark.createDataFrame([("aapl", "LSTM", 5), (None, None, None), ("msft", "lstm", 45),
                                  ("goog", "xgboost", 1)], "symbol string, model_type string, days_ahead int")
     out = [r.asDict() for r in C.validate_requests(req).collect()]
-    assert out[0] == {"symbol": "AAPL", "model_type": "lstm", "days_ahead": 5, "error": None}
+    assert out[0] == {"symbol": "AAPL", "model_type": "lstm", "requested_days": 5, "days_ahead": 5, "error": None}
     assert out[1]["symbol"] == "AAPL" and out[1]["model_type"] == "lstm" and out[1]["days_ahead"] == 1
-    assert out[2]["days_ahead"] == 30
+    assert out[2]["days_ahead"] == 30 and out[2]["requested_days"] == 45
     assert out[3]["error"] == "Unsupported model type: xgboost"
+
+
+def test_bodies_malformed_missing_and_parsed(spark):
+    rows = [(1, '{"symbol": "msft", "days_ahead": 3}'), (2, "{not json"), (3, "[]"), (4, None), (5, '{"days_ahead": "x"}'), (6, "{}")]
+    df = spark.createDataFrame(rows, "request_id int, body string")
+    got = {r.request_id: r for r in C.validate_requests(C.parse_request_body(df)).collect()}
+    assert (got[1].symbol, got[1].days_ahead, got[1].error) == ("MSFT", 3, None)
+    assert all(got[i].error == "Malformed request body" and got[i].symbol is None for i in (2, 3, 5))
+    assert (got[4].symbol, got[4].error, got[6].symbol, got[6].error) == ("AAPL", None, "AAPL", None)
+    parsed = spark.createDataFrame([(1, ("goog", "arima", 2))], "request_id int, body struct<symbol:string,model_type:string,days_ahead:int>")
+    r = C.validate_requests(C.parse_request_body(parsed)).first()
+    assert (r.symbol, r.model_type, r.days_ahead, r.error) == ("GOOG", "arima", 2, None)
+
+
+def test_not_a_number_is_no_price(spark):
+    from tidemark.sources.bars import ticks_to_bars
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    ticks = spark.createDataFrame([("A", t, 1, 0, float("nan"), 1.0), ("A", t, 2, 0, 5.0, 1.0), ("B", t, 1, 0, float("nan"), 1.0)],
+                                  "symbol string, ts timestamp_ntz, tick_id long, seq long, price double, qty double")
+    assert [(r.symbol, r.open, r.high) for r in ticks_to_bars(ticks).collect()] == [("A", 5.0, 5.0)]
+    bad = series(spark, [float("nan"), 2.0], "N")
+    good, rejected = C.quarantine(bad)
+    assert [r.reason for r in rejected.collect()] == ["non_positive_price"] and good.count() == 1

@@ -12,7 +12,9 @@ from tidemark.operators import cleaning as C
 from tidemark.operators import dataset as D
 from tidemark.operators import evaluate as E
 from tidemark.operators import indicators as I
+from tidemark.plans.ingest import ingest
 from tidemark.sources.bars import bars_from
+from tidemark.sources.snapshots import read_latest_snapshot, shared_path
 from tidemark.sources.tables import read_table
 
 SEQ = C.SEQUENCE_FEATURES
@@ -55,11 +57,25 @@ def q_select_by_prefix(spark, sf):
 
 # ------------------------------------------------------------------ P5 quarantine
 def _supplier_quarantine(spark, sf):
+    """Supplier bars, their bars before 1993 once more, and events as bars of no supplier whose
+    high is below their low and whose close is often negative."""
     universe = read_table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"))
-    return C.quarantine(bars_from(spark, sf, "suppliers"), universe)
+    bars = bars_from(spark, sf, "suppliers")
+    bars = bars.unionByName(bars.where(F.col("date") < F.lit("1993-01-01").cast("date"))).unionByName(_event_bars(spark, sf))
+    return C.quarantine(bars, universe)
 
 
-_QSQL = f"""WITH b AS ({O.bars('suppliers')}),
+def _event_bars(spark, sf):
+    low = F.col("value") - 50
+    return read_table(spark, sf, "events").select(
+        F.col("event_type").alias("symbol"), F.to_date("ts").alias("date"), low.alias("open"), low.alias("high"),
+        F.col("value").alias("low"), low.alias("close"), F.lit(1).cast("long").alias("volume"))
+
+
+_EVENT_BARS = """SELECT event_type AS symbol, CAST(ts AS DATE) AS date, value - 50 AS open, value - 50 AS high,
+    value AS low, value - 50 AS close, CAST(1 AS BIGINT) AS volume FROM events"""
+_QSQL = f"""WITH s AS ({O.bars('suppliers')}),
+  b AS (SELECT * FROM s UNION ALL SELECT * FROM s WHERE date < DATE '1993-01-01' UNION ALL {_EVENT_BARS}),
   u AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS s FROM supplier),
   f AS (SELECT b.*, u.s,
           lag(date) OVER (PARTITION BY symbol ORDER BY date) AS pd,
@@ -86,6 +102,20 @@ def q_quarantine_good(spark, sf):
     return good.groupBy("symbol").agg(F.count(F.lit(1)).alias("good_bars"))
 
 
+_IND = ["open", "high", "low", "close", "MA_5", "MA_20", "MA_50", "RSI", "BB_Middle", "BB_Upper", "BB_Lower", "Volume_MA"]
+
+
+@register("ingest_plan", R(O.indicators(f"({O.bars('orders')})"), _IND, ["symbol", "date", "volume"]))
+def q_ingest_plan(spark, sf):
+    """E1 over order bars and event bars: all event bars are rejected, the others are stored."""
+    root = shared_path(spark, "ingest")
+    universe = read_table(spark, sf, "orders").select(F.col("o_orderpriority").alias("symbol"))
+    bars = bars_from(spark, sf, "orders").unionByName(_event_bars(spark, sf))
+    ingest(bars, root, "20240101_090000", universe)
+    schema = I.add_indicators(bars).schema
+    return rounded(read_latest_snapshot(spark, root, schema)[0].select("symbol", "date", "volume", *_IND))
+
+
 # ------------------------------------------------------------------ P6-P7 requests
 def event_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Prediction requests derived from ``events``: symbol from the event type
@@ -106,7 +136,7 @@ _REQ_SQL = """SELECT event_id, lower(event_type) AS symbol,
 
 _VALID_SQL = """SELECT event_id, upper(coalesce(symbol, 'AAPL')) AS symbol,
     lower(coalesce(model_type, 'lstm')) AS model_type,
-    least(coalesce(days_ahead, 1), 30) AS days_ahead,
+    days_ahead AS requested_days, least(coalesce(days_ahead, 1), 30) AS days_ahead,
     CASE WHEN lower(coalesce(model_type, 'lstm')) NOT IN ('lstm', 'prophet', 'arima', 'linear')
          THEN 'Unsupported model type: ' || lower(coalesce(model_type, 'lstm')) END AS error
   FROM ({src}) r"""

@@ -97,6 +97,15 @@ def q_rank_models(spark, sf):
     return rounded(E.rank_models(m, "mae", partition=("symbol",), ascending=True, tie="model_type"))
 
 
+@register("rank_symbols", R(f"""SELECT *, CASE WHEN rank = 1 THEN 'Best' ELSE 'Good' END AS label FROM (
+    SELECT symbol, mae, r2, CAST(row_number() OVER (ORDER BY round(r2, 6) DESC NULLS LAST, symbol) AS INTEGER) AS rank
+    FROM ({_BASE_METRICS_SQL}) m WHERE model_type = 'linear_1f') r""", ["mae", "r2"], ["symbol", "rank", "label"]))
+def q_rank_symbols(spark, sf):
+    """All symbols ranked by the fit of one model type."""
+    m = baseline_metrics(spark, sf).where(F.col("model_type") == "linear_1f").select("symbol", "mae", F.round("r2", 6).alias("r2"))
+    return rounded(E.rank_models(m, "r2"))
+
+
 # ------------------------------------------------------------------ M6 future frame (SQL)
 @register("future_frame", f"""WITH s AS (SELECT symbol, date,
       row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn, count(*) OVER (PARTITION BY symbol) AS n

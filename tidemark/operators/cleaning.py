@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import REQUEST
 
@@ -74,28 +75,41 @@ def quarantine(bars: DataFrame, universe: DataFrame | None = None) -> tuple[Data
     return good, rejected
 
 
-def validate_requests(req: DataFrame) -> DataFrame:
+def validate_requests(req: DataFrame, max_days: int = MAX_DAYS_AHEAD) -> DataFrame:
     """Normalise prediction requests; invalid ones carry ``error``.
 
-    symbol upper-cased (default AAPL), model type lower-cased (default lstm),
-    days_ahead defaults to 1 and is capped at 30; unknown model types error.
+    symbol upper-cased (default AAPL), model type lower-cased (default lstm), days_ahead
+    defaults to 1 and is capped at ``max_days`` (``requested_days`` keeps what was asked);
+    unknown model types and bodies that did not parse (``parse_error``) are errors.
     """
     mt = F.lower(F.coalesce(F.col("model_type"), F.lit(DEFAULT_MODEL_TYPE)))
-    out = req.select(
-        *[c for c in req.columns if c not in ("symbol", "model_type", "days_ahead")],
-        F.upper(F.coalesce(F.col("symbol"), F.lit(DEFAULT_SYMBOL))).alias("symbol"),
-        mt.alias("model_type"),
-        F.least(F.coalesce(F.col("days_ahead").cast("int"), F.lit(DEFAULT_DAYS_AHEAD)),
-                F.lit(MAX_DAYS_AHEAD)).alias("days_ahead"),
-        F.when(~mt.isin(SERVED_TYPES),
-               F.concat(F.lit("Unsupported model type: "), mt)).alias("error"))
-    return out
+    asked = F.col("days_ahead").cast("int")
+    error = F.when(~mt.isin(SERVED_TYPES), F.concat(F.lit("Unsupported model type: "), mt))
+    parsed = "parse_error" in req.columns
+    if parsed:
+        error = F.coalesce(F.col("parse_error"), error)
 
+    def unless_broken(c):
+        return F.when(F.col("parse_error").isNull(), c) if parsed else c
+
+    return req.select(
+        *[c for c in req.columns if c not in ("symbol", "model_type", "days_ahead", "parse_error")],
+        unless_broken(F.upper(F.coalesce(F.col("symbol"), F.lit(DEFAULT_SYMBOL)))).alias("symbol"),
+        unless_broken(mt).alias("model_type"), asked.alias("requested_days"),
+        unless_broken(F.least(F.coalesce(asked, F.lit(DEFAULT_DAYS_AHEAD)), F.lit(max_days))).alias("days_ahead"),
+        error.alias("error"))
 
-def parse_request_body(df: DataFrame, body: str = "body") -> DataFrame:
-    """A JSON string body (or already-parsed struct columns) → request columns."""
-    parsed = F.from_json(F.col(body), REQUEST)
-    return df.select(*[c for c in df.columns if c != body],
-                     parsed.symbol.alias("symbol"), parsed.model_type.alias("model_type"),
-                     parsed.days_ahead.alias("days_ahead"))
 
+def parse_request_body(df: DataFrame, body: str = "body") -> DataFrame:
+    """A JSON string body, or an already parsed struct, → request columns and ``parse_error``
+    (a body that is no JSON object, or whose days_ahead is no number). A null body asks for the
+    defaults."""
+    keep = [c for c in df.columns if c != body]
+    if isinstance(df.schema[body].dataType, T.StructType):
+        return df.select(*keep, *[F.col(f"{body}.{c}").cast(t).alias(c) for c, t in (
+            ("symbol", "string"), ("model_type", "string"), ("days_ahead", "int"))], F.lit(None).cast("string").alias("parse_error"))
+    broken = T.StructType([*REQUEST.fields, T.StructField("_broken", T.StringType())])
+    parsed = F.from_json(F.col(body), broken, {"columnNameOfCorruptRecord": "_broken"})
+    bad = F.col(body).isNotNull() & (parsed["_broken"].isNotNull() | parsed.isNull())
+    return df.select(*keep, *[parsed[c].alias(c) for c in ("symbol", "model_type", "days_ahead")],
+                     F.when(bad, F.lit("Malformed request body")).alias("parse_error"))

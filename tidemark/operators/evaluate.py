@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 
 def align_actual_predicted(actual: DataFrame, predicted: DataFrame,
                            on=("symbol", "date"), how: str = "inner") -> DataFrame:
@@ -60,14 +62,24 @@ def training_summary(metrics: DataFrame, keys=("symbol",)) -> DataFrame:
 def rank_models(metrics: DataFrame, score: str = "r2", partition=(), ascending: bool = False,
                 tie: str = "symbol") -> DataFrame:
     """Rank by ``score`` (within ``partition``); rank 1 is 'Best', others 'Good'.
-    Ties broken by ``tie`` so the ranking is deterministic. Without a partition
-    the ranking is global (one task over a one-row-per-symbol table)."""
+    Ties broken by ``tie`` so the ranking is deterministic. Without a partition the ranking is
+    over all rows: range-partitioned, each partition's ranks offset by the rows before it."""
     order = F.col(score).asc_nulls_last() if ascending else F.col(score).desc_nulls_last()
-    w = (Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))).orderBy(
-        order, F.col(tie))
-    rk = F.row_number().over(w)
-    return metrics.select("*", rk.alias("rank"),
-                          F.when(rk == 1, F.lit("Best")).otherwise(F.lit("Good")).alias("label"))
+    if partition:
+        ranked = metrics.withColumn("rank", F.row_number().over(Window.partitionBy(*partition).orderBy(order, F.col(tie))))
+    else:
+        # the borders of a range partitioning are sampled, so it must be drawn once only
+        placed = cut_lineage(metrics.repartitionByRange(order, F.col(tie)).sortWithinPartitions(order, F.col(tie))
+                             .withColumn("_at", F.monotonically_increasing_id()))
+        part = F.shiftright("_at", 33)
+        rows = sorted((r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        before, offsets = 0, [F.lit(-1).cast("long"), F.lit(0).cast("long")]
+        for p, n in rows:
+            offsets += [F.lit(p).cast("long"), F.lit(before).cast("long")]
+            before += n
+        rank = F.element_at(F.create_map(*offsets), part) + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+        ranked = placed.withColumn("rank", rank.cast("int")).drop("_at")
+    return ranked.withColumn("label", F.when(F.col("rank") == 1, F.lit("Best")).otherwise(F.lit("Good")))
 
 
 def collect_stats(bars: DataFrame) -> DataFrame:

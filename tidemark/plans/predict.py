@@ -103,7 +103,7 @@ def predict_batch(requests: DataFrame, forecasts: DataFrame, timestamp: str) ->
                  F.concat(F.col("model_type"), F.lit(" serves days up to "), F.size("predictions").cast("string"))))
     ok = err.isNull()
     return j.select(
-        "request_id", "symbol", "model_type",
+        "request_id", "symbol", "model_type", "requested_days", F.when(ok, h).alias("served_days"),
         F.when(ok, F.slice("predictions", 1, h)).alias("predictions"),
         F.when(ok, F.slice("lower", 1, h)).alias("lower_bounds"),
         F.when(ok, F.slice("upper", 1, h)).alias("upper_bounds"),
