@@ -250,7 +250,7 @@ def order_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("predict_batch")
 def q_predict_batch(spark, sf):
-    bars = bars_from(spark, sf, "orders")
+    bars = cut_lineage(bars_from(spark, sf, "orders"))  # read by the fits and by serving
     models = cut_lineage(train_many(bars, created_at=AS_OF))
     fc = P.forecast_table(models, bars)
     return P.predict_batch(order_requests(spark, sf), fc, AS_OF)

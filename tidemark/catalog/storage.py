@@ -98,7 +98,7 @@ def q_quotes_json(spark, sf):
 def q_models_latest(spark, sf):
     bars = bars_from(spark, sf, "orders")
     root = S.shared_path(spark, "models")
-    S.write_models(train_many(bars, ("linear", "arima"), "2024-01-01 00:00:00"), root)
+    S.write_models(train_many(bars, created_at="2024-01-01 00:00:00"), root)
     S.write_models(train_many(bars, ("linear",), "2024-01-02 00:00:00"), root)
     return S.load_latest_model(spark.read.parquet(root))
 

@@ -108,7 +108,7 @@ def q_stream_bars(spark, sf):
 @register("score_requests_stream")
 def q_score_requests_stream(spark, sf):
     """Requests in two runs, each answered from the forecasts of all model types."""
-    bars = bars_from(spark, sf, "orders")
+    bars = cut_lineage(bars_from(spark, sf, "orders"))
     fc = cut_lineage(P.forecast_table(cut_lineage(train_many(bars, created_at=AS_OF)), bars))
     src, sink, ck = (shared_path(spark, n) for n in ("requests-in", "responses", "responses-ck"))
     schema = "request_id string, symbol string, model_type string, days_ahead int"

@@ -19,8 +19,6 @@ from tidemark.operators.indicators import add_indicators
 from tidemark.session import cut_lineage
 
 MODEL_TYPES = ("linear", "arima", "prophet", "lstm")
-# reference names → our implementations
-ALIASES = {"lstm": "lstm", "prophet": "prophet", "arima": "arima", "linear": "linear"}
 
 
 def _metrics_map(m: DataFrame) -> DataFrame:
@@ -36,75 +34,96 @@ def _params(d: dict) -> F.Column:
     return F.create_map(*items)
 
 
-def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -> DataFrame:
-    """Fit ``model_type`` for all symbols of ``bars``; unknown types raise.
-
-    The per-symbol fit (one row per symbol) is checkpointed to the shared
-    checkpoint folder: it feeds both the evaluation and the output rows, and a
-    lost executor then re-reads it instead of re-running the fit."""
+def _check(model_type: str) -> str:
     mt = model_type.lower()
     if mt not in MODEL_TYPES:
         raise ValueError(f"Unsupported model type: {model_type}")
-    ts = F.to_timestamp(F.lit(str(created_at)))
-    empty_state = F.create_map().cast("map<string,array<double>>")
+    return mt
+
+
+def _dataset(bars: DataFrame, mt: str) -> DataFrame:
     if mt == "linear":
-        ds = linear.linear_dataset(bars)
-        fit = cut_lineage(linear.fit_linear(ds))
-        met = _metrics_map(linear.evaluate_linear(ds, fit))
-        out = fit.join(met, "symbol", "left").select(
-            "symbol", F.array(*[F.lit(c) for c in LINEAR_FEATURES]).alias("features"), "coef", "intercept",
-            _params({"train_test_split": 0.8, "features": ",".join(LINEAR_FEATURES)}).alias("params"),
-            "metrics", empty_state.alias("state"), "error")
+        return linear.linear_dataset(bars)
+    if mt == "arima":
+        return ar.ar_dataset(bars)
+    if mt == "prophet":
+        return trend_seasonal.ts_dataset(bars)
+    return sequence.sequence_dataset(add_indicators(bars))
+
+
+def _state(**cols) -> F.Column:
+    return F.create_map(*[x for k, v in cols.items() for x in (F.lit(k), v)])
+
+
+def _fit(ds: DataFrame, mt: str) -> DataFrame:
+    """``(symbol, features, coef, intercept, params, state, error)`` of one model type."""
+    if mt == "linear":
+        fit, features, icpt = linear.fit_linear(ds), LINEAR_FEATURES, F.col("intercept")
+        params = {"train_test_split": 0.8, "features": ",".join(LINEAR_FEATURES)}
+        state = F.create_map().cast("map<string,array<double>>")
     elif mt == "arima":
-        ds = ar.ar_dataset(bars)
-        fit = cut_lineage(ar.fit_ar(ds))
-        met = _metrics_map(ar.evaluate_ar(ds, fit))
-        out = fit.join(met, "symbol", "left").select(
-            "symbol", F.array(F.lit("close")).alias("features"), "coef", F.lit(0.0).alias("intercept"),
-            _params({"order": "(5, 1, 0)", "train_test_split": 0.8}).alias("params"), "metrics",
-            F.create_map(F.lit("last_diffs"), F.col("last_diffs"),
-                         F.lit("last_close"), F.array("last_close"),
-                         F.lit("serve_last_diffs"), F.col("serve_last_diffs"),
-                         F.lit("serve_last_close"), F.array("serve_last_close"),
-                         F.lit("sigma"), F.array("sigma")).alias("state"), "error")
+        fit, features, icpt = ar.fit_ar(ds), ["close"], F.lit(0.0)
+        params = {"order": "(5, 1, 0)", "train_test_split": 0.8}
+        state = _state(last_diffs=F.col("last_diffs"), last_close=F.array("last_close"),
+                       serve_last_diffs=F.col("serve_last_diffs"), serve_last_close=F.array("serve_last_close"),
+                       sigma=F.array("sigma"))
     elif mt == "prophet":
-        ds = trend_seasonal.ts_dataset(bars)
-        fit = cut_lineage(trend_seasonal.fit_trend_seasonal(ds))
-        met = _metrics_map(trend_seasonal.evaluate_trend_seasonal(ds, fit))
-        out = fit.join(met, "symbol", "left").select(
-            "symbol", F.array(F.lit("ds")).alias("features"), "coef", F.lit(0.0).alias("intercept"),
-            _params({"changepoint_prior_scale": trend_seasonal.CHANGEPOINT_PRIOR_SCALE,
-                     "seasonality_prior_scale": trend_seasonal.SEASONALITY_PRIOR_SCALE,
-                     "weekly_seasonality": True, "yearly_seasonality": True}).alias("params"),
-            "metrics",
-            F.create_map(F.lit("t0"), F.array("t0"), F.lit("span"), F.array("span"),
-                         F.lit("y_scale"), F.array("y_scale"), F.lit("sigma"), F.array("sigma"),
-                         F.lit("last_train_day"), F.array(F.unix_date("last_train_date").cast("double")))
-            .alias("state"), "error")
+        fit, features, icpt = trend_seasonal.fit_trend_seasonal(ds), ["ds"], F.lit(0.0)
+        params = {"changepoint_prior_scale": trend_seasonal.CHANGEPOINT_PRIOR_SCALE,
+                  "seasonality_prior_scale": trend_seasonal.SEASONALITY_PRIOR_SCALE,
+                  "weekly_seasonality": True, "yearly_seasonality": True}
+        state = _state(t0=F.array("t0"), span=F.array("span"), y_scale=F.array("y_scale"), sigma=F.array("sigma"),
+                       last_train_day=F.array(F.unix_date("last_train_date").cast("double")))
     else:
-        ind = add_indicators(bars)
-        ds = sequence.sequence_dataset(ind)
-        fit = cut_lineage(sequence.fit_sequence(ds).join(sequence.scalers(ds), "symbol"))
-        ev = sequence.evaluate_sequence(ds, fit).where(F.col("metric_space") == "scaled")
-        met = _metrics_map(ev)
-        out = fit.join(met, "symbol", "left").select(
-            "symbol", F.array(*[F.lit(c) for c in SEQUENCE_FEATURES]).alias("features"),
-            "coef", F.lit(0.0).alias("intercept"),
-            _params({"lookback_window": 60, "ridge": sequence.RIDGE, "train_test_split": 0.8,
-                     "metric_space": "scaled"}).alias("params"),
-            "metrics", F.create_map(F.lit("sigma"), F.array("sigma"), F.lit("scale_min"), F.col("scale_min"),
-                                    F.lit("scale_max"), F.col("scale_max")).alias("state"), "error")
-    # a symbol with too few bars for any sample still has its row, saying so
-    out = bars.select("symbol").distinct().join(out, "symbol", "left")
-    lost = F.when(F.col("coef").isNull(), F.coalesce("error", F.lit("insufficient rows")))
-    return out.select(F.lit(mt).alias("model_type"), "symbol", ts.alias("created_at"), "features", "coef",
-                      "intercept", "params", F.coalesce("metrics", F.create_map().cast("map<string,double>"))
-                      .alias("metrics"), F.coalesce("state", empty_state).alias("state"), lost.alias("error"))
+        fit, features, icpt = sequence.fit_sequence(ds).join(sequence.scalers(ds), "symbol"), SEQUENCE_FEATURES, F.lit(0.0)
+        params = {"lookback_window": 60, "ridge": sequence.RIDGE, "train_test_split": 0.8, "metric_space": "scaled"}
+        state = _state(sigma=F.array("sigma"), scale_min=F.col("scale_min"), scale_max=F.col("scale_max"))
+    return fit.select("symbol", F.array(*[F.lit(c) for c in features]).alias("features"), "coef", icpt.alias("intercept"),
+                      _params(params).alias("params"), state.alias("state"), "error")
+
+
+def _evaluate(ds: DataFrame, mt: str, models: DataFrame) -> DataFrame:
+    """``(symbol, metrics)`` on the test split, from the stored models."""
+    st = F.col("state")
+    first = lambda k: F.element_at(st[k], 1).alias(k)
+    if mt == "linear":
+        m = linear.evaluate_linear(ds, models.select("symbol", "coef", "intercept", "error"))
+    elif mt == "arima":
+        m = ar.evaluate_ar(ds, models.select("symbol", "coef", "error", st["last_diffs"].alias("last_diffs"), first("last_close")))
+    elif mt == "prophet":
+        m = trend_seasonal.evaluate_trend_seasonal(ds, models.select(
+            "symbol", "coef", "error", first("t0"), first("span"), first("y_scale"), first("sigma")))
+    else:
+        m = sequence.evaluate_sequence(ds, models.select("symbol", "coef", "error")).where(F.col("metric_space") == "scaled")
+    return _metrics_map(m)
 
 
 def train_many(bars: DataFrame, model_types=MODEL_TYPES, created_at="2024-01-01 00:00:00") -> DataFrame:
+    """Fit each of ``model_types`` for all symbols of ``bars``; unknown types raise.
+
+    The bars are cut once, so that their ticks are read once whatever the number of models;
+    the fits of all types (one row per symbol and type) are cut together, as evaluation and
+    output both read them. A symbol that cannot be fitted has a row with its error."""
+    types = [_check(t) for t in model_types]
+    bars = cut_lineage(bars)
+    ds = {mt: _dataset(bars, mt) for mt in types}
+    symbols = bars.select("symbol").distinct()
+    fits = None
+    for mt in types:
+        one = symbols.join(_fit(ds[mt], mt), "symbol", "left").select(F.lit(mt).alias("model_type"), "*")
+        fits = one if fits is None else fits.unionByName(one)
+    fits = cut_lineage(fits)
     out = None
-    for mt in model_types:
-        m = train_all(bars, mt, created_at)
-        out = m if out is None else out.unionByName(m)
-    return out
+    for mt in types:
+        mine = fits.where(F.col("model_type") == mt)
+        one = mine.join(_evaluate(ds[mt], mt, mine), "symbol", "left")
+        out = one if out is None else out.unionByName(one)
+    lost = F.when(F.col("coef").isNull(), F.coalesce("error", F.lit("insufficient rows")))
+    return out.select("model_type", "symbol", F.to_timestamp(F.lit(str(created_at))).alias("created_at"), "features", "coef",
+                      "intercept", "params", F.coalesce("metrics", F.create_map().cast("map<string,double>")).alias("metrics"),
+                      F.coalesce("state", F.create_map().cast("map<string,array<double>>")).alias("state"), lost.alias("error"))
+
+
+def train_all(bars: DataFrame, model_type: str, created_at: dt.datetime | str) -> DataFrame:
+    """``train_many`` of one type."""
+    return train_many(bars, (model_type,), str(created_at))
