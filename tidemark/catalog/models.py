@@ -248,9 +248,45 @@ def order_requests(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(e)
 
 
-@register("predict_batch")
-def q_predict_batch(spark, sf):
+def responses(spark: SparkSession, sf: str) -> DataFrame:
     bars = cut_lineage(bars_from(spark, sf, "orders"))  # read by the fits and by serving
-    models = cut_lineage(train_many(bars, created_at=AS_OF))
-    fc = P.forecast_table(models, bars)
+    fc = P.forecast_table(cut_lineage(train_many(bars, created_at=AS_OF)), bars)
     return P.predict_batch(order_requests(spark, sf), fc, AS_OF)
+
+
+@register("predict_batch")
+def q_predict_batch(spark, sf):
+    return responses(spark, sf)
+
+
+@register("predict_responses", R(f"""WITH b AS ({O.bars('orders')}),
+  l AS (SELECT symbol, max(date) AS as_of, arg_max(close, date) AS price FROM b GROUP BY symbol),
+  q AS (SELECT 'ord-' || o_orderkey AS request_id, upper(o_orderpriority) AS symbol,
+          CASE o_orderstatus WHEN 'F' THEN 'lstm' WHEN 'O' THEN 'prophet' ELSE 'arima' END AS model_type,
+          CAST(day(o_orderdate) AS INTEGER) AS requested_days FROM orders
+        UNION ALL SELECT 'evt-' || event_id, upper(event_type), 'lstm', CAST(floor(value / 10) AS INTEGER) FROM events),
+  r AS (SELECT q.*, l.as_of, l.price, least(coalesce(requested_days, 1), 30) AS h,
+          CASE WHEN least(coalesce(requested_days, 1), 30) < 1 THEN 'days_ahead must be positive'
+               WHEN l.symbol IS NULL THEN 'No models found for ' || q.symbol || ' ' || model_type END AS message
+        FROM q LEFT JOIN l ON l.symbol = q.symbol)
+  SELECT request_id, symbol, model_type, requested_days, CASE WHEN message IS NULL THEN h END AS served_days,
+    CASE WHEN message IS NULL THEN price END AS current_price,
+    CASE WHEN message IS NULL THEN strftime(as_of + 1, '%Y-%m-%d') END AS first_date,
+    CASE WHEN message IS NULL THEN strftime(as_of + h, '%Y-%m-%d') END AS last_date,
+    CASE WHEN message IS NULL THEN CASE model_type WHEN 'lstm' THEN 'medium' WHEN 'prophet' THEN 'high' END END AS confidence,
+    CASE WHEN message IS NULL THEN 'success' ELSE 'error' END AS status, message FROM r""",
+                                 ["current_price"], ["request_id", "symbol", "model_type", "requested_days", "served_days", "first_date",
+                                                     "last_date", "confidence", "status", "message"]))
+def q_predict_responses(spark, sf):
+    """Everything of the responses but the predicted values."""
+    r = responses(spark, sf)
+    date = lambda i: F.date_format(F.element_at("prediction_dates", i), "yyyy-MM-dd")
+    return rounded(r.select("request_id", "symbol", "model_type", "requested_days", "served_days", "current_price", date(1).alias("first_date"),
+                            date(-1).alias("last_date"), "confidence", "status", "message"))
+
+
+@register("predict_json", """SELECT 'ord-' || o_orderkey AS request_id FROM orders UNION ALL SELECT 'evt-' || event_id FROM events""")
+def q_predict_json(spark, sf):
+    """every response as a JSON body that reads back."""
+    body = P.to_json_body(responses(spark, sf))
+    return body.select(F.get_json_object("body", "$.request_id").alias("request_id"))

@@ -78,10 +78,10 @@ def write_models(models: DataFrame, root: str) -> None:
 
 
 def load_latest_model(models: DataFrame) -> DataFrame:
-    """Newest row per (model_type, symbol) by ``created_at``; NULL metrics → {}."""
-    latest = models.groupBy("model_type", "symbol").agg(
-        F.max_by(F.struct(*[c for c in models.columns if c not in ("model_type", "symbol")]), "created_at")
-        .alias("_m"))
+    """Newest row per (model_type, symbol) by ``created_at``, of equally new ones the one that
+    is last as JSON text; NULL metrics → {}."""
+    row = F.struct(*[c for c in models.columns if c not in ("model_type", "symbol")])
+    latest = models.groupBy("model_type", "symbol").agg(F.max_by(row, F.struct("created_at", F.to_json(row))).alias("_m"))
     out = latest.select("model_type", "symbol", "_m.*")
     if "metrics" in out.columns:
         out = out.withColumn("metrics", F.coalesce("metrics", F.create_map().cast("map<string,double>")))
