@@ -2,20 +2,24 @@
 "Efficient exact set-similarity joins", 2006).
 
 1. Shingles to shared shingles. A document can only have a partner if at least ``threshold`` of
-   its shingles occur in some other document. Shingle hashes travel in packed blocks, one per
-   chunk of documents and hash range; each range keeps those seen in two documents and sends
-   them back. Intersections are made of shared shingles alone, so nothing else is needed from
-   here on. Exact copies inside a chunk are one entry; equal sets become one class later.
+   its shingles occur in some other document. Shingle hashes (48 bits) travel in packed blocks,
+   one per chunk of documents and hash range; each range keeps those seen in two documents and
+   sends them back. Intersections are made of shared shingles alone, so nothing else is needed
+   from here on. Exact copies inside a chunk are one entry; equal sets become one class later.
 2. PartEnum over the shared sets (removing unshared shingles cannot lower a similarity). Sets
    fall into bands of sizes with ratio 1 : 1/threshold; a set has signatures in its own band
-   and the one below, so any two similar sets share a band. In a band two similar sets differ
-   in at most k shingles; with more than k/2 partitions of the hash range at least one holds at
-   most one difference, and of its three thirds two are then equal: signatures are the two-thirds
-   unions of each partition. A set with too few partitions whose unions are all non-empty also
-   has each of its shingles as a signature, so two such sets meet there.
+   and the one below, so any two similar sets share a band. The hash range is cut into ordered
+   partitions, each into thirds, and signatures are the two-thirds unions. A set A that may
+   differ from a partner in k shingles (from its own sizes) has at most k/2 partitions with two
+   differences or more; in any other partition two of three thirds are equal. So one of the
+   first k/2 + 1 partitions of A whose unions are all non-empty gives a common signature, and
+   A emits the non-empty unions up to the last of these. A set with too few such partitions
+   emits all unions and each shingle, so two of them meet as well.
 3. Links between signature groups, never all pairs of a group: rounds in which each group
-   checks its members against one pivot merge copies into components; then only pairs from
-   different components that still share a group are checked, each exactly, on the sets.
+   checks its members against two pivots merge copies into components, until the pairs of
+   different components in common groups are no more than the signatures were at first (or a
+   round no longer lowers them by a fifth); then those pairs are checked exactly on the sets,
+   in tiles inside a task where a component or a group is large (``_remaining``).
 
 Documents without words have an empty set and no links. Null texts count as empty; repeated
 rows and equal sets are linked (also when the id is repeated); null ids keep component null.
@@ -29,25 +33,32 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunks import pack, unpack
 from tidemark.llm.graph import components
+from tidemark.llm.scratch import stored
 from tidemark.llm.words import mix, shingle_set
 from tidemark.session import cut_lineage
 
 THRESHOLD = (75, 100)  # as a fraction, so that all bounds are exact
 CHUNK = 1 << 20  # shingles a chunk
 MAX_PIVOT_ROUNDS = 12
+BIG = 64  # a component of so many sets is checked as a whole, not through its signatures
+CROWD = 32  # components that share a signature and are checked in tiles, not as listed pairs
+TILE = 256
 _U = np.uint64
+_LOW = _U(16)  # bits of a hash that are dropped: two sets of n shingles differ by chance in n * n / 2**48
 
 
 # ---- 1: shared shingles ------------------------------------------------------------------
 
-def _planes(hashes: np.ndarray) -> bytes:
-    """Sorted hashes with their bytes regrouped: leading bytes repeat and compress."""
-    return np.ascontiguousarray(hashes.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def _packed(hashes: np.ndarray) -> bytes:
+    """Ascending 48-bit hashes (left-aligned in 64 bits) as their differences."""
+    h = (hashes >> _LOW).astype(np.int64)
+    return pack(np.diff(h, prepend=0))
 
 
-def _hashes(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(_U)
+def _hashes(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob)).astype(_U) << _LOW
 
 
 def _blocks(ranges: int):
@@ -57,8 +68,8 @@ def _blocks(ranges: int):
         first: dict[bytes, int] = {}
         entry = np.array([first.setdefault(m, i) for i, m in enumerate(marks)], "<u4")
         own = np.array(sorted(first.values()), np.int64)
-        h = np.concatenate([sets[i] for i in own])
-        e = np.repeat(own, [len(sets[i]) for i in own]).astype("<u4")
+        h = np.concatenate([sets[i] for i in own]) >> _LOW << _LOW
+        e = np.repeat(own, [len(sets[i]) for i in own])
         by = np.argsort(h, kind="stable")
         h, e = h[by], e[by]
         name = xxhash.xxh3_64(b"".join(marks) + repr(rows).encode()).intdigest()
@@ -70,7 +81,7 @@ def _blocks(ranges: int):
         cut = np.searchsorted(h, [_U((p << 64) // ranges) for p in range(1, ranges)])
         for p, (hs, es) in enumerate(zip(np.split(h, cut), np.split(e, cut))):
             if len(hs):
-                out.append({"chunk": chunk, "part": p, "hashes": _planes(hs), "entries": es.tobytes(),
+                out.append({"chunk": chunk, "part": p, "hashes": _packed(hs), "entries": pack(es),
                             "ids": None, "null": None, "sizes": None})
         return pd.DataFrame(out)
 
@@ -105,7 +116,7 @@ def _seen_twice(pdf: pd.DataFrame) -> pd.DataFrame:
         at = np.searchsorted(again, own)
         hit = (again[np.minimum(at, len(again) - 1)] == own) if len(again) else np.zeros(len(own), bool)
         if hit.any():
-            out.append((row.chunk, row.part, _planes(own[hit]), np.frombuffer(row.entries, "<u4")[hit].tobytes(), None, None, None))
+            out.append((row.chunk, row.part, _packed(own[hit]), pack(unpack(row.entries)[hit]), None, None, None))
     return pd.DataFrame(out, columns=list(pdf.columns))
 
 
@@ -116,7 +127,7 @@ def _sets(num: int, den: int):
         out = []
         parts = pdf[pdf["ids"].isna()]
         h = np.concatenate([np.empty(0, _U), *map(_hashes, parts["hashes"])])
-        e = np.concatenate([np.empty(0, "<u4"), *(np.frombuffer(x, "<u4") for x in parts["entries"])])
+        e = np.concatenate([np.empty(0, np.int64), *map(unpack, parts["entries"])])
         by = np.lexsort((h, e))
         h, e = h[by], e[by]
         h, e = (x[np.r_[True, (h[1:] != h[:-1]) | (e[1:] != e[:-1])]] for x in (h, e)) if len(h) else (h, e)
@@ -156,16 +167,26 @@ def _bands(num: int, den: int, top: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures_of(h: np.ndarray, bands: list[tuple[int, int]], num: int, den: int) -> np.ndarray:
-    """Signatures of one sorted set of hashes in its band and the band below."""
-    n, out = len(h), []
-    own = next(i for i, (l, r) in enumerate(bands) if l <= n <= r)
+def most_differences(a: int, n: int, b: int, num: int, den: int) -> int:
+    """The most shared shingles by which a set (a shared ones, n in all) and a partner with up to
+    b shared ones can differ: a + b - 2 |A and B|, where |A and B| >= num/(num+den) (n + size of B)."""
+    return ((a + b) * (num + den) - 2 * num * (n + b)) // (num + den)
+
+
+def signatures_of(h: np.ndarray, n: int, bands: list[tuple[int, int]], num: int, den: int) -> np.ndarray:
+    """Signatures of one sorted set of shared hashes (n shingles in all) in its band and the one below."""
+    a, out = len(h), []
+    own = next(i for i, (l, r) in enumerate(bands) if l <= a <= r)
     for band in (own - 1, own):
         if band < 0:
             continue
-        k = (den - num) * bands[band][1] // num  # sizes a <= b <= a den/num: a + b - 2 |A and B| <= a (den-num)/num
-        need = k // 2  # partitions that may hold two differences or more
-        parts = -(-27 * (need + 1) // 20)
+        low, high = bands[band]
+        k = most_differences(a, n, a * den // num if band == own else high, num, den)
+        if k < 0:
+            continue
+        need = k // 2 + 1
+        # the partitions are the band's: enough for its largest possible k
+        parts = -(-27 * ((den - num) * high // num // 2 + 1) // 20)
         cell = ((h >> _U(32)) * _U(3 * parts)) >> _U(32)  # ascending, as h is
         start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         cells = np.zeros(3 * parts, _U)
@@ -173,16 +194,16 @@ def signatures_of(h: np.ndarray, bands: list[tuple[int, int]], num: int, den: in
         full = np.zeros(3 * parts, bool)
         full[cell[start]] = True
         thirds, full = cells.reshape(-1, 3), full.reshape(-1, 3)
+        unions = np.stack([full[:, x] | full[:, y] for x, y in ((0, 1), (0, 2), (1, 2))], 1)
+        good = np.flatnonzero(unions.all(1))
+        last = int(good[need - 1]) + 1 if len(good) >= need else parts
         salt = mix(_U(band * 1_000_003 + 17) + np.arange(3 * parts, dtype=_U) * _U(0x9E3779B97F4A7C15)).reshape(-1, 3)
-        good = np.ones(parts, bool)
-        for a, b, at in ((0, 1, 0), (0, 2, 1), (1, 2, 2)):
-            some = full[:, a] | full[:, b]
-            good &= some
-            sig = mix(mix(thirds[:, a] + salt[:, at]) + thirds[:, b] * _U(3))
-            out.append(sig[some])
-        if good.sum() <= need:
+        for at, (x, y) in enumerate(((0, 1), (0, 2), (1, 2))):
+            sig = mix(mix(thirds[:last, x] + salt[:last, at]) + thirds[:last, y] * _U(3))
+            out.append(sig[unions[:last, at]])
+        if len(good) < need:
             out.append(mix(h ^ mix(np.array([band + 7_777_777], _U))))
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate(out)) if out else np.empty(0, _U)
 
 
 def _signatures(num: int, den: int):
@@ -194,7 +215,7 @@ def _signatures(num: int, den: int):
                 h = np.frombuffer(shared, "<u8").astype(_U)
                 if not bands or bands[-1][1] < len(h):
                     bands = _bands(num, den, 2 * len(h))
-                s = signatures_of(h, bands, num, den)
+                s = signatures_of(h, n, bands, num, den)
                 sigs.append(s.astype(np.int64))
                 ids.append(np.full(len(s), doc))
                 ns.append(np.full(len(s), n))
@@ -237,27 +258,30 @@ def link_classes(sets: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """sets (id, n, shared): links (a, b) that connect exactly the sets connected by similarity."""
     num, den = threshold
     rows = sets.select("id", "n", "shared").mapInPandas(_signatures(num, den), "sig long, id long, n long")
-    rows = cut_lineage(rows)
     met = rows.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi").select("sig")
-    rows = cut_lineage(rows.join(met, "sig").withColumn("comp", F.col("id")))
+    rows = stored(rows.join(met, "sig").withColumn("comp", F.col("id")))
     links = cut_lineage(sets.sparkSession.createDataFrame([], "a long, b long"))
-    budget = 4 * sets.count()  # pairs checked at the end: linear in the sets
-    before = None
-    for turn in range(MAX_PIVOT_ROUNDS + 1):
-        cost = _left_over(rows, num, den)
-        total = cost.agg(F.sum("cost")).first()[0] or 0
-        if not total or total <= budget or turn == MAX_PIVOT_ROUNDS or (before is not None and total > 0.9 * before):
+    budget, before = rows.count(), None
+    for turn in range(MAX_PIVOT_ROUNDS):
+        total = _open_pairs(rows)
+        if total <= budget or (before is not None and total > 0.8 * before):
             break
         before = total
         order = F.xxhash64("id", F.lit(turn))
-        pivot = rows.groupBy("sig").agg(F.min(F.struct(order.alias("o"), "id", "n", "comp")).alias("p"))
-        pairs = rows.join(pivot, "sig").filter("comp != p.comp").select(
-            F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
+        one = F.struct(order.alias("o"), "id", "n", "comp")
+        pivots = rows.groupBy("sig").agg(F.min(one).alias("p"), F.max(one).alias("q"))
+        # at most two rows for each signature row: linear in the input, whatever the groups
+        pairs = (rows.join(pivots, "sig").withColumn("p", F.explode(F.array("p", "q"))).filter("comp != p.comp").select(
+            F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb")))
         links = cut_lineage(links.unionByName(_verified(_in_size(pairs, num, den), sets, num, den)))
         rows = _relabelled(rows, links)
-    if total:
-        links = links.unionByName(_verified(_rest(rows, cost, num, den), sets, num, den))
-    return links
+    return links.unionByName(_remaining(rows, sets, num, den))
+
+
+def _open_pairs(rows: DataFrame) -> int:
+    """Pairs of different components in common groups, counted without listing them."""
+    per = rows.select("sig", "comp").distinct().groupBy("sig").agg(F.count("*").alias("d"))
+    return int(per.agg(F.sum(F.col("d") * (F.col("d") - 1) / 2)).first()[0] or 0)
 
 
 def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -265,32 +289,92 @@ def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     label = _labels(rows.select("id").distinct(), links)
     rows = rows.drop("comp").join(label, "id")
     open_ = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("sig")
-    return cut_lineage(rows.join(open_, "sig"))
+    return stored(rows.join(open_, "sig"))
+
+
+def _matching(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links between two tables of sets (id, n, comp, shared) of different components."""
+    feats = [np.frombuffer(x, "<u8") for x in right["shared"]]
+    flat = np.concatenate([np.empty(0, "<u8"), *feats])
+    owner = np.repeat(np.arange(len(feats)), [len(x) for x in feats])
+    ids, ns, comps, out = right["id"].to_numpy(), right["n"].to_numpy(), right["comp"].to_numpy(), []
+    for i, n, comp, shared in zip(left["id"], left["n"], left["comp"], left["shared"]):
+        own = np.frombuffer(shared, "<u8")
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        both = np.bincount(owner[own[at] == flat], minlength=len(feats))
+        for j in np.flatnonzero((den * both >= num * (n + ns - both)) & (comps != comp)):
+            out.append((min(i, ids[j]), max(i, ids[j])))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def _remaining(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links among the pairs of different components that still share a signature.
+
+    Against a big component every set that shares a signature with it is checked with all its
+    members, once; crowds of other components under one signature are checked inside the
+    group; both in tiles of at most 2 * TILE sets a task, so pairs are never rows. The rest,
+    fewer than CROWD components a signature, is listed as pairs.
+    """
+    size = rows.select("id", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
+    rows = stored(rows.join(size, "comp"))
+    return (_against_big(rows, sets, num, den).unionByName(_in_crowds(rows, sets, num, den))
+            .unionByName(_verified(_listed(rows, num, den), sets, num, den)))
 
 
-def _left_over(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of components that share groups, with the cheaper way to list their pairs: per group
-    or all members of one with all of the other."""
-    per = rows.groupBy("sig", "comp").agg(F.count("*").alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    one, two = per.select("sig", *[F.col(c).alias(f"{c}1") for c in ("comp", "m", "lo", "hi")]), per.select(
-        "sig", *[F.col(c).alias(f"{c}2") for c in ("comp", "m", "lo", "hi")])
-    near = one.join(two, "sig").filter(f"comp1 < comp2 and {den} * hi1 >= {num} * lo2 and {den} * hi2 >= {num} * lo1")
-    size = rows.select("id", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
-    met = near.groupBy("comp1", "comp2").agg(F.sum(F.col("m1") * F.col("m2")).alias("grouped"))
-    met = (met.join(size.select(F.col("comp").alias("comp1"), F.col("size").alias("size1")), "comp1")
-           .join(size.select(F.col("comp").alias("comp2"), F.col("size").alias("size2")), "comp2"))
-    return cut_lineage(met.withColumn("cost", F.least(F.col("grouped"), F.col("size1") * F.col("size2")))
-                       .withColumn("whole", F.col("size1") * F.col("size2") <= F.col("grouped")))
-
-
-def _rest(rows: DataFrame, cost: DataFrame, num: int, den: int) -> DataFrame:
-    member = rows.select("id", "n", "comp").distinct()
-    side = lambda df, s, *more: df.select(*more, F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("comp").alias(f"comp{'1' if s == 'a' else '2'}"))
-    whole = (cost.filter("whole").select("comp1", "comp2").join(side(member, "a"), "comp1").join(side(member, "b"), "comp2"))
-    apart = cost.filter("not whole").select("comp1", "comp2")
-    grouped = side(rows, "a", "sig").join(side(rows, "b", "sig"), "sig").join(apart, ["comp1", "comp2"])
-    pairs = whole.select("a", "b", "na", "nb").unionByName(grouped.select("a", "b", "na", "nb"))
-    return _in_size(pairs, num, den)
+def _against_big(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    big = rows.filter(F.col("size") >= BIG)
+    under = big.select("sig", F.col("comp").alias("big")).distinct()
+    probes = (rows.join(under, "sig").filter(f"comp != big and (size < {BIG} or comp < big)")
+              .select("big", "id", "comp").distinct())
+    members = big.select(F.col("comp").alias("big"), "id", "comp").distinct()
+
+    def dealt(df, n, other):  # own stripe by id, and a copy for each stripe of the other side
+        df = df.join(counts, "big").join(sets, "id")
+        return (df.withColumn(n, F.pmod(F.xxhash64("id"), F.col(f"n_{n}")).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
+                .select("big", "x", "y", "id", "n", "comp", "shared"))
+
+    def stripes(df, n):
+        return df.groupBy("big").agg(F.ceil(F.count("*") / TILE).cast("int").alias(f"n_{n}"))
+
+    counts = cut_lineage(stripes(probes, "x").join(stripes(members, "y"), "big"))
+    left, right = dealt(probes, "x", "y"), dealt(members, "y", "x")
+    right = right.select(*[F.col(c).alias(c if c not in ("big", "x", "y") else f"_{c}") for c in right.columns])
+
+    def work(own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        return _matching(own, other, num, den) if len(own) and len(other) else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+
+    return left.groupBy("big", "x", "y").cogroup(right.groupBy("_big", "_x", "_y")).applyInPandas(work, "a long, b long")
+
+
+def _crowds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of small components, with the number of components under their signature."""
+    small = rows.filter(F.col("size") < BIG)
+    d = small.select("sig", "comp").distinct().groupBy("sig").agg(F.count("*").alias("d")).filter("d > 1")
+    return small, d
+
+
+def _in_crowds(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    small, d = _crowds(rows)
+    own = small.join(d.filter(F.col("d") >= CROWD), "sig").select("sig", "id", "comp", "d").distinct()
+    members = own.groupBy("sig").agg(F.ceil(F.count("*") / TILE).cast("int").alias("stripes"))
+    own = own.join(members, "sig").withColumn("s", F.pmod(F.xxhash64("id"), F.col("stripes")).cast("int"))
+    own = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1)))
+    own = own.join(sets, "id").select("sig", F.least("s", "o").alias("ti"), F.greatest("s", "o").alias("tj"), "s", "id", "n", "comp", "shared")
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pdf["ti"].iloc[0], pdf["tj"].iloc[0]
+        return _matching(pdf[pdf["s"] == i], pdf[pdf["s"] == j], num, den)
+
+    return own.groupBy("sig", "ti", "tj").applyInPandas(work, "a long, b long")
+
+
+def _listed(rows: DataFrame, num: int, den: int) -> DataFrame:
+    small, d = _crowds(rows)
+    few = small.join(d.filter(F.col("d") < CROWD), "sig").select("sig", "id", "n", "comp")
+    one, two = (few.select("sig", *[F.col(c).alias(f"{c}{k}") for c in ("id", "n", "comp")]) for k in "ab")
+    pairs = one.join(two, "sig").filter("compa < compb")
+    return _in_size(pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b"), "na", "nb"), num, den)
 
 
 def join_documents(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
