@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
-Benchmark items go in blocks of at most ``BLOCK`` items; the tables of one block (shingle
-hashes, fingerprints, block keys) are broadcast, so their size is bounded whatever the
-benchmark holds, and documents are scanned once per block without any shuffle of texts.
+Distinct benchmark items are dealt by hash into blocks of about ``BLOCK`` items; the tables of
+one block (shingle hashes, fingerprints, block keys) are broadcast, so their size does not grow
+with the benchmark, and documents are scanned once per block without any shuffle of texts.
 
 A window as long as an item can only reach the similarity ``threshold`` (at most 1 shingle in
 1/threshold differs) if it shares a shingle with the item. Every shared shingle at word p that
@@ -15,7 +15,8 @@ Jaccard similarity of the shingle multisets.
 
 Weights: log(1 + items / items with the shingle) in the benchmark block; shingles that no item
 has weigh like those of one item. Items and texts without words match nothing; null ids are
-carried; equal items are reported each; repeated documents too.
+carried; repeated item rows are one item, equal texts under other ids are reported each, and
+so are repeated documents.
 """
 
 from __future__ import annotations
@@ -141,13 +142,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     docs (doc_id, text), benchmark (item_id, text).
     """
     spark = docs.sparkSession
-    total = benchmark.count()
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    blocks = -(-items.count() // BLOCK)
     out = spark.createDataFrame([], MATCHES)
-    for block in range(-(-total // BLOCK)):
-        # items are dealt to blocks by a hash; a block is read with a limit it can never reach unless hashing fails
-        part = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(-(-total // BLOCK))) == block)
-        rows = [(r["item_id"], r["text"]) for r in part.select(F.col("item_id").cast("long").alias("item_id"), "text")
-                .orderBy("item_id", "text").collect()]
+    for block in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        rows = [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
         sent = spark.sparkContext.broadcast(Items(rows))
 
         def run(batches, sent=sent):
