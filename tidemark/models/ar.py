@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.models.solve import fit_least_squares
 from tidemark.operators.dataset import chronological_split
-from tidemark.operators.evaluate import regression_metrics
+from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
 
 P_DEFAULT = 5
 
@@ -105,5 +105,5 @@ def evaluate_ar(ds: DataFrame, fit: DataFrame, p: int = P_DEFAULT) -> DataFrame:
                                                           F.col("last_close"), F.col("h"), p))
                   .alias("pos", "yhat"))
           .select("symbol", (F.col("pos") + 1).alias("step"), "yhat"))
-    pred = test.join(fc, ["symbol", "step"])
+    pred = align_actual_predicted(test, fc, ("symbol", "step"))
     return regression_metrics(pred, ("symbol",))

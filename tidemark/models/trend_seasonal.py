@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.models.solve import fit_least_squares
 from tidemark.operators.dataset import chronological_split
-from tidemark.operators.evaluate import regression_metrics
+from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
 
 # Fixed values of the reference's model parameters.
 CHANGEPOINT_PRIOR_SCALE = 0.05
@@ -121,7 +121,7 @@ def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame, align: str = "date")
     test = ds.where(F.col("split") == "test").select("symbol", "ds", "y", "rn", "n")
     if align == "date":
         fc = forecast_frame(fit, test.select("symbol", "ds"))
-        return regression_metrics(test.join(fc, ["symbol", "ds"]), ("symbol",))
+        return regression_metrics(align_actual_predicted(test, fc, ("symbol", "ds")), ("symbol",))
     if align != "position":
         raise ValueError(f"unknown alignment: {align}")
     test = test.withColumn("step", (F.col("rn") - F.floor(F.col("n") * 4 / 5)).cast("int"))
@@ -131,4 +131,4 @@ def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame, align: str = "date")
                                           F.date_add("last_train_date", F.col("h")))).alias("pos", "ds"))
     fc = forecast_frame(fit, days.select("symbol", "ds")).join(days, ["symbol", "ds"]).select(
         "symbol", (F.col("pos") + 1).alias("step"), "yhat")
-    return regression_metrics(test.select("symbol", "step", "y").join(fc, ["symbol", "step"]), ("symbol",))
+    return regression_metrics(align_actual_predicted(test.select("symbol", "step", "y"), fc, ("symbol", "step")), ("symbol",))

@@ -37,33 +37,3 @@ REQUEST = T.StructType([
     T.StructField("model_type", T.StringType()),
     T.StructField("days_ahead", T.IntegerType()),
 ])
-
-MODELS = T.StructType([
-    T.StructField("model_type", T.StringType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("features", T.ArrayType(T.StringType())),
-    T.StructField("coef", T.ArrayType(T.DoubleType())),
-    T.StructField("intercept", T.DoubleType()),
-    T.StructField("scale_min", T.ArrayType(T.DoubleType())),
-    T.StructField("scale_max", T.ArrayType(T.DoubleType())),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("error", T.StringType()),
-])
-
-STAGE_EVENTS = T.StructType([
-    T.StructField("model", T.StringType()),
-    T.StructField("version", T.IntegerType()),
-    T.StructField("stage", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("run_id", T.StringType()),
-])
-
-RUN_METRICS = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("metric", T.StringType()),
-    T.StructField("step", T.IntegerType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("value", T.DoubleType()),
-])
