@@ -100,3 +100,12 @@ def test_edges(spark):
         assert kept.columns == odd.columns
         assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [1, 2, 3, 4, 5, 6, 7, 8, 10, 11]
     assert J.join_documents(odd_documents(spark).limit(0)).count() == 0
+
+
+def test_copy_without_an_id_stands_first(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near, far = " ".join(words), " ".join(words[:-1] + ["other"]), " ".join(f"z{i}" for i in range(30))
+    rows = [(None, text), (7, text), (8, near), (None, far), (None, far), (3, near + " more"), (9, far), (None, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert got(J.join_documents(df)) == brute(rows)
+    assert {r["component_id"] for r in J.join_documents(df).filter("doc_id in (3, 7, 8)").collect()} == {3}

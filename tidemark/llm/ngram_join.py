@@ -121,8 +121,8 @@ def _seen_twice(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets(num: int, den: int):
-    """One chunk: each document's id, set size, set digest and, for one of equal ones that can
-    have a partner, its shared shingles."""
+    """One chunk: each document's id, set size, set digest and, for the first with an id of equal
+    ones that can have a partner, its shared shingles."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         parts = pdf[pdf["ids"].isna()]
@@ -134,10 +134,13 @@ def _sets(num: int, den: int):
         for row in pdf[pdf["ids"].notna()].itertuples(index=False):
             ids, null = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.null, np.uint8)
             sizes, entry = np.frombuffer(row.sizes, "<i8"), np.frombuffer(row.entries, "<u4")
+            bearer = np.full(len(ids), -1)  # of equal texts the first with an id: rows without one are in no link
+            named = np.flatnonzero(null == 0)[::-1]
+            bearer[entry[named]] = named
             for i in range(len(ids)):
                 shared = None
-                if entry[i] == i and sizes[i]:
-                    a, b = np.searchsorted(e, [i, i + 1])
+                if bearer[entry[i]] == i and sizes[i]:
+                    a, b = np.searchsorted(e, [entry[i], entry[i] + 1])
                     if den * (b - a) >= num * sizes[i]:
                         shared = h[a:b].astype("<u8").tobytes()
                 out.append((None if null[i] else ids[i], sizes[i], row.hashes[16 * i: 16 * i + 16], shared))
