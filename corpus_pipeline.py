@@ -6,8 +6,9 @@ one's documents, so a lost executor repeats one stage at most. All stages but th
 the columns of ``documents``:
 
 1. language: documents without a letter (``und``) go, all others stay as they are;
-2. near duplicates: of each group linked by shingle similarity the smallest doc_id stays;
-3. benchmark: documents that hold a benchmark item go;
+2. near duplicates: of each group of rows linked by shingle similarity one row stays, that with
+   the smallest doc_id; copies under the same id or without an id go too;
+3. benchmark: documents that hold a benchmark item go, whatever their ids;
 4. secrets: spans are masked in the text, n_chars follows;
 5. tokens: token counts and digests per document.
 """

@@ -38,3 +38,23 @@ def test_stages_keep_columns_and_odd_rows(spark):
             assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
             assert out.count() <= docs.count()
     assert {r["doc_id"] for r in P.language(spark, odd, SF_MID).collect()} == {4, 5, 7, 8, 9, 10, 11}
+
+
+def test_copies_and_leaks_go_whatever_their_ids(spark):
+    def text(name, *more):
+        return " ".join([f"{name}{i}" for i in range(60)] + list(more))
+
+    rows = [(1, text("a")), (1, text("a")), (1, text("b")), (2, text("a", "near")), (None, text("a", "copy")),
+            (None, text("a")), (3, text("b")), (None, text("c")), (None, text("c")), (4, text("d")),
+            (5, text("e")), (5, text("e", "near")), (6, text("f")), (6, text("f").upper()), (1, ""), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "'x' as _text")
+    out = P.near_duplicates(spark, docs, SF_MID)
+    assert out.columns == docs.columns
+    kept = [(r["doc_id"], (r["text"].lower().split() or [""])[0]) for r in out.collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a0"), (1, "b0"), (None, "c0"), (4, "d0"), (5, "e0"), (6, "f0"), (1, ""), (1, "")], key=str)
+
+    items = spark.createDataFrame([(70, text("q")), (71, text("r"))], "item_id long, text string")
+    rows = [(1, text("x")), (1, text("y", text("q"))), (None, text("z", text("r"))), (None, text("v")), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = P.decontaminate.clean(docs, items)
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([rows[0], rows[3], rows[4]], key=str)

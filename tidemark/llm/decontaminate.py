@@ -136,20 +136,25 @@ class Items:
         return best
 
 
+def _blocks(benchmark: DataFrame):
+    """The broadcast lookup tables of each block of the distinct items."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    blocks = -(-items.count() // BLOCK)
+    for block in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        rows = [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
+        yield spark.sparkContext.broadcast(Items(rows))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document and benchmark item found in it, with the best window.
 
     docs (doc_id, text), benchmark (item_id, text).
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    blocks = -(-items.count() // BLOCK)
     out = spark.createDataFrame([], MATCHES)
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
-        sent = spark.sparkContext.broadcast(Items(rows))
-
+    for block, sent in enumerate(_blocks(benchmark)):
         def run(batches, sent=sent):
             items = sent.value
             for pdf in batches:
@@ -165,7 +170,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     return out
 
 
+def _holds(sent, threshold: float):
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(sent.value.search(t, threshold)) for t in texts], dtype=bool)
+
+    return F.pandas_udf(run, "boolean")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the documents that hold a benchmark item; documents without an id stay."""
-    bad = matches(docs, benchmark, threshold).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """docs without the rows whose text holds a benchmark item; the decision is taken where the row
+    is, without a join, so ids do not matter and every column stays as it was."""
+    for sent in _blocks(benchmark):
+        docs = docs.filter(~_holds(sent, threshold)("text"))
+    return docs

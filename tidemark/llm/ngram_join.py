@@ -398,6 +398,22 @@ def join_documents(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
-    """docs with one document (the smallest id) of each component; rows without an id stay."""
-    gone = join_documents(docs, threshold).filter("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """docs with one row of each group of rows that similarity links, the one with the smallest id.
+
+    Decided per row, so that copies under a repeated id or without one go as well, and different
+    texts under one id stay: the nodes are 64-bit hashes of id and text. Of rows equal in both one
+    stays, whichever it is; rows without words have no links and all stay.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    keyed = docs.select(key.alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    named = keyed.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    joined = join_documents(docs.select(key.alias("doc_id"), "text"), threshold).filter("n_shingles > 0")
+    rows = cut_lineage(joined.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")).distinct().join(named, "row"))
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("kept"))
+    gone = rows.join(first, "group").filter("row != kept").select(F.col("row").alias("_row"))
+    left = docs.withColumn("_row", key).join(gone, "_row", "left_anti").select(*docs.columns, "_row")
+    again = cut_lineage(rows.join(first, "group").filter("row = kept and copies > 1").select(F.col("row").alias("_row")))
+    if not again.isEmpty():  # combined before the shuffle: a row copied often is one row a task
+        left = left.join(again, "_row", "left_anti").unionByName(
+            left.join(again, "_row", "left_semi").dropDuplicates(["_row"]))
+    return left.select(*docs.columns)
