@@ -78,3 +78,24 @@ def test_edges(spark):
         assert D.matches(odd.limit(0), bench).count() == 0
         assert {r["doc_id"] for r in D.matches(odd, spark.createDataFrame([(7, "same text here now ok")], "item_id long, text string")).collect()} == {8, 9}
         assert D.clean(odd, bench).columns == odd.columns and D.clean(odd, bench).count() == odd.count()
+
+
+def test_weights_are_of_the_whole_benchmark(spark, monkeypatch):
+    rnd = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    lines = [[rnd.choice(vocab) for _ in range(12)] for _ in range(4)]
+    items = [(i, " ".join(lines[i % 4] + [rnd.choice(vocab) for _ in range(rnd.randint(10, 30))] + lines[i % 3])) for i in range(24)]
+    docs = []
+    for d in range(60):
+        part = items[d % 24][1].split()
+        for _ in range(rnd.choice([0, 1, 1, 2, 3])):
+            part[rnd.randrange(len(part))] = "changed"
+        docs.append((d, " ".join([rnd.choice(vocab) for _ in range(20)] + part + rnd.choice(lines))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, D.matches(df, bench).collect()))
+    assert len(whole) > 20 and {r[:2] for r in whole} <= brute(docs, items)
+    monkeypatch.setattr(D, "BLOCK", 5)
+    assert sorted(map(tuple, D.matches(df, bench).collect())) == whole
+    kept = {r["doc_id"] for r in D.clean(df, bench).collect()}
+    assert kept == {d for d, _ in docs} - {r[0] for r in whole}
