@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import (bpe, decontaminate, embedding_dedup, html_text, langid, lattice, ngram_join, secrets, sharding,
+from tidemark.llm import (bpe, decontaminate, embedding_dedup, html_text, langid, lattice, ngram_join, runs, secrets, sharding,
                           tool_calls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +74,22 @@ def op1_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link(tool_calls.events(_table(spark, sf_dir, "conversations")))
 
 
+def periodic_rewrite(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Makes a tenth of the documents periodic from some word on, as their id's checksum says."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a: a + p] * -(-(n - a) // p))[: n - a]
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(_table(spark, sf_dir, "documents"), periodic_rewrite))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
