@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import (bpe, decontaminate, embedding_dedup, html_text, langid, lattice, ngram_join, runs, secrets, sharding,
-                          tool_calls)
+from tidemark.llm import (bpe, decontaminate, embedding_dedup, html_text, langid, lattice, ngram_join, phrases, runs, secrets,
+                          sharding, tool_calls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,6 +90,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.periodic_runs(_table(spark, sf_dir, "documents"), periodic_rewrite))
 
 
+@_query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+SQL["op12_phrase_collocations"] = phrases.SQL
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
