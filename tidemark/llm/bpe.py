@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import chunks
+from tidemark.llm.rows import id_text, ids_of
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -157,6 +158,6 @@ def decode(ids: DataFrame, path: str | None = None) -> DataFrame:
         start, size, flat = table.value
         for pdf in batches:
             got = [None if x is None else _pick(start, size, np.frombuffer(x, "<u4"), flat)[0].tobytes() for x in pdf["ids"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "decoded": got})
+            yield pd.DataFrame({"doc_id": ids_of(pdf["doc_id"]), "decoded": got})
 
-    return ids.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInPandas(run, "doc_id long, decoded binary")
+    return ids.select(id_text("doc_id").alias("doc_id"), "ids").mapInPandas(run, "doc_id long, decoded binary")

@@ -7,7 +7,7 @@ are derived from the same deterministic pass:
 * ``dictionary``: the distinct words of each chunk, dealt into parts by a hash of the word, one
   packed row (chunk, part, words, numbers, counts) per chunk and part. All that is known of a
   word meets in its part; a word in every document is one entry per chunk, not one per
-  occurrence. The number of parts follows the session's shuffle partitions.
+  occurrence. The number of parts follows the counted size of the texts.
 * ``streams``: one row per chunk with the numbers of its words packed and compressed, and its
   documents' ids.
 
@@ -25,8 +25,11 @@ import pandas as pd
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-CHARS = 1 << 24
+from tidemark.llm.rows import id_text, ids_of
+
+CHARS = 1 << 23
 
 DICTIONARY = "chunk long, part int, words binary, numbers binary, counts binary"
 STREAMS = "chunk long, doc_ids binary, id_null binary, flags binary, lengths binary, numbers binary"
@@ -59,6 +62,15 @@ def unpack_words(blob: bytes) -> list[bytes]:
     return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(id_text("doc_id").alias("doc_id"), "text", "flag")
+
+
+def parts_for(docs: DataFrame) -> int:
+    """Parts of the dictionary: so many that what one holds is bounded, whatever the input."""
+    return max(64, int(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // CHARS)
+
+
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
     held, size = [], 0
     for pdf in batches:
@@ -90,7 +102,7 @@ def _numbered(rows: list[tuple], split: Callable[[str | None], list], flagged_on
 def dictionary(docs: DataFrame, split: Callable, flagged_only: bool = False) -> DataFrame:
     """docs (doc_id, text, flag): the distinct words of each chunk, with their counts (over
     flagged rows alone where asked for)."""
-    parts = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts_for(docs)
 
     def run(batches):
         for rows in _chunks(batches):
@@ -107,7 +119,7 @@ def dictionary(docs: DataFrame, split: Callable, flagged_only: bool = False) ->
                     out.append((chunk, part, pack_words([w for w, _ in own]), pack(at), pack(counts[at])))
             yield pd.DataFrame(out, columns=["chunk", "part", "words", "numbers", "counts"])
 
-    return docs.select("doc_id", "text", "flag").mapInPandas(run, DICTIONARY)
+    return _rows(docs).mapInPandas(run, DICTIONARY)
 
 
 def by_word(words: DataFrame, work: Callable, schema: str) -> DataFrame:
@@ -131,9 +143,8 @@ def streams(docs: DataFrame, split: Callable, as_set: bool = False) -> DataFrame
     def run(batches):
         for rows in _chunks(batches):
             chunk, _, _, numbers = _numbered(rows, split, False)
-            ids = [r[0] for r in rows]
-            null = np.array([x is None or x != x for x in ids], np.uint8)
-            put = np.array([0 if z else int(x) for x, z in zip(ids, null)], "<i8")
+            ids = ids_of(r[0] for r in rows)
+            null, put = ids.isna().astype(np.uint8), ids.to_numpy("<i8", na_value=0)
             if as_set:
                 numbers = [np.sort(x) for x in numbers]
             yield pd.DataFrame({
@@ -142,7 +153,7 @@ def streams(docs: DataFrame, split: Callable, as_set: bool = False) -> DataFrame
                 "lengths": [np.array([len(x) for x in numbers], "<i8").tobytes()],
                 "numbers": [pack(np.concatenate(numbers))]})
 
-    return docs.select("doc_id", "text", "flag").mapInPandas(run, STREAMS)
+    return _rows(docs).mapInPandas(run, STREAMS)
 
 
 def paired(chunk_streams: DataFrame, words: DataFrame, gather: Callable, work: Callable, schema: str) -> DataFrame:

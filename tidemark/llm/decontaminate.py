@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import id_text, ids_of
 from tidemark.llm.words import SHINGLE, window_hashes, words_of
 
 THRESHOLD = 0.75
@@ -214,11 +215,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
                 out = []
                 for doc_id, text in zip(pdf["doc_id"], pdf["text"]) if items.ids else ():
                     for k, (s, start, n, h) in sorted(items.search(text, threshold).items()):
-                        out.append((doc_id, items.ids[k], -start, n, h, s))
+                        out.append((doc_id, None if items.ids[k] is None else str(items.ids[k]), -start, n, h, s))
                 got = pd.DataFrame(out, columns=["doc_id", "item_id", "start_word", "n_words", "hamming", "similarity"])
-                yield got.astype({"doc_id": "Int64", "item_id": "Int64"})
+                yield got.assign(doc_id=ids_of(got["doc_id"]), item_id=ids_of(got["item_id"]))
 
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, MATCHES)
+        found = docs.select(id_text("doc_id").alias("doc_id"), "text").mapInPandas(run, MATCHES)
         out = found if block == 0 else out.unionByName(found)
     return out
 

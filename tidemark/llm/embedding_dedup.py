@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
+from tidemark.llm.rows import id_text, ids_of
 from tidemark.session import cut_lineage
 
 COSINE = 0.93
@@ -65,7 +66,7 @@ def _marked(batches):
     for pdf in batches:
         unit, mark, dims = [], [], []
         for v, label in zip(pdf["embedding"], pdf["label"]):
-            if label is None or label != label or not _usable(v):
+            if label is None or not _usable(v):
                 unit.append(None), mark.append(None), dims.append(0)
                 continue
             x = np.asarray(v, np.float64) + 0.0  # no negative zeros
@@ -74,7 +75,7 @@ def _marked(batches):
             unit.append(x.astype("<f8").tobytes())
             mark.append(xxhash.xxh3_128(unit[-1]).digest())
             dims.append(len(x))
-        yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("Int64"), "label": pdf["label"].astype("Int64"), "dim": np.array(dims, np.int32), "mark": mark, "unit": unit})
+        yield pd.DataFrame({"vec_id": ids_of(pdf["vec_id"]), "label": ids_of(pdf["label"]), "dim": np.array(dims, np.int32), "mark": mark, "unit": unit})
 
 
 def _cells(cosine: float):
@@ -160,7 +161,7 @@ def _linked(cosine: float):
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors(vec_id, embedding, label)."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("long").alias("label"))
+    rows = vectors.select(id_text("vec_id").alias("vec_id"), "embedding", id_text("label").alias("label"))
     marked = cut_lineage(rows.mapInPandas(_marked, "vec_id long, label long, dim int, mark binary, unit binary"))
     usable = marked.filter("mark is not null and vec_id is not null")
     classes = usable.groupBy("label", "mark").agg(F.min("vec_id").alias("id"), F.count("*").alias("m"))

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import pack, unpack
 from tidemark.llm.graph import components
+from tidemark.llm.rows import id_text, ids_of
 from tidemark.llm.scratch import stored
 from tidemark.llm.words import mix, shingle_set
 from tidemark.session import cut_lineage
@@ -74,9 +75,9 @@ def _blocks(ranges: int):
         h, e = h[by], e[by]
         name = xxhash.xxh3_64(b"".join(marks) + repr(rows).encode()).intdigest()
         chunk = int(_U(name).astype(np.int64))
-        ids = pd.array([None if r is None or r != r else int(r) for r in rows], "Int64")
+        ids = ids_of(rows)
         out = [{"chunk": chunk, "part": ranges + chunk % ranges, "hashes": b"".join(marks), "entries": entry.tobytes(),
-                "ids": ids.fillna(0).to_numpy("<i8").tobytes(), "null": ids.isna().astype(np.uint8).tobytes(),
+                "ids": ids.to_numpy("<i8", na_value=0).tobytes(), "null": ids.isna().astype(np.uint8).tobytes(),
                 "sizes": np.array([len(s) for s in sets], "<i8").tobytes()}]
         cut = np.searchsorted(h, [_U((p << 64) // ranges) for p in range(1, ranges)])
         for p, (hs, es) in enumerate(zip(np.split(h, cut), np.split(e, cut))):
@@ -143,9 +144,9 @@ def _sets(num: int, den: int):
                     a, b = np.searchsorted(e, [entry[i], entry[i] + 1])
                     if den * (b - a) >= num * sizes[i]:
                         shared = h[a:b].astype("<u8").tobytes()
-                out.append((None if null[i] else ids[i], sizes[i], row.hashes[16 * i: 16 * i + 16], shared))
+                out.append((None if null[i] else str(ids[i]), sizes[i], row.hashes[16 * i: 16 * i + 16], shared))
         got = pd.DataFrame(out, columns=["doc_id", "n", "mark", "shared"])
-        return got.astype({"doc_id": "Int64"})
+        return got.assign(doc_id=ids_of(got["doc_id"]))
     return run
 
 
@@ -153,7 +154,7 @@ def shared_sets(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """(doc_id, n, mark, shared) per document: set size, digest of the set, packed shared shingles."""
     spark = docs.sparkSession
     ranges = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_blocks(ranges), _BLOCK)
+    rows = docs.select(id_text("doc_id").alias("doc_id"), "text").mapInPandas(_blocks(ranges), _BLOCK)
     kept = rows.groupBy("part").applyInPandas(_seen_twice, _BLOCK)
     return kept.groupBy("chunk").applyInPandas(_sets(*threshold), "doc_id long, n long, mark binary, shared binary")
 

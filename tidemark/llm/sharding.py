@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import id_text
 from tidemark.session import cut_lineage
 
 BITS = 8
@@ -84,9 +85,10 @@ def order_and_cut(docs: DataFrame, shards: int = 16) -> DataFrame:
     meta = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), *[d.alias(f"d{i}") for i, d in enumerate(dims)])
-    schema = "doc_id long, size long, text_crc32 long, " + ", ".join(f"d{i} int" for i in range(DIMS)) + ", curve long"
+    schema = "doc_id string, size long, text_crc32 long, " + ", ".join(f"d{i} int" for i in range(DIMS)) + ", curve long"
     keys = ["curve", "text_crc32", "size", "doc_id"]
-    placed = (meta.withColumn("doc_id", F.col("doc_id").cast("long")).mapInPandas(_index, schema)
+    placed = (meta.withColumn("doc_id", id_text("doc_id")).mapInPandas(_index, schema)
+              .withColumn("doc_id", F.col("doc_id").cast("long"))
               .repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("at", F.monotonically_increasing_id()))
     placed = cut_lineage(placed)  # bounds of a range partitioning are sampled: places must not be drawn twice

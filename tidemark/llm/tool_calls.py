@@ -29,10 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import id_of, id_text, ids_of
 from tidemark.session import cut_lineage
 
 REPLY = {"reply": {"type": "object", "required": ["prompt"], "additionalProperties": False,
                    "properties": {"prompt": {"type": "string", "minLength": 1}}}}
+NUMBERS = ("conv_id", "call_turn", "result_turn", "level")
 _EVENT = "conv_id long, turn long, call_id string, kind string, name string, body string, after array<string>"
 
 
@@ -44,7 +46,7 @@ def _events(batches):
     for pdf in batches:
         out = []
         for conv, turn, role, text in zip(pdf["conv_id"], pdf["turn"], pdf["role"], pdf["text"]):
-            conv, turn = (None if x is None or x != x else int(x) for x in (conv, turn))
+            conv, turn = id_of(conv), id_of(turn)
             made = None
             if text is not None and text.lstrip()[:1] == "{":
                 try:
@@ -65,14 +67,13 @@ def _events(batches):
                 out.append((conv, turn, None if turn is None else f"turn:{turn}", "call", "reply", canonical({"prompt": text}), []))
             elif role == "assistant":
                 out.append((conv, turn, None if turn is None else f"turn:{turn - 1}", "result", None, canonical(text), []))
-        got = pd.DataFrame(out, columns=["conv_id", "turn", "call_id", "kind", "name", "body", "after"])
-        yield got.astype({"conv_id": "Int64", "turn": "Int64"})
+        got = pd.DataFrame(out, columns=["conv_id", "turn", "call_id", "kind", "name", "body", "after"], dtype=object)
+        yield got.assign(conv_id=pd.array(got["conv_id"], "Int64"), turn=pd.array(got["turn"], "Int64"))
 
 
 def events(messages: DataFrame) -> DataFrame:
     """messages (conv_id, turn, role, text) -> one row per call and per result."""
-    return messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
-                           ).mapInPandas(_events, _EVENT)
+    return messages.select(id_text("conv_id").alias("conv_id"), id_text("turn").alias("turn"), "role", "text").mapInPandas(_events, _EVENT)
 
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -136,8 +137,8 @@ def _records(schemas: dict):
                 errors.append(found)
                 records.append(canonical({"id": call_id, "name": name, "arguments": args,
                                           "result": None if result is None else json.loads(result), "status": status}))
-            yield pdf[["conv_id", "call_id", "name", "call_turn", "result_turn", "status", "level"]].astype(
-                {"conv_id": "Int64", "call_turn": "Int64", "result_turn": "Int64", "level": "Int64"}).assign(errors=errors, record=records)
+            yield pdf[["conv_id", "call_id", "name", "call_turn", "result_turn", "status", "level"]].assign(
+                **{c: ids_of(pdf[c]) for c in NUMBERS}, errors=errors, record=records)
     return run
 
 
@@ -195,6 +196,6 @@ def link(made: DataFrame, schemas: dict | None = None) -> DataFrame:
                          none.cast("string").alias("result"), F.when(F.col("c").isNull(), "unidentified").otherwise("duplicate_call").alias("status"),
                          none.cast("long").alias("level"))
     every = linked.select(*cols).unionByName(orphan.select(*cols)).unionByName(spare.select(*cols))
-    return every.mapInPandas(_records(REPLY if schemas is None else schemas),
+    return every.withColumns({c: id_text(c) for c in NUMBERS}).mapInPandas(_records(REPLY if schemas is None else schemas),
                              "conv_id long, call_id string, name string, call_turn long, result_turn long, status string, "
                              "level long, errors array<string>, record string")
