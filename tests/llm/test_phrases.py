@@ -70,7 +70,7 @@ def test_colliding_fingerprints_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(phrases, "fingerprint_bits", lambda chars: 3)
     assert rows_of(phrases.collocations(df, minimum=8)) == brute(data, 8)
     chunk = phrases._Chunk([b"a", b"b"], np.array([0, 1, 0, 0]), np.array([4]), np.array([0]), [b"en"])
-    at, counts = phrases._alike(chunk, np.arange(4), np.zeros(4, np.uint64), 1)  # one fingerprint for all
+    at, _, counts = phrases._alike(chunk, np.arange(4), np.zeros(4, np.uint64), 1)  # one fingerprint for all
     assert sorted(zip(chunk.numbers[at].tolist(), counts.tolist())) == [(0, 3), (1, 1)]
 
 

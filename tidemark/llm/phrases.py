@@ -10,8 +10,8 @@
    reach the minimum. Fingerprints are cut to as many bits as the input's size calls for
    (``fingerprint_bits``): a collision can only let a rare phrase through here, never lose one.
 3. The chunk verifies: it finds the occurrences of these fingerprints, groups them by the words
-   themselves, and only now writes phrases out, with their exact counts. Their sums over the chunks
-   are exact, and those under the minimum go.
+   themselves, and only now writes phrases out, with their exact counts, again one packed row per
+   part. Their sums over the chunks are exact, and those under the minimum go.
 4. Scores, cuts and containment are joins and aggregations of the frequent phrases, which are at
    most ``longest / minimum`` of the words. Numbers are decimals of 38 digits.
 
@@ -50,7 +50,6 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r", b"abcdefg
 
 _BLOCK = "chunk long, part int, prints binary, counts binary, words binary, numbers binary, sizes binary, langs binary, names binary"
 _COLUMNS = [c.split()[0] for c in _BLOCK.split(", ")]
-_FOUND = "lang string, size int, phrase string, f long"
 
 
 def pieces_of(text: str | None) -> list[list[bytes]]:
@@ -100,7 +99,7 @@ def _chunks(batches):
     def flush():
         nos: dict[bytes, int] = {}
         numbers = np.fromiter((nos.setdefault(w, len(nos)) for piece in words for w in piece), np.int64, held)
-        return _Chunk(list(nos), numbers, np.array(sizes, np.int64), np.array(langs, np.int64), [x.encode() for x in codes])
+        return _Chunk(list(nos), numbers, np.array(sizes, np.int64), np.array(langs, np.int64), [x.encode("utf-8", "surrogatepass") for x in codes])
 
     for pdf in batches:
         for lang, text in zip(pdf["lang"], pdf["text"]):
@@ -165,9 +164,9 @@ def _frequent(minimum: int):
     return run
 
 
-def _alike(chunk: _Chunk, at: np.ndarray, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place and the number of occurrences of each phrase of n words among the places ``at``;
-    equal words decide, the fingerprints only bring them together."""
+def _alike(chunk: _Chunk, at: np.ndarray, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A place, the fingerprint and the number of occurrences of each phrase of n words among the
+    places ``at``; equal words decide, the fingerprints only bring them together."""
     by = np.argsort(prints, kind="stable")
     at, prints = at[by], prints[by]
     first = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]]) if len(at) else np.empty(0, np.int64)
@@ -176,16 +175,15 @@ def _alike(chunk: _Chunk, at: np.ndarray, prints: np.ndarray, n: int) -> tuple[n
     same = chunk.lang[at] == chunk.lang[head]
     for k in range(n):
         same &= chunk.numbers[at + k] == chunk.numbers[head + k]
-    if same.all():
-        return at[first], counts
-    grid = np.stack([chunk.lang[at], *(chunk.numbers[at + k] for k in range(n))], 1)
-    _, first, counts = np.unique(grid, axis=0, return_index=True, return_counts=True)
-    return at[first], counts
+    if not same.all():
+        grid = np.stack([chunk.lang[at], *(chunk.numbers[at + k] for k in range(n))], 1)
+        _, first, counts = np.unique(grid, axis=0, return_index=True, return_counts=True)
+    return at[first], prints[first], counts
 
 
-def _verified(bits: int, longest: int):
-    """One chunk: its occurrences of frequent fingerprints as phrases with exact counts; the
-    words of each language in all as the phrase of size 0."""
+def _verified(bits: int, parts: int, longest: int):
+    """One chunk: its occurrences of frequent fingerprints as phrases with exact counts, dealt by
+    fingerprint; the words of each language in all count as the phrase without words."""
     cut = _U(64 - bits)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -193,28 +191,46 @@ def _verified(bits: int, longest: int):
         keep = np.unique(keep)
         sieve = np.zeros(1 << 22, bool)
         sieve[keep & (len(sieve) - 1)] = True
-        langs, sizes, phrases, counts = [], [], [], []
+        out = []
         for row in pdf[pdf["numbers"].notna()].itertuples(index=False):
             chunk = _Chunk(unpack_words(row.words), unpack(row.numbers), unpack(row.sizes), unpack(row.langs), unpack_words(row.names))
-            names = [x.decode() for x in chunk.names]
-            for i, total in enumerate(np.bincount(chunk.lang, minlength=len(names)).tolist()):
-                langs.append(names[i]), sizes.append(0), phrases.append(""), counts.append(total)
+            phrases, counts = [x + b"\n" for x in chunk.names], [np.bincount(chunk.lang, minlength=len(chunk.names))]
+            part = [(chunk.seeds % _U(parts)).astype(np.int64)]
             for n in range(1, longest + 1):
                 at, full = chunk.grams(n)
                 short = (full >> cut).astype(np.int64)
                 hit = np.flatnonzero(sieve[short & (len(sieve) - 1)])
-                if len(keep):
-                    own = short[hit]
-                    hit = hit[keep[np.minimum(np.searchsorted(keep, own), len(keep) - 1)] == own]
-                else:
-                    hit = hit[:0]
-                at, f = _alike(chunk, at[hit], full[hit], n)
+                own = short[hit]
+                hit = hit[keep[np.minimum(np.searchsorted(keep, own), len(keep) - 1)] == own] if len(keep) else hit[:0]
+                at, prints, f = _alike(chunk, at[hit], full[hit], n)
                 grid = np.stack([chunk.numbers[at + k] for k in range(n)], 1).tolist()
-                phrases += [b" ".join([chunk.words[i] for i in g]).decode("utf-8", "surrogatepass") for g in grid]
-                langs += [names[i] for i in chunk.lang[at].tolist()]
-                sizes += [n] * len(at)
-                counts += f.tolist()
-        return pd.DataFrame({"lang": langs, "size": np.array(sizes, np.int32), "phrase": phrases, "f": np.array(counts, np.int64)})
+                phrases += [chunk.names[x] + b"\n" + b" ".join([chunk.words[i] for i in g])
+                            for x, g in zip(chunk.lang[at].tolist(), grid)]
+                counts.append(f)
+                part.append((prints % _U(parts)).astype(np.int64))
+            part, counts = np.concatenate(part), np.concatenate(counts)
+            by = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.r_[True, part[by][1:] != part[by][:-1]])
+            for own in np.split(by, edges[1:]):
+                out.append((int(part[own[0]]), pack_words([phrases[i] for i in own.tolist()]), pack(counts[own])))
+        return pd.DataFrame(out, columns=["part", "phrases", "counts"])
+    return run
+
+
+def _summed(minimum: int):
+    """One part: the counts of all chunks added up, those under the minimum left out."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        total: dict[bytes, int] = {}
+        for phrases, counts in zip(pdf["phrases"], pdf["counts"]):
+            for phrase, n in zip(unpack_words(phrases), unpack(counts).tolist()):
+                total[phrase] = total.get(phrase, 0) + n
+        out = []
+        for key, n in total.items():
+            lang, phrase = key.rsplit(b"\n", 1)  # no phrase holds a line end
+            if n >= minimum or not phrase:
+                out.append((lang.decode("utf-8", "surrogatepass"), phrase.count(b" ") + 1 if phrase else 0,
+                            phrase.decode("utf-8", "surrogatepass"), n))
+        return pd.DataFrame(out, columns=["lang", "size", "phrase", "f"])
     return run
 
 
@@ -226,9 +242,8 @@ def frequent_phrases(docs: DataFrame, minimum: int = MIN_COUNT, longest: int = L
     bits, ranges = fingerprint_bits(chars), max(64, chars // RANGE_CHARS)
     blocks = texts.mapInPandas(_fingerprints(bits, ranges, longest), _BLOCK)
     kept = blocks.groupBy("part").applyInPandas(_frequent(minimum), _BLOCK)
-    found = kept.groupBy("chunk").applyInPandas(_verified(bits, longest), _FOUND)
-    return found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).filter(
-        (F.col("f") >= minimum) | (F.col("size") == 0))
+    found = kept.groupBy("chunk").applyInPandas(_verified(bits, ranges, longest), "part int, phrases binary, counts binary")
+    return found.groupBy("part").applyInPandas(_summed(minimum), "lang string, size int, phrase string, f long")
 
 
 def _joined(start: Column | int, count: Column) -> Column:
