@@ -77,3 +77,55 @@ def test_preconditions_and_next_version_by_current_stage(spark):
     _, _, ev = _run(spark, [(v, "Archived", None) for v in (1, 2, 3)])
     assert RG.next_version(ev, ("Production", "Staging")).first().next_version == 1
     assert RG.next_version(ev).first().next_version == 4
+
+
+def _one_by_one(events, promotions):
+    """The registry's rules, applied move by move."""
+    out = []
+    for model in {p[0] for p in promotions}:
+        state = {}
+        for m, v, stage, _ts, _seq, run in sorted((e for e in events if e[0] == model), key=lambda e: (e[3], e[4])):
+            state[v] = [stage, run]
+        seq = max((e[4] for e in events if e[0] == model), default=None)
+        for m, v, to, ts, frm in sorted((p for p in promotions if p[0] == model), key=lambda p: (p[3], p[1], p[2], p[4] is not None, p[4] or "")):
+            why = ("unknown version" if v not in state else "unknown stage" if to not in RG.STAGES
+                   else f"stage is {state[v][0]}" if frm is not None and state[v][0] != frm else None)
+            if why:
+                out.append((m, v, to, ts, None, state.get(v, [None, None])[1], why))
+                continue
+            moves = [(w, "Archived") for w in sorted(state) if to == "Production" and state[w][0] == "Production" and w != v]
+            for w, stage in [*moves, (v, to)]:
+                seq += 1
+                state[w][0] = stage
+                out.append((m, w, stage, ts, seq, state[w][1], None))
+    return out
+
+
+def test_fold_equals_move_by_move(spark):
+    import random
+    rng = random.Random(8)
+    t = dt.datetime(2024, 1, 1)
+    events, promotions = [], []
+    for m in range(40):
+        model = f"m{m}"
+        for v in range(1, rng.randint(1, 6)):
+            events.append((model, v, rng.choice(RG.STAGES), t, len([e for e in events if e[0] == model]), f"{model}-r{v}"))
+        for _ in range(rng.randint(0, 25)):
+            promotions.append((model, rng.randint(1, 6), rng.choice([*RG.STAGES, "Production", "Production", "Live"]),
+                               t + dt.timedelta(minutes=rng.randint(1, 12)), rng.choice([None, None, *RG.STAGES])))
+    cols = "model string, version int, to_stage string, ts timestamp, from_stage string"
+    got = RG.fold_promotions(spark.createDataFrame(events, EV), spark.createDataFrame(promotions, cols)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str(x) for x in _one_by_one(events, promotions))
+    assert sum(r.rejected is not None and r.rejected.startswith("stage is") for r in got) > 20
+    free = [p for p in promotions if p[4] is None]
+    got = RG.fold_promotions(spark.createDataFrame(events, EV), spark.createDataFrame(free, cols).drop("from_stage")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str(x) for x in _one_by_one(events, free))
+
+
+def test_fold_of_empty_tables(spark):
+    cols = "model string, version int, to_stage string, ts timestamp"
+    t = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame([("m", 1, "Staging", t, 0, "r")], EV)
+    assert RG.fold_promotions(events, spark.createDataFrame([], cols)).count() == 0
+    none = RG.fold_promotions(spark.createDataFrame([], EV), spark.createDataFrame([("m", 1, "Staging", t)], cols)).collect()
+    assert [r.rejected for r in none] == ["unknown version"]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -45,6 +46,88 @@ def test_latest_snapshot_keeps_every_name(spark):
         assert [r.symbol for r in missing.collect()] == ["gone"]
 
 
+_CLOSES = "symbol string, close long"
+
+
+def _closes(spark, *rows):
+    return spark.createDataFrame(rows, _CLOSES)
+
+
+def _latest(spark, root):
+    got, _ = S.read_latest_snapshot(spark, root, spark.createDataFrame([], _CLOSES).schema)
+    return sorted((r.symbol, r.close, r.snapshot_ts) for r in got.collect())
+
+
+def test_repeated_stamp_is_one_snapshot(spark):
+    root = S.shared_path(spark, "test-repeat")
+    for close in (1, 2, 2):
+        S.write_snapshot(_closes(spark, ("A", close), ("B", close)), root, "20240101_000000")
+    assert _latest(spark, root) == [("A", 2, "20240101_000000"), ("B", 2, "20240101_000000")]
+    log = S.snapshot_log(spark, root).collect()
+    assert [(r.snapshot_ts, r.version, r.n_rows, r.min_symbol, r.max_symbol) for r in log] == [("20240101_000000", 2, 2, "A", "B")]
+    assert log[0].bytes > 0
+
+
+def test_half_failed_write_is_never_seen(spark, monkeypatch):
+    root = S.shared_path(spark, "test-crash")
+    S.write_snapshot(_closes(spark, ("A", 1)), root, "20240101_000000")
+
+    def crash(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:  # data and manifest are written, the commit is not
+        m.setattr(S.commits, "append", crash)
+        with pytest.raises(OSError):
+            S.write_snapshot(_closes(spark, ("A", 9), ("C", 9)), root, "20240102_000000")
+    assert _latest(spark, root) == [("A", 1, "20240101_000000")]
+    S.write_snapshot(_closes(spark, ("A", 2)), root, "20240102_000000")
+    assert _latest(spark, root) == [("A", 2, "20240102_000000")]
+    assert S.remove_uncommitted(spark, root, 0) == []
+    assert len(S.remove_uncommitted(spark, root, 1 << 62)) == 1
+    assert _latest(spark, root) == [("A", 2, "20240102_000000")]
+
+
+def test_writers_never_share_a_version(spark):
+    root = S.shared_path(spark, "test-race")
+    one = [{"file": "f", "bytes": 1, "n_rows": 1, "min_symbol": "A", "max_symbol": "A"}]
+    assert S.commits.append(spark, root, "20240101_000000", "x", one) == 0
+    listed = S.commits._versions
+    try:
+        S.commits._versions = lambda *a: []  # a writer that has not seen the other's commit
+        assert S.commits.append(spark, root, "20240102_000000", "y", one) == 1
+    finally:
+        S.commits._versions = listed
+    assert {(r.version, r.id) for r in S.commits.live(spark, root).collect()} == {(0, "x"), (1, "y")}
+
+
+def test_symbol_ranges_skip_files(spark):
+    root = S.shared_path(spark, "test-ranges")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        S.write_snapshot(_closes(spark, *[(f"S{i:03d}", i) for i in range(400)]), root, "20240101_000000")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    schema = spark.createDataFrame([], _CLOSES).schema
+    got = S.read_snapshot(spark, root, schema, "20240101_000000", ["S007", "S390", "none"])
+    assert sorted((r.symbol, r.close) for r in got.collect()) == [("S007", 7), ("S390", 390)]
+    assert len(S.commits.live(spark, root).collect()) > 4
+    assert len(got.inputFiles()) == 2
+    asked = spark.createDataFrame([("S007",), ("S008",)], "symbol string")
+    latest, _ = S.read_latest_snapshot(spark, root, schema, asked)
+    assert latest.count() == 2 and len(latest.inputFiles()) == 1
+
+
+def test_empty_store_and_empty_snapshot(spark):
+    root = S.shared_path(spark, "test-empty")
+    asked = spark.createDataFrame([("A",)], "symbol string")
+    schema = spark.createDataFrame([], _CLOSES).schema
+    for _ in range(2):
+        latest, missing = S.read_latest_snapshot(spark, root, schema, asked)
+        assert latest.count() == 0 and [r.symbol for r in missing.collect()] == ["A"]
+        S.write_snapshot(_closes(spark), root, "20240101_000000")
+    assert [(r.files, r.bytes, r.n_rows) for r in S.snapshot_log(spark, root).collect()] == [(0, 0, 0)]
+
+
 def _late_quotes(spark, src, rows):
     Q.write_quotes_json(spark.createDataFrame(rows, "symbol string, timestamp string, price double, volume long, status string"), src)
 

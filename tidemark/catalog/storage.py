@@ -9,6 +9,7 @@ from tidemark.catalog import register
 from tidemark.functions.presentation import rounded
 from tidemark.plans.train import train_many
 from tidemark.schemas import BARS
+from tidemark.session import cut_lineage
 from tidemark.sources import quotes as Q
 from tidemark.sources import snapshots as S
 from tidemark.sources.bars import bars_from
@@ -21,7 +22,7 @@ BAR_O = ["symbol", "date", "volume"]
 
 def _stored_bars(spark, bars) -> str:
     """Two snapshots of one bar table, the older of its earlier days only."""
-    root = S.shared_path(spark, "snapshots")
+    root, bars = S.shared_path(spark, "snapshots"), cut_lineage(bars)
     S.write_snapshot(bars.where(F.col("date") < F.lit("1997-01-01").cast("date")), root, "20240101_090000")
     S.write_snapshot(bars, root, "20240102_090000")
     return root
@@ -50,7 +51,7 @@ def q_snapshot_latest_join(spark, sf):
 def _split_history(spark, bars):
     """Symbols whose newest snapshots differ: an old one of all, a new one of the later days'
     symbols alone (those with a bar after 2000-01-01)."""
-    root = S.shared_path(spark, "snapshots")
+    root, bars = S.shared_path(spark, "snapshots"), cut_lineage(bars)
     S.write_snapshot(bars, root, "20240101_090000")
     S.write_snapshot(bars.where(F.col("date") >= F.lit("2000-01-01").cast("date")), root, "20240102_090000")
     return S.read_latest_snapshot(spark, root, BARS)[0]
@@ -131,3 +132,47 @@ def q_lifecycle_tiers(spark, sf):
     age = F.datediff(F.lit("2002-01-01").cast("date"), F.col("date"))
     return b.groupBy("symbol", S.lifecycle_tier(age).alias("tier")).agg(
         F.count(F.lit(1)).alias("objects"), F.sum("volume").alias("volume"))
+
+
+# Snapshot days of the lifecycle query and the year whose bars each of them holds.
+_RUNS = [("20240101_090000", 1995), ("20240915_090000", 1996), ("20241125_090000", 1997), ("20241230_090000", 1998)]
+_AS_OF = "2025-01-01"
+
+
+def _yearly_snapshots(spark, sf) -> str:
+    """A snapshot per year of bars, the last one written twice (a run that was repeated)."""
+    root, bars = S.shared_path(spark, "snapshots"), cut_lineage(bars_from(spark, sf, "brands"))
+    for stamp, year in [*_RUNS, _RUNS[-1]]:
+        S.write_snapshot(bars.where(F.year("date") == year), root, stamp)
+    return root
+
+
+_RUNS_SQL = ", ".join(f"('{stamp}', {year})" for stamp, year in _RUNS)
+
+
+@register("snapshot_log", f"""SELECT stamp AS snapshot_ts, CASE WHEN count(symbol) > 0 THEN 1 ELSE 0 END AS has_bytes,
+    count(symbol) AS n_rows, min(symbol) AS min_symbol, max(symbol) AS max_symbol
+  FROM (VALUES {_RUNS_SQL}) r(stamp, y) LEFT JOIN ({O.bars('brands')}) b ON year(b.date) = r.y GROUP BY stamp""")
+def q_snapshot_log(spark, sf):
+    """Rows, bytes and symbol ranges of the snapshots, without reading their data."""
+    log = S.snapshot_log(spark, _yearly_snapshots(spark, sf))
+    return log.select("snapshot_ts", (F.col("bytes") > 0).cast("int").alias("has_bytes"), "n_rows", "min_symbol", "max_symbol")
+
+
+@register("lifecycle_snapshots", f"""SELECT tier, count(DISTINCT stamp) AS snapshots, CASE WHEN count(symbol) > 0 THEN 1 ELSE 0 END AS has_bytes,
+    count(symbol) AS n_rows
+  FROM (SELECT stamp, y, CASE WHEN age >= 365 THEN 'DEEP_ARCHIVE' WHEN age >= 90 THEN 'GLACIER' WHEN age >= 30 THEN 'STANDARD_IA' ELSE 'STANDARD' END AS tier
+        FROM (SELECT stamp, y, date_diff('day', CAST(strptime(stamp, '%Y%m%d_%H%M%S') AS DATE), DATE '{_AS_OF}') AS age
+              FROM (VALUES {_RUNS_SQL}) r(stamp, y)) a) t
+  LEFT JOIN ({O.bars('brands')}) b ON year(b.date) = t.y GROUP BY tier""")
+def q_lifecycle_snapshots(spark, sf):
+    """A9 on stored snapshots: how many, how many rows and whether any bytes are in each tier."""
+    tiers = S.lifecycle_tiers(S.snapshot_log(spark, _yearly_snapshots(spark, sf)), _AS_OF)
+    return tiers.select("tier", "snapshots", (F.col("bytes") > 0).cast("int").alias("has_bytes"), "n_rows")
+
+
+@register("snapshot_symbols", R(f"SELECT * FROM ({O.bars('brands')}) b WHERE year(date) = 1997 AND symbol IN (SELECT DISTINCT p_brand FROM part WHERE p_size = 7)", BAR_D, BAR_O))
+def q_snapshot_symbols(spark, sf):
+    """One snapshot's bars of some symbols (the brands that have parts of one size), from the files whose range holds them."""
+    brands = [r["p_brand"] for r in read_table(spark, sf, "part").where("p_size = 7").select("p_brand").distinct().collect()]
+    return _bar_columns(S.read_snapshot(spark, _yearly_snapshots(spark, sf), BARS, "20241125_090000", brands))

@@ -7,10 +7,11 @@ aggregates and windows partitioned by run or model, never by a global order.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 # Fixed values of the reference: default run tags and registry stages.
 DEFAULT_TAGS = {"project": "stock_prediction", "environment": "dev", "version": "1.0.0"}
 STAGES = ("None", "Staging", "Production", "Archived")
@@ -152,7 +153,36 @@ def latest_per_stage(state: DataFrame) -> DataFrame:
     return state.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-PROMOTED = "model string, version int, stage string, ts timestamp, seq long, run_id string, rejected string"
+def _last_production(w) -> Column:
+    """Position and time of the nearest accepted move to Production in the frame before a row of ``w``."""
+    entry = F.when(F.col("ok") & F.col("moves") & (F.col("stage") == "Production"), F.struct("pos", "ts"))
+    return F.last(entry, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _stage_before(rows: DataFrame) -> DataFrame:
+    """rows with ``before``: the version's stage just before each row, given the accepted ones (``ok``)."""
+    own = F.last(F.when(F.col("ok"), F.struct("pos", "stage")), ignorenulls=True).over(
+        Window.partitionBy("model", "version").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_production", _last_production(Window.partitionBy("model").orderBy("pos"))).withColumn("_own", own)
+    archived = (F.col("_own.stage") == "Production") & (F.col("_production.pos") > F.col("_own.pos"))
+    return rows.withColumn("before", F.when(archived, "Archived").otherwise(F.col("_own.stage"))).drop("_production", "_own")
+
+
+def _accepted(rows: DataFrame) -> DataFrame:
+    """rows with ``ok`` settled: a row that names a stage to come from is accepted where its version
+    has that stage. Whether it does depends on earlier rows alone, so repeating the scan settles at
+    least one more row of each model's chain of such dependencies; mostly the first scan settles all."""
+    rows = rows.withColumn("ok", F.col("why").isNull())
+    if rows.where(F.col("from_stage").isNotNull() & F.col("ok")).isEmpty():
+        return rows.withColumn("before", F.lit(None).cast("string"))
+    while True:
+        holds = F.col("why").isNull() & (F.col("from_stage").isNull() | F.col("from_stage").eqNullSafe(F.col("before")))
+        rows = cut_lineage(_stage_before(rows).withColumn("_holds", holds))
+        settled = rows.where("ok != _holds").isEmpty()
+        rows = rows.withColumn("ok", F.col("_holds")).drop("_holds")
+        if settled:
+            return rows
+        rows = rows.drop("before")
 
 
 def fold_promotions(events: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -161,38 +191,41 @@ def fold_promotions(events: DataFrame, promotions: DataFrame) -> DataFrame:
 
     A promotion to Production first archives every other version that is Production at that
     moment. It is rejected when the version is unknown, the stage is none of ``STAGES``, or
-    ``from_stage`` is given and is not the version's stage at that moment. A group is one
-    model's versions and its promotions of this batch.
+    ``from_stage`` is given and is not the version's stage at that moment.
+
+    Segmented scans per model, in order: a version's stage is that of its own last move, or
+    Archived where that is Production and another version went to Production since; it is
+    archived by the next move to Production unless its own next move comes first. Windows by
+    model (and by version inside the same distribution), so one exchange carries them all.
     """
     if "from_stage" not in promotions.columns:
         promotions = promotions.withColumn("from_stage", F.lit(None).cast("string"))
+    state = registry_state(events).select("model", "version", F.col("stage").alias("now"), "run_id")
+    order = Window.partitionBy("model").orderBy("ts", "version", "to_stage", "from_stage")
+    batch = (promotions.select("model", "version", "to_stage", "ts", "from_stage").withColumn("pos", F.row_number().over(order))
+             .join(state, ["model", "version"], "left"))
+    why = F.when(F.col("now").isNull(), "unknown version").when(~F.col("to_stage").isin(*STAGES), "unknown stage")
+    batch = batch.select("model", "version", F.col("to_stage").alias("stage"), "ts", "from_stage", "pos", "run_id",
+                         F.lit(True).alias("moves"), why.alias("why"))
+    start = state.select("model", "version", F.col("now").alias("stage"), F.lit(None).cast("timestamp").alias("ts"),
+                         F.lit(None).cast("string").alias("from_stage"), F.lit(0).alias("pos"), "run_id",
+                         F.lit(False).alias("moves"), F.lit(None).cast("string").alias("why"))
+    rows = _accepted(cut_lineage(start.unionByName(batch)))
+    # the next accepted move to Production, and the version's own next move
+    back = F.col("pos").desc()
+    own = F.last(F.when(F.col("ok"), F.col("pos")), ignorenulls=True).over(
+        Window.partitionBy("model", "version").orderBy(back).rowsBetween(Window.unboundedPreceding, -1))
+    ahead = rows.withColumn("_next", _last_production(Window.partitionBy("model").orderBy(back))).withColumn("_own", own)
+    archived = ahead.where(F.col("ok") & (F.col("stage") == "Production") & (F.col("_next.pos") < F.coalesce("_own", F.lit(2**31 - 1))))
+    archived = archived.select("model", "version", F.lit("Archived").alias("stage"), "_next.ts", "_next.pos", "run_id", F.lit(0).alias("kind"))
+    moved = rows.where("ok and moves").select(*archived.columns[:-1], F.lit(1).alias("kind"))
     top = events.groupBy("model").agg(F.max("seq").alias("top"))
-    state = registry_state(events).join(top, "model")
-
-    def fold(now: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-        stage = dict(zip(now["version"], now["stage"]))
-        run = dict(zip(now["version"], now["run_id"]))
-        seq = int(now["top"].iloc[0]) if len(now) else -1
-        out = []
-        for p in batch.sort_values(["ts", "version"], kind="stable").itertuples(index=False):
-            why = ("unknown version" if p.version not in stage else "unknown stage" if p.to_stage not in STAGES
-                   else f"stage is {stage[p.version]}" if pd.notna(p.from_stage) and stage[p.version] != p.from_stage else None)
-            if why:
-                out.append((p.model, p.version, p.to_stage, p.ts, None, run.get(p.version), why))
-                continue
-            moves = [(v, "Archived") for v, s in sorted(stage.items())
-                     if p.to_stage == "Production" and s == "Production" and v != p.version]
-            for v, s in [*moves, (p.version, p.to_stage)]:
-                seq += 1
-                stage[v] = s
-                out.append((p.model, v, s, p.ts, seq, run[v], None))
-        res = pd.DataFrame(out, columns=["model", "version", "stage", "ts", "seq", "run_id", "rejected"])
-        return res.astype({"seq": "Int64"})
-
-    # new names: both sides may come from one table
-    now = state.select(F.col("model").alias("_model"), *[F.col(c).alias(c) for c in ("version", "stage", "run_id", "top")])
-    batch = promotions.select(*[F.col(c).alias(c) for c in ("model", "version", "to_stage", "ts", "from_stage")])
-    return now.groupBy("_model").cogroup(batch.groupBy("model")).applyInPandas(fold, PROMOTED)
+    place = F.row_number().over(Window.partitionBy("model").orderBy("pos", "kind", "version"))
+    applied = archived.unionByName(moved).withColumn("_n", place).join(top, "model").select(
+        "model", "version", "stage", "ts", (F.col("top") + F.col("_n")).alias("seq"), "run_id", F.lit(None).cast("string").alias("rejected"))
+    reason = F.coalesce("why", F.concat(F.lit("stage is "), F.col("before")))
+    refused = rows.where("not ok").sortWithinPartitions("model", "pos").select("model", "version", "stage", "ts", F.lit(None).cast("long").alias("seq"), "run_id", reason.alias("rejected"))
+    return applied.unionByName(refused)
 
 
 def promote(events: DataFrame, promotions: DataFrame) -> DataFrame:

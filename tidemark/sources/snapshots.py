@@ -1,10 +1,11 @@
 """Snapshots, model tables, status history and inventory.
 
-A snapshot store has two tables: ``data``, Parquet partitioned by ``snapshot_ts``
-(``yyyyMMdd_HHmmss`` text) and clustered by symbol inside a partition, and
-``manifest``, one row per symbol and snapshot, written once the snapshot's data
-is committed. Symbols are column values in both, never folder names, so any
-text is a symbol.
+A snapshot store is a folder of writes and a log of commits (see ``commits``). A write is
+``data/write=<id>``, Parquet cut by ranges of the symbol, and ``manifest/write=<id>``, the rows of
+each symbol in each file. Its commit, written last, names the stamp (``yyyyMMdd_HHmmss`` text), the
+write and its files with bytes, rows and symbol range. Readers start from the log: a write that
+failed half way is never seen, and writing a stamp again replaces it. Symbols are column
+values, never folder names, so any text is a symbol.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import cut_lineage, ensure_checkpoint_dir
+from tidemark.sources import commits
+from tidemark.sources.commits import path_exists
 
 STAMP_FMT = "yyyyMMdd_HHmmss"
 # Fixed values of the reference's storage lifecycle rule (days → tier).
@@ -28,25 +31,39 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def _stored(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def write_snapshot(df: DataFrame, root: str, snapshot_ts: str) -> int:
+    """One immutable snapshot of every symbol in ``df``, stamped ``snapshot_ts``; returns its version.
+
+    Rows are range-partitioned by symbol, so a file holds whole symbols of a narrow range. What
+    the commit says of the files is read back from what was written (the symbol column alone).
+    One row per file reaches the driver.
+    """
+    spark, root, write_id = df.sparkSession, root.rstrip("/"), uuid.uuid4().hex
+    data, manifest = f"{root}/data/write={write_id}", f"{root}/manifest/write={write_id}"
+    df = df.withColumn("symbol", F.col("symbol").cast("string")).withColumn("snapshot_ts", F.lit(snapshot_ts))
+    df.repartitionByRange("symbol").sortWithinPartitions("symbol").write.parquet(data)
+    (spark.read.schema("symbol string").parquet(data)
+     .groupBy("symbol", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+     .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("snapshot_ts", F.lit(snapshot_ts)).write.parquet(manifest))
+    files = (spark.read.schema(_MANIFEST).parquet(manifest).groupBy("file")
+             .agg(F.max("bytes").alias("bytes"), F.sum("n_rows").alias("n_rows"),
+                  F.min("symbol").alias("min_symbol"), F.max("symbol").alias("max_symbol")).orderBy("file").collect())
+    return commits.append(spark, root, snapshot_ts, write_id, [r.asDict() for r in files])
+
+
+_MANIFEST = "symbol string, file string, bytes long, n_rows long, snapshot_ts string"
+
+
+def _read_files(spark: SparkSession, root: str, schema: T.StructType, files: list[str]) -> DataFrame:
     fields = [f for f in schema.fields if f.name != "snapshot_ts"]
     full = T.StructType([*fields, T.StructField("snapshot_ts", T.StringType())])
-    return spark.read.schema(full).option("basePath", f"{root}/data").parquet(f"{root}/data")
-
+    if not files:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(*[f"{root}/data/{f}" for f in files])
 
-def write_snapshot(df: DataFrame, root: str, snapshot_ts: str) -> None:
-    """Append one immutable snapshot of every symbol in ``df``, stamped ``snapshot_ts``.
 
-    As many files as shuffle partitions, each holding whole symbols in order, so
-    row-group statistics prune a symbol filter. The manifest row of a symbol is
-    derived from what was committed.
-    """
-    spark, root = df.sparkSession, root.rstrip("/")
-    (df.repartition("symbol").sortWithinPartitions("symbol").withColumn("snapshot_ts", F.lit(snapshot_ts))
-     .write.mode("append").partitionBy("snapshot_ts").parquet(f"{root}/data"))
-    (_stored(spark, root, df.schema).where(F.col("snapshot_ts") == snapshot_ts)
-     .groupBy("symbol", "snapshot_ts").agg(F.count(F.lit(1)).alias("n_rows"))
-     .write.mode("append").parquet(f"{root}/manifest"))
+def _named(files: DataFrame) -> list[str]:
+    return [f"write={r['id']}/{r['file']}" for r in files.where("file is not null").select("id", "file").distinct().collect()]
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
@@ -54,22 +71,57 @@ def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
     """Newest snapshot per symbol, plus ``missing(symbol)``: requested symbols
     without any snapshot (J3, a left anti join).
 
-    The newest stamp of each symbol comes from the manifest and is joined to the
-    data. ``prune=True`` first restricts the scan to stamps that are the newest
-    of some symbol: one value per snapshot run reaches the driver.
+    The newest stamp of each symbol comes from the manifests of the committed writes and is
+    joined to the data. ``prune=True`` first restricts the scan to the files that hold a symbol's newest
+    rows: one name per such file reaches the driver, as in any file listing.
     """
     root = root.rstrip("/")
-    newest = spark.read.parquet(f"{root}/manifest").groupBy("symbol").agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    log = commits.live(spark, root).select("snapshot_ts", "id", "file").distinct()
+    writes = sorted({r["id"] for r in log.select("id").distinct().collect()})
+    manifest = spark.createDataFrame([], _MANIFEST)
+    if writes:
+        manifest = spark.read.schema(_MANIFEST).parquet(*[f"{root}/manifest/write={w}" for w in writes])
+    newest = manifest.groupBy("symbol").agg(F.max("snapshot_ts").alias("snapshot_ts"))
     missing = spark.createDataFrame([], "symbol string")
     if requested is not None:
         wanted = requested.select("symbol").distinct()
         missing = wanted.join(newest, "symbol", "left_anti")
         newest = newest.join(wanted, "symbol", "left_semi")
-    data = _stored(spark, root, schema)
     if prune:
-        stamps = [r["snapshot_ts"] for r in newest.select("snapshot_ts").distinct().collect()]
-        data = data.where(F.col("snapshot_ts").isin(stamps)) if stamps else data.limit(0)
-    return data.join(newest, ["symbol", "snapshot_ts"]), missing
+        newest = cut_lineage(newest)
+        files = manifest.join(newest, ["symbol", "snapshot_ts"], "left_semi").select("snapshot_ts", "file").distinct()
+        log = log.join(files, ["snapshot_ts", "file"], "left_semi")
+    return _read_files(spark, root, schema, _named(log)).join(newest, ["symbol", "snapshot_ts"]), missing
+
+
+def read_snapshot(spark: SparkSession, root: str, schema: T.StructType, snapshot_ts: str, symbols: list[str]) -> DataFrame:
+    """The rows of a few symbols in one snapshot, from those files alone whose symbol range holds one of them."""
+    root = root.rstrip("/")
+    files = commits.live(spark, root).where(F.col("snapshot_ts") == snapshot_ts)
+    wanted = spark.createDataFrame([(s,) for s in set(symbols)], "symbol string")
+    files = files.join(wanted, (F.col("symbol") >= F.col("min_symbol")) & (F.col("symbol") <= F.col("max_symbol")), "left_semi")
+    return _read_files(spark, root, schema, _named(files)).where(F.col("symbol").isin(list(symbols)))
+
+
+def snapshot_log(spark: SparkSession, root: str) -> DataFrame:
+    """(snapshot_ts, version, files, bytes, n_rows, min_symbol, max_symbol) per live snapshot, from the log alone."""
+    return commits.live(spark, root.rstrip("/")).groupBy("snapshot_ts", "version").agg(
+        F.count("file").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.min("min_symbol").alias("min_symbol"), F.max("max_symbol").alias("max_symbol"))
+
+
+def remove_uncommitted(spark: SparkSession, root: str, older_than_ms: int) -> list[str]:
+    """Deletes writes that no live commit names (failed or replaced ones) and that were last touched
+    before ``older_than_ms``, so that writes under way stay. Returns their ids."""
+    root = root.rstrip("/")
+    kept = {r["id"] for r in commits.live(spark, root).select("id").distinct().collect()}
+    gone = set()
+    for part in ("data", "manifest"):
+        for name, at in commits.names_in(spark, f"{root}/{part}"):
+            if name.startswith("write=") and name[6:] not in kept and at < older_than_ms:
+                commits.delete(spark, f"{root}/{part}/{name}")
+                gone.add(name[6:])
+    return sorted(gone)
 
 
 def write_models(models: DataFrame, root: str) -> None:
@@ -98,11 +150,6 @@ def write_alerts(alerts: DataFrame, root: str) -> None:
     alerts.write.mode("append").json(root)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 _FILES = "path string, length long, modificationTime timestamp"
 
 
@@ -136,6 +183,13 @@ def table_inventory(spark: SparkSession, root: str) -> DataFrame:
         "resource", "files", "bytes", "size_kb", "latest_modified")
 
 
+def lifecycle_tiers(log: DataFrame, as_of) -> DataFrame:
+    """Snapshots, files, bytes and rows per storage tier by the snapshot's age on ``as_of``, from ``snapshot_log``."""
+    day = F.to_date(F.to_timestamp("snapshot_ts", STAMP_FMT))
+    return log.groupBy(lifecycle_tier(F.datediff(F.lit(str(as_of)).cast("date"), day)).alias("tier")).agg(
+        F.count(F.lit(1)).alias("snapshots"), F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sum("n_rows").alias("n_rows"))
+
+
 def lifecycle_tier(age_days) -> F.Column:
     """Storage tier by age in days."""
     expr = None
