@@ -1,11 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_MID, series
+from tests.conftest import SF_MID, SF_SMALL, series
 from tidemark.operators import cleaning as C
 from tidemark.operators import dataset as D
 from tidemark.operators.indicators import add_indicators
-from tidemark.sources.bars import bars_from
+from tidemark.sources.bars import bars_from, ticks_to_bars
 
 
 def test_split_is_chronological(spark):
@@ -77,3 +77,21 @@ def test_not_a_number_is_no_price(spark):
     bad = series(spark, [float("nan"), 2.0], "N")
     good, rejected = C.quarantine(bad)
     assert [r.reason for r in rejected.collect()] == ["non_positive_price"] and good.count() == 1
+
+
+def test_bars_by_fixed_width_order_key(spark):
+    """The hash-aggregated form equals the sorted one, also for negative ids and times within a day."""
+    from tidemark.sources.tables import TICK_SOURCES, UNIQUE_TICKS
+    for source in UNIQUE_TICKS:
+        ticks = TICK_SOURCES[source](spark, SF_SMALL)
+        assert ticks.count() == ticks.select("ts", "tick_id", "seq").distinct().count()
+        a, b = ticks_to_bars(ticks), ticks_to_bars(ticks, unique=True)
+        assert "SortAggregate" not in b._jdf.queryExecution().executedPlan().toString()
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    rows = [("A", "2024-03-10 00:00:00", 2**62, 0, 1.0), ("A", "2024-03-10 00:00:00", -(2**62), 3, 2.0),
+            ("A", "2024-03-10 23:59:59.999999", -5, 59_999_999, 3.0), ("A", "2024-03-10 23:59:59.999999", -5, 2, 4.0),
+            ("B", "1960-01-01 12:00:00", 1, None, 5.0), ("B", "1960-01-01 11:59:59.999999", 2, None, 6.0)]
+    ticks = spark.createDataFrame(rows, "symbol string, ts string, tick_id long, seq long, price double").selectExpr(
+        "symbol", "timestamp(ts) AS ts", "tick_id", "seq", "price", "1D AS qty")
+    got = {r.symbol: (r.open, r.close) for r in ticks_to_bars(ticks, unique=True).collect()}
+    assert got == {"A": (2.0, 3.0), "B": (6.0, 5.0)}

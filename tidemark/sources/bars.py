@@ -4,24 +4,46 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import BAR_COLUMNS, BARS
-from tidemark.sources.tables import TICK_SOURCES, no_nan
+from tidemark.sources.tables import TICK_SOURCES, UNIQUE_TICKS, no_nan
+
+
+# Parts of the order key below: a day's microseconds * ids * line numbers stay below 10**38.
+_IDS, _LINES = 1 << 64, 60_000_000
+
+
+def order_key() -> Column:
+    """(time of day, tick id, line) of a tick as one number that orders ticks of a day alike.
+
+    A 38-digit decimal has a fixed width in aggregation buffers, so first and last prices
+    become hash aggregates, where a struct as key forces a sort. Lines must lie in 0 .. 59,999,999.
+    """
+    at = F.col("ts").cast("timestamp")
+    time = (F.unix_micros(at) - F.unix_micros(F.date_trunc("day", at))).cast("decimal(12,0)")
+    ids = F.col("tick_id").cast("decimal(19,0)") + F.lit(Decimal(_IDS // 2))
+    lines = F.coalesce(F.col("seq"), F.lit(0)).cast("decimal(8,0)")
+    return ((time * F.lit(Decimal(_IDS)) + ids).cast("decimal(31,0)") * F.lit(Decimal(_LINES)) + lines).cast("decimal(38,0)")
 
 
 def ticks_to_bars(ticks: DataFrame, order_cols: Iterable[str] = ("ts", "tick_id", "seq"),
-                  bucket: Column | None = None) -> DataFrame:
+                  bucket: Column | None = None, unique: bool = False) -> DataFrame:
     """Daily OHLCV per symbol from a tick table ``(symbol, ts, ..., price, qty)``.
 
-    open/close are the price of the first/last tick by ``order_cols``; the order
-    struct ends in ``price`` so ties on the other keys still resolve
-    deterministically. All aggregates are partial (map-side combine), so a hot
+    open/close are the price of the first/last tick by ``order_cols``, of ticks equal in all
+    of them the least/greatest price. All aggregates are partial (map-side combine), so a hot
     symbol is reduced to one row per (symbol, day, map task) before the shuffle.
+
+    ``unique`` says that (ts, tick_id, seq) identify a tick, as in a table with that key: then no
+    prices have to be told apart, the order is a fixed-width number (``order_key``) and the plan is a
+    hash aggregate. Otherwise the order is a struct that ends in the price, and Spark sorts.
     """
-    order = F.struct(*[F.col(c) for c in order_cols], F.col("price"))
+    fixed = unique and bucket is None and tuple(order_cols) == ("ts", "tick_id", "seq")
+    order = order_key() if fixed else F.struct(*[F.col(c) for c in order_cols], F.col("price"))
     key = bucket if bucket is not None else F.to_date("ts")
     return (ticks.withColumn("price", no_nan("price")).where(F.col("price").isNotNull())
             .groupBy("symbol", key.alias("date"))
@@ -34,7 +56,7 @@ def ticks_to_bars(ticks: DataFrame, order_cols: Iterable[str] = ("ts", "tick_id"
 
 def bars_from(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
     """Daily bars built from one of the given tables (see ``TICK_SOURCES``)."""
-    return ticks_to_bars(TICK_SOURCES[source](spark, sf_dir))
+    return ticks_to_bars(TICK_SOURCES[source](spark, sf_dir), unique=source in UNIQUE_TICKS)
 
 
 def load_bars(spark: SparkSession, path_or_df, symbols: Iterable[str] | None = None,

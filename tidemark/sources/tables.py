@@ -76,3 +76,6 @@ TICK_SOURCES = {
     "suppliers": supplier_ticks,
     "events": event_ticks,
 }
+
+# Sources whose (ts, tick_id, seq) is a key of the table; line items repeat order and line numbers.
+UNIQUE_TICKS = {"orders", "events"}
