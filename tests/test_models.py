@@ -47,7 +47,7 @@ def test_linear_matches_numpy(spark):
 
 def test_ar_fit_and_forecast_match_numpy(spark):
     ds = ar.ar_dataset(bars_from(spark, SF_SMALL, "orders"))
-    fit = {r.symbol: r for r in ar.fit_ar(ds).collect()}
+    fit = {r.symbol: r for r in ar.fit_ar(ds, method="conditional").collect()}
     train = _pdf(ds.where(F.col("split") == "train")).sort_values(["symbol", "date"])
     for sym, g in train.groupby("symbol"):
         c = g["close"].to_numpy()
@@ -236,3 +236,63 @@ def test_every_symbol_has_a_row_and_every_type_is_served(spark):
     feats = linear.newest_features(bars).where(F.col("symbol") == "1-URGENT").first()
     m = rows[("linear", "1-URGENT")]
     assert got["linear1"].predictions[0] == pytest.approx(m.intercept + sum(c * feats[f] for c, f in zip(m.coef, m.features)))
+
+
+def _dense_loglik(phi, sigma, w):
+    """Gaussian log-likelihood of a stationary autoregression from its whole covariance matrix."""
+    p, n = len(phi), len(w)
+    start = np.linalg.inv(ar.start_precision(phi)[0])
+    gamma = list(start[0]) + [0.0] * (n - p)
+    for k in range(p, n):
+        gamma[k] = sum(phi[i] * gamma[k - 1 - i] for i in range(p))
+    cov = sigma**2 * np.array(gamma)[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    _, det = np.linalg.slogdet(cov)
+    return -0.5 * (n * np.log(2 * np.pi) + det + w @ np.linalg.solve(cov, w))
+
+
+def test_exact_ar_likelihood_equals_dense_covariance(spark):
+    ds = ar.ar_dataset(bars_from(spark, SF_SMALL, "brands"))
+    fit = {r.symbol: r for r in ar.fit_ar(ds).collect()}
+    train = _pdf(ds.where(F.col("split") == "train")).sort_values(["symbol", "date"])
+    rng = np.random.default_rng(5)
+    assert len(fit) == 25
+    for sym, g in train.groupby("symbol"):
+        w, r = np.diff(g["close"].to_numpy()), fit[sym]
+        phi = np.array(r.coef)
+        assert r.n_train == len(w)
+        best = _dense_loglik(phi, r.sigma, w)
+        assert r.loglik == pytest.approx(best, rel=1e-6)
+        for _ in range(6):  # no neighbour is better
+            other = phi + rng.normal(scale=1e-3, size=5)
+            assert _dense_loglik(other, r.sigma, w) <= best + 1e-9 * abs(best)
+        assert _dense_loglik(phi, r.sigma * 1.001, w) < best and _dense_loglik(phi, r.sigma * 0.999, w) < best
+
+
+def test_exact_ar_recovers_a_simulated_series_and_its_edges():
+    rng = np.random.default_rng(3)
+    phi = np.array([0.5, -0.3, 0.2, 0.1, -0.2])
+    w = np.zeros(20_000)
+    e = rng.normal(scale=2.0, size=len(w))
+    for t in range(5, len(w)):
+        w[t] = phi @ w[t - 5:t][::-1] + e[t]
+    for n in (11, 40, 20_000):
+        x = w[100:100 + n]
+        got, sigma, loglik = ar.exact_fit(np.array([x[: len(x) - k] @ x[k:] for k in range(6)]), len(x), x[:5], x[::-1][:5])
+        assert loglik == pytest.approx(_dense_loglik(got, sigma, x), rel=1e-6) if n < 100 else np.allclose(got, phi, atol=0.03)
+    flat = ar.exact_fit(np.zeros(6), 50, np.zeros(5), np.zeros(5))
+    assert flat[0].tolist() == [0.0] * 5 and flat[1] == 0.0
+
+
+def test_long_forecast_equals_the_loop(spark):
+    coef, diffs, close, h = [0.4, -0.2, 0.1, 0.05, -0.1], [1.0, -0.5, 0.3, 0.2, -0.1], 100.0, 100_000
+    hist, lvl, want = list(diffs), close, []
+    for _ in range(h):
+        dy = float(np.dot(coef, hist))
+        lvl += dy
+        want.append(lvl)
+        hist = [dy] + hist[:4]
+    df = spark.createDataFrame([("A", coef, diffs, close, h), ("B", coef, diffs, close, 3)],
+                               "symbol string, coef array<double>, last_diffs array<double>, last_close double, h int")
+    got = ar.forecast_steps(df, block=7000).orderBy("symbol", "step").toPandas()
+    assert np.allclose(got[got["symbol"] == "A"]["yhat"], want, rtol=1e-10)
+    assert got[got["symbol"] == "B"]["step"].tolist() == [1, 2, 3] and np.allclose(got[got["symbol"] == "B"]["yhat"], want[:3])

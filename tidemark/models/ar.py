@@ -1,14 +1,22 @@
 """M3/M4: autoregression on first differences — ARIMA(p, d=1, 0) without constant.
 
-Fit: conditional least squares of Δy_t on Δy_{t-1..t-p} over the train split
-(first 80 % of each symbol's closes), solved from distributed partial Gram
-sums. Forecast: the recursion runs inside one ``aggregate`` over
-``sequence(1, h)``, re-integrating differences from the last train close.
-(The reference estimates by exact likelihood, so coefficients differ slightly.)
+Fit: exact Gaussian likelihood of the differences Δy_1..Δy_n of the train split (first 80 % of
+each symbol's closes). It depends on the data through n, the lagged product sums
+Σ Δy_t Δy_{t+k} and the first and last p differences alone, all of them Spark aggregates; what is
+left per symbol is a Newton search over p coefficients (``exact_fit``). ``method="conditional"``
+takes conditional least squares of Δy_t on Δy_{t-1..t-p} instead.
+
+Forecast: short horizons run inside one ``aggregate`` over ``sequence(1, h)``, re-integrating
+differences from the last train close; long ones by doubling blocks of the companion form
+(``forecast_steps``).
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,12 +40,139 @@ def ar_dataset(bars: DataFrame, p: int = P_DEFAULT) -> DataFrame:
     return s.withColumn("x", F.array(*lags))
 
 
-def fit_ar(ds: DataFrame, p: int = P_DEFAULT) -> DataFrame:
+def product_matrix(lagged: np.ndarray, n: int, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """D of the exact quadratic form: D[i, j] is the sum of w_t w_{t+j-i} over the pairs that leave out
+    i terms at either end, so S(phi) = (1, -phi) D (1, -phi)'.
+
+    lagged: Σ w_t w_{t+k} for k = 0..p; head: first p values; tail: last p values, newest first.
+    """
+    p = len(lagged) - 1
+    d = np.zeros((p + 1, p + 1))
+    for i in range(p + 1):
+        for j in range(i, p + 1):
+            k = j - i
+            ends = sum(head[t] * head[t + k] + tail[t] * tail[t + k] for t in range(i)) if i else 0.0
+            d[i, j] = d[j, i] = lagged[k] - ends
+    return d
+
+
+def start_precision(phi: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[list[np.ndarray]]]:
+    """M = L L' - U U', the inverse covariance of p successive values at unit noise, with its first
+    and second derivatives. It is positive definite exactly if the recursion is stationary."""
+    p = len(phi)
+
+    def lower(column):
+        return sum(np.diag(np.full(p - k, column[k]), -k) for k in range(p))
+
+    def unit(k, sign=-1.0):
+        v = np.zeros(p)
+        v[k] = sign
+        return v
+
+    left, right = lower(np.r_[1.0, -phi[:-1]]), lower(-phi[::-1])
+    d_left = [lower(unit(k + 1)) if k + 1 < p else np.zeros((p, p)) for k in range(p)]
+    d_right = [lower(unit(p - 1 - k)) for k in range(p)]
+    first = [dl @ left.T + left @ dl.T - dr @ right.T - right @ dr.T for dl, dr in zip(d_left, d_right)]
+    second = [[a @ b.T + b @ a.T - c @ d.T - d @ c.T for b, d in zip(d_left, d_right)] for a, c in zip(d_left, d_right)]
+    return left @ left.T - right @ right.T, first, second
+
+
+def _objective(phi: np.ndarray, d: np.ndarray, n: int) -> float:
+    """log-likelihood over phi with the noise variance at its best, up to a constant."""
+    u = np.r_[1.0, -phi]
+    s = float(u @ d @ u)
+    try:
+        root = np.linalg.cholesky(start_precision(phi)[0])
+    except np.linalg.LinAlgError:
+        return -np.inf
+    return -0.5 * n * math.log(s) + float(np.log(np.diag(root)).sum()) if s > 0 else -np.inf
+
+
+def _yule_walker(lagged: np.ndarray) -> np.ndarray:
+    """Always stationary: where the search starts."""
+    p = len(lagged) - 1
+    gamma = np.array([[lagged[abs(i - j)] for j in range(p)] for i in range(p)])
+    return np.linalg.lstsq(gamma + 1e-9 * lagged[0] * np.eye(p), lagged[1:], rcond=None)[0]
+
+
+def exact_fit(lagged: np.ndarray, n: int, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Coefficients, noise standard deviation and log-likelihood of the exact maximum.
+
+    Newton steps, damped where the curvature asks for it, halved until the likelihood rises."""
+    p = len(lagged) - 1
+    if not lagged[0] > 0:  # no difference at all
+        return np.zeros(p), 0.0, math.inf
+    d = product_matrix(lagged, n, head, tail)
+    phi = _yule_walker(lagged)
+    value = _objective(phi, d, n)
+    while not np.isfinite(value):
+        phi = phi / 2
+        value = _objective(phi, d, n)
+    for _ in range(100):
+        u = np.r_[1.0, -phi]
+        s, ds, dds = u @ d @ u, -2 * (d @ u)[1:], 2 * d[1:, 1:]
+        m, first, second = start_precision(phi)
+        inv = np.linalg.inv(m)
+        gradient = -0.5 * n * ds / s + 0.5 * np.array([np.trace(inv @ x) for x in first])
+        curve = -0.5 * n * (dds / s - np.outer(ds, ds) / s**2) + 0.5 * np.array(
+            [[np.trace(inv @ second[a][b]) - np.trace(inv @ first[a] @ inv @ first[b]) for b in range(p)] for a in range(p)])
+        top = np.linalg.eigvalsh(curve)[-1]
+        step = np.linalg.solve(curve - (top + 1e-3 * abs(top) + 1e-9) * np.eye(p) if top >= 0 else curve, -gradient)
+        size = 1.0
+        while size > 1e-12 and not _objective(phi + size * step, d, n) >= value:
+            size /= 2
+        if size <= 1e-12:
+            break
+        phi = phi + size * step
+        value = _objective(phi, d, n)
+        if np.abs(size * step).max() < 1e-12:
+            break
+    u = np.r_[1.0, -phi]
+    sigma2 = float(u @ d @ u) / n
+    return phi, math.sqrt(sigma2), value - 0.5 * n * (1 + math.log(2 * math.pi) - math.log(n))
+
+
+def _fit_exact(train: DataFrame, p: int) -> DataFrame:
+    """(symbol, n_train, coef, sigma, error, loglik) from aggregates of the differences."""
+    dy = F.col("dy")
+    ends = train.where(dy.isNotNull()).groupBy("symbol").agg(
+        F.count(dy).alias("n"), F.sum(dy * dy).alias("s0"),
+        *[F.sum(dy * F.element_at("x", k)).alias(f"s{k}") for k in range(1, p + 1)],
+        # differences start in the second row: at most p entries a symbol
+        F.sort_array(F.collect_list(F.when(F.col("rn") <= p + 1, F.struct("rn", "dy")))).alias("head"),
+        F.max_by(F.struct("dy", "x"), "rn").alias("last"))
+    sums = ends.select("symbol", "n", F.array(*[F.coalesce(f"s{k}", F.lit(0.0)) for k in range(p + 1)]).alias("lagged"),
+                       F.col("head.dy").alias("head"),
+                       F.concat(F.array("last.dy"), F.slice("last.x", 1, p - 1)).alias("tail"))
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if r.n < 2 * p + 1:
+                    out.append((r.symbol, r.n, None, None, f"insufficient rows: {r.n} < {2 * p + 1}", None))
+                    continue
+                coef, sigma, loglik = exact_fit(np.asarray(r.lagged, float), int(r.n), np.asarray(r.head, float), np.asarray(r.tail, float))
+                out.append((r.symbol, r.n, coef.tolist(), sigma, None, loglik))
+            yield pd.DataFrame(out, columns=["symbol", "n_train", "coef", "sigma", "error", "loglik"])
+
+    return sums.mapInPandas(solve, "symbol string, n_train long, coef array<double>, sigma double, error string, loglik double")
+
+
+def fit_ar(ds: DataFrame, p: int = P_DEFAULT, method: str = "exact") -> DataFrame:
     """Per-symbol AR(p) coefficients on the train split, plus forecast state:
-    the last p train differences (newest first) and the last train close."""
+    the last p train differences (newest first) and the last train close.
+
+    ``method``: exact (maximum likelihood, ``n_train`` differences) or conditional (least squares)."""
     train = ds.where(F.col("split") == "train")
-    rows = train.where(F.col("dy").isNotNull() & F.forall("x", lambda v: v.isNotNull()))
-    fit = fit_least_squares(rows.select("symbol", "x", F.col("dy").alias("y")), p, min_rows=p + 1)
+    if method == "exact":
+        fit = _fit_exact(train, p)
+    elif method == "conditional":
+        rows = train.where(F.col("dy").isNotNull() & F.forall("x", lambda v: v.isNotNull()))
+        fit = fit_least_squares(rows.select("symbol", "x", F.col("dy").alias("y")), p, min_rows=p + 1).withColumn(
+            "loglik", F.lit(None).cast("double"))
+    else:
+        raise ValueError(f"unknown method: {method}")
     last = train.groupBy("symbol").agg(
         F.max_by(F.struct("close", "dy", "x"), "rn").alias("_last"),
         F.count(F.lit(1)).alias("n_train_rows"),
@@ -54,7 +189,7 @@ def fit_ar(ds: DataFrame, p: int = P_DEFAULT) -> DataFrame:
         "symbol", F.col("_s.close").alias("serve_last_close"), F.col("_s._dl").alias("serve_last_diffs"),
         F.col("_s.date").alias("serve_as_of"))
     return fit.join(state, "symbol", "right").join(serve, "symbol", "left").select(
-        "symbol", F.coalesce("n_train", F.lit(0).cast("long")).alias("n_train"), "coef", "sigma",
+        "symbol", F.coalesce("n_train", F.lit(0).cast("long")).alias("n_train"), "coef", "sigma", "loglik",
         F.coalesce("error", F.when(F.col("coef").isNull(), F.lit("insufficient rows"))).alias("error"),
         "last_close", "last_diffs", "last_train_date", "serve_last_close", "serve_last_diffs", "serve_as_of")
 
@@ -93,6 +228,34 @@ def ar_band_expr(coef: Column, sigma: Column, h: Column, p: int = P_DEFAULT) ->
     return F.aggregate(F.sequence(F.lit(1), h), init, step, lambda acc: acc["out"])
 
 
+def extend(coef: np.ndarray, diffs: np.ndarray, close: float, h: int) -> np.ndarray:
+    """The next h levels by doubling: a block of states known, the power of the companion matrix
+    that carries its first state past its end carries all of it, so h steps take log2(h) products."""
+    p = len(coef)
+    step = np.zeros((p + 1, p + 1))  # (diffs newest first, level) -> one step later
+    step[0, :p] = coef
+    step[1:p, : p - 1] = np.eye(p - 1)
+    step[p, :p], step[p, p] = coef, 1.0
+    states, carry = (step @ np.r_[diffs, close])[:, None], step
+    while states.shape[1] < h:
+        states = np.concatenate([states, carry @ states], 1)
+        carry = carry @ carry
+    return states[p, :h]
+
+
+def forecast_steps(fit: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """M4: (symbol, step, yhat) for steps 1..h of each fit (coef, last_diffs, last_close, h), in blocks of rows."""
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                levels = extend(np.asarray(r.coef, float), np.asarray(r.last_diffs, float), r.last_close, int(r.h))
+                for at in range(0, len(levels), block):
+                    own = levels[at: at + block]
+                    yield pd.DataFrame({"symbol": r.symbol, "step": np.arange(at + 1, at + 1 + len(own), dtype=np.int32), "yhat": own})
+
+    return fit.select("symbol", "coef", "last_diffs", "last_close", "h").mapInPandas(run, "symbol string, step int, yhat double")
+
+
 def evaluate_ar(ds: DataFrame, fit: DataFrame, p: int = P_DEFAULT) -> DataFrame:
     """Forecast the whole test block per symbol and align positionally (J1,
     step = position within the test split), then A1 metrics."""
@@ -100,10 +263,6 @@ def evaluate_ar(ds: DataFrame, fit: DataFrame, p: int = P_DEFAULT) -> DataFrame:
         "symbol", "date", F.col("close").alias("y"),
         (F.col("rn") - F.floor(F.col("n") * 4 / 5)).cast("int").alias("step"))
     h = test.groupBy("symbol").agg(F.max("step").alias("h"))
-    fc = (fit.where(F.col("error").isNull()).join(h, "symbol")
-          .select("symbol", F.posexplode(ar_forecast_expr(F.col("coef"), F.col("last_diffs"),
-                                                          F.col("last_close"), F.col("h"), p))
-                  .alias("pos", "yhat"))
-          .select("symbol", (F.col("pos") + 1).alias("step"), "yhat"))
+    fc = forecast_steps(fit.where(F.col("error").isNull()).join(h, "symbol"))
     pred = align_actual_predicted(test, fc, ("symbol", "step"))
     return regression_metrics(pred, ("symbol",))
