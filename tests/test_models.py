@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, series
 from tidemark.models import ar, linear, sequence, trend_seasonal as TS
 from tidemark.models.solve import fit_least_squares
 from tidemark.operators.cleaning import LINEAR_FEATURES
@@ -160,7 +160,7 @@ def test_least_squares_is_independent_of_units(spark, scale):
 
 def test_trend_seasonal_fit_matches_numpy(spark):
     ds = TS.ts_dataset(bars_from(spark, SF_SMALL, "orders"))
-    fit = {r.symbol: r for r in TS.fit_trend_seasonal(ds).collect()}
+    fit = {r.symbol: r for r in TS.fit_trend_seasonal(ds, prior="normal").collect()}
     train = _pdf(ds.where(F.col("split") == "train"))
     pen = np.diag(TS.penalties())
     for sym, g in train.groupby("symbol"):
@@ -296,3 +296,91 @@ def test_long_forecast_equals_the_loop(spark):
     got = ar.forecast_steps(df, block=7000).orderBy("symbol", "step").toPandas()
     assert np.allclose(got[got["symbol"] == "A"]["yhat"], want, rtol=1e-10)
     assert got[got["symbol"] == "B"]["step"].tolist() == [1, 2, 3] and np.allclose(got[got["symbol"] == "B"]["yhat"], want[:3])
+
+
+def test_changepoints_stand_at_row_quantiles(spark):
+    ds = TS.ts_dataset(bars_from(spark, SF_SMALL, "orders").unionByName(series(spark, [100.0 + i for i in range(20)], "SHORT")))
+    train = _pdf(ds.where(F.col("split") == "train")).sort_values(["symbol", "ds"])
+    for sym, g in train.groupby("symbol"):
+        hist = len(g) * 80 // 100
+        count = min(TS.N_CHANGEPOINTS, hist - 1)
+        at = np.linspace(0, hist - 1, count + 1).round().astype(int)[1:]
+        days = np.array([d.toordinal() for d in g["ds"]], float)
+        want = (days[at] - days[0]) / (days[-1] - days[0])
+        assert np.allclose(g["knots"].iloc[0][:count], want) and set(g["knots"].iloc[0][count:]) <= {TS.FAR}
+
+
+def _posterior(X, y, beta, s):
+    rest = np.r_[beta[:2] / TS.TREND_PRIOR_SCALE, beta[TS.N_TREND:] / TS.SEASONALITY_PRIOR_SCALE]
+    return (len(y) * np.log(s) + ((y - X @ beta) ** 2).sum() / (2 * s * s) + np.abs(beta[2:TS.N_TREND]).sum() / TS.CHANGEPOINT_PRIOR_SCALE
+            + (rest**2).sum() / 2 + s * s / (2 * TS.NOISE_PRIOR_SCALE**2))
+
+
+def test_laplace_fit_meets_its_conditions(spark):
+    ds = TS.ts_dataset(bars_from(spark, SF_SMALL, "brands"))
+    fit = {r.symbol: r for r in TS.fit_trend_seasonal(ds).collect()}
+    train = _pdf(ds.where(F.col("split") == "train"))
+    rng = np.random.default_rng(7)
+    zeros = 0
+    for sym, g in train.groupby("symbol"):
+        X, y = np.vstack(g["x"].to_numpy()), (g["y"] / g["y_scale"]).to_numpy()
+        beta, s = np.array(fit[sym].coef), fit[sym].sigma
+        slope = X.T @ (y - X @ beta)  # of the squares; at the optimum the priors balance it
+        weight = s * s / TS.CHANGEPOINT_PRIOR_SCALE
+        change, live = slope[2:TS.N_TREND], beta[2:TS.N_TREND] != 0
+        assert np.allclose(change[live], weight * np.sign(beta[2:TS.N_TREND][live]), atol=1e-5 * weight + 1e-8)
+        assert (np.abs(change[~live]) <= weight * (1 + 1e-5) + 1e-8).all()
+        prior = np.r_[[TS.TREND_PRIOR_SCALE] * 2, [TS.SEASONALITY_PRIOR_SCALE] * (TS.K - TS.N_TREND)]
+        rest = np.r_[0, 1, np.arange(TS.N_TREND, TS.K)]
+        assert np.allclose(slope[rest], s * s * beta[rest] / prior**2, atol=1e-7)
+        best = _posterior(X, y, beta, s)
+        for _ in range(10):
+            assert _posterior(X, y, beta + rng.normal(scale=1e-3, size=TS.K), s * np.exp(rng.normal(scale=1e-3))) >= best - 1e-7 * abs(best)
+        zeros += int((~live).sum())
+    assert zeros > 0
+
+
+def test_l1_solve_equals_coordinate_descent():
+    rng = np.random.default_rng(9)
+    for _ in range(40):
+        k = int(rng.integers(1, 9))
+        x = rng.normal(size=(40, k)) @ rng.normal(size=(k, k))
+        g, c, weight = x.T @ x, x.T @ rng.normal(size=40) * 3, float(rng.uniform(0.1, 30))
+        b = np.zeros(k)
+        for _ in range(20_000):
+            old = b.copy()
+            for j in range(k):
+                r = c[j] - g[j] @ b + g[j, j] * b[j]
+                b[j] = np.sign(r) * max(abs(r) - weight, 0) / g[j, j]
+            if np.abs(b - old).max() < 1e-14:
+                break
+        for start in (np.zeros(k), rng.normal(size=k)):
+            assert np.allclose(TS.l1_solve(g, c, weight, start), b, atol=1e-6)
+
+
+def test_sampled_band_is_the_same_under_any_partitioning(spark):
+    ds = TS.ts_dataset(bars_from(spark, SF_SMALL, "orders"))
+    fit = TS.fit_trend_seasonal(ds)
+    days = TS.future_frame(fit, 40)
+    a = TS.forecast_frame(fit, days.coalesce(1)).orderBy("symbol", "ds").toPandas()
+    b = TS.forecast_frame(fit, days.repartition(13)).orderBy("symbol", "ds").toPandas()
+    assert a.equals(b) and len(a) == 200
+    assert (a["yhat_lower"] < a["yhat"]).all() and (a["yhat"] < a["yhat_upper"]).all()
+    plain = TS.forecast_frame(fit, days, band="analytic").orderBy("symbol", "ds").toPandas()
+    assert np.allclose(a["yhat"], plain["yhat"])
+
+
+def test_sampled_band_covers_simulated_futures():
+    """Series whose slope changes at the model's own rate, with noise: about 80 % lie inside the band, near and far."""
+    rng = np.random.default_rng(11)
+    sigma, scale, knots = 0.1, 0.3, 25
+    changes = rng.laplace(0, scale, 4000)[:knots]
+    scale = np.abs(changes).mean()
+    for t in (1.02, 1.5, 2.7):
+        low, high = np.quantile(TS.sampled_deviations("X", 20_000, t, sigma, changes), [0.1, 0.9])
+        inside = 0
+        for _ in range(4000):
+            at = 1 + rng.random(rng.poisson(knots * (t - 1))) * (t - 1)
+            y = (rng.laplace(0, scale, len(at)) * (t - at)).sum() + rng.normal(0, sigma)
+            inside += low <= y <= high
+        assert 0.76 <= inside / 4000 <= 0.84, t

@@ -1,22 +1,29 @@
 """M5-M7: additive trend + seasonality model per symbol.
 
-Piecewise-linear trend with changepoints spread uniformly over the first 80 %
-of the training time range, Fourier weekly (order 3) and yearly (order 10)
-terms, fitted as a ridge regression whose penalties follow the prior scales
-(changepoint 0.05, seasonality 10) — the MAP form of the additive model of
-Taylor & Letham (2018), with Gaussian instead of Laplace changepoint priors.
-The design matrix is built with Spark column expressions; X'X is summed
-distributively; only the 53×53 solve runs in Python.
+Piecewise-linear trend with changepoints at row quantiles of the first 80 % of the training rows,
+Fourier weekly (order 3) and yearly (order 10) terms: the maximum a posteriori form of the
+additive model of Taylor & Letham (2018), with Laplace priors on the changes of slope, normal
+ones on level, slope and seasonality, and a half-normal one on the noise. The design matrix
+is built with Spark column expressions and X'X summed distributively; only the solve over
+53 coefficients runs in Python, exactly (``laplace_map``).
+
+Forecast bands are quantiles of simulated futures: slopes change after the training span as
+often as they could inside it and by as much as they did, with noise on top. Draws are seeded by symbol
+and day, so any partitioning gives the same band.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.models.solve import fit_least_squares
+from tidemark.models.solve import fit_least_squares, partial_gram, sum_by_key
 from tidemark.operators.dataset import chronological_split
 from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
 
@@ -28,9 +35,13 @@ CHANGEPOINT_RANGE = 0.8
 WEEKLY_ORDER, WEEKLY_PERIOD = 3, 7.0
 YEARLY_ORDER, YEARLY_PERIOD = 10, 365.25
 INTERVAL_Z = 1.2815515655446004  # 80 % two-sided band
-NOISE_SCALE = 0.05  # assumed observation noise on the scaled series
+TREND_PRIOR_SCALE = 5.0  # of level and slope
+NOISE_PRIOR_SCALE = 0.5
+NOISE_SCALE = 0.05  # assumed observation noise of the ridge form
+SAMPLES = 1000
+SEED = 20240102
+FAR = 1e9  # a changepoint that never comes, where a series is too short for all of them
 
-CHANGEPOINTS = [CHANGEPOINT_RANGE * (j + 1) / (N_CHANGEPOINTS + 1) for j in range(N_CHANGEPOINTS)]
 N_TREND = 2 + N_CHANGEPOINTS
 N_WEEKLY = 2 * WEEKLY_ORDER
 N_YEARLY = 2 * YEARLY_ORDER
@@ -43,11 +54,11 @@ def penalties() -> list[float]:
             + [s2 / SEASONALITY_PRIOR_SCALE ** 2] * (N_WEEKLY + N_YEARLY))
 
 
-def design(date: Column, t0: Column, span: Column) -> Column:
+def design(date: Column, t0: Column, span: Column, knots: Column) -> Column:
     """Design row: [1, t, (t-c_j)+ …, weekly sin/cos …, yearly sin/cos …]."""
     d = F.unix_date(date).cast("double")
     t = (d - t0) / span
-    parts = [F.lit(1.0), t] + [F.greatest(t - F.lit(c), F.lit(0.0)) for c in CHANGEPOINTS]
+    parts = [F.lit(1.0), t] + [F.greatest(t - F.element_at(knots, j + 1), F.lit(0.0)) for j in range(N_CHANGEPOINTS)]
     for order, period in ((WEEKLY_ORDER, WEEKLY_PERIOD), (YEARLY_ORDER, YEARLY_PERIOD)):
         for k in range(1, order + 1):
             ang = d * F.lit(2.0 * math.pi * k / period)
@@ -57,7 +68,7 @@ def design(date: Column, t0: Column, span: Column) -> Column:
 
 def ts_dataset(bars: DataFrame) -> DataFrame:
     """(symbol, ds, y, split) plus per-symbol scaling from the train rows:
-    ``t0``/``span`` (days) and ``y_scale`` = max |y|."""
+    ``t0``/``span`` (days), ``y_scale`` = max |y| and the changepoints ``knots`` (scaled times)."""
     s = chronological_split(bars.where(F.col("close").isNotNull())
                             .select("symbol", F.col("date").alias("ds"), F.col("close").alias("y")), "ds")
     w = Window.partitionBy("symbol")
@@ -66,15 +77,125 @@ def ts_dataset(bars: DataFrame) -> DataFrame:
     s = (s.withColumn("t0", F.min(F.when(tr, d)).over(w))
          .withColumn("span", F.greatest(F.max(F.when(tr, d)).over(w) - F.col("t0"), F.lit(1.0)))
          .withColumn("y_scale", F.max(F.when(tr, F.abs("y"))).over(w)))
-    return s.withColumn("x", design(F.col("ds"), F.col("t0"), F.col("span")))
+    # knots are the times of N_CHANGEPOINTS rows spread over the first rows, the very first left out
+    rows = F.floor(F.count(F.when(tr, 1)).over(w) * F.lit(int(CHANGEPOINT_RANGE * 100)) / 100).cast("int")
+    s = s.withColumn("_last", F.greatest(rows - 1, F.lit(0)))
+    s = s.withColumn("_knots", F.least(F.lit(N_CHANGEPOINTS), F.col("_last")))
+    place = F.transform(F.sequence(F.lit(1), F.lit(N_CHANGEPOINTS)), lambda j: F.when(
+        j <= F.col("_knots"), F.bround(j * F.col("_last") / F.col("_knots"))).otherwise(F.lit(-1)).cast("int"))
+    here = F.when(tr & F.array_contains(place, F.col("rn") - 1), (d - F.col("t0")) / F.col("span"))
+    s = s.withColumn("_here", here).withColumn("knots", F.sort_array(F.collect_list("_here").over(w)))
+    s = s.withColumn("knots", F.slice(F.concat("knots", F.array_repeat(F.lit(FAR), N_CHANGEPOINTS)), 1, N_CHANGEPOINTS))
+    return s.drop("_last", "_knots", "_here").withColumn("x", design(F.col("ds"), F.col("t0"), F.col("span"), F.col("knots")))
+
+
+def l1_solve(g: np.ndarray, c: np.ndarray, weight: float, start: np.ndarray) -> np.ndarray:
+    """min over b of b'gb/2 - c'b + weight * sum |b|, exactly, for a positive definite g.
+
+    Feature-sign search (Lee et al., "Efficient sparse coding algorithms", 2006): the signs of the
+    non-zero coefficients are guessed, the quadratic for these signs is solved, and the step is cut
+    at the best point where a sign would change; a zero coefficient joins where its slope exceeds the weight."""
+    b, sign = start.copy(), np.sign(start)
+    slack = 1e-9 * max(weight, np.abs(c).max(), 1e-300)
+
+    def value(x):
+        return 0.5 * x @ g @ x - c @ x + weight * np.abs(x).sum()
+
+    for _ in range(50 * len(b) + 50):
+        slope = g @ b - c
+        live = b != 0
+        if not live.any() or np.abs(slope + weight * sign)[live].max() <= slack:
+            idle = np.where(live, 0.0, np.abs(slope))
+            j = int(idle.argmax())
+            if idle[j] <= weight + slack:
+                break
+            sign[j] = -np.sign(slope[j])
+            live = live.copy()
+            live[j] = True
+        at = np.flatnonzero(live)
+        goal = np.zeros_like(b)
+        goal[at] = np.linalg.solve(g[np.ix_(at, at)], c[at] - weight * sign[at])
+        turn = goal - b
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cut = np.where(turn != 0, -b / turn, np.inf)
+        stops = [goal]
+        for f in cut[(cut > 0) & (cut < 1) & live]:
+            x = b + f * turn
+            x[np.abs(cut - f) <= 1e-12] = 0.0
+            stops.append(x)
+        best = min(stops, key=value)
+        if value(best) >= value(b) - 1e-15 * abs(value(b)) and np.allclose(best, b, rtol=1e-12, atol=0):
+            break
+        b = best
+        sign = np.where(b != 0, np.sign(b), 0.0)
+    return b
+
+
+def laplace_map(a: np.ndarray, b: np.ndarray, yy: float, n: int) -> tuple[np.ndarray, float]:
+    """Coefficients and noise of the posterior mode from X'X, X'y and y'y.
+
+    For a given noise the coefficients without a Laplace prior are solved for (a Schur complement
+    leaves the changes of slope alone), the changes by ``l1_solve``; for given coefficients the noise
+    is the root of its own equation. Both are repeated until they stand."""
+    change = np.arange(2, N_TREND)
+    rest = np.r_[0, 1, np.arange(N_TREND, K)]
+    prior = np.r_[[TREND_PRIOR_SCALE] * 2, [SEASONALITY_PRIOR_SCALE] * (N_WEEKLY + N_YEARLY)]
+    moves = change[np.diag(a)[change] > 1e-12 * max(a[1, 1], 1e-300)]  # a change after the last row does not show
+    beta, s2 = np.zeros(K), max(yy / n, 1e-12)
+    for _ in range(200):
+        free = a[np.ix_(rest, rest)] + np.diag(s2 / prior**2)
+        cross = a[np.ix_(rest, moves)]
+        solved = np.linalg.solve(free, np.c_[cross, b[rest]])
+        g = a[np.ix_(moves, moves)] - cross.T @ solved[:, :-1]
+        g = (g + g.T) / 2 + 1e-12 * max(np.trace(g), 1e-300) * np.eye(len(moves))
+        delta = l1_solve(g, b[moves] - cross.T @ solved[:, -1], s2 / CHANGEPOINT_PRIOR_SCALE, beta[moves])
+        new = np.zeros(K)
+        new[moves], new[rest] = delta, solved[:, -1] - solved[:, :-1] @ delta
+        rss = max(yy - 2 * new @ b + new @ a @ new, 0.0)
+        v = 1 / NOISE_PRIOR_SCALE**2  # n log s + rss / 2 s^2 + v s^2 / 2 at its least
+        s2_new = max((-n + math.sqrt(n * n + 4 * v * rss)) / (2 * v), 1e-12)
+        done = abs(s2_new - s2) <= 1e-10 * s2
+        beta, s2 = new, s2_new
+        if done:
+            break
+    return beta, math.sqrt(s2)
+
+
+def _fit_laplace(train: DataFrame) -> DataFrame:
+    need = N_TREND + 2
+    gram = sum_by_key(partial_gram(train.select("symbol", "x", (F.col("y") / F.col("y_scale")).alias("y"))))
+    iu, m = np.triu_indices(K), K * (K + 1) // 2
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for symbol, n, g in zip(pdf["symbol"], pdf["n"], pdf["g"]):
+                if n < need:
+                    out.append((symbol, n, None, None, f"insufficient rows: {n} < {need}"))
+                    continue
+                g = np.asarray(g, float)
+                a = np.zeros((K, K))
+                a[iu] = g[:m]
+                a = a + np.triu(a, 1).T
+                coef, sigma = laplace_map(a, g[m: m + K], float(g[m + K]), int(n))
+                out.append((symbol, n, coef.tolist(), sigma, None))
+            yield pd.DataFrame(out, columns=["symbol", "n_train", "coef", "sigma", "error"])
+
+    return gram.mapInPandas(solve, "symbol string, n_train long, coef array<double>, sigma double, error string")
 
 
-def fit_trend_seasonal(ds: DataFrame) -> DataFrame:
+def fit_trend_seasonal(ds: DataFrame, prior: str = "laplace") -> DataFrame:
+    """M5: ``prior`` on the changes of slope: laplace (the model's own) or normal (a ridge regression)."""
     train = ds.where((F.col("split") == "train") & (F.col("y_scale") > 0))
-    fit = fit_least_squares(train.select("symbol", "x", (F.col("y") / F.col("y_scale")).alias("y")),
-                            K, penalty=penalties(), min_rows=N_TREND + 2)
-    scale = train.groupBy("symbol").agg(F.first("t0").alias("t0"), F.first("span").alias("span"),
-                                        F.first("y_scale").alias("y_scale"), F.max("ds").alias("last_train_date"))
+    if prior == "laplace":
+        fit = _fit_laplace(train)
+    elif prior == "normal":
+        fit = fit_least_squares(train.select("symbol", "x", (F.col("y") / F.col("y_scale")).alias("y")),
+                                K, penalty=penalties(), min_rows=N_TREND + 2)
+    else:
+        raise ValueError(f"unknown prior: {prior}")
+    scale = train.groupBy("symbol").agg(F.first("t0").alias("t0"), F.first("span").alias("span"), F.first("y_scale").alias("y_scale"),
+                                        F.first("knots").alias("knots"), F.max("ds").alias("last_train_date"))
     return fit.join(scale, "symbol")
 
 
@@ -88,16 +209,66 @@ def components(x: Column, coef: Column, y_scale: Column) -> dict[str, Column]:
     return {"trend": trend, "weekly": weekly, "yearly": yearly}
 
 
-def forecast_frame(fit: DataFrame, dates: DataFrame) -> DataFrame:
-    """M7: yhat, band and components for ``dates(symbol, ds)`` given the fits."""
+def point_forecast(fit: DataFrame, dates: DataFrame) -> DataFrame:
+    """M7: yhat and components for ``dates(symbol, ds)`` given the fits, with what a band needs."""
     j = dates.join(fit.where(F.col("error").isNull()), "symbol")
-    x = design(F.col("ds"), F.col("t0"), F.col("span"))
-    comp = components(x, F.col("coef"), F.col("y_scale"))
-    yhat = comp["trend"] + comp["weekly"] + comp["yearly"]
-    band = F.lit(INTERVAL_Z) * F.col("sigma") * F.col("y_scale")
-    return j.select("symbol", "ds", yhat.alias("yhat"), (yhat - band).alias("yhat_lower"),
-                    (yhat + band).alias("yhat_upper"), comp["trend"].alias("trend"),
-                    comp["weekly"].alias("weekly"), comp["yearly"].alias("yearly"))
+    comp = components(design(F.col("ds"), F.col("t0"), F.col("span"), F.col("knots")), F.col("coef"), F.col("y_scale"))
+    return j.select("symbol", "ds", (comp["trend"] + comp["weekly"] + comp["yearly"]).alias("yhat"),
+                    *[comp[c].alias(c) for c in ("trend", "weekly", "yearly")], "t0", "span", "y_scale", "sigma", "coef", "knots")
+
+
+@lru_cache(256)
+def _future_changes(key: int, part: int, rate: float, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Changes of slope in the scaled time (part, part + 1] of every sample: sample, time, size."""
+    rng = np.random.default_rng([SEED, key, part])
+    n = rng.poisson(rate, SAMPLES)
+    return np.repeat(np.arange(SAMPLES), n), part + rng.random(int(n.sum())), rng.laplace(0.0, scale, int(n.sum()))
+
+
+def sampled_deviations(symbol: str, day: int, t: float, sigma: float, changes: np.ndarray) -> np.ndarray:
+    """Deviations of SAMPLES simulated values from the forecast of one day, on the scaled series.
+
+    changes: the fitted changes of slope; the training span is the scaled time 0..1."""
+    key = zlib.crc32(symbol.encode("utf-8", "surrogatepass"))
+    out = np.random.default_rng([SEED, key, 1 << 31, day & 0xFFFFFFFF]).normal(0.0, sigma, SAMPLES)
+    scale = float(np.abs(changes).mean()) + 1e-8 if len(changes) else 0.0
+    for part in range(1, max(math.ceil(t), 1)) if scale else ():
+        who, at, size = _future_changes(key, part, float(len(changes)), scale)
+        out += np.bincount(who, size * np.maximum(t - at, 0.0), minlength=SAMPLES)
+    return out
+
+
+def _with_sampled_band(points: DataFrame) -> DataFrame:
+    low, high = 0.5 * (1 + math.erf(-INTERVAL_Z / math.sqrt(2))), 0.5 * (1 + math.erf(INTERVAL_Z / math.sqrt(2)))
+
+    def run(batches):
+        for pdf in batches:
+            ends = np.empty((len(pdf), 2))
+            for i, r in enumerate(pdf.itertuples(index=False)):
+                knots = np.asarray(r.knots, float)
+                changes = np.asarray(r.coef, float)[2:N_TREND][knots < FAR]
+                ends[i] = r.y_scale * np.quantile(sampled_deviations(
+                    r.symbol, int(r.day), (r.day - r.t0) / r.span, r.sigma, changes), [low, high])
+            yield pdf[["symbol", "ds", "yhat"]].assign(
+                yhat_lower=pdf["yhat"] + ends[:, 0], yhat_upper=pdf["yhat"] + ends[:, 1],
+                **{c: pdf[c] for c in ("trend", "weekly", "yearly")})
+
+    return points.withColumn("day", F.unix_date("ds")).mapInPandas(
+        run, "symbol string, ds date, yhat double, yhat_lower double, yhat_upper double, trend double, weekly double, yearly double")
+
+
+def forecast_frame(fit: DataFrame, dates: DataFrame, band: str = "sampled") -> DataFrame:
+    """M7: yhat, 80 % band and components for ``dates(symbol, ds)`` given the fits.
+
+    ``band``: sampled (simulated futures) or analytic (the noise alone)."""
+    points = point_forecast(fit, dates)
+    if band == "sampled":
+        return _with_sampled_band(points)
+    if band != "analytic":
+        raise ValueError(f"unknown band: {band}")
+    half = F.lit(INTERVAL_Z) * F.col("sigma") * F.col("y_scale")
+    return points.select("symbol", "ds", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"),
+                         "trend", "weekly", "yearly")
 
 
 def future_frame(fit: DataFrame, h: int | Column, include_history: DataFrame | None = None) -> DataFrame:
@@ -120,7 +291,7 @@ def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame, align: str = "date")
     """
     test = ds.where(F.col("split") == "test").select("symbol", "ds", "y", "rn", "n")
     if align == "date":
-        fc = forecast_frame(fit, test.select("symbol", "ds"))
+        fc = point_forecast(fit, test.select("symbol", "ds")).select("symbol", "ds", "yhat")
         return regression_metrics(align_actual_predicted(test, fc, ("symbol", "ds")), ("symbol",))
     if align != "position":
         raise ValueError(f"unknown alignment: {align}")
@@ -129,6 +300,6 @@ def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame, align: str = "date")
     days = fit.join(h, "symbol").select(
         "symbol", F.posexplode(F.sequence(F.date_add("last_train_date", 1),
                                           F.date_add("last_train_date", F.col("h")))).alias("pos", "ds"))
-    fc = forecast_frame(fit, days.select("symbol", "ds")).join(days, ["symbol", "ds"]).select(
+    fc = point_forecast(fit, days.select("symbol", "ds")).join(days, ["symbol", "ds"]).select(
         "symbol", (F.col("pos") + 1).alias("step"), "yhat")
     return regression_metrics(align_actual_predicted(test.select("symbol", "step", "y"), fc, ("symbol", "step")), ("symbol",))

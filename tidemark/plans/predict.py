@@ -59,7 +59,7 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
     pfit = pm.select("model_type", "symbol", "metrics", "coef",
                      F.element_at(st["t0"], 1).alias("t0"), F.element_at(st["span"], 1).alias("span"),
                      F.element_at(st["y_scale"], 1).alias("y_scale"), F.element_at(st["sigma"], 1).alias("sigma"),
-                     F.lit(None).cast("string").alias("error"))
+                     st["knots"].alias("knots"), F.lit(None).cast("string").alias("error"))
     days = pfit.join(latest.select("symbol", "as_of"), "symbol").select(
         "symbol", F.posexplode(F.sequence(F.date_add("as_of", 1), F.date_add("as_of", h))).alias("pos", "ds"))
     fc = trend_seasonal.forecast_frame(pfit.drop("model_type", "metrics"), days.select("symbol", "ds"))

@@ -72,7 +72,7 @@ def _fit(ds: DataFrame, mt: str) -> DataFrame:
         params = {"changepoint_prior_scale": trend_seasonal.CHANGEPOINT_PRIOR_SCALE,
                   "seasonality_prior_scale": trend_seasonal.SEASONALITY_PRIOR_SCALE,
                   "weekly_seasonality": True, "yearly_seasonality": True}
-        state = _state(t0=F.array("t0"), span=F.array("span"), y_scale=F.array("y_scale"), sigma=F.array("sigma"),
+        state = _state(t0=F.array("t0"), span=F.array("span"), y_scale=F.array("y_scale"), sigma=F.array("sigma"), knots=F.col("knots"),
                        last_train_day=F.array(F.unix_date("last_train_date").cast("double")))
     else:
         fit, features, icpt = sequence.fit_sequence(ds).join(sequence.scalers(ds), "symbol"), SEQUENCE_FEATURES, F.lit(0.0)
@@ -92,7 +92,7 @@ def _evaluate(ds: DataFrame, mt: str, models: DataFrame) -> DataFrame:
         m = ar.evaluate_ar(ds, models.select("symbol", "coef", "error", st["last_diffs"].alias("last_diffs"), first("last_close")))
     elif mt == "prophet":
         m = trend_seasonal.evaluate_trend_seasonal(ds, models.select(
-            "symbol", "coef", "error", first("t0"), first("span"), first("y_scale"), first("sigma")))
+            "symbol", "coef", "error", first("t0"), first("span"), first("y_scale"), first("sigma"), st["knots"].alias("knots")))
     else:
         m = sequence.evaluate_sequence(ds, models.select("symbol", "coef", "error")).where(F.col("metric_space") == "scaled")
     return _metrics_map(m)
