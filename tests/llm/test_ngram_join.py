@@ -109,3 +109,15 @@ def test_copy_without_an_id_stands_first(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert got(J.join_documents(df)) == brute(rows)
     assert {r["component_id"] for r in J.join_documents(df).filter("doc_id in (3, 7, 8)").collect()} == {3}
+
+
+@pytest.mark.parametrize("dense", [1, 30, 1 << 30])
+def test_counts_of_a_tile(monkeypatch, dense):
+    monkeypatch.setattr(J, "DENSE", dense)
+    rnd = np.random.default_rng(dense)
+    left, right = ([np.unique(rnd.integers(0, 60, int(rnd.integers(0, 40))).astype(np.uint64) << np.uint64(16)) for _ in range(n)]
+                   for n in (23, 17))
+    got = J._common_counts(left, right)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert all((J._set(J._flat(x)) == x).all() for x in left)
+    assert J._common_counts([], right).shape == (0, 17)

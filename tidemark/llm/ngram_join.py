@@ -42,10 +42,13 @@ from tidemark.session import cut_lineage
 
 THRESHOLD = (75, 100)  # as a fraction, so that all bounds are exact
 CHUNK = 1 << 20  # shingles a chunk
+RANGE_CHARS = 1 << 23  # of text for each range of hashes: what a range holds is bounded, whatever the input
 MAX_PIVOT_ROUNDS = 12
 BIG = 64  # a component of so many sets is checked as a whole, not through its signatures
 CROWD = 32  # components that share a signature and are checked in tiles, not as listed pairs
-TILE = 256
+TILE = 1024  # sets, and
+TILE_BYTES = 1 << 23  # bytes of sets, on each side of a tile
+DENSE = 1 << 14  # a shingle with so many pairs of owners in a tile is counted by a matrix product
 _U = np.uint64
 _LOW = _U(16)  # bits of a hash that are dropped: two sets of n shingles differ by chance in n * n / 2**48
 
@@ -62,6 +65,17 @@ def _hashes(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob)).astype(_U) << _LOW
 
 
+def _flat(hashes: np.ndarray) -> bytes:
+    """Six bytes a hash: the bits that count, ascending."""
+    return np.ascontiguousarray((hashes >> _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _set(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(_U) << _LOW
+
+
 def _blocks(ranges: int):
     """Documents -> per chunk: one row of documents and one block of hashes per range."""
     def flush(rows, sets):
@@ -143,7 +157,7 @@ def _sets(num: int, den: int):
                 if bearer[entry[i]] == i and sizes[i]:
                     a, b = np.searchsorted(e, [entry[i], entry[i] + 1])
                     if den * (b - a) >= num * sizes[i]:
-                        shared = h[a:b].astype("<u8").tobytes()
+                        shared = _flat(h[a:b])
                 out.append((None if null[i] else str(ids[i]), sizes[i], row.hashes[16 * i: 16 * i + 16], shared))
         got = pd.DataFrame(out, columns=["doc_id", "n", "mark", "shared"])
         return got.assign(doc_id=ids_of(got["doc_id"]))
@@ -152,8 +166,7 @@ def _sets(num: int, den: int):
 
 def shared_sets(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """(doc_id, n, mark, shared) per document: set size, digest of the set, packed shared shingles."""
-    spark = docs.sparkSession
-    ranges = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(64, int(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // RANGE_CHARS)
     rows = docs.select(id_text("doc_id").alias("doc_id"), "text").mapInPandas(_blocks(ranges), _BLOCK)
     kept = rows.groupBy("part").applyInPandas(_seen_twice, _BLOCK)
     return kept.groupBy("chunk").applyInPandas(_sets(*threshold), "doc_id long, n long, mark binary, shared binary")
@@ -216,7 +229,7 @@ def _signatures(num: int, den: int):
         for pdf in batches:
             sigs, ids, ns = [], [], []
             for doc, n, shared in zip(pdf["id"], pdf["n"], pdf["shared"]):
-                h = np.frombuffer(shared, "<u8").astype(_U)
+                h = _set(shared)
                 if not bands or bands[-1][1] < len(h):
                     bands = _bands(num, den, 2 * len(h))
                 s = signatures_of(h, n, bands, num, den)
@@ -235,7 +248,7 @@ def _signatures(num: int, den: int):
 
 def _common(batches):
     for pdf in batches:
-        got = [len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True))
+        got = [len(np.intersect1d(_set(a), _set(b), assume_unique=True))
                for a, b in zip(pdf["sa"], pdf["sb"])]
         yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "na": pdf["na"], "nb": pdf["nb"], "both": np.array(got, np.int64)})
 
@@ -290,37 +303,92 @@ def _open_pairs(rows: DataFrame) -> int:
 
 def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     """Signature rows with their ids' components, of groups that still span several."""
-    label = _labels(rows.select("id").distinct(), links)
+    old, label = rows, _labels(rows.select("id").distinct(), links)
     rows = rows.drop("comp").join(label, "id")
     open_ = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("sig")
-    return stored(rows.join(open_, "sig"))
+    return stored(rows.join(open_, "sig"), instead_of=old)
+
+
+def _common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each left set shares with each right one. Hashes with many owners on both
+    sides go through matrix products, the others through their lists of owners."""
+    both = np.zeros((len(left), len(right)), np.int32)
+    flat = np.concatenate([np.empty(0, _U), *left, *right])
+    owner = np.concatenate([np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)])
+    mine = np.arange(len(flat)) < sum(map(len, left))
+    names, code = np.unique(flat, return_inverse=True)
+    code = code.ravel()
+    n_left = np.bincount(code[mine], minlength=len(names))
+    n_right = np.bincount(code[~mine], minlength=len(names))
+    work = n_left * n_right
+    wide = np.flatnonzero(work >= DENSE)
+    column = np.full(len(names), -1)
+    column[wide] = np.arange(len(wide))
+    for at in range(0, len(wide), 1024):
+        x, y = (np.zeros((len(side), 1024), np.float32) for side in (left, right))
+        own = column[code]
+        hit = (own >= at) & (own < at + 1024)
+        x[owner[hit & mine], own[hit & mine] - at] = 1
+        y[owner[hit & ~mine], own[hit & ~mine] - at] = 1
+        both += (x @ y.T).astype(np.int32)
+    rare = (work > 0) & (work < DENSE)
+    keep = rare[code]
+    a, b = keep & mine, keep & ~mine
+    oa, ca = owner[a], code[a]
+    by = np.argsort(code[b], kind="stable")
+    ob, cb = owner[b][by], code[b][by]
+    start, n = np.searchsorted(cb, ca), n_right[ca]
+    ends = np.cumsum(n)
+    for lo in range(0, len(ca), 1 << 16):  # pairs of owners, some at a time
+        hi = min(lo + (1 << 16), len(ca))
+        m = n[lo:hi]
+        place = np.repeat(start[lo:hi] - (ends[lo:hi] - m - (ends[lo] - n[lo])), m) + np.arange(int(m.sum()))
+        pair = np.repeat(oa[lo:hi], m) * len(right) + ob[place]
+        both += np.bincount(pair, minlength=both.size).reshape(both.shape).astype(np.int32)
+    return both
 
 
 def _matching(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Links between two tables of sets (id, n, comp, shared) of different components."""
-    feats = [np.frombuffer(x, "<u8") for x in right["shared"]]
-    flat = np.concatenate([np.empty(0, "<u8"), *feats])
-    owner = np.repeat(np.arange(len(feats)), [len(x) for x in feats])
-    ids, ns, comps, out = right["id"].to_numpy(), right["n"].to_numpy(), right["comp"].to_numpy(), []
-    for i, n, comp, shared in zip(left["id"], left["n"], left["comp"], left["shared"]):
-        own = np.frombuffer(shared, "<u8")
-        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-        both = np.bincount(owner[own[at] == flat], minlength=len(feats))
-        for j in np.flatnonzero((den * both >= num * (n + ns - both)) & (comps != comp)):
-            out.append((min(i, ids[j]), max(i, ids[j])))
+    """A spanning forest of the links between different components in two tables of sets (id, n, comp, shared)."""
+    both = _common_counts([_set(x) for x in left["shared"]], [_set(x) for x in right["shared"]])
+    na, nb = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
+    ca, cb = left["comp"].to_numpy(), right["comp"].to_numpy()
+    i, j = np.nonzero((den * both >= num * (na + nb - both)) & (ca[:, None] != cb[None, :]))
+    _, first = np.unique(np.stack([np.minimum(ca[i], cb[j]), np.maximum(ca[i], cb[j])]), axis=1, return_index=True)
+    parent: dict[int, int] = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    ia, ib, out = left["id"].to_numpy(), right["id"].to_numpy(), []
+    for k in first:
+        x, y = find(ca[i[k]]), find(cb[j[k]])
+        if x != y:
+            parent[x] = y
+            out.append((min(ia[i[k]], ib[j[k]]), max(ia[i[k]], ib[j[k]])))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
+def _stripes(df: DataFrame, sets: DataFrame, *by: str) -> DataFrame:
+    """Stripes that the sets of ``df`` (<by>, id) are dealt into for a tile to be of bounded size."""
+    sized = df.join(sets.select("id", F.octet_length("shared").alias("_bytes")), "id")
+    return sized.groupBy(*by).agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("_bytes") / TILE_BYTES)).cast("int").alias("stripes"))
+
+
 def _remaining(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links among the pairs of different components that still share a signature.
 
     Against a big component every set that shares a signature with it is checked with all its
     members, once; crowds of other components under one signature are checked inside the
-    group; both in tiles of at most 2 * TILE sets a task, so pairs are never rows. The rest,
+    group; both in tiles of about TILE sets a side, whose links between components leave as a
+    spanning forest, so pairs are never rows. The rest,
     fewer than CROWD components a signature, is listed as pairs.
     """
     size = rows.select("id", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
-    rows = stored(rows.join(size, "comp"))
+    rows = stored(rows.join(size, "comp"), instead_of=rows)
     return (_against_big(rows, sets, num, den).unionByName(_in_crowds(rows, sets, num, den))
             .unionByName(_verified(_listed(rows, num, den), sets, num, den)))
 
@@ -338,10 +406,8 @@ def _against_big(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
                 .select("big", "x", "y", "id", "n", "comp", "shared"))
 
-    def stripes(df, n):
-        return df.groupBy("big").agg(F.ceil(F.count("*") / TILE).cast("int").alias(f"n_{n}"))
-
-    counts = cut_lineage(stripes(probes, "x").join(stripes(members, "y"), "big"))
+    counts = cut_lineage(_stripes(probes, sets, "big").withColumnRenamed("stripes", "n_x").join(
+        _stripes(members, sets, "big").withColumnRenamed("stripes", "n_y"), "big"))
     left, right = dealt(probes, "x", "y"), dealt(members, "y", "x")
     right = right.select(*[F.col(c).alias(c if c not in ("big", "x", "y") else f"_{c}") for c in right.columns])
 
@@ -361,8 +427,7 @@ def _crowds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _in_crowds(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     small, d = _crowds(rows)
     own = small.join(d.filter(F.col("d") >= CROWD), "sig").select("sig", "id", "comp", "d").distinct()
-    members = own.groupBy("sig").agg(F.ceil(F.count("*") / TILE).cast("int").alias("stripes"))
-    own = own.join(members, "sig").withColumn("s", F.pmod(F.xxhash64("id"), F.col("stripes")).cast("int"))
+    own = own.join(_stripes(own, sets, "sig"), "sig").withColumn("s", F.pmod(F.xxhash64("id"), F.col("stripes")).cast("int"))
     own = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1)))
     own = own.join(sets, "id").select("sig", F.least("s", "o").alias("ti"), F.greatest("s", "o").alias("tj"), "s", "id", "n", "comp", "shared")
 
@@ -386,8 +451,10 @@ def join_documents(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     every = cut_lineage(shared_sets(docs, threshold))
     filled = every.filter("n > 0 and doc_id is not null")
     classes = filled.groupBy("mark").agg(F.min("doc_id").alias("id"))
-    sets = cut_lineage(filled.filter("shared is not null").dropDuplicates(["mark"]).join(classes, "mark")
-                       .select("id", "n", "shared"))
+    # laid out by id once: every later join with the sets moves the other side alone
+    sets = (filled.groupBy("mark").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.min("shared").alias("shared"))
+            .filter("shared is not null").select("id", "n", "shared"))
+    sets = cut_lineage(sets.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id"))
     links = link_classes(sets, threshold)
     label = components(links, "a", "b")
     # a repeated id may stand in several classes: they are the same node of the graph
