@@ -181,13 +181,21 @@ def q_simple_features(spark, sf):
     return rounded(C.drop_incomplete(I.simple_features(bars_from(spark, sf, "brands"))))
 
 
-@register("next_target", R(f"""SELECT * FROM (SELECT symbol, date, close,
+_TARGET_SQL = R(f"""SELECT * FROM (SELECT symbol, date, close,
     lead(close) OVER (PARTITION BY symbol ORDER BY date) AS target FROM ({O.bars('brands')}) b) t
-  WHERE target IS NOT NULL""", ["close", "target"], ["symbol", "date"]))
+  WHERE target IS NOT NULL""", ["close", "target"], ["symbol", "date"])
+
+
+@register("next_target", _TARGET_SQL)
 def q_next_target(spark, sf):
     return rounded(I.next_target(bars_from(spark, sf, "brands").select("symbol", "date", "close")))
 
 
+@register("next_target_blocked", _TARGET_SQL)
+def q_next_target_blocked(spark, sf):
+    return rounded(I.next_target(bars_from(spark, sf, "brands").select("symbol", "date", "close"), block_rows=64))
+
+
 @register("latest_close", R(f"""SELECT symbol, max(date) AS as_of, arg_max(close, date) AS last_close
   FROM ({O.bars('suppliers')}) b GROUP BY symbol""", ["last_close"], ["symbol", "as_of"]))
 def q_latest_close(spark, sf):
@@ -201,15 +209,27 @@ _SCALED = "SELECT symbol, date, " + ", ".join(
 _ROWSUM = " + ".join(SEQ)
 
 
-@register("lookback_sequences", R(f"""SELECT * FROM (SELECT symbol, date,
+_LOOKBACK_SQL = R(f"""SELECT * FROM (SELECT symbol, date,
     count(*) OVER lb AS seq_len, lag(close, 60) OVER w AS x_first_close,
     lag(close, 1) OVER w AS x_last_close, sum({_ROWSUM}) OVER lb AS x_sum, close AS y
   FROM ({_SCALED}) s
   WINDOW w AS (PARTITION BY symbol ORDER BY date),
          lb AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)) q
-  WHERE seq_len = 60""", ["x_first_close", "x_last_close", "x_sum", "y"], ["symbol", "date", "seq_len"]))
+  WHERE seq_len = 60""", ["x_first_close", "x_last_close", "x_sum", "y"], ["symbol", "date", "seq_len"])
+
+
+@register("lookback_sequences", _LOOKBACK_SQL)
 def q_lookback_sequences(spark, sf):
-    seq = D.lookback_sequences(D.scale_features(seq_complete(spark, sf), SEQ), SEQ)
+    return _sequences(spark, sf, None)
+
+
+@register("lookback_sequences_blocked", _LOOKBACK_SQL)
+def q_lookback_sequences_blocked(spark, sf):
+    return _sequences(spark, sf, 64)
+
+
+def _sequences(spark, sf, block_rows):
+    seq = D.lookback_sequences(D.scale_features(seq_complete(spark, sf), SEQ), SEQ, block_rows=block_rows)
     total = F.aggregate("x", F.lit(0.0), lambda acc, s: acc + (
         s.close + s.volume + s.MA_5 + s.MA_20 + s.RSI + s.BB_Upper + s.BB_Lower))
     return rounded(seq.select("symbol", "date", F.size("x").cast("long").alias("seq_len"),
@@ -218,12 +238,23 @@ def q_lookback_sequences(spark, sf):
                               total.alias("x_sum"), "y"))
 
 
-@register("chronological_split", f"""SELECT symbol, split, count(*) AS rows, min(date) AS first_date,
+_SPLIT_SQL = f"""SELECT symbol, split, count(*) AS rows, min(date) AS first_date,
     max(date) AS last_date FROM (SELECT symbol, date,
       CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date) <= (count(*) OVER (PARTITION BY symbol) * 4) // 5
-           THEN 'train' ELSE 'test' END AS split FROM ({O.seq_features()}) f) s GROUP BY symbol, split""")
+           THEN 'train' ELSE 'test' END AS split FROM ({O.seq_features()}) f) s GROUP BY symbol, split"""
+
+
+@register("chronological_split", _SPLIT_SQL)
 def q_chronological_split(spark, sf):
-    s = D.chronological_split(seq_complete(spark, sf))
+    return _split_rows(D.chronological_split(seq_complete(spark, sf)))
+
+
+@register("chronological_split_blocked", _SPLIT_SQL)
+def q_chronological_split_blocked(spark, sf):
+    return _split_rows(D.chronological_split(seq_complete(spark, sf), blocked=True))
+
+
+def _split_rows(s):
     return s.groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("rows"),
                                             F.min("date").alias("first_date"),
                                             F.max("date").alias("last_date"))

@@ -21,17 +21,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.models.solve import fit_least_squares
+from tidemark.operators.blocks import chunk_window, in_chunks, own_rows
 from tidemark.operators.dataset import chronological_split
 from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
 
 P_DEFAULT = 5
 
 
-def ar_dataset(bars: DataFrame, p: int = P_DEFAULT) -> DataFrame:
+def ar_dataset(bars: DataFrame, p: int = P_DEFAULT, block_rows: int | None = None) -> DataFrame:
     """Rows ``(symbol, date, close, rn, n, split, dy, x=[Δy_{t-1}..Δy_{t-p}])``.
 
     Differences and lags are taken inside the train split only (test closes are
-    the forecast targets), so the train block never sees test values."""
+    the forecast targets), so the train block never sees test values. ``block_rows``
+    cuts long series into blocks (see ``blocks``), with the same rows as a result."""
+    if block_rows is not None:
+        rows = in_chunks(chronological_split(bars.where(F.col("close").isNotNull()).select("symbol", "date", "close"), blocked=True)
+                         .withColumn("_rn", F.col("rn")), block_rows, before=p + 1)
+        w = chunk_window()
+
+        def same_split(c, k):  # the value k rows back, if that row is of the same split
+            return F.when(F.lag("split", k).over(w) == F.col("split"), F.lag(c, k).over(w))
+
+        rows = rows.withColumn("dy", F.col("close") - same_split("close", 1))
+        return own_rows(rows.withColumn("x", F.array(*[same_split("dy", i) for i in range(1, p + 1)])), "_rn")
     s = chronological_split(bars.where(F.col("close").isNotNull()).select("symbol", "date", "close"))
     w = Window.partitionBy("symbol", "split").orderBy("rn")
     dy = F.col("close") - F.lag("close", 1).over(w)

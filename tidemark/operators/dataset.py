@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocks import chunk_window, in_chunks, own_rows, positioned
 from tidemark.operators.cleaning import SEQUENCE_FEATURES
 
 # Fixed values of the reference: look-back length and train share.
@@ -36,12 +37,17 @@ def train_size(n: Column) -> Column:
     return F.floor(n * F.lit(TRAIN_NUM) / F.lit(TRAIN_DEN)).cast("long")
 
 
-def chronological_split(df: DataFrame, order: str = "date") -> DataFrame:
+def chronological_split(df: DataFrame, order: str = "date", blocked: bool = False) -> DataFrame:
     """``split`` = train for the first int(0.8·n) rows of each symbol, else test.
 
-    Adds ``rn`` (1-based position) and ``n`` (rows of the symbol)."""
-    return (df.withColumn("rn", F.row_number().over(by_symbol(order)))
-            .withColumn("n", F.count(F.lit(1)).over(by_symbol(None)))
+    Adds ``rn`` (1-based position) and ``n`` (rows of the symbol). ``blocked`` takes both from
+    per-block counts (see ``blocks``), so no task holds a symbol."""
+    if blocked:
+        numbered = positioned(df, order=order)
+        rn, n = F.col("_rn").cast("int"), F.col("_n")
+    else:
+        numbered, rn, n = df, F.row_number().over(by_symbol(order)), F.count(F.lit(1)).over(by_symbol(None))
+    return (numbered.withColumn("rn", rn).withColumn("n", n).drop("_rn", "_n")
             .withColumn("split", F.when(F.col("rn") <= train_size(F.col("n")), F.lit("train"))
                         .otherwise(F.lit("test"))))
 
@@ -93,16 +99,18 @@ def scale_features(df: DataFrame, features=SEQUENCE_FEATURES, fit_on: str = "all
 
 
 def lookback_sequences(scaled: DataFrame, features=SEQUENCE_FEATURES, lookback: int = LOOKBACK,
-                       target: str = "close") -> DataFrame:
+                       target: str = "close", block_rows: int | None = None) -> DataFrame:
     """For row i ≥ L, ``x`` = the L previous rows' features (array of structs),
     ``y`` = row i's (scaled) target. Exactly n − L samples per symbol.
 
     Input must already be complete (P2) and scaled (F1). Built over a bounded
     frame of L rows, so memory per row is fixed (L × features doubles).
     """
-    w = by_symbol().rowsBetween(-lookback, -1)
     step = F.struct(*[F.col(c).alias(c) for c in features])
     keep = [c for c in scaled.columns if c not in features]
-    return (scaled.select(*keep, F.collect_list(step).over(w).alias("x"),
-                          F.col(target).alias("y"))
-            .where(F.size("x") == lookback))
+    if block_rows is None:
+        rows, w, marks = scaled, by_symbol(), []
+    else:
+        rows, w, marks = in_chunks(positioned(scaled), block_rows, before=lookback), chunk_window(), ["_own", "_chunk"]
+    out = rows.select(*keep, *marks, F.collect_list(step).over(w.rowsBetween(-lookback, -1)).alias("x"), F.col(target).alias("y"))
+    return (own_rows(out) if marks else out).where(F.size("x") == lookback)

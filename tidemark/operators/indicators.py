@@ -11,10 +11,7 @@ Two physical strategies produce identical rows:
   one row per (symbol, day), so a partition is bounded by the calendar (about
   25k rows per century) no matter how large the input tick table is.
 * ``block_rows=B`` — blocked windows for long intraday series or hot symbols:
-  rows get a dense per-symbol position from per-block counts, are cut into
-  chunks of ``B`` rows, and the last ``HALO`` rows of every chunk are copied into
-  the next one so each frame is complete. Window work is then spread over
-  ``rows / B`` tasks instead of one task per symbol.
+  see ``blocks``; the last ``HALO`` rows of every chunk are copied into the next one.
 """
 
 from __future__ import annotations
@@ -22,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocks import chunk_window, in_chunks, own_rows, positioned
+
 # Fixed values of the reference's indicator set.
 MA_WINDOWS = (5, 20, 50)
 RSI_WINDOW = 14
@@ -91,52 +90,14 @@ def _indicators(df: DataFrame, w: WindowSpec, keep: list[str]) -> DataFrame:
     return out
 
 
-def dense_position(df: DataFrame, block_days: int = 256, order: str = "date") -> DataFrame:
-    """Add ``_rn``: 1-based row position per symbol without one task per symbol.
-
-    Rows are grouped into calendar blocks of ``block_days`` (bounded: at most one
-    bar per day), numbered inside their block, and offset by the row counts of
-    earlier blocks. The offsets come from a per-(symbol, block) count table
-    whose size is rows / block size; it is joined on the keys the numbered rows
-    are already partitioned by, so only the small side moves.
-    """
-    blk = F.floor(F.unix_date(F.col(order)) / F.lit(block_days)).alias("_blk")
-    b = df.withColumn("_blk", blk)
-    local = b.withColumn("_lrn", F.row_number().over(
-        Window.partitionBy("symbol", "_blk").orderBy(order)))
-    counts = b.groupBy("symbol", "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("symbol").orderBy("_blk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offs = counts.select("symbol", "_blk",
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offs, ["symbol", "_blk"])
-            .withColumn("_rn", F.col("_off") + F.col("_lrn"))
-            .drop("_blk", "_lrn", "_off"))
-
-
-def with_halo(df: DataFrame, block_rows: int, halo: int = HALO) -> DataFrame:
-    """Cut positioned rows into chunks of ``block_rows``; copy each chunk's last
-    ``halo`` rows into the next chunk, flagged ``_halo``."""
-    if halo > block_rows:
-        raise ValueError("block_rows must be at least the halo length")
-    chunk = F.floor((F.col("_rn") - 1) / F.lit(block_rows))
-    own = df.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
-    tail = (own.where((F.col("_rn") - 1) % F.lit(block_rows) >= F.lit(block_rows - halo))
-            .withColumn("_chunk", F.col("_chunk") + 1)
-            .withColumn("_halo", F.lit(True)))
-    return own.unionByName(tail)
-
-
 def add_indicators(bars: DataFrame, block_rows: int | None = None,
                    block_days: int = 256) -> DataFrame:
     """MA_5/20/50, RSI(14), Bollinger(20, 2), Volume_MA(20) for all symbols."""
     keep = bars.columns
     if block_rows is None:
         return _indicators(bars, symbol_window("date"), keep)
-    pos = with_halo(dense_position(bars, block_days), block_rows)
-    w = Window.partitionBy("symbol", "_chunk").orderBy("_rn")
-    out = _indicators(pos, w, keep + ["_halo", "_chunk", "_rn"])
-    return out.where(~F.col("_halo")).drop("_halo", "_chunk", "_rn")
+    rows = in_chunks(positioned(bars, block_days), block_rows, before=HALO)
+    return own_rows(_indicators(rows, chunk_window(), keep + ["_own", "_chunk", "_rn"]), "_rn")
 
 
 def envelope(close: Column | str = "close", pct: float = 0.02) -> tuple[Column, Column]:
@@ -158,11 +119,12 @@ def simple_features(bars: DataFrame) -> DataFrame:
                        up, lo)
 
 
-def next_target(df: DataFrame, col: str = "close", name: str = "target") -> DataFrame:
+def next_target(df: DataFrame, col: str = "close", name: str = "target", block_rows: int | None = None) -> DataFrame:
     """Next row's value; rows without a next row are dropped."""
-    w = symbol_window()
-    return (df.withColumn(name, F.lead(col, 1).over(w))
-            .where(F.col(name).isNotNull()))
+    if block_rows is None:
+        return df.withColumn(name, F.lead(col, 1).over(symbol_window())).where(F.col(name).isNotNull())
+    rows = in_chunks(positioned(df), block_rows, after=1)
+    return own_rows(rows.withColumn(name, F.lead(col, 1).over(chunk_window())), "_rn", "_n").where(F.col(name).isNotNull())
 
 
 def latest_row(df: DataFrame, cols=("close",)) -> DataFrame:
