@@ -53,11 +53,8 @@ def q_tumbling_metrics(spark, sf):
 def q_tumbling_metrics_stream(spark, sf):
     root, ck = shared_path(spark, "tumble"), shared_path(spark, "tumble-ck")
 
-    def current(rows):
-        return ST.tumbling_metrics(rows, "ts", "symbol", "price", 5).withColumn("day", F.to_date("window_start"))
-
-    _two_runs(spark, sf, lambda src: ST.run_merge(ST.quote_stream(spark, src), root, ck, current))
-    out = spark.read.parquet(f"{root}/state").drop("day")
+    _two_runs(spark, sf, lambda src: ST.run_fold(ST.quote_stream(spark, src), root, ck, ST.tumbling_partials, ST.merge_tumbling))
+    out = ST.finished_tumbling(spark.read.parquet(f"{root}/state"))
     return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")))
 
 
@@ -98,10 +95,10 @@ def q_stream_bars(spark, sf):
 
     def run(src):
         ticks = ST.quote_stream(spark, src).withColumn("tick_id", F.lit(0).cast("long"))
-        ST.run_merge(ticks, root, ck, ST.daily_bars)
+        ST.run_fold(ticks, root, ck, ST.bar_partials, ST.merge_bars)
 
     _two_runs(spark, sf, run)
-    out = spark.read.parquet(f"{root}/state")
+    out = ST.finished_bars(spark.read.parquet(f"{root}/state"))
     return rounded(out.select("symbol", F.col("day").alias("date"), "open", "high", "low", "close", "volume"))
 
 
