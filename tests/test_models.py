@@ -384,3 +384,22 @@ def test_sampled_band_covers_simulated_futures():
             y = (rng.laplace(0, scale, len(at)) * (t - at)).sum() + rng.normal(0, sigma)
             inside += low <= y <= high
         assert 0.76 <= inside / 4000 <= 0.84, t
+
+
+@pytest.mark.parametrize("carry", ["roll", "last"])
+def test_long_rollout_equals_the_loop(spark, carry):
+    L, nf, h = 60, 7, 3000
+    rng = np.random.default_rng(4)
+    coef = rng.normal(scale=0.01, size=1 + L * nf)
+    cur = rng.uniform(size=(L, nf))
+    windows = spark.createDataFrame([("A", cur.reshape(-1).tolist(), 10.0, 30.0)], "symbol string, window array<double>, close_min double, close_max double")
+    fit = spark.createDataFrame([("A", coef.tolist(), None)], "symbol string, coef array<double>, error string")
+    want = []
+    for _ in range(h):
+        p = coef[0] + coef[1:] @ cur.reshape(-1)
+        want.append(p * 20 + 10)
+        cur = np.vstack([cur[1:], np.r_[p, cur[0, 1:] if carry == "roll" else cur[-1, 1:]]])
+    got = sequence.rollout_steps(fit, windows, h, carry).orderBy("step").toPandas()
+    assert got["step"].tolist() == list(range(1, h + 1)) and np.allclose(got["yhat"], want, rtol=1e-9)
+    short = sequence.rollout_steps(fit, windows, 5, carry).orderBy("step").toPandas()
+    assert np.allclose(short["yhat"], want[:5])

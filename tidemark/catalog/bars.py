@@ -10,6 +10,7 @@ from tidemark.functions.presentation import rounded
 from tidemark.operators.indicators import INDICATOR_COLUMNS, add_indicators
 from tidemark.schemas import BAR_COLUMNS
 from tidemark.sources.bars import bars_from, load_bars, period_filter
+from tidemark.sources.snapshots import shared_path
 
 
 BAR_DOUBLES = ["open", "high", "low", "close"]
@@ -37,6 +38,31 @@ def q_load_bars(spark, sf):
     return rounded(load_bars(spark, bars_from(spark, sf, "orders"), ["1-URGENT", "5-LOW"]))
 
 
+def _load_stored(spark, sf, fmt):
+    """Bars written as files of a format, then read back for three brands."""
+    path = shared_path(spark, f"bars-{fmt}")
+    bars_from(spark, sf, "brands").write.format(fmt).option("header", "true").save(path)
+    return rounded(load_bars(spark, path, ["Brand#11", "Brand#23", "Brand#55"], fmt))
+
+
+_STORED_SQL = _bars_sql("brands", "WHERE symbol IN ('Brand#11', 'Brand#23', 'Brand#55')")
+
+
+@register("load_bars_parquet", _STORED_SQL)
+def q_load_bars_parquet(spark, sf):
+    return _load_stored(spark, sf, "parquet")
+
+
+@register("load_bars_json", _STORED_SQL)
+def q_load_bars_json(spark, sf):
+    return _load_stored(spark, sf, "json")
+
+
+@register("load_bars_csv", _STORED_SQL)
+def q_load_bars_csv(spark, sf):
+    return _load_stored(spark, sf, "csv")
+
+
 @register("period_filter_60d", _bars_sql("orders").replace(
     "FROM (SELECT * FROM", "FROM (SELECT * EXCLUDE (_rn, _cnt) FROM (SELECT *, "
     "row_number() OVER (PARTITION BY symbol ORDER BY date) AS _rn, "

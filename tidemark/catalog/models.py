@@ -290,3 +290,96 @@ def q_predict_json(spark, sf):
     """every response as a JSON body that reads back."""
     body = P.to_json_body(responses(spark, sf))
     return body.select(F.get_json_object("body", "$.request_id").alias("request_id"))
+
+
+_BODY = {"request_id": "string", "symbol": "string", "model_type": "string", "requested_days": "int", "served_days": "int",
+         "current_price": "double", "confidence": "string", "timestamp": "string", "status": "string", "message": "string"}
+
+
+@register("predict_json_fields", R(f"""WITH b AS ({O.bars('orders')}),
+  l AS (SELECT symbol, max(date) AS as_of, arg_max(close, date) AS price FROM b GROUP BY symbol),
+  q AS (SELECT 'ord-' || o_orderkey AS request_id, upper(o_orderpriority) AS symbol,
+          CASE o_orderstatus WHEN 'F' THEN 'lstm' WHEN 'O' THEN 'prophet' ELSE 'arima' END AS model_type,
+          CAST(day(o_orderdate) AS INTEGER) AS requested_days FROM orders
+        UNION ALL SELECT 'evt-' || event_id, upper(event_type), 'lstm', CAST(floor(value / 10) AS INTEGER) FROM events),
+  r AS (SELECT q.*, l.as_of, l.price, least(coalesce(requested_days, 1), 30) AS h,
+          CASE WHEN least(coalesce(requested_days, 1), 30) < 1 THEN 'days_ahead must be positive'
+               WHEN l.symbol IS NULL THEN 'No models found for ' || q.symbol || ' ' || model_type END AS message
+        FROM q LEFT JOIN l ON l.symbol = q.symbol)
+  SELECT request_id, symbol, model_type, requested_days, CASE WHEN message IS NULL THEN h END AS served_days,
+    CASE WHEN message IS NULL THEN price END AS current_price, '2024-01-02T00:00:00.000Z' AS timestamp,
+    CASE WHEN message IS NULL THEN h END AS n_predictions,
+    CASE WHEN message IS NULL AND model_type <> 'lstm' THEN h END AS n_bounds,
+    CASE WHEN message IS NULL THEN strftime(as_of + 1, '%Y-%m-%d') END AS first_date,
+    CASE WHEN message IS NULL THEN strftime(as_of + h, '%Y-%m-%d') END AS last_date,
+    CASE WHEN message IS NULL THEN 4 END AS n_metrics, CASE WHEN message IS NULL THEN true END AS bounds_hold,
+    CASE WHEN message IS NULL THEN CASE model_type WHEN 'lstm' THEN 'medium' WHEN 'prophet' THEN 'high' END END AS confidence,
+    CASE WHEN message IS NULL THEN 'success' ELSE 'error' END AS status, message FROM r""",
+                                   ["current_price"], ["request_id", "symbol", "model_type", "requested_days", "served_days", "timestamp",
+                                                       "n_predictions", "n_bounds", "first_date", "last_date", "n_metrics", "bounds_hold",
+                                                       "confidence", "status", "message"]))
+def q_predict_json_fields(spark, sf):
+    """every field of the JSON bodies, read back; of the predicted values their number and
+    that they lie inside their bounds."""
+    schema = ", ".join(f"{k} {v}" for k, v in _BODY.items())
+    schema += ", predictions array<double>, lower_bounds array<double>, upper_bounds array<double>, prediction_dates array<string>, metrics map<string,double>"
+    b = P.to_json_body(responses(spark, sf)).select(F.from_json("body", schema).alias("b")).select("b.*")
+    some = lambda c: F.when(F.size(c) >= 0, F.size(c))
+    inside = F.zip_with(F.zip_with("lower_bounds", "predictions", lambda a, y: a <= y), F.zip_with("predictions", "upper_bounds", lambda y, c: y <= c),
+                        lambda a, c: a & c)
+    hold = F.when(F.col("status") == "success", F.coalesce(F.forall(inside, lambda x: x), F.lit(True)))
+    return rounded(b.select(*_BODY, some("predictions").alias("n_predictions"), some("upper_bounds").alias("n_bounds"),
+                            F.element_at("prediction_dates", 1).alias("first_date"), F.element_at("prediction_dates", -1).alias("last_date"),
+                            some("metrics").alias("n_metrics"), hold.alias("bounds_hold")))
+
+
+# ------------------------------------------------------------------ M8-M11 with a model per supplier
+def _supplier_models(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    bars = cut_lineage(bars_from(spark, sf, "suppliers"))
+    return bars, cut_lineage(train_many(bars, created_at=AS_OF))
+
+
+@register("train_suppliers", f"""SELECT t.model_type, b.symbol, true AS fitted, 4 AS n_metrics
+  FROM (SELECT DISTINCT symbol FROM ({O.bars('suppliers')}) x) b, (VALUES ('linear'), ('arima'), ('prophet'), ('lstm')) t(model_type)""")
+def q_train_suppliers(spark, sf):
+    """All four model types for every supplier."""
+    return _supplier_models(spark, sf)[1].select(
+        "model_type", "symbol", (F.col("error").isNull() & F.col("coef").isNotNull()).alias("fitted"), F.size("metrics").alias("n_metrics"))
+
+
+@register("predict_suppliers", R(f"""WITH l AS (SELECT symbol, max(date) AS as_of, arg_max(close, date) AS price FROM ({O.bars('suppliers')}) b GROUP BY symbol),
+  q AS (SELECT t.m || '-' || s_suppkey AS request_id, CAST(s_suppkey AS VARCHAR) AS symbol, t.m AS model_type,
+          CASE WHEN t.m = 'linear' THEN 1 ELSE CAST(s_suppkey % 30 + 1 AS INTEGER) END AS requested_days
+        FROM supplier, (VALUES ('linear'), ('arima'), ('prophet'), ('lstm')) t(m))
+  SELECT request_id, q.symbol, model_type, CASE WHEN l.symbol IS NOT NULL THEN requested_days END AS served_days,
+    CASE WHEN l.symbol IS NOT NULL THEN requested_days END AS n_predictions, price AS current_price,
+    strftime(as_of + requested_days, '%Y-%m-%d') AS last_date, CASE WHEN l.symbol IS NULL THEN 'error' ELSE 'success' END AS status
+  FROM q LEFT JOIN l ON l.symbol = q.symbol""", ["current_price"], ["request_id", "symbol", "model_type", "served_days", "n_predictions", "last_date", "status"]))
+def q_predict_suppliers(spark, sf):
+    """Requests for every supplier and model type, answered from the suppliers' own models."""
+    bars, models = _supplier_models(spark, sf)
+    types = F.explode(F.array(*[F.lit(t) for t in ("linear", "arima", "prophet", "lstm")])).alias("model_type")
+    asked = read_table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"), "s_suppkey", types).select(
+        F.concat_ws("-", "model_type", "symbol").alias("request_id"), "symbol", "model_type",
+        F.when(F.col("model_type") == "linear", F.lit(1)).otherwise((F.col("s_suppkey") % 30 + 1).cast("int")).alias("days_ahead"))
+    r = P.predict_batch(asked, P.forecast_table(models, bars), AS_OF)
+    return rounded(r.select("request_id", "symbol", "model_type", "served_days", F.when(F.col("predictions").isNotNull(), F.size("predictions")).alias("n_predictions"),
+                            "current_price", F.date_format(F.element_at("prediction_dates", -1), "yyyy-MM-dd").alias("last_date"), "status"))
+
+
+@register("predict_linear_values", R(f"""WITH f AS (SELECT symbol, date, close, avg(close) OVER w5 AS MA_5, avg(close) OVER w20 AS MA_20, avg(volume) OVER w20 AS Volume_MA,
+      row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS back
+    FROM ({O.bars('suppliers')}) b
+    WINDOW w5 AS (PARTITION BY symbol ORDER BY date ROWS 4 PRECEDING), w20 AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING))
+  SELECT 'next-' || symbol AS request_id, symbol, 1.5 + 0.25 * MA_5 + 0.5 * MA_20 - 0.125 * 50 + 0.0625 * Volume_MA AS prediction
+  FROM f WHERE back = 1 AND rn >= 20""", ["prediction"], ["request_id", "symbol"]))
+def q_predict_linear_values(spark, sf):
+    """The predicted values of linear models with given coefficients, through the serving plan."""
+    bars = cut_lineage(bars_from(spark, sf, "suppliers"))
+    models = bars.select("symbol").distinct().select(
+        F.lit("linear").alias("model_type"), "symbol", F.array(*[F.lit(c) for c in (0.25, 0.5, -0.125, 0.0625)]).alias("coef"),
+        F.lit(1.5).alias("intercept"), F.create_map().cast("map<string,double>").alias("metrics"),
+        F.create_map().cast("map<string,array<double>>").alias("state"), F.lit(None).cast("string").alias("error"))
+    asked = models.select(F.concat(F.lit("next-"), "symbol").alias("request_id"), "symbol", "model_type", F.lit(1).alias("days_ahead"))
+    r = P.predict_batch(asked, P.forecast_table(models, bars), AS_OF).where(F.col("status") == "success")
+    return rounded(r.select("request_id", "symbol", F.element_at("predictions", 1).alias("prediction")))

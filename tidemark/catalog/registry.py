@@ -143,6 +143,16 @@ def q_metric_history(spark, sf):
                     F.transform("values", lambda v: round_col(v)).alias("values"))
 
 
+@register("metric_history_pages", f"""{_CTE}
+  SELECT run_id, metric, CAST(step // 32 AS INTEGER) AS page, count(*) AS n_steps,
+    list(CASE WHEN round(value, 4) = 0 THEN CAST(0 AS DOUBLE) ELSE round(value, 4) END ORDER BY step) AS values
+  FROM rm GROUP BY run_id, metric, page""")
+def q_metric_history_pages(spark, sf):
+    h = RG.metric_history_pages(run_metrics(spark, sf), 32)
+    return h.select("run_id", "metric", "page", F.col("n_steps").cast("long").alias("n_steps"),
+                    F.transform("values", lambda v: round_col(v)).alias("values"))
+
+
 @register("metric_universe", f"{_CTE} SELECT DISTINCT metric FROM rm")
 def q_metric_universe(spark, sf):
     return RG.metric_universe(run_metrics(spark, sf))

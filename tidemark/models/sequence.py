@@ -10,6 +10,10 @@ sequence on an array state.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,3 +125,49 @@ def predict_sequence(fit: DataFrame, windows: DataFrame, h: int | Column = 30, c
     return j.select("symbol", "as_of", "sigma", "close_min", "close_max",
                     F.transform(scaled, lambda v: minmax_inverse(v, F.col("close_min"), F.col("close_max")))
                     .alias("predictions"))
+
+
+BLOCK = 256  # steps that one product of the companion form advances
+
+
+def companion(coef: np.ndarray, carry: str = "roll", lookback: int = LOOKBACK) -> np.ndarray:
+    """One step of the rollout as a matrix on the state (1, window)."""
+    size = lookback * NF
+    step = np.zeros((size + 1, size + 1))
+    step[0, 0] = 1.0
+    kept = np.arange(size - NF)
+    step[1 + kept, 1 + NF + kept] = 1.0  # the window moves up by one row
+    step[1 + size - NF] = coef
+    others = np.arange(1, NF)
+    step[1 + size - NF + others, 1 + others + (0 if carry == "roll" else size - NF)] = 1.0
+    return step
+
+
+def rollout(coef: np.ndarray, window: np.ndarray, h: int, carry: str = "roll", lookback: int = LOOKBACK) -> Iterator[np.ndarray]:
+    """The h predictions of ``rollout_expr`` in blocks: the states of a block by doubling, each further
+    block by one product with the power of the step that spans it."""
+    step = companion(coef, carry, lookback)
+    states = np.r_[1.0, window][:, None]
+    while states.shape[1] < min(BLOCK, h):
+        states = np.concatenate([states, step @ states], 1)
+        step = step @ step
+    done = 0
+    while done < h:
+        yield (coef @ states)[: h - done]
+        done += states.shape[1]
+        states = step @ states
+
+
+def rollout_steps(fit: DataFrame, windows: DataFrame, h: int, carry: str = "roll") -> DataFrame:
+    """M9 for long horizons: (symbol, step, yhat) in price space, a bounded block of rows at a time."""
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                at = 0
+                for block in rollout(np.asarray(r.coef, float), np.asarray(r.window, float), h, carry):
+                    yield pd.DataFrame({"symbol": r.symbol, "step": np.arange(at + 1, at + 1 + len(block), dtype=np.int32),
+                                        "yhat": block * (r.close_max - r.close_min) + r.close_min})
+                    at += len(block)
+
+    j = windows.join(fit.where(F.col("error").isNull()).select("symbol", "coef"), "symbol")
+    return j.select("symbol", "coef", "window", "close_min", "close_max").mapInPandas(run, "symbol string, step int, yhat double")

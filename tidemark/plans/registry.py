@@ -81,6 +81,15 @@ def metric_history(run_metrics: DataFrame) -> DataFrame:
         F.transform("_h", lambda s: s["value"]).alias("values"))
 
 
+def metric_history_pages(run_metrics: DataFrame, page_steps: int = 256) -> DataFrame:
+    """R4 in pages of ``page_steps`` steps: (run_id, metric, page, n_steps, values), so that the curve of a
+    long run is many bounded rows."""
+    paged = run_metrics.withColumn("page", F.floor(F.col("step") / page_steps).cast("int"))
+    return paged.groupBy("run_id", "metric", "page").agg(
+        F.sort_array(F.collect_list(F.struct("step", "value"))).alias("_h")).select(
+        "run_id", "metric", "page", F.size("_h").alias("n_steps"), F.transform("_h", lambda s: s["value"]).alias("values"))
+
+
 def metric_universe(run_metrics: DataFrame) -> DataFrame:
     """U1."""
     return run_metrics.select("metric").distinct()

@@ -61,15 +61,13 @@ def bars_from(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataF
 
 def load_bars(spark: SparkSession, path_or_df, symbols: Iterable[str] | None = None,
               fmt: str = "parquet") -> DataFrame:
-    """Read bar history (parquet/json/csv path or a DataFrame) for a symbol list.
+    """Read bar history (a DataFrame, or parquet/json/csv files of the declared schema) for a symbol list.
 
     The ``isin`` filter is applied before anything else so it reaches the scan as
     a pushed filter (or a partition filter when the data is partitioned by symbol).
     """
     if isinstance(path_or_df, DataFrame):
         df = path_or_df
-    elif fmt == "parquet":
-        df = spark.read.parquet(path_or_df)
     else:
         df = spark.read.schema(BARS).format(fmt).option("header", "true").load(path_or_df)
     if symbols is not None:
