@@ -78,3 +78,48 @@ def test_edges(spark):
         df = df.selectExpr("*", f"'x' as `{c}`")
     assert got(E.near_duplicates(df)) == brute(rows)
     assert E.near_duplicates(df.limit(0)).count() == 0
+
+
+def planted(seed, n=600, dim=64):
+    """Vectors without structure, and near copies on both sides of the threshold."""
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((n, dim))
+    for i in range(0, n, 3):
+        base[i] = base[(i + 2) % n] + rng.standard_normal(dim) * rng.choice([0.2, 0.35, 0.4, 0.5])
+    return [(i, v.astype(np.float32).tolist(), int(i % 2)) for i, v in enumerate(base)]
+
+
+@pytest.mark.parametrize("tile", [2048, 50])
+def test_planted_near_copies_equal_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(E, "TILE", tile)
+    monkeypatch.setattr(E, "PAIRS", 64)
+    rows = planted(5)
+    want = brute(rows)
+    assert sum(r[2] > 0 for r in want) > 60
+    assert got(E.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == want
+
+
+def test_blocks_leave_few_candidates(spark):
+    """On the table, the union of the blocks' pairs is well under a tenth of all pairs of equal labels."""
+    pdf = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    found = pairs = 0
+    for _, g in pdf.groupby("label"):
+        x = np.stack(g["embedding"].to_numpy()).astype(float)
+        y = x / np.linalg.norm(x, axis=1, keepdims=True) @ E.rotation(x.shape[1])
+        near = E.candidates(y, y, E._budgets(x.shape[1], E.COSINE))
+        found += int(np.triu(near, 1).sum())
+        pairs += len(x) * (len(x) - 1) // 2
+    assert pairs > 150_000 and found < 0.1 * pairs
+
+
+def test_dense_tile_in_bounded_memory():
+    """4096 near-equal vectors: every pair is a link; counts and labels only, batches of PAIRS."""
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    x = 1 + 0.01 * rng.standard_normal((4096, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    every = np.arange(4096)
+    tracemalloc.start()
+    n = sum(len(u) for u, _ in E.links_between(x, x @ E.rotation(64), E._budgets(64, E.COSINE), every, every, E.COSINE))
+    assert n == 4096 * 4095 // 2 and tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()

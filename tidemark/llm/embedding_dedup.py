@@ -3,15 +3,18 @@
 Unit vectors with cosine c are at squared distance 2 (1 - c). After a fixed random rotation the
 dimensions are cut into ``SUBSPACES`` blocks; the squared distance is the sum over blocks, so
 two vectors within it are, in at least one block, within the share proportional to the block's
-dimensions. Each block is a range join: vectors meet through a grid over the block's first
-``GRID`` coordinates with cells as wide as the block's radius, a vector going to its own cell
-and to those later neighbours its radius reaches. A pair is settled in the first block that
-passes it, exactly, from the original vectors, so no pair is counted twice.
+dimensions. Each block is range-joined on its own coordinates; the union of the blocks' pairs,
+well under a tenth of all pairs, is verified exactly on the original vectors.
 
-Equal vectors of one label are one class with a multiplicity. A cell with more than ``TILE``
-classes is dealt as tiles: class i of a cell goes to one stripe, and every pair of stripes is a
-group of its own, so no group exceeds 2 TILE rows; a small cell is one group. Groups return
-link counts per class and a spanning forest of their links, never the pairs.
+Equal vectors of one label are one class with a multiplicity. The classes of a label are dealt into
+stripes of about ``TILE`` classes and every pair of stripes is a group of its own, so no group exceeds
+2 TILE rows, whatever a label holds, and each vector is sent once per stripe (once, where a label
+fits a tile). A grid over a block's coordinates was measured and dropped: the radius (0.13) is as wide
+as the spread of a coordinate (0.125 in 64 dimensions), so cells of two coordinates held ten times
+the pairs of plain tiles, and finer ones reach almost every cell. Inside a tile the block distances come
+from low-dimensional matrix products, ``SLICE`` rows at a time, and candidates are verified in bounded batches.
+
+Groups return link counts per class and a spanning forest of the linked classes, never the pairs.
 
 Null labels; vectors that are null, empty, zero or hold null or non-finite components: no
 links, kept with their own id. Vectors of different lengths are not compared. Repeated rows
@@ -20,22 +23,21 @@ link with each other; rows with a null vec_id link with nothing.
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.graph import components
-from tidemark.llm.rows import id_text, ids_of
+from tidemark.llm.graph import components, least_labels
+from tidemark.llm.rows import give_back, id_text, ids_of
 from tidemark.session import cut_lineage
 
 COSINE = 0.93
 SUBSPACES = 8
-GRID = 2
 TILE = 2048
+SLICE = 256
+PAIRS = 1 << 16  # candidates verified at once
 SEED = 93
 
 
@@ -78,83 +80,50 @@ def _marked(batches):
         yield pd.DataFrame({"vec_id": ids_of(pdf["vec_id"]), "label": ids_of(pdf["label"]), "dim": np.array(dims, np.int32), "mark": mark, "unit": unit})
 
 
-def _cells(cosine: float):
-    """Classes -> one row per block and cell they meet in (home: the cell is their own)."""
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for dim, part in pdf.groupby("dim"):
-                x = np.stack([np.frombuffer(u, "<f8") for u in part["unit"]])
-                y, borders, budget = x @ rotation(dim), cuts(dim), _budgets(dim, cosine)
-                for b, (lo, hi) in enumerate(zip(borders[:-1], borders[1:])):
-                    r = np.sqrt(budget[b])
-                    z = y[:, lo: min(hi, lo + GRID)]
-                    cell = np.floor(z / r).astype(np.int64)
-                    rest = z - cell * r
-                    for step in itertools.product((-1, 0, 1), repeat=z.shape[1]):
-                        home = not any(step)
-                        if not home and step < (0,) * len(step):
-                            continue  # the other one comes here
-                        s = np.array(step)
-                        gap = np.where(s > 0, r - rest, np.where(s < 0, rest, 0))
-                        near = (gap * gap).sum(1) <= budget[b] * (1 + 1e-9)
-                        if near.any():
-                            to = cell[near] + s
-                            code = np.zeros(len(to), np.int64)
-                            for c in to.T:
-                                code = code * 1_000_003 + c + 500_000
-                            out.append(pd.DataFrame({"id": part["id"].to_numpy()[near], "label": part["label"].to_numpy()[near],
-                                                     "dim": dim, "block": b, "cell": code, "home": home,
-                                                     "m": part["m"].to_numpy()[near], "unit": part["unit"].to_numpy()[near]}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-    return run
+def candidates(y: np.ndarray, z: np.ndarray, budget: np.ndarray) -> np.ndarray:
+    """Which rows of y and z (rotated vectors) are within the budget of at least one block."""
+    borders = cuts(y.shape[1])
+    near = np.zeros((len(y), len(z)), bool)
+    for lo, hi, most in zip(borders[:-1], borders[1:], budget):
+        a, b = y[:, lo:hi], z[:, lo:hi]
+        near |= (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T) <= most
+    return near
 
 
-_CELLS = "id long, label long, dim int, block int, cell long, home boolean, m long, unit binary"
+def links_between(x: np.ndarray, y: np.ndarray, budget: np.ndarray, rows: np.ndarray, cols: np.ndarray, cosine: float):
+    """Pairs (p, q) of rows and columns with p < q and the cosine, found through the blocks, in bounded batches."""
+    for at in range(0, len(rows), SLICE):
+        own = rows[at: at + SLICE]
+        p, q = np.nonzero(candidates(y[own], y[cols], budget))
+        p, q = own[p], cols[q]
+        keep = p < q
+        p, q = p[keep], q[keep]
+        for k in range(0, len(p), PAIRS):
+            u, v = p[k: k + PAIRS], q[k: k + PAIRS]
+            ok = np.einsum("ij,ij->i", x[u], x[v]) >= cosine
+            if ok.any():
+                yield u[ok], v[ok]
 
 
 def _linked(cosine: float):
-    """One group of a cell: link counts of its classes and a forest of its links.
-
-    tile -1: the whole cell; else rows of two stripes (or one), home rows pairing with all."""
+    """One pair of stripes (or one stripe): link counts of its classes and a forest of its links."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        dim, b = int(pdf["dim"].iloc[0]), int(pdf["block"].iloc[0])
-        i, j = int(pdf["ti"].iloc[0]), int(pdf["tj"].iloc[0])
-        pdf = pdf.sort_values(["home", "id"], ascending=[False, True]).reset_index(drop=True)
+        dim, i, j = (int(pdf[c].iloc[0]) for c in ("dim", "ti", "tj"))
+        pdf = pdf.sort_values("stripe", kind="stable")
         x = np.stack([np.frombuffer(u, "<f8") for u in pdf["unit"]])
-        y, borders, budget = x @ rotation(dim), cuts(dim), _budgets(dim, cosine)
-        ids, m, home, stripe = (pdf[c].to_numpy() for c in ("id", "m", "home", "stripe"))
-        counts, parent, links = np.zeros(len(ids), np.int64), list(range(len(ids))), []
-
-        def find(k):
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        for at in range(0, len(ids), 512):
-            rows = np.arange(at, min(at + 512, len(ids)))
-            cols = np.arange(at, len(ids))
-            cos = x[rows] @ x[cols].T
-            ok = (cos >= cosine) & (rows[:, None] < cols[None, :]) & (home[rows][:, None] | home[cols][None, :])
-            if i != j:
-                ok &= stripe[rows][:, None] != stripe[cols][None, :]
-            p, q = np.nonzero(ok)
-            p, q = rows[p], cols[q]
-            d = (y[p] - y[q]) ** 2
-            near = np.add.reduceat(d, borders[:-1], axis=1) <= budget if len(p) else np.zeros((0, len(budget)), bool)
-            mine = near[:, b] & ~near[:, :b].any(1) if len(p) else np.zeros(0, bool)
-            for u, v in zip(p[mine].tolist(), q[mine].tolist()):
-                counts[u] += m[v]
-                counts[v] += m[u]
-                a, c = find(u), find(v)
-                if a != c:
-                    parent[max(a, c)] = min(a, c)
-                    links.append((ids[u], ids[v]))
-        has = np.flatnonzero(counts)
+        y, budget = x @ rotation(dim), _budgets(dim, cosine)
+        ids, m, stripe = (pdf[c].to_numpy() for c in ("id", "m", "stripe"))
+        every = np.arange(len(ids))
+        rows, cols = (every, every) if i == j else (every[stripe == i], every[stripe == j])
+        counts, label = np.zeros(len(ids), np.int64), every.copy()
+        for u, v in links_between(x, y, budget, rows, cols, cosine):
+            np.add.at(counts, u, m[v])
+            np.add.at(counts, v, m[u])
+            label = least_labels(u, v, label)
+        has, moved = np.flatnonzero(counts), np.flatnonzero(label != every)
+        give_back()
         return pd.concat([pd.DataFrame({"a": ids[has], "b": -1, "n": counts[has]}),
-                          pd.DataFrame(links, columns=["a", "b"]).assign(n=0)], ignore_index=True).astype(
+                          pd.DataFrame({"a": ids[label[moved]], "b": ids[moved], "n": 0})], ignore_index=True).astype(
             {"a": "int64", "b": "int64", "n": "int64"})
     return run
 
@@ -169,11 +138,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     one = cut_lineage(classes.join(first, ["label", "mark"]))
     # ids may repeat between classes, so a class is numbered by its digest
     one = one.withColumn("key", F.xxhash64("label", "mark"))
-    cells = one.select(F.col("key").alias("id"), "label", "dim", "m", "unit").mapInPandas(_cells(cosine), _CELLS)
-    where = ["label", "dim", "block", "cell"]
-    size = cells.groupBy(*where).agg(F.count("*").alias("size"), F.max("home").alias("any"))
-    size = size.filter("size > 1 and any").withColumn("stripes", F.ceil(F.col("size") / TILE).cast("int"))
-    met = cells.join(size.drop("any", "size"), where)
+    where = ["label", "dim"]
+    size = one.groupBy(*where).agg(F.count("*").alias("size")).withColumn("stripes", F.ceil(F.col("size") / TILE).cast("int"))
+    met = one.select(F.col("key").alias("id"), "label", "dim", "m", "unit").join(size.filter("size > 1").drop("size"), where)
     met = met.withColumn("stripe", F.pmod(F.xxhash64("id"), F.col("stripes")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1)))
     met = met.withColumn("ti", F.least("stripe", "other").cast("int")).withColumn("tj", F.greatest("stripe", "other").cast("int"))

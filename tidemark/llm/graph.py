@@ -45,12 +45,10 @@ def _mark(edges: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
-def _settled(batches):
-    """All edges in one task: each end takes the least label its edges reach, until none changes."""
-    pairs = [np.stack([pdf["u"].to_numpy(np.int64), pdf["v"].to_numpy(np.int64)]) for pdf in batches]
-    names, code = np.unique(np.concatenate([np.empty((2, 0), np.int64), *pairs], axis=1), return_inverse=True)
-    a, b = code.reshape(2, -1)
-    label = np.arange(len(names))
+def least_labels(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Labels of 0..n-1 after each end of the edges (a, b) took the least its edges reach, until none
+    changes; a label is itself such a number, and is followed to its own."""
+    label = label.copy()
     while True:
         before = label.copy()
         least = np.minimum(label[a], label[b])
@@ -59,7 +57,14 @@ def _settled(batches):
         while (label[label] != label).any():
             label = label[label]
         if (label == before).all():
-            break
+            return label
+
+
+def _settled(batches):
+    """All edges in one task."""
+    pairs = [np.stack([pdf["u"].to_numpy(np.int64), pdf["v"].to_numpy(np.int64)]) for pdf in batches]
+    names, code = np.unique(np.concatenate([np.empty((2, 0), np.int64), *pairs], axis=1), return_inverse=True)
+    label = least_labels(*code.reshape(2, -1), np.arange(len(names)))
     yield pd.DataFrame({"id": names, "component": names[label]})
 
 
