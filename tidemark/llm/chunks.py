@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import id_text, ids_of
+from tidemark.llm.rows import give_back, id_text, ids_of
 
 CHARS = 1 << 23
 
@@ -107,17 +107,18 @@ def dictionary(docs: DataFrame, split: Callable, flagged_only: bool = False) ->
     def run(batches):
         for rows in _chunks(batches):
             chunk, nos, counts, _ = _numbered(rows, split, flagged_only)
-            dealt: list[list] = [[] for _ in range(parts)]
-            for w, no in nos.items():
-                w = w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass")
-                dealt[xxhash.xxh3_64_intdigest(w) % parts].append((w, no))
+            words = [w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass") for w in nos]
+            nos.clear()
+            part = np.fromiter((xxhash.xxh3_64_intdigest(w) % parts for w in words), np.int64, len(words))
+            by = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.r_[True, part[by][1:] != part[by][:-1]]) if len(by) else by
             out = []
-            for part, own in enumerate(dealt):
-                if own:
-                    own.sort()
-                    at = np.array([no for _, no in own])
-                    out.append((chunk, part, pack_words([w for w, _ in own]), pack(at), pack(counts[at])))
+            for own in np.split(by, edges[1:]) if len(by) else ():
+                at = np.array(sorted(own.tolist(), key=words.__getitem__))
+                out.append((chunk, int(part[at[0]]), pack_words([words[i] for i in at]), pack(at), pack(counts[at])))
             yield pd.DataFrame(out, columns=["chunk", "part", "words", "numbers", "counts"])
+            del words, part, by, out, counts
+            give_back()
 
     return _rows(docs).mapInPandas(run, DICTIONARY)
 
@@ -132,6 +133,7 @@ def by_word(words: DataFrame, work: Callable, schema: str) -> DataFrame:
         res = pd.DataFrame(got, columns=names)
         res.insert(0, "numbers", pdf["numbers"].to_numpy())
         res.insert(0, "chunk", pdf["chunk"].to_numpy())
+        give_back()
         return res
 
     return words.groupBy("part").applyInPandas(run, f"chunk long, numbers binary, {schema}")
@@ -152,6 +154,8 @@ def streams(docs: DataFrame, split: Callable, as_set: bool = False) -> DataFrame
                 "flags": [np.array([bool(r[2]) for r in rows], np.uint8).tobytes()],
                 "lengths": [np.array([len(x) for x in numbers], "<i8").tobytes()],
                 "numbers": [pack(np.concatenate(numbers))]})
+            del rows, numbers
+            give_back()
 
     return _rows(docs).mapInPandas(run, STREAMS)
 
@@ -179,6 +183,7 @@ def paired(chunk_streams: DataFrame, words: DataFrame, gather: Callable, work: C
             ids = pd.array(np.frombuffer(row.doc_ids, "<i8").copy(), "Int64")
             ids[np.frombuffer(row.id_null, np.uint8).astype(bool)] = pd.NA
             out.append(work(ids, np.frombuffer(row.flags, np.uint8).astype(bool), lengths, numbers, known))
+        give_back()
         return pd.concat(out, ignore_index=True)
 
     return chunk_streams.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInPandas(run, schema)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import pack, unpack
 from tidemark.llm.graph import components
-from tidemark.llm.rows import id_text, ids_of
+from tidemark.llm.rows import give_back, id_text, ids_of
 from tidemark.llm.scratch import stored
 from tidemark.llm.words import mix, shingle_set
 from tidemark.session import cut_lineage
@@ -45,9 +45,11 @@ CHUNK = 1 << 20  # shingles a chunk
 RANGE_CHARS = 1 << 23  # of text for each range of hashes: what a range holds is bounded, whatever the input
 MAX_PIVOT_ROUNDS = 12
 BIG = 64  # a component of so many sets is checked as a whole, not through its signatures
+SALTS = 64
 CROWD = 32  # components that share a signature and are checked in tiles, not as listed pairs
 TILE = 1024  # sets, and
 TILE_BYTES = 1 << 23  # bytes of sets, on each side of a tile
+PAIRS = 1 << 20
 DENSE = 1 << 14  # a shingle with so many pairs of owners in a tile is counted by a matrix product
 _U = np.uint64
 _LOW = _U(16)  # bits of a hash that are dropped: two sets of n shingles differ by chance in n * n / 2**48
@@ -110,6 +112,7 @@ def _blocks(ranges: int):
                 if held >= CHUNK:
                     yield flush(rows, sets)
                     rows, sets, held = [], [], 0
+                    give_back()
         if rows:
             yield flush(rows, sets)
     return run
@@ -132,6 +135,8 @@ def _seen_twice(pdf: pd.DataFrame) -> pd.DataFrame:
         hit = (again[np.minimum(at, len(again) - 1)] == own) if len(again) else np.zeros(len(own), bool)
         if hit.any():
             out.append((row.chunk, row.part, _packed(own[hit]), pack(unpack(row.entries)[hit]), None, None, None))
+    del blocks, h, again
+    give_back()
     return pd.DataFrame(out, columns=list(pdf.columns))
 
 
@@ -339,12 +344,14 @@ def _common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     ob, cb = owner[b][by], code[b][by]
     start, n = np.searchsorted(cb, ca), n_right[ca]
     ends = np.cumsum(n)
-    for lo in range(0, len(ca), 1 << 16):  # pairs of owners, some at a time
-        hi = min(lo + (1 << 16), len(ca))
+    lo = 0
+    while lo < len(ca):  # pairs of owners, about PAIRS at a time
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - n[lo] + PAIRS, side="right")))
         m = n[lo:hi]
         place = np.repeat(start[lo:hi] - (ends[lo:hi] - m - (ends[lo] - n[lo])), m) + np.arange(int(m.sum()))
         pair = np.repeat(oa[lo:hi], m) * len(right) + ob[place]
         both += np.bincount(pair, minlength=both.size).reshape(both.shape).astype(np.int32)
+        lo = hi
     return both
 
 
@@ -369,6 +376,8 @@ def _matching(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int) -> pd
         if x != y:
             parent[x] = y
             out.append((min(ia[i[k]], ib[j[k]]), max(ia[i[k]], ib[j[k]])))
+    del both, i, j
+    give_back()
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -387,8 +396,12 @@ def _remaining(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     spanning forest, so pairs are never rows. The rest,
     fewer than CROWD components a signature, is listed as pairs.
     """
-    size = rows.select("id", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
-    rows = stored(rows.join(size, "comp"), instead_of=rows)
+    # a component may hold most sets: its size reaches them through SALTS keys
+    ids = rows.select("id", "comp").distinct().withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    big = (ids.groupBy("comp").agg(F.count("*").alias("size")).filter(F.col("size") >= BIG)
+           .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
+    sized = ids.join(big, ["comp", "salt"], "left").select("id", F.coalesce("size", F.lit(1)).alias("size"))
+    rows = stored(rows.join(sized, "id"), instead_of=rows)
     return (_against_big(rows, sets, num, den).unionByName(_in_crowds(rows, sets, num, den))
             .unionByName(_verified(_listed(rows, num, den), sets, num, den)))
 

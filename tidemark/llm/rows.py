@@ -1,4 +1,4 @@
-"""Row identifiers on their way into Python and back.
+"""Row identifiers on their way into Python and back, and memory on its way back to the system.
 
 A nullable long reaches pandas as float64, which cannot hold integers above 2**53, as soon as one
 row of a batch is null. So identifiers travel as text and come back as nullable integers.
@@ -6,9 +6,11 @@ row of a batch is null. So identifiers travel as text and come back as nullable
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,3 +27,13 @@ def id_of(text) -> int | None:
 def ids_of(texts: Iterable) -> pd.arrays.IntegerArray:
     """Decimal texts as a nullable 64-bit integer array, exact for all longs."""
     return pd.array([id_of(x) for x in texts], "Int64")
+
+
+def give_back() -> None:
+    """Returns what this worker has freed to the system: workers are reused, and an executor's
+    memory is what all its workers ever held at once."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: nothing to do
+        pass
