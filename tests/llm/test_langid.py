@@ -38,3 +38,36 @@ def test_slices_equal_the_whole(monkeypatch):
     whole = np.sort(np.concatenate(list(langid.gram_buckets(text))))
     monkeypatch.setattr(langid, "SLICE", 97)
     assert (np.sort(np.concatenate(list(langid.gram_buckets(text)))) == whole).all()
+
+
+def test_predictions_equal_brute_force(spark):
+    """Naive Bayes by counting: every n-gram of every text, one at a time."""
+    import math
+    from collections import Counter, defaultdict
+
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").limit(240).collect()] + [
+        (r[0] and r[0] + 1_000_000, *r[1:3]) for r in ODD]
+    counts, docs = defaultdict(Counter), Counter()
+
+    def grams(text):
+        return [int(b) for part in langid.gram_buckets(text) for b in part]
+
+    for i, text, lang in rows:
+        if lang is not None and langid.has_letter(text) and zlib.crc32(("" if i is None else str(i)).encode()) % 3 != 1:
+            docs[lang] += 1
+            counts[lang].update(grams(text))
+    want = {}
+    for i, text, _ in rows:
+        if not langid.has_letter(text):
+            want[i] = ("und", 0.0)
+            continue
+        logs = {}
+        for lang, c in counts.items():
+            total = sum(c.values()) + langid.ALPHA * langid.BUCKETS
+            logs[lang] = math.log(docs[lang] / sum(docs.values())) + sum(math.log((c[g] + langid.ALPHA) / total) for g in grams(text))
+        best = max(sorted(logs), key=logs.get)
+        want[i] = (best, 1 / sum(math.exp(x - logs[best]) for x in logs.values()))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    for r in langid.identify(df).collect():
+        lang, score = want[r["doc_id"]]
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-9

@@ -61,3 +61,41 @@ def test_marginal_sums_all_segmentations():
 def test_weights_are_a_distribution():
     logs, one_byte, end = lattice.piece_weights({300: 5, 20000: 7}, 3)
     assert sum(map(math.exp, [*logs.values(), *one_byte, end])) == pytest.approx(1, abs=1e-3)
+
+
+def test_document_scores_equal_brute_force(spark):
+    """score of whole documents: piece counts, weights and the sum over all segmentations, computed anew."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60).collect()] + [
+        (r[0] and r[0] + 1_000_000, r[1]) for r in ODD if r[0] != 7]
+    sp = lattice._tokenizer(None)
+    train = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    words = collections.Counter(w.decode() for t in train for w in words_of(t))
+    pieces = collections.Counter()
+    for w, n in words.items():
+        for k in sp.encode(w):
+            pieces[k] += n
+    logs, one_byte, end = lattice.piece_weights(dict(pieces), len(train))
+    longest, memo = max(map(len, logs)), {}
+
+    def total(text):  # from the front: the first piece, then the rest
+        if not text:
+            return 1.0, 0  # mantissa and binary exponent: probabilities far below the range of a double
+        if text not in memo:
+            terms = [(logs[text[:k]], total(text[k:])) for k in range(1, min(longest, len(text)) + 1) if text[:k] in logs]
+            if text[0] not in logs:
+                terms.append((sum(one_byte[b] for b in text[0].encode()), total(text[1:])))
+            parts = [math.frexp(math.exp(x) * m) + (e,) for x, (m, e) in terms]
+            top = max(a + e for m, a, e in parts)
+            m, a = math.frexp(sum(math.ldexp(m, a + e - top) for m, a, e in parts))
+            memo[text] = m, a + top
+        return memo[text]
+
+    def ln(text):
+        m, e = total(text)
+        return math.log(m) + e * math.log(2)
+
+    want = {i: (sum(ln("▁" + w.decode()) for w in words_of(t) if len(w) < 800) + end) / math.log(10) for i, t in rows}
+    short = {i for i, t in rows if all(len(w) < 800 for w in words_of(t))}
+    got = lattice.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-9) for r in got if r["doc_id"] in short)
+    assert len(short) > 50

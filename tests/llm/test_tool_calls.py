@@ -76,3 +76,17 @@ def test_edges(spark):
                    ("unidentified", ("$.prompt: minLength",)): 1, ("unanswered", ("$.prompt: minLength",)): 1}
     assert run(spark, [(1, 0, "system", "s")]) == []
     assert T.link(T.events(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_null_identifiers_and_numbers(spark):
+    rows = [(1, 0, "assistant", call((None, "add", {"a": 1, "b": 1}, []), ("None", "add", {"a": 1, "b": 2}, []))),
+            (1, 1, "tool", json.dumps({"tool_call_id": None, "content": "lost"})),
+            (2, 0, "assistant", call(("n", "add", '{"a": 1, "b": NaN}', []), ("w", "add", {"a": 1.0, "b": 1e2}, []))),
+            (3, 0, "user", '{"tool_calls": [{"id": "x", "name": "add", "arguments": {"a": Infinity}}]}'),
+            (4, 0, "assistant", call(("o", "add", '{"a": 1, "b": 1e999}', [])))]
+    got = {(r["conv_id"], r["call_id"], r["status"]): r for r in run(spark, rows)}
+    assert set(got) == {(1, None, "unidentified"), (1, "None", "unanswered"), (1, None, "orphan_result"),
+                        (2, "n", "unanswered"), (2, "w", "unanswered"), (3, "turn:0", "unanswered"), (4, "o", "unanswered")}
+    assert got[(2, "n", "unanswered")]["errors"] == ["$: not JSON"] == got[(4, "o", "unanswered")]["errors"]
+    assert json.loads(got[(2, "w", "unanswered")]["record"])["arguments"] == {"a": 1, "b": 100}
+    assert '"arguments":{"a":1,"b":100}' in got[(2, "w", "unanswered")]["record"]

@@ -17,8 +17,10 @@ that holds a third of all turns is spread over its identifiers.
 Messages: text that is a JSON object with ``tool_calls`` (list of id, name, arguments, after) or
 ``tool_call_id`` is read as such. In plain conversations the turn pair is the call: a user turn
 calls the tool ``reply`` with its prompt under the identifier ``turn:<n>``, and the assistant turn
-after it is the result. Null conversation ids, turns or texts are carried; rows with a null
-conversation or turn link with nothing; repeated rows are duplicates.
+after it is the result; plain turns of any other role (``system``, null, unknown) are no event and give
+no row, and plain calls wait for nothing. Null conversation ids, turns or texts are carried; rows with a null
+conversation, turn or identifier link with nothing; repeated rows are duplicates. Text with NaN or
+Infinity, or with numbers no double holds, is not JSON; whole numbers are written without point or exponent.
 """
 
 from __future__ import annotations
@@ -38,8 +40,25 @@ NUMBERS = ("conv_id", "call_turn", "result_turn", "level")
 _EVENT = "conv_id long, turn long, call_id string, kind string, name string, body string, after array<string>"
 
 
+def parse(text: str):
+    """JSON as its grammar has it: the names NaN and Infinity are no numbers."""
+    def refuse(name):
+        raise ValueError(name)
+
+    return json.loads(text, parse_constant=refuse)
+
+
+def _plain(value):
+    """One form per number: whole ones without point or exponent."""
+    if isinstance(value, float) and value.is_integer() and abs(value) < 1e21:
+        return int(value)
+    if isinstance(value, list):
+        return [_plain(x) for x in value]
+    return {k: _plain(x) for k, x in value.items()} if isinstance(value, dict) else value
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
 def _events(batches):
@@ -50,7 +69,8 @@ def _events(batches):
             made = None
             if text is not None and text.lstrip()[:1] == "{":
                 try:
-                    made = json.loads(text)
+                    made = parse(text)
+                    canonical(made)  # numbers beyond the range of a double cannot be written again
                 except (ValueError, RecursionError):
                     made = None
             if isinstance(made, dict) and isinstance(made.get("tool_calls"), list):
@@ -62,7 +82,7 @@ def _events(batches):
                                 args if isinstance(args, str) else canonical(args),
                                 [str(x) for x in after] if isinstance(after, list) else []))
             elif isinstance(made, dict) and "tool_call_id" in made:
-                out.append((conv, turn, str(made["tool_call_id"]), "result", None, canonical(made.get("content")), []))
+                out.append((conv, turn, None if made["tool_call_id"] is None else str(made["tool_call_id"]), "result", None, canonical(made.get("content")), []))
             elif role == "user":
                 out.append((conv, turn, None if turn is None else f"turn:{turn}", "call", "reply", canonical({"prompt": text}), []))
             elif role == "assistant":
@@ -127,7 +147,8 @@ def _records(schemas: dict):
                 found, args = [], None
                 if status != "orphan_result":
                     try:
-                        args = json.loads(body)
+                        args = parse(body)
+                        canonical(args)
                         if name not in schemas:
                             found = ["$: unknown tool"]
                         else:
