@@ -16,9 +16,12 @@ COLUMNS = {
     "op8_embedding_near_dedup": ("embeddings", "vec_id n_links component_id kept"),
     "op9_benchmark_decontamination": ("documents", "doc_id item_id similarity"),
     "op10_html_main_text": ("pages", "page_id url text n_chars"),
+    "op11_periodic_runs": ("documents", "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256"),
+    "op12_phrase_collocations": ("documents", "lang rank phrase a l r n score"),
+    "op13_toxicity": ("documents", "doc_id held_out score predicted"),
     "pipeline": ("documents", "doc_id n_tokens ids_sha256 decoded_sha256"),
 }
-SHORTER = {"op1_tool_call_links", "op9_benchmark_decontamination", "pipeline"}
+SHORTER = {"op1_tool_call_links", "op12_phrase_collocations", "op9_benchmark_decontamination", "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))

@@ -461,13 +461,15 @@ def _listed(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 def join_documents(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document."""
-    every = cut_lineage(shared_sets(docs, threshold))
+    every = stored(shared_sets(docs, threshold))
     filled = every.filter("n > 0 and doc_id is not null")
-    classes = filled.groupBy("mark").agg(F.min("doc_id").alias("id"))
     # laid out by id once: every later join with the sets moves the other side alone
     sets = (filled.groupBy("mark").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.min("shared").alias("shared"))
             .filter("shared is not null").select("id", "n", "shared"))
     sets = cut_lineage(sets.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id"))
+    every = stored(every.drop("shared"), instead_of=every)
+    filled = every.filter("n > 0 and doc_id is not null")
+    classes = filled.groupBy("mark").agg(F.min("doc_id").alias("id"))
     links = link_classes(sets, threshold)
     label = components(links, "a", "b")
     # a repeated id may stand in several classes: they are the same node of the graph
