@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import oracle_sql as O
@@ -14,7 +14,7 @@ from tidemark.operators.cleaning import LINEAR_FEATURES
 from tidemark.operators.indicators import add_indicators
 from tidemark.plans import predict as P
 from tidemark.plans.train import train_all, train_many
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, stored
 from tidemark.sources.bars import bars_from
 from tidemark.sources.tables import read_table
 
@@ -30,14 +30,26 @@ def q_fit_linear_1f(spark, sf):
     return rounded(linear.fit_linear_1f(linear.linear_dataset(bars_from(spark, sf, "brands"))))
 
 
+def closes_from(spark: SparkSession, sf: str, source: str) -> DataFrame:
+    """The bars as far as models need them. A bar made from ticks has all four prices, so those left
+    out never make a row incomplete; they would be two thirds of what is shuffled."""
+    return bars_from(spark, sf, source).select("symbol", "date", "close", "volume")
+
+
 BASELINES = ("persistence", "ma_5", "ma_20", "linear_1f")
 
 
 def baseline_predictions(ds: DataFrame) -> DataFrame:
     """Test-split predictions of four reference-free baselines: tomorrow's close
-    = today's close, MA_5, MA_20, or the single-feature regression on MA_5."""
-    fit = linear.fit_linear_1f(ds)
-    test = ds.where(F.col("split") == "test").join(fit, "symbol")
+    = today's close, MA_5, MA_20, or the single-feature regression on MA_5.
+
+    The regression is a window aggregate of the train rows: the rows are dealt by symbol already,
+    where a join of fits and test rows would make the bars twice."""
+    w, train = Window.partitionBy("symbol"), F.col("split") == "train"
+    x, y = F.when(train, F.col("MA_5")), F.when(train, F.col("target"))
+    test = ds.select("*", F.count(F.when(train, F.lit(1))).over(w).alias("n_train"), F.regr_slope(y, x).over(w).alias("slope"),
+                     F.regr_intercept(y, x).over(w).alias("intercept"))
+    test = test.where(F.col("symbol").isNotNull() & (F.col("split") == "test") & (F.col("n_train") > 0))
     preds = {"persistence": F.col("close"), "ma_5": F.col("MA_5"), "ma_20": F.col("MA_20"),
              "linear_1f": F.col("intercept") + F.col("slope") * F.col("MA_5")}
     # one pass over the test rows: each row yields its four (model, prediction) pairs
@@ -48,7 +60,7 @@ def baseline_predictions(ds: DataFrame) -> DataFrame:
 
 
 def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    ds = linear.linear_dataset(bars_from(spark, sf, "suppliers"))
+    ds = linear.linear_dataset(closes_from(spark, sf, "suppliers"))
     return E.regression_metrics(baseline_predictions(ds), ("symbol", "model_type")).drop("mse")
 
 
@@ -249,8 +261,8 @@ def order_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
-    bars = cut_lineage(bars_from(spark, sf, "orders"))  # read by the fits and by serving
-    fc = P.forecast_table(cut_lineage(train_many(bars, created_at=AS_OF)), bars)
+    bars = stored(closes_from(spark, sf, "orders"))  # read by the fits and by serving
+    fc = P.forecast_table(train_many(bars, created_at=AS_OF, is_stored=True), bars)
     return P.predict_batch(order_requests(spark, sf), fc, AS_OF)
 
 
@@ -335,8 +347,8 @@ def q_predict_json_fields(spark, sf):
 
 # ------------------------------------------------------------------ M8-M11 with a model per supplier
 def _supplier_models(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    bars = cut_lineage(bars_from(spark, sf, "suppliers"))
-    return bars, cut_lineage(train_many(bars, created_at=AS_OF))
+    bars = stored(closes_from(spark, sf, "suppliers"))
+    return bars, train_many(bars, created_at=AS_OF, is_stored=True)
 
 
 @register("train_suppliers", f"""SELECT t.model_type, b.symbol, true AS fitted, 4 AS n_metrics

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.ar import dot
-from tidemark.models.solve import fit_least_squares
+from tidemark.models.solve import SOLUTION, fit_least_squares, packed_sums, solver
 from tidemark.operators.cleaning import SEQUENCE_FEATURES, drop_incomplete, select_features
 from tidemark.operators.dataset import (LOOKBACK, chronological_split, lookback_sequences, minmax_inverse,
                                         minmax_scale, scale_features, tail_n, train_size)
@@ -34,24 +34,62 @@ def flatten_steps(x: Column) -> Column:
     return F.concat(F.array(F.lit(1.0)), F.flatten(per_step))
 
 
-def sequence_dataset(indicators: DataFrame, fit_on: str = "train", lookback: int = LOOKBACK) -> DataFrame:
-    """Complete, scaled features → windows → flattened ``xf`` and scaled ``y``;
-    split 80/20 over the samples, which is decided on the narrow rows before any
-    window is built. Keeps the scaler of all features (``scale_min``, ``scale_max``)."""
+def sequence_rows(indicators: DataFrame, fit_on: str = "train", lookback: int = LOOKBACK) -> DataFrame:
+    """Complete, scaled rows, numbered from the first one with a whole look-back before it;
+    split 80/20 over those. Keeps the scaler of all features (``scale_min``, ``scale_max``)."""
     base = drop_incomplete(select_features(indicators, SEQUENCE_FEATURES))
     scaled = scale_features(base, SEQUENCE_FEATURES, fit_on)
     if fit_on != "train":
         scaled = chronological_split(scaled)
     rn, n = F.col("rn") - lookback, F.col("n") - lookback
-    scaled = scaled.select(
+    return scaled.select(
         "symbol", "date", *SEQUENCE_FEATURES, rn.alias("rn"), n.alias("n"),
         F.when(rn <= train_size(n), F.lit("train")).otherwise(F.lit("test")).alias("split"),
         "close_min", "close_max", F.array(*[f"{c}_min" for c in SEQUENCE_FEATURES]).alias("scale_min"),
         F.array(*[f"{c}_max" for c in SEQUENCE_FEATURES]).alias("scale_max"))
-    seq = lookback_sequences(scaled, SEQUENCE_FEATURES, lookback)
+
+
+def sequence_dataset(indicators: DataFrame, fit_on: str = "train", lookback: int = LOOKBACK) -> DataFrame:
+    """``sequence_rows`` → windows → flattened ``xf`` and scaled ``y``; the split is decided on
+    the narrow rows before any window is built."""
+    seq = lookback_sequences(sequence_rows(indicators, fit_on, lookback), SEQUENCE_FEATURES, lookback)
     return seq.withColumn("xf", flatten_steps(F.col("x"))).drop("x")
 
 
+def train_sequences(rows: DataFrame, lookback: int = LOOKBACK, ridge: float = RIDGE) -> DataFrame:
+    """Fits, scalers and scaled test metrics of all symbols in one pass over ``sequence_rows``: equal to
+    ``fit_sequence``, ``scalers`` and ``evaluate_sequence`` of their dataset, but a row's look-back is
+    60 times the row, so the windows are taken here from the rows of the symbol, ``BLOCK`` at a time."""
+    k = 1 + lookback * NF
+    one = solver(k, [0.0] + [ridge] * (k - 1), min_rows=2)
+
+    def windows(x, at):
+        return np.c_[np.ones(len(at)), x[at[:, None] + np.arange(-lookback, 0)].reshape(len(at), -1)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values("rn")  # narrow daily rows of one symbol
+        x, y = pdf[SEQUENCE_FEATURES].to_numpy(float), pdf["close"].to_numpy(float)
+        place, train = np.arange(len(pdf)), (pdf["split"] == "train").to_numpy()
+        learn, test = place[(place >= lookback) & train], place[(place >= lookback) & ~train]
+        if not len(learn):
+            return
+        blocks = lambda at: (at[i: i + BLOCK] for i in range(0, len(at), BLOCK))
+        n, coef, sigma, error = one(None, len(learn), sum(packed_sums(windows(x, at), y[at]) for at in blocks(learn)))
+        yhat = np.concatenate([windows(x, at) @ coef for at in blocks(test)]) if coef and len(test) else np.empty(0)
+        row = dict.fromkeys(("mae", "mse", "rmse", "r2"))
+        if len(yhat):
+            e, spread = y[test] - yhat, len(test) * y[test].var()
+            rss = float(e @ e)
+            row = {"mae": np.abs(e).mean(), "mse": rss / len(e), "rmse": np.sqrt(rss / len(e)),
+                   "r2": 1 - rss / spread if spread > 0 else float(rss == 0)}
+        yield pd.DataFrame([{"symbol": pdf["symbol"].iloc[0], "n_train": n, "coef": coef, "sigma": sigma, "error": error,
+                             "scale_min": pdf["scale_min"].iloc[0], "scale_max": pdf["scale_max"].iloc[0], "n": len(yhat), **row}])
+
+    cols = ["symbol", *SEQUENCE_FEATURES, "rn", "split", "scale_min", "scale_max"]
+    return rows.where(F.col("symbol").isNotNull()).select(*cols).groupBy("symbol").applyInPandas(
+        run, f"{SOLUTION}, scale_min array<double>, scale_max array<double>, n long, mae double, mse double, rmse double, r2 double")
+
+
 def scalers(ds: DataFrame) -> DataFrame:
     """``(symbol, scale_min, scale_max)`` of a dataset: part of the model, reused when serving."""
     return ds.groupBy("symbol").agg(F.first("scale_min").alias("scale_min"), F.first("scale_max").alias("scale_max"))

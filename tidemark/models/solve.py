@@ -1,94 +1,44 @@
-"""Distributed normal equations for per-symbol least squares.
+"""Normal equations for per-symbol least squares.
 
-The heavy part — accumulating X'X and X'y — runs as Spark work that does not
-hold a symbol's rows at once:
+The inputs of all fits come out of a window over ``symbol``, so Spark has dealt them by symbol already:
 
-1. ``partial_gram``: ``mapInPandas`` over arbitrary partitions adds up, per symbol present, the
-   packed upper triangle of X'X, X'y, y'y and n, and emits one row per symbol (several only
-   where the accumulators outgrow ``flush_bytes``).
-2. ``sum_by_key``: element-wise sum of those arrays per symbol, one shuffle of a few arrays per
-   symbol. Systems of a few unknowns use built-in sums instead (``gram_by_sums``).
-3. ``solve``: ``mapInPandas`` over the one-row-per-symbol result, a small k×k solve per row
-   on equilibrated equations (ridge penalty optional).
-
-Only the final solve is Python over small fixed-size arrays.
+1. ``solve_gram`` adds up, symbol by symbol, the packed upper triangle of X'X, X'y, y'y and n over
+   Arrow batches of its rows (never all at once) and solves the small system where it stands. Only
+   the solution leaves the task: the packed sums of a few hundred unknowns are larger than the rows
+   behind them and would be most of the shuffle. Systems of a few unknowns use built-in sums
+   (``gram_by_sums``), combined before the shuffle.
+2. ``solver``: a small k×k solve on equilibrated equations (ridge penalty optional).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-GRAM_SCHEMA = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("_part", T.LongType()),
-    T.StructField("n", T.LongType()),
-    T.StructField("g", T.ArrayType(T.DoubleType())),
-])
-
 
-def _packed_size(k: int) -> int:
-    # upper triangle of X'X, then X'y, then y'y
-    return k * (k + 1) // 2 + k + 1
+def packed_sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The upper triangle of X'X, then X'y, then y'y."""
+    return np.concatenate([(x.T @ x)[np.triu_indices(x.shape[1])], x.T @ y, [y @ y]])
 
 
-def partial_gram(df: DataFrame, x: str = "x", y: str = "y",
-                 flush_bytes: int = 64 << 20) -> DataFrame:
-    """Per (symbol, input partition) packed partial sums of ``x: array<double>`` and ``y``.
-
-    Sums accumulate across the Arrow batches of a partition and are flushed
-    early when the per-partition accumulator exceeds ``flush_bytes``.
-    """
-
-    def fn(batches):
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        pid = ctx.partitionId() if ctx is not None else 0
-        acc: dict = {}
-        cnt: dict = {}
-
-        def flush():
-            if acc:
-                keys = list(acc)
-                yield pd.DataFrame({"symbol": keys, "_part": pid,
-                                    "n": [cnt[s] for s in keys], "g": [acc[s] for s in keys]})
-                acc.clear()
-                cnt.clear()
+def solve_gram(df: DataFrame, solve_one: Callable, schema: str) -> DataFrame:
+    """``(symbol, …)`` from rows ``(symbol, x array<double>, y)``: the rest of a row is
+    ``solve_one(symbol, n, packed sums)``. Takes no exchange where the rows are dealt by symbol."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        symbol, n, g = None, 0, 0.0
         for pdf in batches:
-            if pdf.empty:
-                continue
-            for sym, g in pdf.groupby("symbol", sort=False):
-                X = np.vstack(g[x].to_numpy()).astype(float)
-                yy = g[y].to_numpy(dtype=float)
-                iu = np.triu_indices(X.shape[1])
-                packed = np.concatenate([(X.T @ X)[iu], X.T @ yy, [yy @ yy]])
-                if sym in acc:
-                    acc[sym] += packed
-                    cnt[sym] += len(g)
-                else:
-                    acc[sym] = packed
-                    cnt[sym] = len(g)
-            if sum(a.nbytes for a in acc.values()) > flush_bytes:
-                yield from flush()
-        yield from flush()
-
-    return df.select("symbol", x, y).mapInPandas(fn, GRAM_SCHEMA)
-
-
-def sum_by_key(partials: DataFrame) -> DataFrame:
-    """Element-wise sum of ``g`` (and ``n``) per symbol. The inputs of all fits come out of a
-    window over ``symbol``, so a symbol has one partial, or a few when its partition is flushed."""
+            if len(pdf):
+                symbol, n = pdf["symbol"].iloc[0], n + len(pdf)
+                g = g + packed_sums(np.vstack(pdf["x"].to_numpy()).astype(float), pdf["y"].to_numpy(dtype=float))
+        if n:
+            yield pd.DataFrame([(symbol, *solve_one(symbol, n, g))], columns=names)
 
-    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = np.sum(np.vstack(pdf["g"].to_numpy()), axis=0)
-        return pd.DataFrame({"symbol": [pdf["symbol"].iloc[0]], "n": [int(pdf["n"].sum())], "g": [g]})
-
-    return partials.groupBy("symbol").applyInPandas(reduce, "symbol string, n long, g array<double>")
+    names = [f.split()[0] for f in schema.split(", ")]
+    return df.where(F.col("symbol").isNotNull()).select("symbol", "x", "y").groupBy("symbol").applyInPandas(run, schema)
 
 
 def gram_by_sums(df: DataFrame, k: int, x: str = "x", y: str = "y") -> DataFrame:
@@ -111,58 +61,61 @@ def scaled_lstsq(a: np.ndarray, b: np.ndarray, means: np.ndarray | None = None)
     beta = np.zeros(len(b))
     if live.any():
         s = d[live]
-        beta[live] = np.linalg.lstsq(a[np.ix_(live, live)] / np.outer(s, s), b[live] / s, rcond=None)[0] / s
+        m, c = a[np.ix_(live, live)] / np.outer(s, s), b[live] / s
+        try:  # a system far from singular needs no singular values
+            regular = np.diag(np.linalg.cholesky(m)).min() > 1e-3
+        except np.linalg.LinAlgError:
+            regular = False
+        beta[live] = (np.linalg.solve(m, c) if regular else np.linalg.lstsq(m, c, rcond=None)[0]) / s
     return beta
 
 
-def solve_schema(extra: T.StructType | None = None) -> T.StructType:
-    fields = [T.StructField("symbol", T.StringType()),
-              T.StructField("n_train", T.LongType()),
-              T.StructField("coef", T.ArrayType(T.DoubleType())),
-              T.StructField("sigma", T.DoubleType()),
-              T.StructField("error", T.StringType())]
-    return T.StructType(fields + (list(extra.fields) if extra else []))
+SOLUTION = "symbol string, n_train long, coef array<double>, sigma double, error string"
 
 
-def solve(gram: DataFrame, k: int, penalty: list[float] | None = None, min_rows: int | None = None) -> DataFrame:
-    """Ridge/OLS solve per symbol from packed sums. ``penalty[i]`` adds to X'X[i,i].
+def unpacked(g: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """X'X, X'y and y'y."""
+    m = k * (k + 1) // 2
+    a = np.zeros((k, k))
+    a[np.triu_indices(k)] = g[:m]
+    return a + np.triu(a, 1).T, g[m:m + k], float(g[m + k])
+
+
+def solver(k: int, penalty: list[float] | None = None, min_rows: int | None = None) -> Callable:
+    """(n, coef, sigma, error) from packed sums by ridge/OLS. ``penalty[i]`` adds to X'X[i,i].
 
     Rank-deficient systems take the minimum-norm solution (a constant column
     gets coefficient 0). ``sigma`` is the residual standard deviation.
     """
     pen = np.zeros(k) if penalty is None else np.asarray(penalty, dtype=float)
     need = (k + 1) if min_rows is None else min_rows
-    iu = np.triu_indices(k)
-    m = k * (k + 1) // 2
+
+    def one(_symbol, n, g):
+        if n < need:
+            return int(n), None, None, f"insufficient rows: {int(n)} < {need}"
+        a, b, yy = unpacked(np.asarray(g, dtype=float), k)
+        beta = scaled_lstsq(a + np.diag(pen), b)
+        rss = max(yy - 2 * beta @ b + beta @ a @ beta, 0.0)
+        return int(n), beta.tolist(), float(np.sqrt(rss / max(n - k, 1))), None
+
+    return one
+
+
+def solve(gram: DataFrame, k: int, penalty: list[float] | None = None, min_rows: int | None = None) -> DataFrame:
+    """``solver`` on a table of packed sums ``(symbol, n, g)``."""
+    one = solver(k, penalty, min_rows)
 
     def fn(batches):
         for pdf in batches:
-            coefs, sig, err = [], [], []
-            for n, g in zip(pdf["n"].to_numpy(), pdf["g"].to_numpy()):
-                g = np.asarray(g, dtype=float)
-                if n < need:
-                    coefs.append(None)
-                    sig.append(None)
-                    err.append(f"insufficient rows: {int(n)} < {need}")
-                    continue
-                A = np.zeros((k, k))
-                A[iu] = g[:m]
-                A = A + np.triu(A, 1).T
-                b = g[m:m + k]
-                yy = g[m + k]
-                beta = scaled_lstsq(A + np.diag(pen), b)
-                rss = max(yy - 2 * beta @ b + beta @ A @ beta, 0.0)
-                coefs.append(beta.tolist())
-                sig.append(float(np.sqrt(rss / max(n - k, 1))))
-                err.append(None)
-            yield pd.DataFrame({"symbol": pdf["symbol"], "n_train": pdf["n"].astype("int64"),
-                                "coef": coefs, "sigma": sig, "error": err})
-
-    return gram.mapInPandas(fn, solve_schema())
+            yield pd.DataFrame([(s, *one(s, n, g)) for s, n, g in zip(pdf["symbol"], pdf["n"], pdf["g"])],
+                               columns=["symbol", "n_train", "coef", "sigma", "error"])
+
+    return gram.mapInPandas(fn, SOLUTION)
 
 
 def fit_least_squares(df: DataFrame, k: int, x: str = "x", y: str = "y",
                       penalty: list[float] | None = None, min_rows: int | None = None) -> DataFrame:
     """Per-symbol (ridge) least squares of ``y`` on ``x: array<double>[k]``."""
-    gram = gram_by_sums(df, k, x, y) if k <= 8 else sum_by_key(partial_gram(df, x, y))
-    return solve(gram, k, penalty, min_rows)
+    if k <= 8:
+        return solve(gram_by_sums(df, k, x, y), k, penalty, min_rows)
+    return solve_gram(df.select("symbol", F.col(x).alias("x"), F.col(y).alias("y")), solver(k, penalty, min_rows), SOLUTION)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.models.solve import fit_least_squares, partial_gram, sum_by_key
+from tidemark.models.solve import SOLUTION, fit_least_squares, solve_gram, unpacked
 from tidemark.operators.dataset import chronological_split
 from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
 
@@ -163,25 +163,15 @@ def laplace_map(a: np.ndarray, b: np.ndarray, yy: float, n: int) -> tuple[np.nda
 
 def _fit_laplace(train: DataFrame) -> DataFrame:
     need = N_TREND + 2
-    gram = sum_by_key(partial_gram(train.select("symbol", "x", (F.col("y") / F.col("y_scale")).alias("y"))))
-    iu, m = np.triu_indices(K), K * (K + 1) // 2
 
-    def solve(batches):
-        for pdf in batches:
-            out = []
-            for symbol, n, g in zip(pdf["symbol"], pdf["n"], pdf["g"]):
-                if n < need:
-                    out.append((symbol, n, None, None, f"insufficient rows: {n} < {need}"))
-                    continue
-                g = np.asarray(g, float)
-                a = np.zeros((K, K))
-                a[iu] = g[:m]
-                a = a + np.triu(a, 1).T
-                coef, sigma = laplace_map(a, g[m: m + K], float(g[m + K]), int(n))
-                out.append((symbol, n, coef.tolist(), sigma, None))
-            yield pd.DataFrame(out, columns=["symbol", "n_train", "coef", "sigma", "error"])
-
-    return gram.mapInPandas(solve, "symbol string, n_train long, coef array<double>, sigma double, error string")
+    def one(_symbol, n, g):
+        if n < need:
+            return n, None, None, f"insufficient rows: {n} < {need}"
+        a, b, yy = unpacked(g, K)
+        coef, sigma = laplace_map(a, b, yy, n)
+        return n, coef.tolist(), sigma, None
+
+    return solve_gram(train.select("symbol", "x", (F.col("y") / F.col("y_scale")).alias("y")), one, SOLUTION)
 
 
 def fit_trend_seasonal(ds: DataFrame, prior: str = "laplace") -> DataFrame:
@@ -209,11 +199,11 @@ def components(x: Column, coef: Column, y_scale: Column) -> dict[str, Column]:
     return {"trend": trend, "weekly": weekly, "yearly": yearly}
 
 
-def point_forecast(fit: DataFrame, dates: DataFrame) -> DataFrame:
-    """M7: yhat and components for ``dates(symbol, ds)`` given the fits, with what a band needs."""
+def point_forecast(fit: DataFrame, dates: DataFrame, *keep: str) -> DataFrame:
+    """M7: yhat and components for ``dates(symbol, ds, …keep)`` given the fits, with what a band needs."""
     j = dates.join(fit.where(F.col("error").isNull()), "symbol")
     comp = components(design(F.col("ds"), F.col("t0"), F.col("span"), F.col("knots")), F.col("coef"), F.col("y_scale"))
-    return j.select("symbol", "ds", (comp["trend"] + comp["weekly"] + comp["yearly"]).alias("yhat"),
+    return j.select("symbol", "ds", *keep, (comp["trend"] + comp["weekly"] + comp["yearly"]).alias("yhat"),
                     *[comp[c].alias(c) for c in ("trend", "weekly", "yearly")], "t0", "span", "y_scale", "sigma", "coef", "knots")
 
 
@@ -291,8 +281,8 @@ def evaluate_trend_seasonal(ds: DataFrame, fit: DataFrame, align: str = "date")
     """
     test = ds.where(F.col("split") == "test").select("symbol", "ds", "y", "rn", "n")
     if align == "date":
-        fc = point_forecast(fit, test.select("symbol", "ds")).select("symbol", "ds", "yhat")
-        return regression_metrics(align_actual_predicted(test, fc, ("symbol", "ds")), ("symbol",))
+        # each test row forecasts its own date
+        return regression_metrics(point_forecast(fit, test, "y").select("symbol", "y", "yhat"), ("symbol",))
     if align != "position":
         raise ValueError(f"unknown alignment: {align}")
     test = test.withColumn("step", (F.col("rn") - F.floor(F.col("n") * 4 / 5)).cast("int"))

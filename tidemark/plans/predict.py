@@ -62,7 +62,9 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
                      st["knots"].alias("knots"), F.lit(None).cast("string").alias("error"))
     days = pfit.join(latest.select("symbol", "as_of"), "symbol").select(
         "symbol", F.posexplode(F.sequence(F.date_add("as_of", 1), F.date_add("as_of", h))).alias("pos", "ds"))
-    fc = trend_seasonal.forecast_frame(pfit.drop("model_type", "metrics"), days.select("symbol", "ds"))
+    # few bytes but a thousand draws a row: dealt to all cores, where sizes alone would make it one task
+    parts = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fc = trend_seasonal.forecast_frame(pfit.drop("model_type", "metrics"), days.select("symbol", "ds").repartition(parts, "symbol"))
     fc = fc.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("ds", "yhat", "yhat_lower", "yhat_upper")))
                                   .alias("_f"))
     prm = pfit.select("model_type", "symbol", "metrics").join(fc, "symbol").select(

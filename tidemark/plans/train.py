@@ -16,15 +16,13 @@ from pyspark.sql import functions as F
 from tidemark.models import ar, linear, sequence, trend_seasonal
 from tidemark.operators.cleaning import LINEAR_FEATURES, SEQUENCE_FEATURES
 from tidemark.operators.indicators import add_indicators
-from tidemark.session import cut_lineage
+from tidemark.session import stored
 
 MODEL_TYPES = ("linear", "arima", "prophet", "lstm")
 
 
-def _metrics_map(m: DataFrame) -> DataFrame:
-    return m.select("symbol", F.create_map(
-        F.lit("mae"), F.col("mae"), F.lit("mse"), F.col("mse"),
-        F.lit("rmse"), F.col("rmse"), F.lit("r2"), F.col("r2")).alias("metrics"))
+def _metrics_map() -> F.Column:
+    return F.create_map(*[x for m in ("mae", "mse", "rmse", "r2") for x in (F.lit(m), F.col(m))])
 
 
 def _params(d: dict) -> F.Column:
@@ -48,7 +46,7 @@ def _dataset(bars: DataFrame, mt: str) -> DataFrame:
         return ar.ar_dataset(bars)
     if mt == "prophet":
         return trend_seasonal.ts_dataset(bars)
-    return sequence.sequence_dataset(add_indicators(bars))
+    return sequence.sequence_rows(add_indicators(bars))
 
 
 def _state(**cols) -> F.Column:
@@ -56,7 +54,9 @@ def _state(**cols) -> F.Column:
 
 
 def _fit(ds: DataFrame, mt: str) -> DataFrame:
-    """``(symbol, features, coef, intercept, params, state, error)`` of one model type."""
+    """``(symbol, features, coef, intercept, params, state, error, metrics)`` of one model type; the
+    metrics are null where they take a pass of their own (``_evaluate``)."""
+    metrics = F.lit(None).cast("map<string,double>")
     if mt == "linear":
         fit, features, icpt = linear.fit_linear(ds), LINEAR_FEATURES, F.col("intercept")
         params = {"train_test_split": 0.8, "features": ",".join(LINEAR_FEATURES)}
@@ -75,11 +75,12 @@ def _fit(ds: DataFrame, mt: str) -> DataFrame:
         state = _state(t0=F.array("t0"), span=F.array("span"), y_scale=F.array("y_scale"), sigma=F.array("sigma"), knots=F.col("knots"),
                        last_train_day=F.array(F.unix_date("last_train_date").cast("double")))
     else:
-        fit, features, icpt = sequence.fit_sequence(ds).join(sequence.scalers(ds), "symbol"), SEQUENCE_FEATURES, F.lit(0.0)
+        fit, features, icpt = sequence.train_sequences(ds), SEQUENCE_FEATURES, F.lit(0.0)
+        metrics = F.when(F.col("n") > 0, _metrics_map())
         params = {"lookback_window": 60, "ridge": sequence.RIDGE, "train_test_split": 0.8, "metric_space": "scaled"}
         state = _state(sigma=F.array("sigma"), scale_min=F.col("scale_min"), scale_max=F.col("scale_max"))
     return fit.select("symbol", F.array(*[F.lit(c) for c in features]).alias("features"), "coef", icpt.alias("intercept"),
-                      _params(params).alias("params"), state.alias("state"), "error")
+                      _params(params).alias("params"), state.alias("state"), "error", metrics.alias("metrics"))
 
 
 def _evaluate(ds: DataFrame, mt: str, models: DataFrame) -> DataFrame:
@@ -90,33 +91,29 @@ def _evaluate(ds: DataFrame, mt: str, models: DataFrame) -> DataFrame:
         m = linear.evaluate_linear(ds, models.select("symbol", "coef", "intercept", "error"))
     elif mt == "arima":
         m = ar.evaluate_ar(ds, models.select("symbol", "coef", "error", st["last_diffs"].alias("last_diffs"), first("last_close")))
-    elif mt == "prophet":
+    else:
         m = trend_seasonal.evaluate_trend_seasonal(ds, models.select(
             "symbol", "coef", "error", first("t0"), first("span"), first("y_scale"), first("sigma"), st["knots"].alias("knots")))
-    else:
-        m = sequence.evaluate_sequence(ds, models.select("symbol", "coef", "error")).where(F.col("metric_space") == "scaled")
-    return _metrics_map(m)
+    return m.select("symbol", _metrics_map().alias("metrics"))
 
 
-def train_many(bars: DataFrame, model_types=MODEL_TYPES, created_at="2024-01-01 00:00:00") -> DataFrame:
+def train_many(bars: DataFrame, model_types=MODEL_TYPES, created_at="2024-01-01 00:00:00",
+               is_stored: bool = False) -> DataFrame:
     """Fit each of ``model_types`` for all symbols of ``bars``; unknown types raise.
 
-    The bars are cut once, so that their ticks are read once whatever the number of models;
-    the fits of all types (one row per symbol and type) are cut together, as evaluation and
-    output both read them. A symbol that cannot be fitted has a row with its error."""
+    The bars are stored once, so that their ticks are read once whatever the number of models
+    (``is_stored``: they are already). The types follow one another, each with its fits and then its
+    metrics stored (a row per symbol), so that one type's shuffle files are there at a time. A symbol
+    that cannot be fitted has a row with its error."""
     types = [_check(t) for t in model_types]
-    bars = cut_lineage(bars)
-    ds = {mt: _dataset(bars, mt) for mt in types}
+    bars = bars if is_stored else stored(bars)
     symbols = bars.select("symbol").distinct()
-    fits = None
-    for mt in types:
-        one = symbols.join(_fit(ds[mt], mt), "symbol", "left").select(F.lit(mt).alias("model_type"), "*")
-        fits = one if fits is None else fits.unionByName(one)
-    fits = cut_lineage(fits)
     out = None
     for mt in types:
-        mine = fits.where(F.col("model_type") == mt)
-        one = mine.join(_evaluate(ds[mt], mt, mine), "symbol", "left")
+        ds = _dataset(bars, mt)
+        one = stored(symbols.join(_fit(ds, mt), "symbol", "left").select(F.lit(mt).alias("model_type"), "*"))
+        if mt != "lstm":
+            one = stored(one.drop("metrics").join(_evaluate(ds, mt, one), "symbol", "left"))
         out = one if out is None else out.unionByName(one)
     lost = F.when(F.col("coef").isNull(), F.coalesce("error", F.lit("insufficient rows")))
     return out.select("model_type", "symbol", F.to_timestamp(F.lit(str(created_at))).alias("created_at"), "features", "coef",
