@@ -6,38 +6,44 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog import register
-from tidemark.catalog.models import BASELINES, _BASE_PRED_SQL, baseline_predictions
+from tidemark.catalog.models import BASELINES, _BASE_PRED_SQL, baseline_predictions, closes_from
 from tidemark import oracle_sql as O
 from tidemark.functions.presentation import round_col, rounded
 from tidemark.models import linear
-from tidemark.operators.evaluate import regression_metrics
+from tidemark.operators.evaluate import regression_metrics, with_metrics
 from tidemark.plans import registry as RG
 from tidemark.session import cut_lineage
-from tidemark.sources.bars import bars_from
 
 AS_OF, ENDED = "2024-01-02 00:00:00", "2024-01-02 00:05:00"
 R = O.round_all
 TSFMT = "yyyy-MM-dd HH:mm:ss"
 
 
-def _evals(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    ds = linear.linear_dataset(bars_from(spark, sf, "suppliers"))
-    pred = baseline_predictions(ds)
-    return pred, regression_metrics(pred, ("symbol", "model_type"))
+def _predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return baseline_predictions(linear.linear_dataset(closes_from(spark, sf, "suppliers")))
+
+
+def _evals(spark: SparkSession, sf: str) -> DataFrame:
+    return regression_metrics(_predictions(spark, sf), ("symbol", "model_type"))
 
 
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Final metrics (step 0) plus the MAE curve over the test rows (step s =
-    mean absolute error of the first s test predictions)."""
-    pred, ev = _evals(spark, sf)
-    final = RG.log_metrics(ev, AS_OF)
+    mean absolute error of the first s test predictions), in one pass over the predictions: the
+    last row of a run brings its final metrics along."""
     w = Window.partitionBy("symbol", "model_type").orderBy("date")
-    curve = (pred.where(F.col("y").isNotNull() & F.col("yhat").isNotNull())
-             .select(F.concat_ws("-", "model_type", "symbol").alias("run_id"), F.lit("mae").alias("metric"),
-                     F.row_number().over(w).alias("step"), F.to_timestamp(F.lit(AS_OF)).alias("ts"),
-                     F.avg(F.abs(F.col("y") - F.col("yhat"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-                     .alias("value")))
-    return final.unionByName(curve)
+    so_far = F.avg(F.abs(F.col("y") - F.col("yhat"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = with_metrics(_predictions(spark, sf), ("symbol", "model_type")).select(
+        "symbol", "model_type", "n", "mae", "rmse", "r2", F.row_number().over(w).alias("at"), so_far.alias("so_far"))
+
+    def entry(metric, step, value):
+        return F.struct(F.lit(metric).alias("metric"), step.alias("step"), value.alias("value"))
+
+    final = F.array(*[entry(m, F.lit(0), F.col(m)) for m in ("mae", "rmse", "r2")])
+    curve = F.array(entry("mae", F.col("at"), F.col("so_far")))
+    return rows.select(F.concat_ws("-", "model_type", "symbol").alias("run_id"),
+                       F.inline(F.when(F.col("at") == F.col("n"), F.concat(final, curve)).otherwise(curve))).select(
+        "run_id", "metric", "step", F.to_timestamp(F.lit(AS_OF)).alias("ts"), "value")
 
 
 _CTE = f"""{_BASE_PRED_SQL},
@@ -72,8 +78,7 @@ _CTE = f"""{_BASE_PRED_SQL},
 
 
 def _registry(spark: SparkSession, sf: str):
-    _, ev = _evals(spark, sf)
-    ev = cut_lineage(ev)  # small (symbols × 4), reused by every registry step
+    ev = cut_lineage(_evals(spark, sf))  # small (symbols × 4), reused by every registry step
     order = F.array_position(F.array(*[F.lit(b) for b in BASELINES]), F.col("model_type")) - 1
     cand = ev.select(F.concat(F.lit("stock_predictor_"), F.col("symbol")).alias("model"),
                      F.concat_ws("-", "model_type", "symbol").alias("run_id"), order.alias("ord"), "mae")
@@ -84,7 +89,7 @@ def _registry(spark: SparkSession, sf: str):
     promos = ver.select("model", "version", F.lit("Production").alias("to_stage"),
                         (F.to_timestamp(F.lit(AS_OF)) + F.make_dt_interval(mins=F.lit(10), secs=k)).alias("ts"))
     promoted = RG.promote(created, promos)
-    return created, promoted, created.unionByName(promoted)
+    return created, promoted, created.unionByName(promoted), ev
 
 
 def _ts(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -99,7 +104,7 @@ _TS_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts"
     (VALUES ('project', 'stock_prediction'), ('environment', 'dev'), ('version', '1.0.0')) t(key, value)
   UNION ALL SELECT model_type || '-' || symbol, 'symbol', symbol FROM m""")
 def q_run_tags(spark, sf):
-    _, ev = _evals(spark, sf)
+    ev = _evals(spark, sf)
     return RG.log_runs(ev, AS_OF, ENDED)[1]
 
 
@@ -108,7 +113,7 @@ def q_run_tags(spark, sf):
     model_type || '_training_20240102_000000' AS run_name,
     '{AS_OF}' AS start_time, '{ENDED}' AS end_time, CASE WHEN mae IS NULL THEN 'FAILED' ELSE 'FINISHED' END AS status FROM m""")
 def q_runs(spark, sf):
-    _, ev = _evals(spark, sf)
+    ev = _evals(spark, sf)
     runs = RG.log_runs(ev, AS_OF, ENDED)[0]
     return _ts(_ts(runs, "start_time"), "end_time")
 
@@ -125,7 +130,7 @@ def _params(ev: DataFrame) -> DataFrame:
 @register("run_params", f"""{_CTE} SELECT model_type || '-' || symbol AS run_id, 'model_type' AS key, model_type AS value FROM m
   UNION ALL SELECT model_type || '-' || symbol, 'model_test_rows', CAST(n AS VARCHAR) FROM m""")
 def q_run_params(spark, sf):
-    return _params(_evals(spark, sf)[1])
+    return _params(_evals(spark, sf))
 
 
 @register("latest_metrics", R(f"{_CTE} SELECT * FROM latest", ["value"], ["run_id", "metric"]))
@@ -169,7 +174,7 @@ def _groups(symbols: DataFrame) -> DataFrame:
     CASE WHEN mae IS NULL THEN 'FAILED' ELSE 'FINISHED' END AS status,
     'model_test_rows=' || n || ',model_type=' || m.model_type AS params FROM m JOIN ord USING (model_type)""")
 def q_compare_run_rows(spark, sf):
-    ev = cut_lineage(_evals(spark, sf)[1])
+    ev = cut_lineage(_evals(spark, sf))
     rows = RG.compare_run_rows(RG.log_runs(ev, AS_OF, ENDED)[0], _params(ev), _groups(ev))
     text = F.array_join(F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
     return _ts(_ts(rows, "start_time"), "end_time").withColumn("params", text).withColumnRenamed("group", "symbol")
@@ -253,16 +258,16 @@ def q_model_info(spark, sf):
   FROM state s JOIN m ON s.run_id = m.model_type || '-' || m.symbol WHERE s.stage = 'Production'""",
                             ["mae", "r2"], ["model", "version", "run_id", "symbol", "model_type"]))
 def q_stage_models(spark, sf):
-    _, ev = _evals(spark, sf)
+    _, _, events, ev = _registry(spark, sf)
     models = ev.select(F.concat_ws("-", "model_type", "symbol").alias("run_id"), "symbol", "model_type", "mae", "r2")
-    state = RG.registry_state(_registry(spark, sf)[2])
+    state = RG.registry_state(events)
     return rounded(RG.load_stage_models(state, models).select(
         "model", "version", "run_id", "symbol", "model_type", "mae", "r2"))
 
 
 @register("model_dirs", f"""{_CTE} SELECT DISTINCT 'models/' || model_type AS prefix FROM m""")
 def q_model_dirs(spark, sf):
-    _, ev = _evals(spark, sf)
+    ev = _evals(spark, sf)
     paths = ev.select(F.concat_ws("/", F.lit("models"), "model_type", "symbol",
                                   RG.stamp(F.to_timestamp(F.lit(AS_OF)))).alias("key"))
     return paths.select(F.array_join(F.slice(F.split("key", "/"), 1, 2), "/").alias("prefix")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
@@ -24,16 +24,30 @@ def regression_metrics(df: DataFrame, keys=("symbol",), y: str = "y", yhat: str
     R² = 1 − SSres/SStot with SStot = n·var_pop(y) (a stable one-pass moment,
     merged across partial aggregates); SStot = 0 → 1 when SSres = 0, else 0.
     """
-    e = F.col(y) - F.col(yhat)
+    sums = _metric_sums(y, yhat)
     agg = (df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
-           .groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                               F.avg(F.abs(e)).alias("mae"),
-                               F.avg(e * e).alias("mse"),
-                               F.sum(e * e).alias("_ssres"),
-                               (F.var_pop(y) * F.count(F.lit(1))).alias("_sstot")))
-    r2 = (F.when(F.col("_sstot") > 0, F.lit(1.0) - F.col("_ssres") / F.col("_sstot"))
+           .groupBy(*keys).agg(*[c.alias(k) for k, c in sums.items()]))
+    return agg.select(*keys, "n", "mae", "mse", *_rmse_r2())
+
+
+def with_metrics(df: DataFrame, keys=("symbol",), y: str = "y", yhat: str = "yhat") -> DataFrame:
+    """The rows that count for ``regression_metrics``, each with the metrics of its key."""
+    w, sums = Window.partitionBy(*keys), _metric_sums(y, yhat)
+    rows = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
+    rows = rows.select("*", *[c.over(w).alias(k) for k, c in sums.items()])
+    return rows.select(*df.columns, "n", "mae", "mse", *_rmse_r2())
+
+
+def _metric_sums(y: str, yhat: str) -> dict[str, Column]:
+    e = F.col(y) - F.col(yhat)
+    return {"n": F.count(F.lit(1)), "mae": F.avg(F.abs(e)), "mse": F.avg(e * e), "_ssres": F.sum(e * e), "_var": F.var_pop(y)}
+
+
+def _rmse_r2() -> list[Column]:
+    total = F.col("_var") * F.col("n")
+    r2 = (F.when(total > 0, F.lit(1.0) - F.col("_ssres") / total)
           .when(F.col("_ssres") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return agg.select(*keys, "n", "mae", "mse", F.sqrt("mse").alias("rmse"), r2.alias("r2"))
+    return [F.sqrt("mse").alias("rmse"), r2.alias("r2")]
 
 
 def dataset_profile(df: DataFrame, date: str = "date") -> DataFrame:
