@@ -111,3 +111,19 @@ def test_big_ids_beside_null(spark):
     docs = spark.createDataFrame([(big, "a", "en"), (None, "b", "en"), (big + 2, None, None)], "doc_id long, text string, lang string")
     got = toxicity.score(docs.coalesce(1), spark.createDataFrame([(big, 0, 1)], LABELS)).collect()
     assert {r["doc_id"] for r in got} == {big, None, big + 2}
+
+
+def test_every_labelled_row_teaches(spark, monkeypatch):
+    """A word that only rows beyond any bound hold, in texts of any length, reaches the counts."""
+    ids = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5 != 0]
+    docs = spark.createDataFrame([(i, f"word{i} " + "filler " * (9000 if i == ids[-1] else 2), "en") for i in ids], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 0, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    rows = toxicity.learned(docs, labels).toPandas()
+    assert len(rows) == len(ids) and max(map(len, rows["numbers"])) == 4 * 9001
+    assert sorted(rows.loc[rows["toxic"] == 1, "place"]) == list(range(int((rows["toxic"] == 1).sum())))
+    counts, words = toxicity._counts(toxicity.learned(docs, labels), ["en"])
+    filler = toxicity._Numbers()["filler"] // toxicity.BUCKETS
+    assert counts[:, 0, 0, filler].sum() == (rows["place"] % toxicity.CALIBRATE != toxicity.CALIBRATE - 1).sum()
+    assert words[0, filler] >= 9000 + 2 * (len(ids) - 1)
+    assert toxicity.train(docs, labels).constant is None
