@@ -127,3 +127,6 @@ def test_every_labelled_row_teaches(spark, monkeypatch):
     assert counts[:, 0, 0, filler].sum() == (rows["place"] % toxicity.CALIBRATE != toxicity.CALIBRATE - 1).sum()
     assert words[0, filler] >= 9000 + 2 * (len(ids) - 1)
     assert toxicity.train(docs, labels).constant is None
+    monkeypatch.setattr(toxicity, "SENT_IDS", 0)
+    order = ["toxic", "place"]
+    pd.testing.assert_frame_equal(toxicity.learned(docs, labels).toPandas().sort_values(order, ignore_index=True), rows.sort_values(order, ignore_index=True))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.langid import held_out
 from tidemark.llm.rows import id_text, ids_of
-from tidemark.llm.scratch import stored
+from tidemark.llm.scratch import release_shuffles, stored
 
 BUCKETS = 1 << 15
 DIM = 14
@@ -48,6 +48,7 @@ STEM = 4
 WIDTHS = (1, 2, 3)
 FILTERS = 12
 SHARD_ROWS = 4096  # training rows of a shard
+SENT_IDS = 2_000_000  # ids that a broadcast may hold
 STEPS = 256  # logits told apart per unit when thresholds are set
 FOLDS, FOLD = 5, 0
 CALIBRATE = 4
@@ -324,17 +325,24 @@ def taught(labels: DataFrame) -> DataFrame:
 
 def learned(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(toxic, place, lang, numbers) of every labelled row with a text, stored; numbers: its words as
-    32-bit integers. One row of a repeated id."""
+    32-bit integers. One row of a repeated id. Texts are never shuffled: up to ``SENT_IDS`` ids are sent
+    to the documents, with more of them all documents are cut into words before the join."""
     def run(batches):
         known = _Numbers()
         for pdf in batches:
             pdf["numbers"] = [known.of(words_of(t)).astype(np.int32).tobytes() for t in pdf["text"]]
             yield pdf.drop(columns="text")
 
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-            .filter(F.col("text").isNotNull()).join(taught(labels), "doc_id")
-            .select("doc_id", "toxic", "place", "lang", F.xxhash64("text").alias("h"), "text")
-            .mapInPandas(run, "doc_id long, toxic int, place long, lang string, h long, numbers binary"))
+    ids = taught(labels)
+    few = ids.count() <= SENT_IDS
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+                       F.xxhash64("text").alias("h"), "text").filter("text is not null and doc_id is not null")
+    if few:
+        rows = rows.join(F.broadcast(ids), "doc_id")
+    more = ", toxic int, place long" if few else ""
+    rows = rows.mapInPandas(run, f"doc_id long, lang string, h long{more}, numbers binary")
+    if not few:
+        rows = rows.join(ids, "doc_id")
     own = F.min(F.struct("h", "lang", "numbers")).alias("t")
     return stored(rows.groupBy("doc_id", "toxic", "place").agg(own).select("toxic", "place", "t.lang", "t.numbers"))
 
@@ -446,7 +454,8 @@ def _round(rows: DataFrame, model: Model, odds: list[np.ndarray], state: dict, s
     _put_dense(model, state, _dense(model, state) + got[_PIECES])
     words = (_words(model, state["past"]) + np.concatenate([got[k] for k in range(_PIECES)]).reshape(2 * BUCKETS, -1)).reshape(2, BUCKETS, -1)
     model.table, state["past"] = np.ascontiguousarray(words[:, :, :DIM], np.float32), words[:, :, DIM].astype(float)
-    sent.unpersist()
+    sent.destroy()
+    release_shuffles(rows.sparkSession)
 
 
 def _thresholds(model: Model, rows: DataFrame) -> np.ndarray:
