@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import give_back, id_text, ids_of
+from tidemark.llm.rows import give_back, id_text, ids_of, small_batches
 
 CHARS = 1 << 23
 
@@ -63,6 +63,7 @@ def unpack_words(blob: bytes) -> list[bytes]:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(id_text("doc_id").alias("doc_id"), "text", "flag")
 
 

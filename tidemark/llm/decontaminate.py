@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import id_text, ids_of
+from tidemark.llm.rows import id_text, ids_of, small_batches
 from tidemark.llm.words import SHINGLE, window_hashes, words_of
 
 THRESHOLD = 0.75
@@ -187,6 +187,7 @@ class Sent:
 def _blocks(benchmark: DataFrame):
     """The broadcast lookup tables of each block of the distinct items, with the weights of all."""
     spark = benchmark.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     blocks = -(-items.count() // BLOCK)
     if not blocks:

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import small_batches
+
 BUCKETS = 1 << 15
 ORDER = 3
 MAX_LANGS = 512
@@ -128,6 +130,7 @@ def predictor(spark: SparkSession, model: tuple[list[str], np.ndarray]):
 
 
 def _learned(docs: DataFrame):
+    small_batches(docs.sparkSession)
     return predictor(docs.sparkSession, train(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang")))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import pack, unpack
 from tidemark.llm.graph import components
-from tidemark.llm.rows import give_back, id_text, ids_of
+from tidemark.llm.rows import give_back, id_text, ids_of, small_batches
 from tidemark.llm.scratch import stored
 from tidemark.llm.words import mix, shingle_set
 from tidemark.session import cut_lineage
@@ -171,6 +171,7 @@ def _sets(num: int, den: int):
 
 def shared_sets(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """(doc_id, n, mark, shared) per document: set size, digest of the set, packed shared shingles."""
+    small_batches(docs.sparkSession)
     ranges = max(64, int(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // RANGE_CHARS)
     rows = docs.select(id_text("doc_id").alias("doc_id"), "text").mapInPandas(_blocks(ranges), _BLOCK)
     kept = rows.groupBy("part").applyInPandas(_seen_twice, _BLOCK)
