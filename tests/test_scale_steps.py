@@ -62,3 +62,8 @@ def test_regular_systems_have_the_minimum_norm_solution(spark):
     assert np.allclose(solve.scaled_lstsq(a, b), np.linalg.lstsq(a, b, rcond=None)[0], rtol=1e-9)
     a, b = np.ones((2, 2)), np.ones(2)
     assert np.allclose(solve.scaled_lstsq(a, b), [0.5, 0.5])
+
+
+def test_requests_are_not_dealt_by_symbol_and_model_type(spark):
+    served = plan(models.responses(spark, SF))  # a few pairs have all rows: as many tasks would make all responses
+    assert "SortMergeJoin" not in served and "Exchange hashpartitioning" not in served and "BroadcastHashJoin" in served

@@ -262,7 +262,9 @@ def order_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
     bars = stored(closes_from(spark, sf, "orders"))  # read by the fits and by serving
-    fc = P.forecast_table(train_many(bars, created_at=AS_OF, is_stored=True), bars)
+    # stored, so that the planner knows its size: few symbols are sent to the requests, which would else be
+    # dealt by symbol and model type to as many tasks as there are pairs
+    fc = stored(P.forecast_table(train_many(bars, created_at=AS_OF, is_stored=True), bars))
     return P.predict_batch(order_requests(spark, sf), fc, AS_OF)
 
 
