@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.models.solve import fit_least_squares
 from tidemark.operators.blocks import chunk_window, in_chunks, own_rows
-from tidemark.operators.dataset import chronological_split
-from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
+from tidemark.operators.dataset import TRAIN_DEN, TRAIN_NUM, chronological_split
+from tidemark.operators.evaluate import align_actual_predicted, metrics_of, regression_metrics
 
 P_DEFAULT = 5
 
@@ -52,96 +52,142 @@ def ar_dataset(bars: DataFrame, p: int = P_DEFAULT, block_rows: int | None = Non
     return s.withColumn("x", F.array(*lags))
 
 
-def product_matrix(lagged: np.ndarray, n: int, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
-    """D of the exact quadratic form: D[i, j] is the sum of w_t w_{t+j-i} over the pairs that leave out
-    i terms at either end, so S(phi) = (1, -phi) D (1, -phi)'.
+def product_matrices(lagged: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """D of the exact quadratic form, a matrix a series: D[i, j] is the sum of w_t w_{t+j-i} over the pairs
+    that leave out i terms at either end, so S(phi) = (1, -phi) D (1, -phi)'.
 
     lagged: Σ w_t w_{t+k} for k = 0..p; head: first p values; tail: last p values, newest first.
     """
-    p = len(lagged) - 1
-    d = np.zeros((p + 1, p + 1))
+    p = lagged.shape[1] - 1
+    d = np.zeros((len(lagged), p + 1, p + 1))
     for i in range(p + 1):
         for j in range(i, p + 1):
             k = j - i
-            ends = sum(head[t] * head[t + k] + tail[t] * tail[t + k] for t in range(i)) if i else 0.0
-            d[i, j] = d[j, i] = lagged[k] - ends
+            ends = sum((head[:, t] * head[:, t + k] + tail[:, t] * tail[:, t + k] for t in range(i)), np.zeros(len(lagged)))
+            d[:, i, j] = d[:, j, i] = lagged[:, k] - ends
     return d
 
 
-def start_precision(phi: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[list[np.ndarray]]]:
-    """M = L L' - U U', the inverse covariance of p successive values at unit noise, with its first
-    and second derivatives. It is positive definite exactly if the recursion is stationary."""
-    p = len(phi)
+def _lower(columns: np.ndarray) -> np.ndarray:
+    """The lower triangular Toeplitz matrices with these first columns."""
+    p = columns.shape[-1]
+    at = np.arange(p)[:, None] - np.arange(p)
+    return np.where(at >= 0, columns[..., np.maximum(at, 0)], 0.0)
 
-    def lower(column):
-        return sum(np.diag(np.full(p - k, column[k]), -k) for k in range(p))
 
-    def unit(k, sign=-1.0):
-        v = np.zeros(p)
-        v[k] = sign
-        return v
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a b' + b a' of matrices."""
+    x = a @ np.swapaxes(b, -1, -2)
+    return x + np.swapaxes(x, -1, -2)
 
-    left, right = lower(np.r_[1.0, -phi[:-1]]), lower(-phi[::-1])
-    d_left = [lower(unit(k + 1)) if k + 1 < p else np.zeros((p, p)) for k in range(p)]
-    d_right = [lower(unit(p - 1 - k)) for k in range(p)]
-    first = [dl @ left.T + left @ dl.T - dr @ right.T - right @ dr.T for dl, dr in zip(d_left, d_right)]
-    second = [[a @ b.T + b @ a.T - c @ d.T - d @ c.T for b, d in zip(d_left, d_right)] for a, c in zip(d_left, d_right)]
-    return left @ left.T - right @ right.T, first, second
 
+def _slopes(p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of the two factors of ``precisions`` by each coefficient: constant matrices."""
+    left = _lower(-np.eye(p + 1)[1:, :p])
+    return left, _lower(-np.eye(p)[::-1])
 
-def _objective(phi: np.ndarray, d: np.ndarray, n: int) -> float:
+
+def precisions(phi: np.ndarray) -> np.ndarray:
+    """M = L L' - U U' for each row of phi, the inverse covariance of p successive values at unit noise.
+    It is positive definite exactly if the recursion is stationary."""
+    left, right = _lower(np.c_[np.ones(len(phi)), -phi[:, :-1]]), _lower(-phi[:, ::-1])
+    return left @ np.swapaxes(left, 1, 2) - right @ np.swapaxes(right, 1, 2)
+
+
+def precision_slopes(phi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First (series, k, p, p) and second (k, l, p, p) derivatives of ``precisions``."""
+    left, right = _lower(np.c_[np.ones(len(phi)), -phi[:, :-1]]), _lower(-phi[:, ::-1])
+    d_left, d_right = _slopes(phi.shape[1])
+    first = _both(d_left[None], left[:, None]) - _both(d_right[None], right[:, None])
+    return first, _both(d_left[:, None], d_left[None]) - _both(d_right[:, None], d_right[None])
+
+
+def start_precision(phi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``precisions`` of one series with its first and second derivatives."""
+    first, second = precision_slopes(phi[None])
+    return precisions(phi[None])[0], first[0], second
+
+
+def _half_log_det(m: np.ndarray) -> np.ndarray:
+    """Half the logarithm of each determinant by elimination; -inf where a matrix is not positive definite."""
+    m, total, good = m.copy(), np.zeros(len(m)), np.ones(len(m), bool)
+    for j in range(m.shape[1]):
+        good &= m[:, j, j] > 0
+        pivot = np.where(good, m[:, j, j], 1.0)
+        total += 0.5 * np.log(pivot)
+        m[:, j + 1:, j + 1:] -= m[:, j + 1:, j, None] * m[:, None, j, j + 1:] / pivot[:, None, None]
+    return np.where(good, total, -np.inf)
+
+
+def _objective(phi: np.ndarray, d: np.ndarray, n: np.ndarray) -> np.ndarray:
     """log-likelihood over phi with the noise variance at its best, up to a constant."""
-    u = np.r_[1.0, -phi]
-    s = float(u @ d @ u)
-    try:
-        root = np.linalg.cholesky(start_precision(phi)[0])
-    except np.linalg.LinAlgError:
-        return -np.inf
-    return -0.5 * n * math.log(s) + float(np.log(np.diag(root)).sum()) if s > 0 else -np.inf
+    u = np.c_[np.ones(len(phi)), -phi]
+    s = np.einsum("bi,bij,bj->b", u, d, u)
+    good = s > 0
+    return np.where(good, -0.5 * n * np.log(np.where(good, s, 1.0)) + _half_log_det(precisions(phi)), -np.inf)
 
 
 def _yule_walker(lagged: np.ndarray) -> np.ndarray:
     """Always stationary: where the search starts."""
-    p = len(lagged) - 1
-    gamma = np.array([[lagged[abs(i - j)] for j in range(p)] for i in range(p)])
-    return np.linalg.lstsq(gamma + 1e-9 * lagged[0] * np.eye(p), lagged[1:], rcond=None)[0]
+    p = lagged.shape[1] - 1
+    gamma = lagged[:, np.abs(np.arange(p)[:, None] - np.arange(p))]
+    return np.linalg.solve(gamma + 1e-9 * lagged[:, :1, None] * np.eye(p), lagged[:, 1:, None])[..., 0]
+
+
+def exact_fits(lagged: np.ndarray, n: np.ndarray, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coefficients, noise standard deviation and log-likelihood of the exact maximum, a row a series.
+
+    Newton steps, damped where the curvature asks for it, halved until the likelihood rises; all series
+    take their steps together, and one that has arrived leaves the round."""
+    p = lagged.shape[1] - 1
+    phi, sigma, loglik = np.zeros((len(lagged), p)), np.zeros(len(lagged)), np.full(len(lagged), math.inf)
+    some = np.flatnonzero(lagged[:, 0] > 0)  # the others have no difference at all
+    if not len(some):
+        return phi, sigma, loglik
+    n, d = np.asarray(n, float)[some], product_matrices(lagged[some], head[some], tail[some])
+    at = _yule_walker(lagged[some])
+    value = _objective(at, d, n)
+    while (far := ~np.isfinite(value)).any():
+        at[far] /= 2
+        value[far] = _objective(at[far], d[far], n[far])
+    live = np.arange(len(some))
+    for _ in range(100):
+        x, dl, nl = at[live], d[live], n[live]
+        u = np.c_[np.ones(len(x)), -x]
+        du = np.einsum("bij,bj->bi", dl, u)
+        s, ds, dds = np.einsum("bi,bi->b", u, du)[:, None], -2 * du[:, 1:], 2 * dl[:, 1:, 1:]
+        inv = np.linalg.inv(precisions(x))
+        first, second = precision_slopes(x)
+        turned = inv[:, None] @ first
+        gradient = -0.5 * nl[:, None] * ds / s + 0.5 * np.einsum("bkii->bk", turned)
+        curve = (-0.5 * nl[:, None, None] * (dds / s[..., None] - ds[:, :, None] * ds[:, None] / s[..., None]**2)
+                 + 0.5 * (np.einsum("bij,klji->bkl", inv, second) - np.einsum("bkij,blji->bkl", turned, turned)))
+        top = np.linalg.eigvalsh(curve)[:, -1]
+        damp = np.where(top >= 0, top + 1e-3 * np.abs(top) + 1e-9, 0.0)
+        step = np.linalg.solve(curve - damp[:, None, None] * np.eye(p), -gradient[..., None])[..., 0]
+        size, got = np.ones(len(live)), np.full(len(live), -np.inf)
+        open_ = np.arange(len(live))
+        while len(open_):
+            got[open_] = _objective(x[open_] + size[open_, None] * step[open_], dl[open_], nl[open_])
+            open_ = open_[~(got[open_] >= value[live[open_]])]
+            size[open_] /= 2
+            open_ = open_[size[open_] > 1e-12]
+        up = size > 1e-12
+        at[live[up]] += size[up, None] * step[up]
+        value[live[up]] = got[up]
+        live = live[up & ~(np.abs(size[:, None] * step).max(1) < 1e-12)]
+        if not len(live):
+            break
+    u = np.c_[np.ones(len(at)), -at]
+    phi[some], sigma[some] = at, np.sqrt(np.einsum("bi,bij,bj->b", u, d, u) / n)
+    loglik[some] = value - 0.5 * n * (1 + math.log(2 * math.pi) - np.log(n))
+    return phi, sigma, loglik
 
 
 def exact_fit(lagged: np.ndarray, n: int, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, float, float]:
-    """Coefficients, noise standard deviation and log-likelihood of the exact maximum.
-
-    Newton steps, damped where the curvature asks for it, halved until the likelihood rises."""
-    p = len(lagged) - 1
-    if not lagged[0] > 0:  # no difference at all
-        return np.zeros(p), 0.0, math.inf
-    d = product_matrix(lagged, n, head, tail)
-    phi = _yule_walker(lagged)
-    value = _objective(phi, d, n)
-    while not np.isfinite(value):
-        phi = phi / 2
-        value = _objective(phi, d, n)
-    for _ in range(100):
-        u = np.r_[1.0, -phi]
-        s, ds, dds = u @ d @ u, -2 * (d @ u)[1:], 2 * d[1:, 1:]
-        m, first, second = start_precision(phi)
-        inv = np.linalg.inv(m)
-        gradient = -0.5 * n * ds / s + 0.5 * np.array([np.trace(inv @ x) for x in first])
-        curve = -0.5 * n * (dds / s - np.outer(ds, ds) / s**2) + 0.5 * np.array(
-            [[np.trace(inv @ second[a][b]) - np.trace(inv @ first[a] @ inv @ first[b]) for b in range(p)] for a in range(p)])
-        top = np.linalg.eigvalsh(curve)[-1]
-        step = np.linalg.solve(curve - (top + 1e-3 * abs(top) + 1e-9) * np.eye(p) if top >= 0 else curve, -gradient)
-        size = 1.0
-        while size > 1e-12 and not _objective(phi + size * step, d, n) >= value:
-            size /= 2
-        if size <= 1e-12:
-            break
-        phi = phi + size * step
-        value = _objective(phi, d, n)
-        if np.abs(size * step).max() < 1e-12:
-            break
-    u = np.r_[1.0, -phi]
-    sigma2 = float(u @ d @ u) / n
-    return phi, math.sqrt(sigma2), value - 0.5 * n * (1 + math.log(2 * math.pi) - math.log(n))
+    """``exact_fits`` of one series."""
+    phi, sigma, loglik = exact_fits(*(np.asarray(v, float)[None] for v in (lagged, n, head, tail)))
+    return phi[0], float(sigma[0]), float(loglik[0])
 
 
 def _fit_exact(train: DataFrame, p: int) -> DataFrame:
@@ -159,13 +205,14 @@ def _fit_exact(train: DataFrame, p: int) -> DataFrame:
 
     def solve(batches):
         for pdf in batches:
+            need = 2 * p + 1
+            good = pdf["n"].to_numpy() >= need
+            fits = iter(zip(*exact_fits(*(np.array(pdf.loc[good, c].tolist(), float).reshape(good.sum(), *size) for c, size in (
+                ("lagged", (p + 1,)), ("n", ()), ("head", (p,)), ("tail", (p,)))))))
             out = []
-            for r in pdf.itertuples(index=False):
-                if r.n < 2 * p + 1:
-                    out.append((r.symbol, r.n, None, None, f"insufficient rows: {r.n} < {2 * p + 1}", None))
-                    continue
-                coef, sigma, loglik = exact_fit(np.asarray(r.lagged, float), int(r.n), np.asarray(r.head, float), np.asarray(r.tail, float))
-                out.append((r.symbol, r.n, coef.tolist(), sigma, None, loglik))
+            for symbol, n, fitted in zip(pdf["symbol"], pdf["n"], good):
+                coef, sigma, loglik = next(fits) if fitted else (None, None, None)
+                out.append((symbol, n, coef, sigma, None if fitted else f"insufficient rows: {n} < {need}", loglik))
             yield pd.DataFrame(out, columns=["symbol", "n_train", "coef", "sigma", "error", "loglik"])
 
     return sums.mapInPandas(solve, "symbol string, n_train long, coef array<double>, sigma double, error string, loglik double")
@@ -278,3 +325,29 @@ def evaluate_ar(ds: DataFrame, fit: DataFrame, p: int = P_DEFAULT) -> DataFrame:
     fc = forecast_steps(fit.where(F.col("error").isNull()).join(h, "symbol"))
     pred = align_actual_predicted(test, fc, ("symbol", "step"))
     return regression_metrics(pred, ("symbol",))
+
+
+def train_series(closes: list[np.ndarray], p: int = P_DEFAULT) -> list[dict | None]:
+    """``ar_dataset``, ``fit_ar`` and ``evaluate_ar`` of some symbols at once, each given by its closes in
+    date order: a dict of coef, error, state and metrics; None without a row to learn from."""
+    need, out, fitted = 2 * p + 1, [], []
+    for y in closes:
+        y = y[~np.isnan(y)]
+        m = len(y) * TRAIN_NUM // TRAIN_DEN
+        d = np.diff(y[:m])
+        newest = lambda v: [*v[:-p - 1:-1].tolist(), *[None] * (p - len(v))]
+        state = {"last_diffs": newest(d), "last_close": [y[m - 1]] if m else None, "serve_last_diffs": newest(np.diff(y)),
+                 "serve_last_close": [y[-1]] if m else None, "sigma": [None]}
+        error = f"insufficient rows: {len(d)} < {need}" if len(d) < need else None
+        out.append({"coef": None, "error": error if len(d) else "insufficient rows", "state": state, "metrics": None} if m else None)
+        if m and error is None:
+            fitted.append((out[-1], d, y[m:]))
+    if fitted:
+        sums = [[d[: len(d) - k] @ d[k:] for k in range(p + 1)] for _, d, _ in fitted]
+        fits = exact_fits(np.array(sums), np.array([len(d) for _, d, _ in fitted]), np.array([d[:p] for _, d, _ in fitted]),
+                          np.array([d[:-p - 1:-1] for _, d, _ in fitted]))
+        for (one, d, test), coef, sigma in zip(fitted, *fits[:2]):
+            one["coef"], one["state"]["sigma"] = coef, [sigma]
+            if len(test):
+                one["metrics"] = metrics_of(test, extend(coef, d[:-p - 1:-1], one["state"]["last_close"][0], len(test)))
+    return out

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from tidemark.models.solve import scaled_lstsq
 from tidemark.operators.cleaning import LINEAR_FEATURES, drop_incomplete
-from tidemark.operators.dataset import chronological_split
-from tidemark.operators.evaluate import regression_metrics
-from tidemark.operators.indicators import next_target, simple_features
+from tidemark.operators.dataset import TRAIN_DEN, TRAIN_NUM, chronological_split
+from tidemark.operators.evaluate import metrics_of, regression_metrics
+from tidemark.operators.indicators import next_target, simple_feature_arrays, simple_features
 
 
 def linear_dataset(bars: DataFrame, features=LINEAR_FEATURES) -> DataFrame:
@@ -82,6 +82,30 @@ def fit_linear(ds: DataFrame, features=LINEAR_FEATURES, target: str = "target")
                       "coef", "intercept", "error")
 
 
+def complete_features(close: np.ndarray, volume: np.ndarray, whole: np.ndarray, features=LINEAR_FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """The features of one symbol's bars in date order, and which rows are complete."""
+    got = simple_feature_arrays(close, volume)
+    kept = whole & ~np.isnan(np.column_stack([close, volume, got["MA_5"], got["MA_20"], got["Volume_MA"]])).any(1)
+    return np.column_stack([got[c] for c in features]), kept
+
+
+def train_series(close: np.ndarray, volume: np.ndarray, whole: np.ndarray, features=LINEAR_FEATURES) -> dict | None:
+    """``linear_dataset``, ``fit_linear`` and ``evaluate_linear`` of one symbol's bars in date order (NaN is null,
+    ``whole``: nothing is missing in a bar's other columns); None without a row to learn from."""
+    x, kept = complete_features(close, volume, whole, features)
+    x, y = x[kept][:-1], close[kept][1:]
+    k, m = len(features), len(y) * TRAIN_NUM // TRAIN_DEN
+    if not m:
+        return None
+    if m < k + 1:
+        return {"coef": None, "intercept": None, "error": f"insufficient rows: {m} < {k + 1}", "state": {}, "metrics": None}
+    mx, my = x[:m].mean(0), y[:m].mean()
+    dx = x[:m] - mx
+    coef = scaled_lstsq(dx.T @ dx / m, dx.T @ (y[:m] - my) / m, mx)
+    intercept = float(my - coef @ mx)
+    return {"coef": coef, "intercept": intercept, "error": None, "state": {}, "metrics": metrics_of(y[m:], intercept + x[m:] @ coef)}
+
+
 def linear_predict(features: list[str], coef: Column | None = None,
                    intercept: Column | None = None) -> Column:
     """M2: intercept + Σ coef[i]·feature[i]."""

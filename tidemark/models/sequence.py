@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.ar import dot
-from tidemark.models.solve import SOLUTION, fit_least_squares, packed_sums, solver
+from tidemark.models.solve import SOLUTION, fit_least_squares
 from tidemark.operators.cleaning import SEQUENCE_FEATURES, drop_incomplete, select_features
 from tidemark.operators.dataset import (LOOKBACK, chronological_split, lookback_sequences, minmax_inverse,
-                                        minmax_scale, scale_features, tail_n, train_size)
-from tidemark.operators.evaluate import regression_metrics
+                                        minmax_scale, scale_features, tail_n, train_size, TRAIN_DEN, TRAIN_NUM)
+from tidemark.operators.evaluate import metrics_of, regression_metrics
+from tidemark.operators.indicators import indicator_arrays
 
 RIDGE = 1.0  # L2 penalty on the 420 scaled inputs (the intercept is not penalised)
 NF = len(SEQUENCE_FEATURES)
@@ -56,40 +57,76 @@ def sequence_dataset(indicators: DataFrame, fit_on: str = "train", lookback: int
     return seq.withColumn("xf", flatten_steps(F.col("x"))).drop("x")
 
 
+def windows_of(x: np.ndarray, n: int, lookback: int = LOOKBACK) -> np.ndarray:
+    """The first n windows over the rows x, each as one row; window i holds the rows i .. i + lookback - 1."""
+    return np.lib.stride_tricks.sliding_window_view(x.ravel(), lookback * x.shape[1])[:: x.shape[1]][:n].copy()
+
+
+def ridge_fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
+    """Coefficients (the intercept first, without penalty) and ``sigma`` of ``fit_sequence``; centres x in place.
+    With fewer rows than unknowns the system is solved for the rows' weights: (X'X + r)^-1 X'y = X'(XX' + r)^-1 y."""
+    n, k = x.shape
+    mx, my = x.mean(0), y.mean()
+    x -= mx
+    a = x @ x.T if n <= k else x.T @ x
+    a.ravel()[:: len(a) + 1] += ridge
+    coef = x.T @ np.linalg.solve(a, y - my) if n <= k else np.linalg.solve(a, x.T @ (y - my))
+    e = y - my - x @ coef
+    return np.r_[my - mx @ coef, coef], float(np.sqrt(e @ e / max(n - k - 1, 1)))
+
+
+def train_windows(x: np.ndarray, m: int, lookback: int = LOOKBACK, ridge: float = RIDGE) -> dict | None:
+    """Fit and scaled test metrics from the scaled rows of one symbol: the first m windows are learned from, the
+    rest is forecast. None without a window to learn from."""
+    if m < 1:
+        return None
+    if m < 2:
+        return {"n_train": m, "coef": None, "sigma": None, "error": f"insufficient rows: {m} < 2", "metrics": None}
+    y = x[lookback:, SEQUENCE_FEATURES.index("close")]
+    coef, sigma = ridge_fit(windows_of(x, m, lookback), y[:m], ridge)
+    yhat = coef[0] + windows_of(x[m:], len(y) - m, lookback) @ coef[1:]
+    return {"n_train": m, "coef": coef, "sigma": sigma, "error": None, "metrics": metrics_of(y[m:], yhat)}
+
+
 def train_sequences(rows: DataFrame, lookback: int = LOOKBACK, ridge: float = RIDGE) -> DataFrame:
     """Fits, scalers and scaled test metrics of all symbols in one pass over ``sequence_rows``: equal to
     ``fit_sequence``, ``scalers`` and ``evaluate_sequence`` of their dataset, but a row's look-back is
-    60 times the row, so the windows are taken here from the rows of the symbol, ``BLOCK`` at a time."""
-    k = 1 + lookback * NF
-    one = solver(k, [0.0] + [ridge] * (k - 1), min_rows=2)
-
-    def windows(x, at):
-        return np.c_[np.ones(len(at)), x[at[:, None] + np.arange(-lookback, 0)].reshape(len(at), -1)]
-
+    60 times the row, so the windows are taken here from the rows of the symbol."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches), ignore_index=True).sort_values("rn")  # narrow daily rows of one symbol
-        x, y = pdf[SEQUENCE_FEATURES].to_numpy(float), pdf["close"].to_numpy(float)
-        place, train = np.arange(len(pdf)), (pdf["split"] == "train").to_numpy()
-        learn, test = place[(place >= lookback) & train], place[(place >= lookback) & ~train]
-        if not len(learn):
+        got = train_windows(pdf[SEQUENCE_FEATURES].to_numpy(float), int(((pdf["rn"] > 0) & (pdf["split"] == "train")).sum()), lookback, ridge)
+        if got is None:
             return
-        blocks = lambda at: (at[i: i + BLOCK] for i in range(0, len(at), BLOCK))
-        n, coef, sigma, error = one(None, len(learn), sum(packed_sums(windows(x, at), y[at]) for at in blocks(learn)))
-        yhat = np.concatenate([windows(x, at) @ coef for at in blocks(test)]) if coef and len(test) else np.empty(0)
-        row = dict.fromkeys(("mae", "mse", "rmse", "r2"))
-        if len(yhat):
-            e, spread = y[test] - yhat, len(test) * y[test].var()
-            rss = float(e @ e)
-            row = {"mae": np.abs(e).mean(), "mse": rss / len(e), "rmse": np.sqrt(rss / len(e)),
-                   "r2": 1 - rss / spread if spread > 0 else float(rss == 0)}
-        yield pd.DataFrame([{"symbol": pdf["symbol"].iloc[0], "n_train": n, "coef": coef, "sigma": sigma, "error": error,
-                             "scale_min": pdf["scale_min"].iloc[0], "scale_max": pdf["scale_max"].iloc[0], "n": len(yhat), **row}])
+        n, m = len(pdf) - lookback, got["n_train"]
+        row = {"n": n - m if got["metrics"] else 0, **(got["metrics"] or dict.fromkeys(("mae", "mse", "rmse", "r2")))}
+        yield pd.DataFrame([{"symbol": pdf["symbol"].iloc[0], "n_train": m, "coef": got["coef"], "sigma": got["sigma"], "error": got["error"],
+                             "scale_min": pdf["scale_min"].iloc[0], "scale_max": pdf["scale_max"].iloc[0], **row}])
 
     cols = ["symbol", *SEQUENCE_FEATURES, "rn", "split", "scale_min", "scale_max"]
     return rows.where(F.col("symbol").isNotNull()).select(*cols).groupBy("symbol").applyInPandas(
         run, f"{SOLUTION}, scale_min array<double>, scale_max array<double>, n long, mae double, mse double, rmse double, r2 double")
 
 
+def complete_rows(close: np.ndarray, volume: np.ndarray, dated: np.ndarray) -> np.ndarray:
+    """The sequence features of one symbol's complete rows."""
+    got = {"close": close, "volume": volume, **indicator_arrays(close, volume)}
+    x = np.column_stack([got[c] for c in SEQUENCE_FEATURES])
+    return x[dated & ~np.isnan(x).any(1)]
+
+
+def train_series(close: np.ndarray, volume: np.ndarray, dated: np.ndarray, lookback: int = LOOKBACK, ridge: float = RIDGE) -> dict | None:
+    """``sequence_dataset``, ``fit_sequence``, ``scalers`` and the scaled metrics of ``evaluate_sequence`` of one symbol's
+    bars in date order (NaN is null, ``dated``: a bar has a date); None without a window to learn from."""
+    x = complete_rows(close, volume, dated)
+    m = (len(x) - lookback) * TRAIN_NUM // TRAIN_DEN  # a row a window
+    if m < 1:
+        return None
+    train = x[: len(x) * TRAIN_NUM // TRAIN_DEN]
+    lo, hi = train.min(0), train.max(0)
+    got = train_windows(np.where(hi > lo, (x - lo) / np.where(hi > lo, hi - lo, 1.0), 0.0), m, lookback, ridge)
+    return {**got, "state": {"sigma": [got["sigma"]], "scale_min": lo, "scale_max": hi}}
+
+
 def scalers(ds: DataFrame) -> DataFrame:
     """``(symbol, scale_min, scale_max)`` of a dataset: part of the model, reused when serving."""
     return ds.groupBy("symbol").agg(F.first("scale_min").alias("scale_min"), F.first("scale_max").alias("scale_max"))
@@ -155,6 +192,29 @@ def rollout_expr(coef: Column, window: Column, h: Column, carry: str = "roll",
     return F.aggregate(F.sequence(F.lit(1), h), init, step, lambda acc: acc["out"])
 
 
+def newest_window(close: np.ndarray, volume: np.ndarray, dated: np.ndarray, lookback: int = LOOKBACK) -> np.ndarray | None:
+    """The newest ``lookback`` complete rows of one symbol's bars as ``latest_window`` takes them, not scaled."""
+    x = complete_rows(close, volume, dated)
+    return x[-lookback:].ravel() if len(x) >= lookback else None
+
+
+def rollouts(coef: np.ndarray, window: np.ndarray, lo: np.ndarray, hi: np.ndarray, h: int, carry: str = "roll") -> np.ndarray:
+    """``rollout_expr`` in price space of many symbols at once: a row each of coefficients, of the window (not scaled)
+    and of the scaler's minima and maxima."""
+    spread = np.where(hi > lo, hi - lo, 1.0)[:, None]
+    steps = window.reshape(len(window), -1, NF)
+    lookback = steps.shape[1]
+    w = np.empty((len(window), lookback + h, NF))
+    w[:, :lookback] = np.where((hi > lo)[:, None], (steps - lo[:, None]) / spread, 0.0)
+    out = np.empty((len(window), h))
+    for i in range(h):
+        out[:, i] = coef[:, 0] + np.einsum("bk,bk->b", coef[:, 1:], w[:, i: i + lookback].reshape(len(window), -1))
+        w[:, lookback + i] = w[:, i if carry == "roll" else lookback + i - 1]
+        w[:, lookback + i, 0] = out[:, i]
+    close = SEQUENCE_FEATURES.index("close")
+    return minmax_inverse(out, lo[:, close, None], hi[:, close, None])
+
+
 def predict_sequence(fit: DataFrame, windows: DataFrame, h: int | Column = 30, carry: str = "roll") -> DataFrame:
     """Price-space rollouts ``(symbol, as_of, predictions array<double>)``."""
     hc = F.lit(h) if isinstance(h, int) else h

@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.models.solve import SOLUTION, fit_least_squares, solve_gram, unpacked
-from tidemark.operators.dataset import chronological_split
-from tidemark.operators.evaluate import align_actual_predicted, regression_metrics
+from tidemark.operators.dataset import TRAIN_DEN, TRAIN_NUM, chronological_split
+from tidemark.operators.evaluate import align_actual_predicted, metrics_of, regression_metrics
 
 # Fixed values of the reference's model parameters.
 CHANGEPOINT_PRIOR_SCALE = 0.05
@@ -35,6 +35,7 @@ CHANGEPOINT_RANGE = 0.8
 WEEKLY_ORDER, WEEKLY_PERIOD = 3, 7.0
 YEARLY_ORDER, YEARLY_PERIOD = 10, 365.25
 INTERVAL_Z = 1.2815515655446004  # 80 % two-sided band
+BAND = [0.5 * (1 + math.erf(z / math.sqrt(2))) for z in (-INTERVAL_Z, INTERVAL_Z)]
 TREND_PRIOR_SCALE = 5.0  # of level and slope
 NOISE_PRIOR_SCALE = 0.5
 NOISE_SCALE = 0.05  # assumed observation noise of the ridge form
@@ -66,6 +67,17 @@ def design(date: Column, t0: Column, span: Column, knots: Column) -> Column:
     return F.array(*parts)
 
 
+def design_rows(day: np.ndarray, t0: float, span: float, knots: np.ndarray) -> np.ndarray:
+    """``design`` of many days."""
+    t = (day - t0) / span
+    angles = day[:, None] * np.array([2.0 * math.pi * k / period for order, period in (
+        (WEEKLY_ORDER, WEEKLY_PERIOD), (YEARLY_ORDER, YEARLY_PERIOD)) for k in range(1, order + 1)])
+    out = np.empty((len(day), K))
+    out[:, 0], out[:, 1], out[:, 2:N_TREND] = 1.0, t, np.maximum(t[:, None] - knots, 0.0)
+    out[:, N_TREND::2], out[:, N_TREND + 1::2] = np.sin(angles), np.cos(angles)
+    return out
+
+
 def ts_dataset(bars: DataFrame) -> DataFrame:
     """(symbol, ds, y, split) plus per-symbol scaling from the train rows:
     ``t0``/``span`` (days), ``y_scale`` = max |y| and the changepoints ``knots`` (scaled times)."""
@@ -189,6 +201,29 @@ def fit_trend_seasonal(ds: DataFrame, prior: str = "laplace") -> DataFrame:
     return fit.join(scale, "symbol")
 
 
+def train_series(day: np.ndarray, close: np.ndarray) -> dict | None:
+    """``ts_dataset``, ``fit_trend_seasonal`` and ``evaluate_trend_seasonal`` of one symbol's closes in date order
+    (NaN is null; a bar without a day is on no curve); None without a row to learn from."""
+    kept = ~(np.isnan(close) | np.isnan(day))
+    day, y = day[kept], close[kept]
+    m = len(y) * TRAIN_NUM // TRAIN_DEN
+    if not m or not np.abs(y[:m]).max() > 0:
+        return None
+    t0, span, y_scale = day[0], max(day[m - 1] - day[0], 1.0), np.abs(y[:m]).max()
+    last = max(m * int(CHANGEPOINT_RANGE * 100) // 100 - 1, 0)
+    n_knots = min(N_CHANGEPOINTS, last)
+    place = np.rint(np.arange(1, n_knots + 1) * last / max(n_knots, 1)).astype(int)
+    knots = np.r_[(day[place] - t0) / span, np.full(N_CHANGEPOINTS - n_knots, FAR)]
+    state = {"t0": [t0], "span": [span], "y_scale": [y_scale], "sigma": [None], "knots": knots, "last_train_day": [day[m - 1]]}
+    need = N_TREND + 2
+    if m < need:
+        return {"coef": None, "error": f"insufficient rows: {m} < {need}", "state": state, "metrics": None}
+    x = design_rows(day, t0, span, knots)
+    scaled = y[:m] / y_scale
+    coef, sigma = laplace_map(x[:m].T @ x[:m], x[:m].T @ scaled, float(scaled @ scaled), m)
+    return {"coef": coef, "error": None, "state": {**state, "sigma": [sigma]}, "metrics": metrics_of(y[m:], y_scale * (x[m:] @ coef))}
+
+
 def components(x: Column, coef: Column, y_scale: Column) -> dict[str, Column]:
     def part(lo, hi):
         return F.aggregate(F.zip_with(F.slice(x, lo + 1, hi - lo), F.slice(coef, lo + 1, hi - lo),
@@ -209,10 +244,12 @@ def point_forecast(fit: DataFrame, dates: DataFrame, *keep: str) -> DataFrame:
 
 @lru_cache(256)
 def _future_changes(key: int, part: int, rate: float, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Changes of slope in the scaled time (part, part + 1] of every sample: sample, time, size."""
+    """Changes of slope in the scaled time (part, part + 1] of every sample: sample, time, size, in order of time."""
     rng = np.random.default_rng([SEED, key, part])
     n = rng.poisson(rate, SAMPLES)
-    return np.repeat(np.arange(SAMPLES), n), part + rng.random(int(n.sum())), rng.laplace(0.0, scale, int(n.sum()))
+    who, at, size = np.repeat(np.arange(SAMPLES), n), part + rng.random(int(n.sum())), rng.laplace(0.0, scale, int(n.sum()))
+    order = np.argsort(at)
+    return who[order], at[order], size[order]
 
 
 def sampled_deviations(symbol: str, day: int, t: float, sigma: float, changes: np.ndarray) -> np.ndarray:
@@ -224,13 +261,25 @@ def sampled_deviations(symbol: str, day: int, t: float, sigma: float, changes: n
     scale = float(np.abs(changes).mean()) + 1e-8 if len(changes) else 0.0
     for part in range(1, max(math.ceil(t), 1)) if scale else ():
         who, at, size = _future_changes(key, part, float(len(changes)), scale)
+        if t < part + 1:  # the others are still to come
+            n = np.searchsorted(at, t)
+            who, at, size = who[:n], at[:n], size[:n]
         out += np.bincount(who, size * np.maximum(t - at, 0.0), minlength=SAMPLES)
     return out
 
 
-def _with_sampled_band(points: DataFrame) -> DataFrame:
-    low, high = 0.5 * (1 + math.erf(-INTERVAL_Z / math.sqrt(2))), 0.5 * (1 + math.erf(INTERVAL_Z / math.sqrt(2)))
+def day_forecasts(symbol: str, days: np.ndarray, coef: np.ndarray, t0: float, span: float, y_scale: float, sigma: float,
+                  knots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """yhat and the ends of the sampled band of ``forecast_frame`` for some days of one symbol."""
+    yhat = y_scale * (design_rows(days, t0, span, knots) @ coef)
+    out = np.empty((len(days), SAMPLES))
+    for i, day in enumerate(days):
+        out[i] = sampled_deviations(symbol, int(day), (day - t0) / span, sigma, coef[2:N_TREND][knots < FAR])
+    low, high = y_scale * np.quantile(out, BAND, axis=1)
+    return yhat, yhat + low, yhat + high
 
+
+def _with_sampled_band(points: DataFrame) -> DataFrame:
     def run(batches):
         for pdf in batches:
             ends = np.empty((len(pdf), 2))
@@ -238,7 +287,7 @@ def _with_sampled_band(points: DataFrame) -> DataFrame:
                 knots = np.asarray(r.knots, float)
                 changes = np.asarray(r.coef, float)[2:N_TREND][knots < FAR]
                 ends[i] = r.y_scale * np.quantile(sampled_deviations(
-                    r.symbol, int(r.day), (r.day - r.t0) / r.span, r.sigma, changes), [low, high])
+                    r.symbol, int(r.day), (r.day - r.t0) / r.span, r.sigma, changes), BAND)
             yield pdf[["symbol", "ds", "yhat"]].assign(
                 yhat_lower=pdf["yhat"] + ends[:, 0], yhat_upper=pdf["yhat"] + ends[:, 1],
                 **{c: pdf[c] for c in ("trend", "weekly", "yearly")})

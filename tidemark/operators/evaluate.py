@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +51,16 @@ def _rmse_r2() -> list[Column]:
     return [F.sqrt("mse").alias("rmse"), r2.alias("r2")]
 
 
+def metrics_of(y: np.ndarray, yhat: np.ndarray) -> dict[str, float] | None:
+    """``regression_metrics`` of one key's rows; None without a row."""
+    if not len(y):
+        return None
+    e, total = y - yhat, len(y) * y.var()
+    rss = float(e @ e)
+    r2 = 1.0 - rss / total if total > 0 else float(rss == 0)
+    return {"mae": float(np.abs(e).mean()), "mse": rss / len(e), "rmse": float(np.sqrt(rss / len(e))), "r2": float(r2)}
+
+
 def dataset_profile(df: DataFrame, date: str = "date") -> DataFrame:
     """A3: rows, columns and 'first to last' date range per symbol."""
     ncols = len([c for c in df.columns if c not in ("symbol", date)])

@@ -16,6 +16,8 @@ Two physical strategies produce identical rows:
 
 from __future__ import annotations
 
+import numpy as np
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -132,3 +134,29 @@ def latest_row(df: DataFrame, cols=("close",)) -> DataFrame:
     return df.groupBy("symbol").agg(
         F.max("date").alias("as_of"),
         *[F.max_by(c, "date").alias(f"last_{c}") for c in cols])
+
+
+# ------------------------------------------------------------------ the same on the arrays of one symbol
+def trailing(x: np.ndarray, n: int, fn=np.mean, **args) -> np.ndarray:
+    """``rolling`` of one symbol's rows: ``fn`` over the last ``n`` values, NaN (null) unless all are there."""
+    out = np.full(len(x), np.nan)
+    if len(x) >= n:
+        out[n - 1:] = fn(sliding_window_view(x, n), axis=-1, **args)
+    return out
+
+
+def indicator_arrays(close: np.ndarray, volume: np.ndarray) -> dict[str, np.ndarray]:
+    """``add_indicators`` of one symbol's rows in date order; NaN is null."""
+    delta = np.diff(close, prepend=np.nan)
+    gain, loss = (trailing(np.where(d > 0, d, 0.0), RSI_WINDOW) for d in (delta, -delta))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rsi = np.where(loss > 0, 100.0 - 100.0 / (1.0 + gain / loss), np.where(gain > 0, 100.0, np.nan))
+    mid, std = trailing(close, BB_WINDOW), trailing(close, BB_WINDOW, np.std, ddof=1)
+    return {**{f"MA_{n}": trailing(close, n) for n in MA_WINDOWS}, "RSI": rsi, "BB_Middle": mid, "BB_Upper": mid + BB_K * std,
+            "BB_Lower": mid - BB_K * std, "Volume_MA": trailing(volume, VOLUME_WINDOW)}
+
+
+def simple_feature_arrays(close: np.ndarray, volume: np.ndarray) -> dict[str, np.ndarray]:
+    """The columns that ``simple_features`` adds, of one symbol's rows in date order (its bands are null where close is)."""
+    return {"MA_5": trailing(close, 5), "MA_20": trailing(close, 20), "RSI": np.full(len(close), 50.0),
+            "Volume_MA": trailing(volume, VOLUME_WINDOW)}

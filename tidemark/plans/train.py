@@ -1,7 +1,7 @@
 """Train one model type for every symbol and emit ``models`` rows.
 
 Dispatch on the model type (``linear``, ``arima``, ``prophet``, ``lstm``);
-every branch fits all symbols in parallel and returns the same schema:
+every branch fits all symbols in parallel, in one pass over the bars, and returns the same schema:
 ``(model_type, symbol, created_at, features, coef, intercept, params,
 metrics, state, error)`` where ``state`` carries what forecasting needs.
 """
@@ -9,22 +9,21 @@ metrics, state, error)`` where ``state`` carries what forecasting needs.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models import ar, linear, sequence, trend_seasonal
 from tidemark.operators.cleaning import LINEAR_FEATURES, SEQUENCE_FEATURES
-from tidemark.operators.indicators import add_indicators
+from tidemark.operators.symbols import map_symbols
 from tidemark.session import stored
 
 MODEL_TYPES = ("linear", "arima", "prophet", "lstm")
 
 
-def _metrics_map() -> F.Column:
-    return F.create_map(*[x for m in ("mae", "mse", "rmse", "r2") for x in (F.lit(m), F.col(m))])
-
-
 def _params(d: dict) -> F.Column:
     items = []
     for k, v in d.items():
@@ -39,62 +38,51 @@ def _check(model_type: str) -> str:
     return mt
 
 
-def _dataset(bars: DataFrame, mt: str) -> DataFrame:
+# Fixed of each type: the features and parameters its rows name.
+FEATURES = {"linear": LINEAR_FEATURES, "arima": ["close"], "prophet": ["ds"], "lstm": SEQUENCE_FEATURES}
+PARAMS = {
+    "linear": {"train_test_split": 0.8, "features": ",".join(LINEAR_FEATURES)},
+    "arima": {"order": "(5, 1, 0)", "train_test_split": 0.8},
+    "prophet": {"changepoint_prior_scale": trend_seasonal.CHANGEPOINT_PRIOR_SCALE,
+                "seasonality_prior_scale": trend_seasonal.SEASONALITY_PRIOR_SCALE,
+                "weekly_seasonality": True, "yearly_seasonality": True},
+    "lstm": {"lookback_window": 60, "ridge": sequence.RIDGE, "train_test_split": 0.8, "metric_space": "scaled"},
+}
+PART = 1 << 18  # bars of a partition, about
+MODEL_ROW = pa.schema([("model_type", pa.string()), ("symbol", pa.string()), ("learned", pa.bool_()), ("coef", pa.list_(pa.float64())),
+                       ("intercept", pa.float64()), ("error", pa.string()), ("metrics", pa.map_(pa.string(), pa.float64())),
+                       ("state", pa.map_(pa.string(), pa.list_(pa.float64())))])
+
+
+def _fits(mt: str, bars: list[dict[str, np.ndarray]]) -> list[dict | None]:
+    """One type's dataset, fit and test metrics for each of some symbols; None: no row to learn from."""
     if mt == "linear":
-        return linear.linear_dataset(bars)
+        return [linear.train_series(b["close"], b["volume"], b["whole"]) for b in bars]
     if mt == "arima":
-        return ar.ar_dataset(bars)
+        return ar.train_series([b["close"] for b in bars])
     if mt == "prophet":
-        return trend_seasonal.ts_dataset(bars)
-    return sequence.sequence_rows(add_indicators(bars))
+        return [trend_seasonal.train_series(b["day"], b["close"]) for b in bars]
+    return [sequence.train_series(b["close"], b["volume"], ~np.isnan(b["day"])) for b in bars]
 
 
-def _state(**cols) -> F.Column:
-    return F.create_map(*[x for k, v in cols.items() for x in (F.lit(k), v)])
+def _model_rows(symbols: list, bars: list[dict[str, np.ndarray]], types: list[str]) -> pa.RecordBatch:
+    rows = []
+    for mt in types:
+        for symbol, got in zip(symbols, _fits(mt, bars)):
+            got = None if symbol is None else got
+            rows.append({"model_type": mt, "symbol": symbol, "learned": got is not None} | ({} if got is None else {
+                "coef": got["coef"], "intercept": got.get("intercept", 0.0), "error": got["error"],
+                "metrics": got["metrics"] and [*got["metrics"].items()], "state": [*got["state"].items()]}))
+    return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in MODEL_ROW], schema=MODEL_ROW)
 
 
-def _fit(ds: DataFrame, mt: str) -> DataFrame:
-    """``(symbol, features, coef, intercept, params, state, error, metrics)`` of one model type; the
-    metrics are null where they take a pass of their own (``_evaluate``)."""
-    metrics = F.lit(None).cast("map<string,double>")
-    if mt == "linear":
-        fit, features, icpt = linear.fit_linear(ds), LINEAR_FEATURES, F.col("intercept")
-        params = {"train_test_split": 0.8, "features": ",".join(LINEAR_FEATURES)}
-        state = F.create_map().cast("map<string,array<double>>")
-    elif mt == "arima":
-        fit, features, icpt = ar.fit_ar(ds), ["close"], F.lit(0.0)
-        params = {"order": "(5, 1, 0)", "train_test_split": 0.8}
-        state = _state(last_diffs=F.col("last_diffs"), last_close=F.array("last_close"),
-                       serve_last_diffs=F.col("serve_last_diffs"), serve_last_close=F.array("serve_last_close"),
-                       sigma=F.array("sigma"))
-    elif mt == "prophet":
-        fit, features, icpt = trend_seasonal.fit_trend_seasonal(ds), ["ds"], F.lit(0.0)
-        params = {"changepoint_prior_scale": trend_seasonal.CHANGEPOINT_PRIOR_SCALE,
-                  "seasonality_prior_scale": trend_seasonal.SEASONALITY_PRIOR_SCALE,
-                  "weekly_seasonality": True, "yearly_seasonality": True}
-        state = _state(t0=F.array("t0"), span=F.array("span"), y_scale=F.array("y_scale"), sigma=F.array("sigma"), knots=F.col("knots"),
-                       last_train_day=F.array(F.unix_date("last_train_date").cast("double")))
-    else:
-        fit, features, icpt = sequence.train_sequences(ds), SEQUENCE_FEATURES, F.lit(0.0)
-        metrics = F.when(F.col("n") > 0, _metrics_map())
-        params = {"lookback_window": 60, "ridge": sequence.RIDGE, "train_test_split": 0.8, "metric_space": "scaled"}
-        state = _state(sigma=F.array("sigma"), scale_min=F.col("scale_min"), scale_max=F.col("scale_max"))
-    return fit.select("symbol", F.array(*[F.lit(c) for c in features]).alias("features"), "coef", icpt.alias("intercept"),
-                      _params(params).alias("params"), state.alias("state"), "error", metrics.alias("metrics"))
-
-
-def _evaluate(ds: DataFrame, mt: str, models: DataFrame) -> DataFrame:
-    """``(symbol, metrics)`` on the test split, from the stored models."""
-    st = F.col("state")
-    first = lambda k: F.element_at(st[k], 1).alias(k)
-    if mt == "linear":
-        m = linear.evaluate_linear(ds, models.select("symbol", "coef", "intercept", "error"))
-    elif mt == "arima":
-        m = ar.evaluate_ar(ds, models.select("symbol", "coef", "error", st["last_diffs"].alias("last_diffs"), first("last_close")))
-    else:
-        m = trend_seasonal.evaluate_trend_seasonal(ds, models.select(
-            "symbol", "coef", "error", first("t0"), first("span"), first("y_scale"), first("sigma"), st["knots"].alias("knots")))
-    return m.select("symbol", _metrics_map().alias("metrics"))
+def _train(bars: DataFrame, types: list[str]) -> DataFrame:
+    """A row per model type and symbol from one pass over the bars."""
+    def run(symbols, series):
+        return _model_rows(symbols, series, types)
+
+    return map_symbols(bars, run, "model_type string, symbol string, learned boolean, coef array<double>, intercept double, error string, "
+                                  "metrics map<string,double>, state map<string,array<double>>", bars.count() // PART)
 
 
 def train_many(bars: DataFrame, model_types=MODEL_TYPES, created_at="2024-01-01 00:00:00",
@@ -102,22 +90,17 @@ def train_many(bars: DataFrame, model_types=MODEL_TYPES, created_at="2024-01-01
     """Fit each of ``model_types`` for all symbols of ``bars``; unknown types raise.
 
     The bars are stored once, so that their ticks are read once whatever the number of models
-    (``is_stored``: they are already). The types follow one another, each with its fits and then its
-    metrics stored (a row per symbol), so that one type's shuffle files are there at a time. A symbol
-    that cannot be fitted has a row with its error."""
+    (``is_stored``: they are already), and dealt by symbol once: a symbol's daily bars are few, and every
+    type takes its dataset, fit and test metrics from them where they are (``train_series`` of each model,
+    equal to its dataset, fit and evaluation on whole tables). A symbol that cannot be fitted has a row with its error."""
     types = [_check(t) for t in model_types]
-    bars = bars if is_stored else stored(bars)
-    symbols = bars.select("symbol").distinct()
-    out = None
-    for mt in types:
-        ds = _dataset(bars, mt)
-        one = stored(symbols.join(_fit(ds, mt), "symbol", "left").select(F.lit(mt).alias("model_type"), "*"))
-        if mt != "lstm":
-            one = stored(one.drop("metrics").join(_evaluate(ds, mt, one), "symbol", "left"))
-        out = one if out is None else out.unionByName(one)
+    out = stored(_train(bars if is_stored else stored(bars), types))
+    by_type = lambda c: functools.reduce(lambda rest, mt: F.when(F.col("model_type") == mt, c(mt)).otherwise(rest), types, F.lit(None))
     lost = F.when(F.col("coef").isNull(), F.coalesce("error", F.lit("insufficient rows")))
-    return out.select("model_type", "symbol", F.to_timestamp(F.lit(str(created_at))).alias("created_at"), "features", "coef",
-                      "intercept", "params", F.coalesce("metrics", F.create_map().cast("map<string,double>")).alias("metrics"),
+    return out.select("model_type", "symbol", F.to_timestamp(F.lit(str(created_at))).alias("created_at"),
+                      F.when(F.col("learned"), by_type(lambda mt: F.array(*[F.lit(c) for c in FEATURES[mt]]))).alias("features"), "coef",
+                      "intercept", F.when(F.col("learned"), by_type(lambda mt: _params(PARAMS[mt]))).alias("params"),
+                      F.coalesce("metrics", F.create_map().cast("map<string,double>")).alias("metrics"),
                       F.coalesce("state", F.create_map().cast("map<string,array<double>>")).alias("state"), lost.alias("error"))
 
 
