@@ -10,12 +10,14 @@ broadcast so the planner picks broadcast only when its measured size allows.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models import ar, linear, sequence, trend_seasonal
-from tidemark.operators.cleaning import MAX_DAYS_AHEAD, validate_requests
-from tidemark.operators.indicators import add_indicators
+from tidemark.operators.cleaning import LINEAR_FEATURES, MAX_DAYS_AHEAD, validate_requests
+from tidemark.operators.symbols import map_symbols
 
 # Fixed values of the reference: confidence label per model type.
 CONFIDENCE = {"lstm": "medium", "prophet": "high"}
@@ -34,6 +36,59 @@ def confidence(model_type: Column) -> Column:
     return expr
 
 
+FORECASTS = ("model_type string, symbol string, metrics map<string,double>, predictions array<double>, "
+             "lower array<double>, upper array<double>")
+SYMBOLS = 1 << 10  # models of a partition, about
+VALUES = pa.list_(pa.float64())
+
+
+def _newest(bars: DataFrame, parts: int) -> DataFrame:
+    """``(symbol, features, window)`` from one pass over the bars: the linear features of the newest complete row and
+    the newest window of the sequence model (not scaled); null where there is none."""
+    def run(symbols, series):
+        found = [linear.complete_features(b["close"], b["volume"], b["whole"]) for b in series]
+        return pa.RecordBatch.from_arrays([
+            pa.array(symbols, pa.string()), pa.array([x[kept][-1] if kept.any() else None for x, kept in found], VALUES),
+            pa.array([sequence.newest_window(b["close"], b["volume"], ~np.isnan(b["day"])) for b in series], VALUES)],
+            names=["symbol", "features", "window"])
+
+    return map_symbols(bars, run, "symbol string, features array<double>, window array<double>", parts)
+
+
+def _answers(batch: pa.RecordBatch, *values) -> pa.RecordBatch:
+    """Rows of ``FORECASTS``: the first columns of a batch, then predictions, lower and upper."""
+    keep = ["model_type", "symbol", "metrics"]
+    return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [
+        pa.nulls(batch.num_rows, VALUES) if v is None else pa.array(list(v), VALUES) for v in values], names=[*keep, "predictions", "lower", "upper"])
+
+
+def _curves(h: int):
+    """Forecasts and bands of the curve models for the h days after ``day``."""
+    def run(batches):
+        for batch in batches:
+            cols = {c: batch.column(c).to_pylist() for c in ("symbol", "coef", "t0", "span", "y_scale", "sigma", "knots", "day")}
+            got = [trend_seasonal.day_forecasts(symbol, day + np.arange(1, h + 1), np.array(coef), t0, span, y_scale, sigma, np.array(knots))
+                   for symbol, coef, t0, span, y_scale, sigma, knots, day in zip(*cols.values())]
+            yield _answers(batch, *zip(*got)) if got else _answers(batch, None, None, None)
+    return run
+
+
+def _rollouts(h: int, carry: str):
+    """Rollouts of the sequence models from their windows, some hundred symbols at a time; ``next`` of the others."""
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, SYMBOLS):
+                batch = whole.slice(at, SYMBOLS)
+                out = [np.array([v]) for v in batch.column("next").to_pylist()]
+                rolled = np.flatnonzero(batch.column("window").is_valid().to_numpy(zero_copy_only=False))
+                if len(rolled):
+                    cols = [np.array([batch.column(c)[int(i)].values.to_numpy() for i in rolled]) for c in ("coef", "window", "scale_min", "scale_max")]
+                    for i, v in zip(rolled, sequence.rollouts(*cols, h, carry)):
+                        out[i] = v
+                yield _answers(batch, out, None, None)
+    return run
+
+
 def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
                    carry: str = "roll") -> DataFrame:
     """One row per (model_type, symbol): ``predictions``, ``lower``, ``upper`` arrays
@@ -53,42 +108,26 @@ def forecast_table(models: DataFrame, bars: DataFrame, h: int = MAX_DAYS_AHEAD,
                      F.zip_with("predictions", "_s", lambda v, s: v - z * s).alias("lower"),
                      F.zip_with("predictions", "_s", lambda v, s: v + z * s).alias("upper"))
 
-    # prophet: evaluate the fitted curve on the h calendar days after the latest bar
-    pm = ok.where(F.col("model_type") == "prophet")
-    st = F.col("state")
-    pfit = pm.select("model_type", "symbol", "metrics", "coef",
-                     F.element_at(st["t0"], 1).alias("t0"), F.element_at(st["span"], 1).alias("span"),
-                     F.element_at(st["y_scale"], 1).alias("y_scale"), F.element_at(st["sigma"], 1).alias("sigma"),
-                     st["knots"].alias("knots"), F.lit(None).cast("string").alias("error"))
-    days = pfit.join(latest.select("symbol", "as_of"), "symbol").select(
-        "symbol", F.posexplode(F.sequence(F.date_add("as_of", 1), F.date_add("as_of", h))).alias("pos", "ds"))
-    # few bytes but a thousand draws a row: dealt to all cores, where sizes alone would make it one task
-    parts = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fc = trend_seasonal.forecast_frame(pfit.drop("model_type", "metrics"), days.select("symbol", "ds").repartition(parts, "symbol"))
-    fc = fc.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("ds", "yhat", "yhat_lower", "yhat_upper")))
-                                  .alias("_f"))
-    prm = pfit.select("model_type", "symbol", "metrics").join(fc, "symbol").select(
-        "model_type", "symbol", "metrics", F.col("_f.yhat").alias("predictions"),
-        F.col("_f.yhat_lower").alias("lower"), F.col("_f.yhat_upper").alias("upper"))
-
-    # lstm: rollout of the one-step sequence regressor from the newest window
-    lm = ok.where(F.col("model_type") == "lstm")
-    scaler = lm.select("symbol", F.col("state")["scale_min"].alias("scale_min"), F.col("state")["scale_max"].alias("scale_max"))
-    wins = sequence.latest_window(add_indicators(bars), scaler)
-    roll = sequence.predict_sequence(lm.select("symbol", "coef", F.lit(None).cast("string").alias("error"),
-                                               F.element_at(F.col("state")["sigma"], 1).alias("sigma")),
-                                     wins, h, carry)
-    lsm = lm.select("model_type", "symbol", "metrics").join(roll.select("symbol", "predictions"), "symbol").select(
-        "model_type", "symbol", "metrics", "predictions",
-        F.lit(None).cast("array<double>").alias("lower"), F.lit(None).cast("array<double>").alias("upper"))
-
-    # linear: the next close from the newest row's features
-    ln = ok.where(F.col("model_type") == "linear")
-    lin = ln.select("model_type", "symbol", "metrics").join(linear.forecast_linear(ln, bars), "symbol").select(
-        "model_type", "symbol", "metrics", F.array("yhat").alias("predictions"),
-        F.lit(None).cast("array<double>").alias("lower"), F.lit(None).cast("array<double>").alias("upper"))
-
-    allfc = arm.unionByName(prm).unionByName(lsm).unionByName(lin)
+    # prophet: evaluate the fitted curve on the h calendar days after the latest bar; few bytes but a thousand
+    # draws a day: dealt to all cores after the join, where sizes alone would make it one task
+    parts = models.count() // SYMBOLS
+    st, first = F.col("state"), lambda k: F.element_at(F.col("state")[k], 1).alias(k)
+    pfit = ok.where(F.col("model_type") == "prophet").join(latest.select("symbol", "as_of"), "symbol").select(
+        "model_type", "symbol", "metrics", "coef", first("t0"), first("span"), first("y_scale"), first("sigma"), st["knots"].alias("knots"),
+        F.unix_date("as_of").cast("double").alias("day"))
+    shuffles = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prm = pfit.repartition(max(parts, shuffles), "symbol").mapInArrow(_curves(h), FORECASTS)
+
+    # lstm: rollout of the one-step sequence regressor from the newest window; linear: the next close from the
+    # newest row's features. Both come from one pass over the bars
+    lstm, features = F.col("model_type") == "lstm", [F.element_at("features", i + 1).alias(c) for i, c in enumerate(LINEAR_FEATURES)]
+    new = ok.where(F.col("model_type").isin("lstm", "linear")).drop("features").join(_newest(bars, parts), "symbol").where(
+        F.when(lstm, F.col("window").isNotNull()).otherwise(F.col("features").isNotNull()))
+    new = new.select("model_type", "symbol", "metrics", "coef", "intercept", st["scale_min"].alias("scale_min"), st["scale_max"].alias("scale_max"),
+                     F.when(lstm, F.col("window")).alias("window"), *features)
+    new = new.withColumn("next", F.when(~lstm, linear.linear_predict(LINEAR_FEATURES))).drop("intercept", *LINEAR_FEATURES)
+
+    allfc = arm.unionByName(prm).unionByName(new.mapInArrow(_rollouts(h, carry), FORECASTS))
     return allfc.join(latest, "symbol")
 
 
