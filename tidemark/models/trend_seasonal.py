@@ -244,38 +244,46 @@ def point_forecast(fit: DataFrame, dates: DataFrame, *keep: str) -> DataFrame:
 
 @lru_cache(256)
 def _future_changes(key: int, part: int, rate: float, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Changes of slope in the scaled time (part, part + 1] of every sample: sample, time, size, in order of time."""
+    """Changes of slope in the scaled time (part, part + 1] of every sample: sample, time, size."""
     rng = np.random.default_rng([SEED, key, part])
     n = rng.poisson(rate, SAMPLES)
-    who, at, size = np.repeat(np.arange(SAMPLES), n), part + rng.random(int(n.sum())), rng.laplace(0.0, scale, int(n.sum()))
-    order = np.argsort(at)
-    return who[order], at[order], size[order]
+    return np.repeat(np.arange(SAMPLES), n), part + rng.random(int(n.sum())), rng.laplace(0.0, scale, int(n.sum()))
 
 
-def sampled_deviations(symbol: str, day: int, t: float, sigma: float, changes: np.ndarray) -> np.ndarray:
-    """Deviations of SAMPLES simulated values from the forecast of one day, on the scaled series.
+def day_deviations(symbol: str, days: np.ndarray, t: np.ndarray, sigma: float, changes: np.ndarray) -> np.ndarray:
+    """Deviations of SAMPLES simulated values from the forecast of each day, on the scaled series: a row a day.
 
-    changes: the fitted changes of slope; the training span is the scaled time 0..1."""
+    t: the days' scaled times, in order; changes: the fitted changes of slope; the training span is the scaled time 0..1."""
     key = zlib.crc32(symbol.encode("utf-8", "surrogatepass"))
-    out = np.random.default_rng([SEED, key, 1 << 31, day & 0xFFFFFFFF]).normal(0.0, sigma, SAMPLES)
+    out = np.array([np.random.default_rng([SEED, key, 1 << 31, int(day) & 0xFFFFFFFF]).normal(0.0, sigma, SAMPLES) for day in days])
     scale = float(np.abs(changes).mean()) + 1e-8 if len(changes) else 0.0
-    for part in range(1, max(math.ceil(t), 1)) if scale else ():
+    for part in range(1, max(math.ceil(t[-1]), 1)) if scale else ():
         who, at, size = _future_changes(key, part, float(len(changes)), scale)
-        if t < part + 1:  # the others are still to come
-            n = np.searchsorted(at, t)
-            who, at, size = who[:n], at[:n], size[:n]
-        out += np.bincount(who, size * np.maximum(t - at, 0.0), minlength=SAMPLES)
+        soon = np.flatnonzero(at < t[-1])
+        soon = soon[np.argsort(at[soon])] if len(t) > 1 else soon
+        who, at, size = who[soon], at[soon], size[soon]
+        # a change adds size * (t - part) - size * (at - part) to the days after it: both factors summed from day to day
+        slope, start, done = np.zeros(SAMPLES), np.zeros(SAMPLES), 0
+        for i, n in enumerate(np.searchsorted(at, t) if len(t) > 1 else [len(at)]):
+            if n > done:
+                slope += np.bincount(who[done:n], size[done:n], minlength=SAMPLES)
+                start += np.bincount(who[done:n], size[done:n] * (at[done:n] - part), minlength=SAMPLES)
+                done = n
+            out[i] += slope * (t[i] - part) - start
     return out
 
 
+def sampled_deviations(symbol: str, day: int, t: float, sigma: float, changes: np.ndarray) -> np.ndarray:
+    """``day_deviations`` of one day."""
+    return day_deviations(symbol, np.array([day]), np.array([t]), sigma, changes)[0]
+
+
 def day_forecasts(symbol: str, days: np.ndarray, coef: np.ndarray, t0: float, span: float, y_scale: float, sigma: float,
                   knots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """yhat and the ends of the sampled band of ``forecast_frame`` for some days of one symbol."""
     yhat = y_scale * (design_rows(days, t0, span, knots) @ coef)
-    out = np.empty((len(days), SAMPLES))
-    for i, day in enumerate(days):
-        out[i] = sampled_deviations(symbol, int(day), (day - t0) / span, sigma, coef[2:N_TREND][knots < FAR])
-    low, high = y_scale * np.quantile(out, BAND, axis=1)
+    out = day_deviations(symbol, days, (days - t0) / span, sigma, coef[2:N_TREND][knots < FAR])
+    low, high = y_scale * np.quantile(out, BAND, axis=1, overwrite_input=True)
     return yhat, yhat + low, yhat + high
 
 
